@@ -44,3 +44,29 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
 def small(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks the frame for broadcast only after counting that it is small. The frame should be cheap to count (staged)."""
     return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else keys
+
+
+def map_texts(frame: DataFrame, id_col: str, text_col: str, schema: str, function) -> DataFrame:
+    """Applies function(list of texts) -> dict of columns to Arrow batches; the id goes through untouched.
+
+    The columns that function returns, and their types, are those of schema (a DDL string without the id).
+    """
+    import pyarrow as pa
+    from pyspark.sql.types import StructField, StructType
+
+    id_type = frame.schema[id_col].dataType
+    own = StructType.fromDDL(schema)
+    names = own.fieldNames()
+
+    def batches(source):
+        for batch in source:
+            found = function(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(_arrow(pa, found[n], own[n].dataType.simpleString()) for n in names)], names=["doc_id", *names])
+
+    out = StructType([StructField("doc_id", id_type), *own.fields])
+    return frame.select(F.col(id_col), F.col(text_col)).mapInArrow(batches, out)
+
+
+def _arrow(pa, values, kind):
+    types = {"bigint": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "int": pa.int32(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+    return pa.array(values, types[kind])
