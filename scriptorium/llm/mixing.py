@@ -13,6 +13,8 @@ from .common import WORD, staged
 BUCKETS = 4096
 #: Most membership patterns (and sources) that the driver takes; more raise an error rather than being cut.
 MAX_PATTERNS = 200_000
+#: Rounds that fill what the flow leaves to whole documents: seeded prefixes first, then single best fits.
+PREFIX_ROUNDS, FIT_ROUNDS = 3, 2
 #: Cost of a word's first and second use. Convex: every first use comes before any second.
 REPEAT_COSTS = (1, 3)
 
@@ -98,8 +100,8 @@ def mix_sources(docs: DataFrame, membership, id_col: str = "doc_id", text_col: s
 
     membership: column of an array of source names (a null name is a source of its own). Documents are summed
     by membership pattern; the flow routes each pattern's words to its sources' quotas, first uses before
-    repeats; then each pattern's documents are taken whole in the order of a seeded hash until its flow is
-    used, and two last rounds add the document that fits best into what is left. No document is taken more
+    repeats; then each pattern's documents are taken whole in the order of a seeded hash while they fit into its flow,
+    and last rounds add the document that fits best into what is left. No document is taken more
     than len(REPEAT_COSTS) times. Returns doc_id, pattern, size, source_size, target, taken; source_size and
     target are those of the pattern's first source. Reruns agree: nothing depends on the row order.
 
@@ -129,34 +131,43 @@ def mix_sources(docs: DataFrame, membership, id_col: str = "doc_id", text_col: s
     told = told.select("*", F.when(F.col("words") > 0, F.floor(F.col("flow") / F.col("words"))).otherwise(0).alias("turns"))
     told = told.withColumn("rest", F.col("flow") - F.col("turns") * F.col("words"))
 
-    # The seeded order: buckets by hash, then hash and id within the bucket.
-    sums = sizes.groupBy("pattern", "bucket").agg(F.sum("size").alias("bucket_words"))
+    # Whole documents for the rest of each pattern's flow: seeded prefixes, each among what still fits, then best fits.
+    budget, chosen, free = told.filter(F.col("turns") < len(REPEAT_COSTS)).select("pattern", "rest"), None, sizes.filter("size > 0")
+    for step in range(PREFIX_ROUNDS + FIT_ROUNDS):
+        took = staged(_seeded_prefix(free, budget) if step < PREFIX_ROUNDS else _best_fit(free, budget), "mix-chosen")
+        spent = took.groupBy("pattern").agg(F.sum("size").alias("spent")).alias("s")
+        budget = budget.alias("b").join(F.broadcast(spent), F.col("b.pattern").eqNullSafe(F.col("s.pattern")), "left")
+        budget = staged(budget.select("b.pattern", (F.col("rest") - F.coalesce("spent", F.lit(0))).alias("rest")), "mix-budget")
+        chosen = took if chosen is None else chosen.unionByName(took)
+        free = free.join(took.select("doc_id"), "doc_id", "left_anti")
+    extra = chosen.select("doc_id", F.lit(1).alias("extra")).distinct()
+    out = sizes.alias("d").join(F.broadcast(told).alias("t"), F.col("d.pattern").eqNullSafe(F.col("t.pattern"))).join(extra, "doc_id", "left")
+    times = F.least(F.col("turns") + F.coalesce("extra", F.lit(0)), F.lit(len(REPEAT_COSTS)))
+    return out.select("doc_id", "d.pattern", "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"))
+
+
+def _seeded_prefix(free: DataFrame, budget: DataFrame) -> DataFrame:
+    """The documents, in seeded order, whose running size stays within their pattern's budget; larger ones are passed over.
+
+    Running sums are taken within hash buckets and carried between buckets, so no task holds a whole pattern.
+    """
+    fits = F.col("a.pattern").eqNullSafe(F.col("b.pattern")) & (F.col("a.size") <= F.col("b.rest"))
+    rows = free.alias("a").join(F.broadcast(budget).alias("b"), fits).select("a.*", "b.rest")
+    sums = rows.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("pattern", "bucket", F.coalesce(F.sum("bucket_words").over(upto), F.lit(0)).alias("offset"))
-    offsets = offsets.join(F.broadcast(told), offsets["pattern"].eqNullSafe(told["pattern"])).select(offsets["pattern"], "bucket", "offset", "turns", "rest", "source_size", "target")
+    offsets = sums.select("pattern", "bucket", F.coalesce(F.sum("words").over(upto), F.lit(0)).alias("offset"))
     within = Window.partitionBy("pattern", "bucket").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = sizes.withColumn("running", F.sum("size").over(within)).alias("a").join(
-        offsets.alias("b"), F.col("a.pattern").eqNullSafe(F.col("b.pattern")) & (F.col("a.bucket") == F.col("b.bucket"))
-    )
-    placed = placed.select("doc_id", "a.pattern", "size", "key", "source_size", "target", "turns", "rest", (F.col("offset") + F.col("running")).alias("upto"))
-    placed = staged(placed.withColumn("extra", (F.col("upto") <= F.col("rest")) & (F.col("turns") < len(REPEAT_COSTS)) & (F.col("size") > 0)), "mix-placed")
-
-    # What whole documents left of the rest: the largest that still fits, twice.
-    gap = placed.groupBy("pattern").agg((F.max("rest") - F.coalesce(F.sum(F.when(F.col("extra"), F.col("size"))), F.lit(0))).alias("gap"))
-    filled = []
-    for _ in range(2):
-        free = placed.filter(~F.col("extra") & (F.col("turns") < len(REPEAT_COSTS)) & (F.col("size") > 0)).alias("a")
-        fits = free.join(F.broadcast(gap).alias("g"), F.col("a.pattern").eqNullSafe(F.col("g.pattern")) & (F.col("a.size") <= F.col("g.gap")))
-        for f in filled:
-            fits = fits.join(F.broadcast(f.select(F.col("fill_id").alias("doc_id"))), "doc_id", "left_anti")
-        best = fits.groupBy("a.pattern").agg(F.max(F.struct("size", (-F.col("doc_id")).alias("less"))).alias("best"))
-        best = staged(best.select("pattern", F.col("best.size").alias("fill"), (-F.col("best.less")).alias("fill_id")), "mix-fill")
-        gap = gap.alias("g").join(best.alias("f"), F.col("g.pattern").eqNullSafe(F.col("f.pattern")), "left").select("g.pattern", (F.col("gap") - F.coalesce("fill", F.lit(0))).alias("gap"))
-        filled.append(best)
-    fills = filled[0].unionByName(filled[1]).select(F.col("fill_id").alias("doc_id"), F.lit(1).alias("fill")).distinct()
-    out = placed.join(F.broadcast(fills), "doc_id", "left")
-    times = F.col("turns") + F.when(F.col("extra") | F.col("fill").isNotNull(), 1).otherwise(0)
-    return out.select("doc_id", "pattern", "size", "source_size", "target", (F.least(times, F.lit(len(REPEAT_COSTS))) * F.col("size")).cast("long").alias("taken"))
+    placed = rows.withColumn("running", F.sum("size").over(within)).alias("r")
+    same = F.col("r.pattern").eqNullSafe(F.col("o.pattern")) & (F.col("r.bucket") == F.col("o.bucket"))
+    return placed.join(offsets.alias("o"), same).filter("offset + running <= rest").select("doc_id", "r.pattern", "size")
+
+
+def _best_fit(free: DataFrame, budget: DataFrame) -> DataFrame:
+    """Of each pattern, the largest document within the budget, the smallest id among equals."""
+    fits = F.col("a.pattern").eqNullSafe(F.col("b.pattern")) & (F.col("a.size") <= F.col("b.rest"))
+    rows = free.alias("a").join(F.broadcast(budget).alias("b"), fits).select("a.pattern", "a.size", "a.doc_id")
+    best = rows.groupBy("pattern").agg(F.max("size").alias("size"), F.min_by("doc_id", F.struct(-F.col("size"), "doc_id")).alias("doc_id"))
+    return best.select("doc_id", "pattern", "size")
 
 
 def take_mix(docs: DataFrame, membership, id_col: str = "doc_id", **options) -> DataFrame:
