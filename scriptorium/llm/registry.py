@@ -5,10 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing
+from . import bpe, exact_dedup, language_id, mixing
 from .common import table
 
 
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    models = language_id.train(docs.filter(~held_out), "lang", "text")
+    found = language_id.identify(docs, models)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), digest=True).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -26,7 +34,7 @@ def op10_bpe_codec(spark, sf_dir):
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup, op8_mix_sources, op9_token_counts, op10_bpe_codec)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op7_exact_dedup, op8_mix_sources, op9_token_counts, op10_bpe_codec)}
 
 ORACLES = {
     "op7_exact_dedup": """
