@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, mixing, near_dedup
+from . import bpe, exact_dedup, language_id, mixing, near_dedup, nearest
 from .common import table
 
 
@@ -17,6 +17,11 @@ def op1_language_id(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "entropy", "rejected")
 
 
+def op2_nearest_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.nearest_neighbours(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op3_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -38,7 +43,7 @@ def op10_bpe_codec(spark, sf_dir):
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_near_dedup, op7_exact_dedup, op8_mix_sources, op9_token_counts, op10_bpe_codec)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_nearest_neighbours, op3_near_dedup, op7_exact_dedup, op8_mix_sources, op9_token_counts, op10_bpe_codec)}
 
 ORACLES = {
     "op7_exact_dedup": """
