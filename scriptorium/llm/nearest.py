@@ -11,9 +11,11 @@ from .common import staged
 #: Rows of a shard, and queries searched in one call.
 SHARD_ROWS, BLOCK_QUERIES = 8192, 4096
 #: Most edges of a node, beam of the build, relaxation of pruning, passes, nodes inserted together.
-DEGREE, BUILD_BEAM, RELAX, PASSES, TOGETHER = 28, 56, 1.2, 2, 256
+DEGREE, BUILD_BEAM, RELAX, PASSES, TOGETHER = 28, 48, 1.2, 1, 256
+#: Distances between candidates that one pruning call holds.
+PRUNED_CELLS = 4_000_000
 #: Beam of a search, and nodes of the beam that are expanded at once.
-SEARCH_BEAM, WIDTH = 96, 6
+SEARCH_BEAM, WIDTH = 160, 6
 
 
 def usable(vector: Column) -> Column:
@@ -74,15 +76,14 @@ def robust_prune(x: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, degre
     rows = np.arange(len(nodes))
     out = np.full((len(nodes), degree), -1, np.int32)
     norms = (vectors * vectors).sum(2)
+    apart = norms[:, :, None] + norms[:, None, :] - 2 * np.matmul(vectors, vectors.transpose(0, 2, 1))
     for k in range(degree):
         best = far.argmin(1)
         some = np.isfinite(far[rows, best])
         if not some.any():
             break
         out[some, k] = candidates[rows, best][some]
-        chosen = vectors[rows, best]
-        between = norms + norms[rows, best][:, None] - 2 * np.matmul(vectors, chosen[:, :, None])[:, :, 0]
-        far[relax * relax * between <= far] = np.inf
+        far[relax * relax * apart[rows, best] <= far] = np.inf
         far[candidates == candidates[rows, best][:, None]] = np.inf
     return out
 
@@ -115,8 +116,12 @@ def build_graph(x: np.ndarray, seed: int = 5) -> np.ndarray:
             new = np.full((len(head), most), -1, np.int32)
             new[np.repeat(np.arange(len(head)), many), np.arange(len(to)) - np.repeat(first, many)] = back
             pool = np.concatenate([graph[head], new], 1)
-            for part in range(0, len(head), 1024):
-                graph[head[part : part + 1024]] = robust_prune(x, head[part : part + 1024], pool[part : part + 1024], DEGREE, relax)
+            full = (pool >= 0).sum(1) > DEGREE
+            graph[head[~full]] = -np.sort(-pool[~full], axis=1)[:, :DEGREE]
+            head, pool = head[full], pool[full]
+            step = max(1, PRUNED_CELLS // pool.shape[1] ** 2)
+            for part in range(0, len(head), step):
+                graph[head[part : part + step]] = robust_prune(x, head[part : part + step], pool[part : part + step], DEGREE, relax)
     return graph
 
 
