@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, mixing, near_dedup, nearest
+from . import bpe, exact_dedup, language_id, mixing, near_dedup, nearest, private_data
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op3_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op4_private_data(spark, sf_dir):
+    return private_data.span_digests(private_data.find_spans(table(spark, sf_dir, "documents")))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), digest=True).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -43,7 +47,7 @@ def op10_bpe_codec(spark, sf_dir):
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_nearest_neighbours, op3_near_dedup, op7_exact_dedup, op8_mix_sources, op9_token_counts, op10_bpe_codec)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_nearest_neighbours, op3_near_dedup, op4_private_data, op7_exact_dedup, op8_mix_sources, op9_token_counts, op10_bpe_codec)}
 
 ORACLES = {
     "op7_exact_dedup": """
