@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, mixing, near_dedup, nearest, private_data
+from . import bpe, chat, exact_dedup, language_id, mixing, near_dedup, nearest, private_data, warc
 from .common import table
 
 
@@ -30,6 +30,16 @@ def op4_private_data(spark, sf_dir):
     return private_data.span_digests(private_data.find_spans(table(spark, sf_dir, "documents")))
 
 
+def op5_chat_format(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.chat_digests(chat.read_back(chat.format_trees(chat.linear_replies(rows.unionByName(hard)))))
+
+
+def op6_warc(spark, sf_dir):
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), digest=True).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -47,7 +57,7 @@ def op10_bpe_codec(spark, sf_dir):
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_nearest_neighbours, op3_near_dedup, op4_private_data, op7_exact_dedup, op8_mix_sources, op9_token_counts, op10_bpe_codec)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_nearest_neighbours, op3_near_dedup, op4_private_data, op5_chat_format, op6_warc, op7_exact_dedup, op8_mix_sources, op9_token_counts, op10_bpe_codec)}
 
 ORACLES = {
     "op7_exact_dedup": """
