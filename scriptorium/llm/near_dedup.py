@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, staged
+from .common import map_texts, small, staged
 from .components import connected_components
 
 #: Bands and hashes in each: a pair of similarity 0.8 shares no band with probability (1 - 0.8**6)**36 < 2e-5.
@@ -149,67 +149,107 @@ def _pruned(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(batches, sized.select("a", "b").schema)
 
 
+def _sets(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """doc_id and hashes of the documents asked for. Texts go through a shuffle only if the ids are too many to broadcast."""
+    texts = docs.join(small(staged(ids.distinct(), "near-ids")), "doc_id", "left_semi")
+    sets = map_texts(texts, "doc_id", "text", "hashes binary", lambda rows: {"hashes": [shingle_set(t, words).tobytes() for t in rows]})
+    return staged(sets, "near-sets").dropDuplicates(["doc_id"])
+
+
+def _linked(x: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each of the others whether it and x have 100 * intersection >= percent * union; sorted distinct hashes."""
+    sizes = np.array([len(y) for y in others])
+    every = np.concatenate(others)
+    shared = np.add.reduceat(x[np.minimum(np.searchsorted(x, every), len(x) - 1)] == every, np.cumsum(sizes) - sizes, dtype=np.int64)
+    return 100 * shared >= percent * (len(x) + sizes - shared)
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= percent * union."""
+    """The pairs whose full sets are similar enough."""
     import pyarrow as pa
 
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = staged(map_texts(texts, "doc_id", "text", "hashes binary", lambda rows: {"hashes": [shingle_set(t, words).tobytes() for t in rows]}), "near-sets")
+    sets = _sets(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))), docs, words)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("set_a")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("set_b")), "b")
 
     def batches(source):
         for batch in source:
             on = []
             for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                if 100 * shared >= percent * (len(x) + len(y) - shared):
+                if _linked(np.frombuffer(x, np.uint64), [np.frombuffer(y, np.uint64)], percent)[0]:
                     on.append(i)
             yield batch.select(["a", "b"]).take(pa.array(on, pa.int64()))
 
     return both.select("a", "b", "set_a", "set_b").mapInArrow(batches, pairs.select("a", "b").schema)
 
 
-def _others(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs of a bucket's members that don't hang together yet: members has key, n, rep, label.
+def _first_band(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return (x.reshape(-1, BANDS, BAND_HASHES) == y.reshape(-1, BANDS, BAND_HASHES)).all(2).argmax(1)
+
+
+def _others(members: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Confirmed links between members of a bucket that don't hang together yet: members has key, band, n, center, rep, label.
 
     A bucket larger than BLOCK is dealt by hash into blocks, and each pair of blocks is a group of its own, so no
-    task holds a whole bucket and pairs that are given up are never rows.
+    task holds a whole bucket. A pair is compared in the first band that it shares only. Pairs are never rows: a group
+    hands on the members of its surviving pairs, once each, and the list of pairs with one of them; these meet
+    their full sets in a second grouping.
     """
-    rows = members.count()
-    groups = max(1, rows // GROUP_ROWS)
+    import pandas as pd
+
+    groups = max(1, members.count() // GROUP_ROWS)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     first, second = F.least("own", "other"), F.greatest("own", "other")
-    group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(groups))).otherwise(F.xxhash64("key", first, second))
-    dealt = dealt.select(group.alias("group"), (F.col("blocks") == 1).alias("whole"), "key", "rep", "label", (F.col("own") == first).alias("in_first"), (F.col("own") == second).alias("in_second"), first.alias("i"), second.alias("j"))
+    whole = F.col("blocks") == 1
+    group = F.when(whole, F.pmod(F.xxhash64("key"), F.lit(groups))).otherwise(F.xxhash64("key", first, second))
+    part = F.xxhash64("key", "band", first, second)
+    dealt = dealt.select(whole.alias("whole"), group.alias("group"), part.alias("part"), "band", "rep", "label", (F.col("rep") == F.col("center")).alias("tried"), (F.col("own") == first).alias("in_first"), (F.col("own") == second).alias("in_second"))
     signed = dealt.join(reps.select(F.col("doc_id").alias("rep"), "sig", "n_shingles"), "rep")
 
     def compare(pdf):
-        import pandas as pd
-
-        found = []
-        for _, g in pdf.groupby(["key", "i", "j"], sort=False):
-            sig, label, size, rep = _signatures(g["sig"]), g["label"].to_numpy(), g["n_shingles"].to_numpy(), g["rep"].to_numpy()
+        out = []
+        for part, g in pdf.groupby("part", sort=False):
+            sig, label, size, rep, tried = _signatures(g["sig"]), g["label"].to_numpy(), g["n_shingles"].to_numpy(), g["rep"].to_numpy(), g["tried"].to_numpy()
             rows, cols = np.flatnonzero(g["in_first"].to_numpy()), np.flatnonzero(g["in_second"].to_numpy())
-            same = g["i"].iloc[0] == g["j"].iloc[0]
+            same, band, found = np.array_equal(rows, cols), g["band"].iloc[0], []
             for at in range(0, len(rows), 256):
                 r = rows[at : at + 256]
-                open_ = label[r][:, None] != label[cols][None, :]
+                open_ = (label[r][:, None] != label[cols][None, :]) & ~tried[r][:, None] & ~tried[cols][None, :]
                 open_ &= 100 * np.minimum(size[r][:, None], size[cols][None, :]) >= percent * np.maximum(size[r][:, None], size[cols][None, :])
                 if same:
                     open_ &= rep[r][:, None] < rep[cols][None, :]
                 x, y = np.nonzero(open_)
-                for part in range(0, len(x), 100_000):
-                    px, py = r[x[part : part + 100_000]], cols[y[part : part + 100_000]]
+                for cut in range(0, len(x), 50_000):
+                    px, py = r[x[cut : cut + 50_000]], cols[y[cut : cut + 50_000]]
                     on = bayes_survivors(sig[px], sig[py], percent)
-                    found.append(np.stack([np.minimum(rep[px[on]], rep[py[on]]), np.maximum(rep[px[on]], rep[py[on]])], 1))
-        out = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
-
-    return signed.groupBy("whole", "group").applyInPandas(compare, "a long, b long").distinct()
+                    on = on[_first_band(sig[px[on]], sig[py[on]]) == band] if len(on) else on
+                    found.append(np.stack([px[on], py[on]], 1))
+            pairs = np.concatenate(found) if found else np.zeros((0, 2), int)
+            used = np.unique(pairs)
+            if len(used):
+                listed = np.searchsorted(used, pairs).astype(np.int32).tobytes()
+                out.append(pd.DataFrame({"part": part, "place": np.arange(len(used)), "rep": rep[used], "pairs": [listed] + [None] * (len(used) - 1)}))
+        return pd.concat(out) if out else pd.DataFrame({"part": [], "place": [], "rep": [], "pairs": []})
+
+    kept = staged(signed.groupBy("whole", "group").applyInPandas(compare, "part long, place int, rep long, pairs binary"), "near-others")
+    sets = _sets(kept.select(F.col("rep").alias("doc_id")), docs, words)
+
+    def verify(pdf):
+        pdf = pdf.sort_values("place")
+        rep, sets = pdf["rep"].to_numpy(), [np.frombuffer(h, np.uint64) for h in pdf["hashes"]]
+        pairs = np.frombuffer(pdf["pairs"].iloc[0], np.int32).reshape(-1, 2)
+        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+        a, b = [], []
+        for x, start, many in zip(*np.unique(pairs[:, 0], return_index=True, return_counts=True)):
+            ys = pairs[start : start + many, 1]
+            ys = ys[_linked(sets[x], [sets[y] for y in ys], percent)]
+            a.append(np.minimum(rep[x], rep[ys]))
+            b.append(np.maximum(rep[x], rep[ys]))
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    full = kept.join(sets.select(F.col("doc_id").alias("rep"), "hashes"), "rep")
+    return full.groupBy("part").applyInPandas(verify, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -231,19 +271,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = signed.filter("n_shingles > 0")
     classes = sets.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     reps = staged(sets.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi").dropDuplicates(["doc_id"]), "near-reps")
-    banded = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("rep").alias("center"), F.count("*").alias("n")).filter("n > 1")
-    buckets = staged(banded.join(shared, "key"), "near-buckets")
+    banded = reps.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "key"))
+    shared = banded.groupBy("band", "key").agg(F.min("rep").alias("center"), F.count("*").alias("n")).filter("n > 1")
+    buckets = staged(banded.join(shared, ["band", "key"]), "near-buckets")
 
     first = staged(buckets.filter("rep != center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(), "near-pairs")
     links = staged(_confirmed(staged(_pruned(first, reps, percent), "near-survivors"), docs, words, percent), "near-links")
 
     found = connected_components(links)
-    labelled = buckets.filter("n > 2").join(found, F.col("rep") == F.col("node"), "left").select("key", "n", "rep", F.coalesce("component", "rep").alias("label"))
-    split = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("key")
-    members = staged(labelled.join(split, "key", "left_semi"), "near-open")
-    more = staged(_others(members, reps, percent).join(first, ["a", "b"], "left_anti"), "near-others")
-    second = staged(_confirmed(more, docs, words, percent), "near-links")
+    labelled = buckets.filter("n > 2").join(found, F.col("rep") == F.col("node"), "left").select("key", "band", "n", "center", "rep", F.coalesce("component", "rep").alias("label"))
+    split = labelled.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band", "key")
+    members = staged(labelled.join(split, ["band", "key"], "left_semi"), "near-open")
+    second = staged(_others(members, reps, docs, words, percent), "near-links")
     found = connected_components(links.unionByName(second))
 
     named = signed.select("doc_id", "n_shingles", F.coalesce("set_key", F.concat(F.lit("none "), F.col("doc_id").cast("string"))).alias("set_key"))
