@@ -19,7 +19,7 @@ HASHES = BANDS * BAND_HASHES
 #: Hashes compared at a time, and the posterior probability below which a pair is given up.
 BATCH, MISS = 24, 1e-5
 #: Rows of a bucket that are compared with each other at once.
-BLOCK = 512
+BLOCK = 2048
 #: Rows of small buckets that go to one call.
 GROUP_ROWS = 20_000
 #: Distinct words whose hash a worker remembers.
