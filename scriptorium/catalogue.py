@@ -1,6 +1,360 @@
-"""Every query of the library's own operators, with the SQL that checks it."""
+"""Every query of the library's own operators over the driver tables, with the SQL that checks it.
+
+The driver tables hold no Tibetan text, so text queries use the Latin profile.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from .functions import text as tx
+from .operators import chunks, geometry, relations, stacks
+from .plans import closure, quotas
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def _t(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def query(sql: str | None = None):
+    """Registers a query (spark, sf_dir) -> DataFrame and the SQL for the same rows."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+TOKENS = "(SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS token FROM documents)"
+RARITY = f"""
+    freq AS (SELECT token, count(*) AS n FROM {TOKENS} GROUP BY token),
+    info AS (SELECT token, n, -ln(n / (SELECT sum(n)::DOUBLE FROM freq)) AS info FROM freq),
+    l AS (SELECT list(info ORDER BY info) AS l FROM info),
+    b AS (SELECT l[floor(.05 * (len(l) - 1))::INT + 1] AS low, l[floor(.95 * (len(l) - 1))::INT + 1] AS high FROM l),
+    rare AS (SELECT token, n, coalesce(least(greatest((info - low) / nullif(high - low, 0), 0), 1), 0) AS rarity FROM info, b)"""
+
+
+@query(f"SELECT token, count(*) AS n FROM {TOKENS} GROUP BY token")
+def token_frequency(spark, d):
+    return stacks.frequency(_t(spark, d, "documents"))
+
+
+@query(f"WITH {RARITY} SELECT token, n, round(rarity, 8) AS rarity FROM rare")
+def token_rarity(spark, d):
+    return stacks.rarity(stacks.frequency(_t(spark, d, "documents"))).withColumn("rarity", F.round("rarity", 8))
+
+
+@query(f"""
+    WITH {RARITY},
+    t AS (SELECT doc_id, token, rarity, row_number() OVER (PARTITION BY doc_id ORDER BY rarity DESC) AS r FROM {TOKENS} JOIN rare USING (token)),
+    a AS (SELECT doc_id, avg(rarity) FILTER (r <= 10) AS peak, avg((rarity >= .8)::INT) AS share FROM t GROUP BY doc_id),
+    u AS (SELECT doc_id, avg((rarity >= .8)::INT) AS kinds FROM (SELECT DISTINCT doc_id, token, rarity FROM t) GROUP BY doc_id)
+    SELECT doc_id, round(coalesce(least(1, .5 * peak + .3 * share + .2 * kinds), 0), 6) AS difficulty
+    FROM documents LEFT JOIN a USING (doc_id) LEFT JOIN u USING (doc_id)""")
+def doc_difficulty(spark, d):
+    docs = _t(spark, d, "documents")
+    found = stacks.difficulty(docs, stacks.rarity(stacks.frequency(docs)))
+    return found.withColumn("difficulty", F.round("difficulty", 6))
+
+
+@query("""
+    WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '\\p{L}+') AS t FROM documents)
+    SELECT doc_id, len(t) AS token_count, len(list_distinct(t)) AS unique_count, array_to_string(list_sort(list_distinct(t)), ' ') AS tokens FROM t""")
+def doc_token_stats(spark, d):
+    return stacks.token_stats(_t(spark, d, "documents"))
+
+
+@query("""
+    WITH u AS (SELECT doc_id, unnest(list_filter(list_transform(regexp_extract_all(text, '[^.]*[.]|[^.]+$'), x -> trim(x)), x -> length(x) >= 8)) AS unit FROM documents)
+    SELECT doc_id, unit, count(*) AS n FROM u GROUP BY ALL""")
+def split_units(spark, d):
+    units = _t(spark, d, "documents").select("doc_id", F.explode(tx.split_units(F.col("text"))).alias("unit"))
+    return units.groupBy("doc_id", "unit").agg(F.count("*").alias("n"))
+
+
+@query()
+def chunk_documents(spark, d):
+    return chunks.chunk_documents(_t(spark, d, "documents"))
+
+
+@query("SELECT doc_id, contains(text, '.....') AS is_toc, regexp_full_match(text, '[A-Za-zÀ-ɏ ]*') AS only_script, regexp_matches(text, '\\p{L}') AS has_letter FROM documents")
+def text_predicates(spark, d):
+    text = F.col("text")
+    return _t(spark, d, "documents").select("doc_id", text.contains(tx.LATIN.toc).alias("is_toc"), tx.only_script(text, tx.LATIN, True).alias("only_script"), tx.has_letter(text).alias("has_letter"))
+
+
+@query("SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '\\r\\n?', chr(10), 'g'), '\\n', ' ', 'g'), '[\\s\\p{Z}]+', ' ', 'g'), '^ | $', '', 'g') AS cleaned FROM pages")
+def clean_text(spark, d):
+    return _t(spark, d, "pages").select("page_id", tx.clean(F.col("html")).alias("cleaned"))
+
+
+@query("SELECT doc_id, substr(sha1(doc_id || ':0:' || text), 1, 16) AS chunk_id FROM documents")
+def stable_ids(spark, d):
+    return _t(spark, d, "documents").select("doc_id", tx.stable_id(F.col("doc_id"), F.lit(0), F.col("text")).alias("chunk_id"))
+
+
+@query("""
+    SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ''), c -> 'U+' || lpad(upper(to_hex(unicode(c))), 4, '0')), ' ') AS points,
+      length(regexp_replace(p_name, '[^aeiou]', '', 'g')) AS vowels, length(p_name) AS n FROM part""")
+def codepoint_profile(spark, d):
+    name = F.col("p_name")
+    return _t(spark, d, "part").select("p_partkey", tx.code_points(name).alias("points"), geometry.count_of(name, "aeiou").alias("vowels"), F.length(name).alias("n"))
+
+
+@query("""
+    SELECT p_partkey, CASE WHEN s = '' THEN substr(sha1(p_name), 1, 12) ELSE s END AS slug, translate(p_type, '\\%$&#_{}', '') AS tex
+    FROM (SELECT *, regexp_replace(regexp_replace(p_name, '[^A-Za-z0-9]+', '_', 'g'), '^_|_$', '', 'g') AS s FROM part)""")
+def slugs(spark, d):
+    return _t(spark, d, "part").select("p_partkey", tx.slug(F.col("p_name")).alias("slug"), tx.tex_escape(F.col("p_type")).alias("tex"))
+
+
+@query("SELECT p_partkey, regexp_replace(regexp_replace(printf('%.3f', p_retailprice / 8), '0+$', ''), '\\.$', '') AS shown FROM part")
+def trimmed_numbers(spark, d):
+    return _t(spark, d, "part").select("p_partkey", tx.trimmed_number(F.col("p_retailprice") / 8).alias("shown"))
+
+
+@query("""
+    SELECT c_custkey, array_to_string(list_transform(regexp_extract_all(lower(c_name), '[0-9]+|[^0-9]+'), x -> CASE WHEN regexp_matches(x, '^[0-9]') THEN lpad(x, 20, '0') ELSE x END), '') AS sort_key FROM customer""")
+def natural_sort_key(spark, d):
+    return _t(spark, d, "customer").select("c_custkey", tx.natural_key(F.col("c_name")).alias("sort_key"))
+
+
+@query("SELECT o_orderkey, (o_orderkey - 1) // 1000 + 1 AS volume, (o_orderkey - 1) % 1000 + 1 AS page FROM orders")
+def volume_pages(spark, d):
+    k = F.col("o_orderkey")
+    return _t(spark, d, "orders").select("o_orderkey", tx.volume_of(k, 1000).alias("volume"), tx.page_of(k, 1000).alias("page"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 1 AND NOT contains(substr(text, 1, 5), '*') THEN '* ' || substr(text, 1, 40) ELSE substr(text, 1, 40) END AS page FROM documents")
+def odd_prefix(spark, d):
+    cut = F.substring("text", 1, 40)
+    return _t(spark, d, "documents").select("doc_id", F.when((F.col("doc_id") % 2 == 1) & ~F.substring("text", 1, 5).contains("*"), F.concat(F.lit("* "), cut)).otherwise(cut).alias("page"))
+
+
+@query("""
+    SELECT s_suppkey, coalesce(n_name, '') AS nation, coalesce(r_name, 'none') AS region FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
+    LEFT JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey IS DISTINCT FROM 3""")
+def catalog_join(spark, d):
+    n, r = F.broadcast(_t(spark, d, "nation")), F.broadcast(_t(spark, d, "region"))
+    joined = _t(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return joined.filter(~F.col("n_nationkey").eqNullSafe(F.lit(3))).select("s_suppkey", F.coalesce("n_name", F.lit("")).alias("nation"), F.coalesce("r_name", F.lit("none")).alias("region"))
+
+
+@query("SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def catalog_missing(spark, d):
+    return _t(spark, d, "customer").select("c_custkey").distinct().join(_t(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
+
+
+@query(f"""
+    SELECT token, n, (token IN (SELECT unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) FROM benchmark))::INT AS is_valid
+    FROM (SELECT token, count(*) AS n FROM {TOKENS} GROUP BY token)""")
+def membership_flag(spark, d):
+    valid = _t(spark, d, "benchmark").select(F.explode(tx.tokens(F.col("text"), tx.LATIN)).alias("token"))
+    return stacks.with_membership(stacks.frequency(_t(spark, d, "documents")), valid)
+
+
+PROBES = ["the", "eau", "ung", "ción", "ß", "zzz"]
+SUPPORT = f"""(SELECT doc_id, source, probe, contains(lower(text), probe) AS ok, length(probe) AS complexity,
+    CASE WHEN contains(lower(text), probe) THEN '' WHEN length(text) < 500 THEN 'short' ELSE 'absent' END AS reason
+    FROM documents, (SELECT unnest({PROBES}) AS probe))"""
+
+
+def _support(spark, d):
+    probes = spark.createDataFrame([(p,) for p in PROBES], "probe string")
+    rows = relations.support_pairs(_t(spark, d, "documents").select("doc_id", "source", "text"), probes)
+    ok = F.lower("text").contains(F.col("probe"))
+    reason = F.when(ok, "").when(F.length("text") < 500, "short").otherwise("absent")
+    return rows.select("doc_id", "source", "probe", ok.alias("ok"), F.length("probe").cast("long").alias("complexity"), reason.alias("reason"))
+
+
+@query(f"SELECT doc_id, source, probe, ok, complexity, reason FROM {SUPPORT}")
+def support_matrix_long(spark, d):
+    return _support(spark, d)
+
+
+@query(f"""
+    WITH s AS (SELECT * FROM {SUPPORT}),
+    r AS (SELECT source, reason, count(*) AS k FROM s WHERE NOT ok GROUP BY ALL)
+    SELECT source, count(*) AS tested, sum(ok::INT) AS passed, sum((NOT ok)::INT) AS failed, coalesce(max(complexity) FILTER (NOT ok), 0) AS max_failed, round(avg(ok::INT), 6) AS ok_rate,
+      (SELECT string_agg(reason || '=' || k, ';' ORDER BY reason) FROM r WHERE r.source = s.source) AS reasons FROM s GROUP BY source""")
+def support_summary(spark, d):
+    found = relations.support_summary(_support(spark, d), ["source"], "ok", "complexity", "reason")
+    return found.withColumn("ok_rate", F.round("ok_rate", 6))
+
+
+@query(f"SELECT probe, max(ok::INT) FILTER (source = 'src0') AS src0, max(ok::INT) FILTER (source = 'src1') AS src1, max(ok::INT) FILTER (source = 'src2') AS src2 FROM {SUPPORT} GROUP BY probe")
+def support_pivot(spark, d):
+    return _support(spark, d).groupBy("probe").pivot("source", ["src0", "src1", "src2"]).agg(F.max(F.col("ok").cast("int")))
+
+
+@query(f"SELECT source, count(DISTINCT token) AS supported FROM {TOKENS} JOIN documents USING (doc_id) GROUP BY source")
+def support_set_size(spark, d):
+    units = _t(spark, d, "documents").select("source", F.explode(F.array_distinct(tx.tokens(F.col("text"), tx.LATIN))).alias("token")).distinct()
+    return units.groupBy("source").agg(F.count("*").alias("supported"))
+
+
+@query("""
+    WITH u AS (SELECT DISTINCT o_orderkey AS item, l_returnflag || l_linestatus || p_size AS unit FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey),
+    h AS (SELECT DISTINCT l_suppkey AS holder, l_returnflag || l_linestatus || p_size AS unit FROM lineitem JOIN part ON p_partkey = l_partkey),
+    need AS (SELECT item, count(*) AS need FROM u GROUP BY item)
+    SELECT item, holder FROM (SELECT item, holder, count(*) AS have FROM u JOIN h USING (unit) GROUP BY ALL) JOIN need USING (item) WHERE have = need""")
+def division_orders(spark, d):
+    lines = _t(spark, d, "lineitem").join(_t(spark, d, "part").select("p_partkey", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+    unit = F.concat("l_returnflag", "l_linestatus", F.col("p_size").cast("string"))
+    rows = lines.select(F.col("l_orderkey").alias("item"), F.col("l_suppkey").alias("holder"), unit.alias("unit"))
+    return relations.supported_by(rows, "item", "unit", rows, "holder")
+
+
+@query("""
+    WITH c AS (SELECT DISTINCT source FROM documents), n AS (SELECT *, row_number() OVER (ORDER BY source) AS r, count(*) OVER () AS n FROM c)
+    SELECT source, (1003 // n + (r <= 1003 % n)::INT)::BIGINT AS quota FROM n""")
+def category_quota(spark, d):
+    return quotas.equal_quotas(_t(spark, d, "documents"), "source", 1003)
+
+
+@query("SELECT source, n, floor(n * .8)::BIGINT AS train, floor(n * .1)::BIGINT AS val, n - floor(n * .8)::BIGINT - floor(n * .1)::BIGINT AS test FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)")
+def split_quota(spark, d):
+    return quotas.split_targets(_t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n")), "n")
+
+
+@query("""
+    WITH c AS (SELECT lang, count(*) AS w FROM documents GROUP BY lang),
+    e AS (SELECT lang, w, floor(997 * w / sum(w) OVER ()) AS whole, 997 * w / sum(w) OVER () - floor(997 * w / sum(w) OVER ()) AS part FROM c),
+    r AS (SELECT *, row_number() OVER (ORDER BY part DESC, w DESC, lang) AS r, 997 - sum(whole) OVER () AS left_ FROM e)
+    SELECT lang, (whole + (r <= left_)::INT)::BIGINT AS share FROM r""")
+def apportion(spark, d):
+    counts = _t(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("w"))
+    return quotas.largest_remainder(counts, "lang", "w", 997)
+
+
+@query("""
+    WITH c AS (SELECT lang, ceil(count(*) / 100)::BIGINT * 100 AS room FROM documents GROUP BY lang),
+    o AS (SELECT lang, coalesce(sum(room) OVER (ORDER BY lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off FROM c)
+    SELECT doc_id, (off + row_number() OVER (PARTITION BY lang ORDER BY source, n_chars DESC, doc_id))::BIGINT AS image_id FROM documents JOIN o USING (lang)""")
+def plan_renumber(spark, d):
+    rows = _t(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    return quotas.renumber(rows, "lang", ["source", F.desc("n_chars"), "doc_id"], 100).select("doc_id", F.col("image_id").cast("long").alias("image_id"))
+
+
+@query("SELECT 'lang' AS grp, lang AS value, count(*) AS n FROM documents GROUP BY lang UNION ALL SELECT 'source', source, count(*) FROM documents GROUP BY source")
+def plan_summary_long(spark, d):
+    return relations.summary_long(_t(spark, d, "documents"), ["lang", "source"])
+
+
+@query("SELECT user_id, string_agg(event_type, '|' ORDER BY n DESC, event_type) AS most_common FROM (SELECT user_id, event_type, count(*) AS n FROM events WHERE coalesce(event_type, '') <> '' GROUP BY ALL) GROUP BY user_id")
+def most_common_join(spark, d):
+    return relations.most_common(_t(spark, d, "events"), "user_id", "event_type")
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def dedupe_last(spark, d):
+    return relations.last_of(_t(spark, d, "events").select("user_id", "event_id", "event_type", "ts"), "user_id", "ts", "event_id").drop("ts")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01')")
+def resume_anti(spark, d):
+    done = _t(spark, d, "lineitem").filter(F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp")).select(F.col("l_orderkey").alias("o_orderkey"))
+    return relations.not_done(_t(spark, d, "orders").select("o_orderkey"), done, "o_orderkey")
+
+
+@query("SELECT DISTINCT id FROM (SELECT unnest(string_split(o_orderpriority || '|' || o_orderstatus, '|')) AS id FROM orders) WHERE id <> ''")
+def completed_ids(spark, d):
+    return relations.done_ids(_t(spark, d, "orders").select(F.concat_ws("|", "o_orderpriority", "o_orderstatus").alias("ids")), "ids")
+
+
+@query("SELECT (l_orderkey - 1) // 1000 + 1 AS volume, count(*) AS pages, count(DISTINCT l_orderkey) AS orders, max(l_linenumber) AS most FROM lineitem GROUP BY 1")
+def volume_rollup(spark, d):
+    return _t(spark, d, "lineitem").groupBy(tx.volume_of(F.col("l_orderkey"), 1000).alias("volume")).agg(F.count("*").alias("pages"), F.countDistinct("l_orderkey").alias("orders"), F.max("l_linenumber").alias("most"))
+
+
+@query("SELECT coalesce(max(o_orderkey), 0) + 1 AS next_id FROM orders")
+def next_id(spark, d):
+    return _t(spark, d, "orders").agg((F.coalesce(F.max("o_orderkey"), F.lit(0)) + 1).alias("next_id"))
+
+
+@query("""
+    SELECT o_custkey, o_orderkey, (n // 4 + 1)::BIGINT AS batch, (n % 4 + 1)::BIGINT AS place_in_batch
+    FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS n FROM orders)""")
+def batch_slices(spark, d):
+    found = relations.batches(_t(spark, d, "orders").select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey", 4)
+    return found.withColumns({c: F.col(c).cast("long") for c in ("batch", "place_in_batch")})
+
+
+@query("""
+    SELECT l_orderkey, bool_or(coalesce(l_quantity > prev, false)) AS rises FROM
+    (SELECT *, lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS prev FROM lineitem) GROUP BY l_orderkey""")
+def adjacent_pairs(spark, d):
+    lines = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity")))
+    boxes = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(lines.alias("b"))
+    return boxes.select("l_orderkey", F.exists(geometry.adjacent(F.col("b")), lambda x: x["c"]["l_quantity"] > x["p"]["l_quantity"]).alias("rises"))
+
+
+@query("SELECT conv_id, string_agg(trim(text), chr(10) ORDER BY turn) AS page FROM conversations GROUP BY conv_id")
+def line_rebuild(spark, d):
+    turns = F.array_sort(F.collect_list(F.struct("turn", F.trim("text").alias("line"))))
+    return _t(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(turns, lambda x: x["line"]), "\n").alias("page"))
+
+
+@query("""
+    SELECT doc_id, quality = 1 AND n_chars >= 1500 AS complex_pass, toxic > 0 AS warning, coalesce(quality = 0 AND toxic = 0, false) AS false_negative,
+      (quality = 1) <> (coalesce(toxic, -1) = 1) AS disagreement FROM documents JOIN labels USING (doc_id)""")
+def audit_filters(spark, d):
+    rows = _t(spark, d, "documents").join(_t(spark, d, "labels"), "doc_id")
+    ok, toxic = F.col("quality") == 1, F.col("toxic")
+    return rows.select("doc_id", (ok & (F.col("n_chars") >= 1500)).alias("complex_pass"), (toxic > 0).alias("warning"), F.coalesce(~ok & (toxic == 0), F.lit(False)).alias("false_negative"), (ok != (F.coalesce(toxic, F.lit(-1)) == 1)).alias("disagreement"))
+
+
+@query("""
+    SELECT source, doc_id, turn FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY sha1('13:' || doc_id), doc_id) AS turn FROM documents) WHERE turn <= 5""")
+def round_robin_sample(spark, d):
+    order = F.sha1(F.concat(F.lit("13:"), F.col("doc_id").cast("string")))
+    rows = relations.round_robin(_t(spark, d, "documents").select("source", "doc_id"), "source", order, F.col("doc_id"))
+    return rows.filter("turn <= 5")
+
+
+@query()
+def shard_nextfit(spark, d):
+    rows = _t(spark, d, "documents").select("doc_id", "lang", F.octet_length("text").cast("long").alias("bytes"))
+    return quotas.next_fit_shards(rows, "lang", "bytes", ["doc_id"], 200_000)
+
+
+@query("SELECT doc_id, octet_length(encode(text)) + coalesce(octet_length(encode(lang)), 1) + coalesce(octet_length(encode(source)), 1) + 32 AS estimate FROM documents")
+def row_bytes(spark, d):
+    return _t(spark, d, "documents").select("doc_id", (tx.row_bytes(F.col("text"), F.col("lang"), F.col("source")) + 32).alias("estimate"))
+
+
+RULES = [("A", "e", "ing", "B"), ("A", "", "ly", "C"), ("B", "", "s", "C"), ("C", "y", "ier", "D"), ("D", "r", "st", "E")]
+STEMS = [("make", "A"), ("bake", "A"), ("late", "A"), ("odd", "C")]
+
+
+@query(f"""
+    WITH RECURSIVE rules(flag, strip, add_, next_flag) AS (VALUES {', '.join(map(str, RULES))}), stems(word, flag) AS (VALUES {', '.join(map(str, STEMS))}),
+    c AS (SELECT word, flag FROM stems UNION SELECT substr(word, 1, length(word) - length(strip)) || add_, next_flag FROM c JOIN rules USING (flag) WHERE ends_with(word, strip))
+    SELECT word, flag FROM c""")
+def closure_suffix(spark, d):
+    rules = spark.createDataFrame(RULES, "flag string, strip string, add string, next_flag string")
+    return closure.suffix_closure(spark.createDataFrame(STEMS, "word string, flag string"), rules)
+
+
+BOX = "gid int, name string, x0 int, ytop int, x1 int, ybot int"
+CASES = [
+    (1, "ཀ", [(1, "ka", 0, 100, 80, 0)]),
+    (2, "ཀྲུ", [(1, "ka", 0, 100, 80, 0), (2, "ra", 0, 0, 80, -50), (3, "u", 10, 20, 70, -40)]),
+    (3, "ཀྲྱ", [(1, "ka", 0, 100, 80, 0), (2, "ra", 0, 10, 80, -50), (3, "ya", 0, -20, 80, -45)]),
+    (4, "ཀྲྱ", [(1, "ka", 0, 100, 80, 0), (2, "ra", 0, 0, 80, -50), (3, "ya", 0, -10, 80, -90)]),
+    (5, "ཀྲ", [(1, "ka", 0, 100, 80, 0), (2, "ra", 200, 60, 280, -30)]),
+    (6, "ཀ", [(0, ".notdef", 0, 100, 80, 0), (9, "uni25CC", 0, 0, 0, 0)]),
+]
+
+
+@query("""SELECT * FROM (VALUES (1, true, ''), (2, false, 'floating_bottom_vowel'), (3, false, 'subscript_containment'), (4, false, 'subscript_overlap'),
+    (5, false, 'subscript_horizontal_misalignment'), (6, false, 'notdef;dotted_circle')) AS t(id, ok, reason)""")
+def geometry_verdicts(spark, d):
+    rows = spark.createDataFrame(CASES, f"id int, text string, boxes array<struct<{BOX}>>")
+    return rows.select("id", geometry.verdict(F.col("text"), F.col("boxes")).alias("v")).select("id", "v.ok", "v.reason")
