@@ -71,7 +71,7 @@ def doc_token_stats(spark, d):
 
 
 @query("""
-    WITH u AS (SELECT doc_id, unnest(list_filter(list_transform(regexp_extract_all(text, '[^.]*[.]|[^.]+$'), x -> trim(x)), x -> length(x) >= 8)) AS unit FROM documents)
+    WITH u AS (SELECT doc_id, unnest(list_filter(list_transform(regexp_extract_all(text, '[^.]*[.]|[^.]+$'), lambda x: regexp_replace(x, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')), lambda x: length(x) >= 8)) AS unit FROM documents)
     SELECT doc_id, unit, count(*) AS n FROM u GROUP BY ALL""")
 def split_units(spark, d):
     units = _t(spark, d, "documents").select("doc_id", F.explode(tx.split_units(F.col("text"))).alias("unit"))
@@ -100,7 +100,7 @@ def stable_ids(spark, d):
 
 
 @query("""
-    SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ''), c -> 'U+' || lpad(upper(to_hex(unicode(c))), 4, '0')), ' ') AS points,
+    SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ''), lambda c: 'U+' || lpad(upper(to_hex(unicode(c))), 4, '0')), ' ') AS points,
       length(regexp_replace(p_name, '[^aeiou]', '', 'g')) AS vowels, length(p_name) AS n FROM part""")
 def codepoint_profile(spark, d):
     name = F.col("p_name")
@@ -114,18 +114,18 @@ def slugs(spark, d):
     return _t(spark, d, "part").select("p_partkey", tx.slug(F.col("p_name")).alias("slug"), tx.tex_escape(F.col("p_type")).alias("tex"))
 
 
-@query("SELECT p_partkey, regexp_replace(regexp_replace(printf('%.3f', p_retailprice / 8), '0+$', ''), '\\.$', '') AS shown FROM part")
+@query("SELECT p_partkey, regexp_replace(regexp_replace(printf('%.3f', p_retailprice), '0+$', ''), '\\.$', '') AS shown FROM part")
 def trimmed_numbers(spark, d):
-    return _t(spark, d, "part").select("p_partkey", tx.trimmed_number(F.col("p_retailprice") / 8).alias("shown"))
+    return _t(spark, d, "part").select("p_partkey", tx.trimmed_number(F.col("p_retailprice")).alias("shown"))
 
 
 @query("""
-    SELECT c_custkey, array_to_string(list_transform(regexp_extract_all(lower(c_name), '[0-9]+|[^0-9]+'), x -> CASE WHEN regexp_matches(x, '^[0-9]') THEN lpad(x, 20, '0') ELSE x END), '') AS sort_key FROM customer""")
+    SELECT c_custkey, array_to_string(list_transform(regexp_extract_all(lower(c_name), '[0-9]+|[^0-9]+'), lambda x: CASE WHEN regexp_matches(x, '^[0-9]') THEN lpad(x, 20, '0') ELSE x END), '') AS sort_key FROM customer""")
 def natural_sort_key(spark, d):
     return _t(spark, d, "customer").select("c_custkey", tx.natural_key(F.col("c_name")).alias("sort_key"))
 
 
-@query("SELECT o_orderkey, (o_orderkey - 1) // 1000 + 1 AS volume, (o_orderkey - 1) % 1000 + 1 AS page FROM orders")
+@query("SELECT o_orderkey, floor((o_orderkey - 1) / 1000.0)::BIGINT + 1 AS volume, (o_orderkey - 1) % 1000 + 1 AS page FROM orders")
 def volume_pages(spark, d):
     k = F.col("o_orderkey")
     return _t(spark, d, "orders").select("o_orderkey", tx.volume_of(k, 1000).alias("volume"), tx.page_of(k, 1000).alias("page"))
@@ -268,7 +268,7 @@ def completed_ids(spark, d):
     return relations.done_ids(_t(spark, d, "orders").select(F.concat_ws("|", "o_orderpriority", "o_orderstatus").alias("ids")), "ids")
 
 
-@query("SELECT (l_orderkey - 1) // 1000 + 1 AS volume, count(*) AS pages, count(DISTINCT l_orderkey) AS orders, max(l_linenumber) AS most FROM lineitem GROUP BY 1")
+@query("SELECT floor((l_orderkey - 1) / 1000.0)::BIGINT + 1 AS volume, count(*) AS pages, count(DISTINCT l_orderkey) AS orders, max(l_linenumber) AS most FROM lineitem GROUP BY 1")
 def volume_rollup(spark, d):
     return _t(spark, d, "lineitem").groupBy(tx.volume_of(F.col("l_orderkey"), 1000).alias("volume")).agg(F.count("*").alias("pages"), F.countDistinct("l_orderkey").alias("orders"), F.max("l_linenumber").alias("most"))
 

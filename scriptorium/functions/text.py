@@ -46,6 +46,10 @@ def code_points(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, ""), lambda c: F.concat(F.lit("U+"), F.lpad(F.hex(F.ascii(c)), 4, "0"))), " ")
 
 
+def strip(text: Column) -> Column:
+    return F.regexp_replace(text, "(?U)^\\s+|\\s+$", "")
+
+
 def clean(text: Column, p: Profile = LATIN) -> Column:
     """Line ends to spaces, page markers out, white space after a syllable mark out, runs to one, ends trimmed."""
     t = F.regexp_replace(text, "\\r\\n?", "\n")
@@ -60,7 +64,7 @@ def split_units(text: Column, p: Profile = LATIN, shortest: int = 8) -> Column:
     """Units cut behind each stop, the tail too, trimmed; short ones dropped."""
     stop = f"[{p.stop}]"
     cut = F.regexp_extract_all(text, F.lit(f"[^{p.stop}]*{stop}|[^{p.stop}]+$"), F.lit(0))
-    return F.filter(F.transform(cut, F.trim), lambda u: F.length(u) >= shortest)
+    return F.filter(F.transform(cut, strip), lambda u: F.length(u) >= shortest)
 
 
 def split_marker_units(text: Column, p: Profile = TIBETAN) -> Column:

@@ -9,9 +9,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Character classes that the rules speak of.
-TOP_MARKS = "\\u0F72\\u0F74\\u0F7A-\\u0F7F\\u0F80-\\u0F83"
+TOP_MARKS = "\\u0F72\\u0F7A-\\u0F7E\\u0F80\\u0F82\\u0F83"
 TOP_DIACRITICS = "\\u0F7E\\u0F82\\u0F83"
-BOTTOM_VOWELS = "\\u0F71\\u0F74\\u0F75"
+BOTTOM_VOWELS = "\\u0F71\\u0F73-\\u0F77\\u0F80\\u0F81"
 LINE_MARKS = "\\u0F35\\u0F37"
 SUBJOINED = "\\u0F90-\\u0FBC"
 

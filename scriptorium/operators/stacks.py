@@ -49,7 +49,7 @@ def difficulty(docs: DataFrame, rare: DataFrame, p: Profile = LATIN, top: int =
         F.avg(F.when(high, 1.0).otherwise(0.0)).alias("kinds"),
     )
     score = F.least(F.lit(1.0), 0.5 * F.col("peak") + 0.3 * F.col("share") + 0.2 * F.col("kinds"))
-    return docs.select("doc_id").join(sums, "doc_id", "left").select("doc_id", F.coalesce(score, F.lit(0.0)).alias("difficulty"))
+    return docs.select("doc_id").join(sums, "doc_id", "left").select("doc_id", F.when(F.col("peak").isNull(), 0.0).otherwise(score).alias("difficulty"))
 
 
 def token_stats(docs: DataFrame, p: Profile = LATIN) -> DataFrame:
