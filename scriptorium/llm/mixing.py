@@ -101,7 +101,7 @@ def mix_sources(docs: DataFrame, membership, id_col: str = "doc_id", text_col: s
     membership: column of an array of source names (a null name is a source of its own). Documents are summed
     by membership pattern; the flow routes each pattern's words to its sources' quotas, first uses before
     repeats; then each pattern's documents are taken whole in the order of a seeded hash while they fit into its flow,
-    and last rounds add the document that fits best into what is left. No document is taken more
+    and last rounds add the document that fits best into what is left (the last one may go over or use one again, if that is nearer). No document is taken more
     than len(REPEAT_COSTS) times. Returns doc_id, pattern, size, source_size, target, taken; source_size and
     target are those of the pattern's first source. Reruns agree: nothing depends on the row order.
 
@@ -132,15 +132,23 @@ def mix_sources(docs: DataFrame, membership, id_col: str = "doc_id", text_col: s
     told = told.withColumn("rest", F.col("flow") - F.col("turns") * F.col("words"))
 
     # Whole documents for the rest of each pattern's flow: seeded prefixes, each among what still fits, then best fits.
-    budget, chosen, free = told.filter(F.col("turns") < len(REPEAT_COSTS)).select("pattern", "rest"), None, sizes.filter("size > 0")
+    budget, chosen, free = told.filter(F.col("turns") < len(REPEAT_COSTS)).select("pattern", "rest", "turns"), None, sizes.filter("size > 0").withColumn("used", F.lit(0))
     for step in range(PREFIX_ROUNDS + FIT_ROUNDS):
-        took = staged(_seeded_prefix(free, budget) if step < PREFIX_ROUNDS else _best_fit(free, budget), "mix-chosen")
+        if step < PREFIX_ROUNDS:
+            took = _seeded_prefix(free, budget)
+        elif step < PREFIX_ROUNDS + FIT_ROUNDS - 1:
+            took = _best_fit(free, budget, over=False)
+        else:
+            again = chosen.withColumn("used", F.lit(1))
+            took = _best_fit(free.select(again.columns).unionByName(again), budget, over=True)
+        took = staged(took, "mix-chosen")
         spent = took.groupBy("pattern").agg(F.sum("size").alias("spent")).alias("s")
         budget = budget.alias("b").join(F.broadcast(spent), F.col("b.pattern").eqNullSafe(F.col("s.pattern")), "left")
-        budget = staged(budget.select("b.pattern", (F.col("rest") - F.coalesce("spent", F.lit(0))).alias("rest")), "mix-budget")
-        chosen = took if chosen is None else chosen.unionByName(took)
+        budget = staged(budget.select("b.pattern", (F.col("rest") - F.coalesce("spent", F.lit(0))).alias("rest"), "turns"), "mix-budget")
+        once = took.distinct()
+        chosen = once if chosen is None else chosen.unionByName(once)
         free = free.join(took.select("doc_id"), "doc_id", "left_anti")
-    extra = chosen.select("doc_id", F.lit(1).alias("extra")).distinct()
+    extra = chosen.groupBy("doc_id").agg(F.count("*").alias("extra"))
     out = sizes.alias("d").join(F.broadcast(told).alias("t"), F.col("d.pattern").eqNullSafe(F.col("t.pattern"))).join(extra, "doc_id", "left")
     times = F.least(F.col("turns") + F.coalesce("extra", F.lit(0)), F.lit(len(REPEAT_COSTS)))
     return out.select("doc_id", "d.pattern", "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"))
@@ -162,20 +170,21 @@ def _seeded_prefix(free: DataFrame, budget: DataFrame) -> DataFrame:
     return placed.join(offsets.alias("o"), same).filter("offset + running <= rest").select("doc_id", "r.pattern", "size")
 
 
-def _best_fit(free: DataFrame, budget: DataFrame) -> DataFrame:
-    """Of each pattern, the largest document within the budget, the smallest id among equals."""
-    fits = F.col("a.pattern").eqNullSafe(F.col("b.pattern")) & (F.col("a.size") <= F.col("b.rest"))
-    rows = free.alias("a").join(F.broadcast(budget).alias("b"), fits).select("a.pattern", "a.size", "a.doc_id")
-    best = rows.groupBy("pattern").agg(F.max("size").alias("size"), F.min_by("doc_id", F.struct(-F.col("size"), "doc_id")).alias("doc_id"))
-    return best.select("doc_id", "pattern", "size")
+def _best_fit(rows: DataFrame, budget: DataFrame, over: bool) -> DataFrame:
+    """Of each pattern, the document whose size comes nearest to the budget, unused ones first, then by id; larger ones only if over is set."""
+    fits = F.col("a.pattern").eqNullSafe(F.col("b.pattern")) & (F.col("a.size") < 2 * F.col("b.rest") if over else F.col("a.size") <= F.col("b.rest"))
+    usable = F.col("a.used") + F.col("b.turns") < len(REPEAT_COSTS)
+    rows = rows.alias("a").join(F.broadcast(budget).alias("b"), fits & usable).select("a.pattern", "a.used", "a.size", "a.doc_id", F.abs(F.col("b.rest") - F.col("a.size")).alias("gap"))
+    best = rows.groupBy("pattern").agg(F.min(F.struct("gap", "used", "doc_id", "size")).alias("x"))
+    return best.select("x.doc_id", "pattern", "x.size")
 
 
 def take_mix(docs: DataFrame, membership, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents that the mix takes, each as many times as it is taken, with all their columns.
 
-    Documents without words carry no weight in a mix and stay once.
+    Documents without words carry no weight in a mix and stay once. Rows without an id can't be told apart and go.
     """
     mix = mix_sources(docs, membership, id_col, **options)
     times = mix.select(F.col("doc_id").alias(id_col), F.when(F.col("size") == 0, F.lit(1)).otherwise((F.col("taken") / F.col("size")).cast("int")).alias("mix_times"))
-    times = times.filter("mix_times > 0").distinct()
-    return docs.join(times, id_col).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times")))).select(docs.columns)
+    times = times.filter("mix_times > 0").distinct().select(id_col, F.explode(F.array_repeat(F.lit(1), F.col("mix_times"))).alias("mix_copy")).select(id_col)
+    return docs.join(times, id_col).select(docs.columns)
