@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .operators import chunks, geometry, relations, stacks
-from .plans import closure, quotas
+from .plans import assignment, closure, layout, numbering, quotas
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -358,3 +358,50 @@ CASES = [
 def geometry_verdicts(spark, d):
     rows = spark.createDataFrame(CASES, f"id int, text string, boxes array<struct<{BOX}>>")
     return rows.select("id", geometry.verdict(F.col("text"), F.col("boxes")).alias("v")).select("id", "v.ok", "v.reason")
+
+
+@query("""
+    WITH a AS (SELECT *, n_chars < 1500 AND lead(doc_id) OVER w IS NOT NULL AS able FROM (SELECT doc_id // 100 AS batch, doc_id, n_chars FROM documents) WINDOW w AS (PARTITION BY batch ORDER BY doc_id)),
+    r AS (SELECT *, sum((NOT able)::INT) OVER (PARTITION BY batch ORDER BY doc_id) AS run FROM a),
+    t AS (SELECT *, able AND sum(able::INT) OVER (PARTITION BY batch, run ORDER BY doc_id) % 2 = 1 AS takes FROM r),
+    f AS (SELECT *, CASE WHEN coalesce(lag(takes) OVER w, false) THEN lag(doc_id) OVER w ELSE doc_id END AS head FROM t WINDOW w AS (PARTITION BY batch ORDER BY doc_id))
+    SELECT batch, head AS doc_id, sum(n_chars)::BIGINT AS n_chars, string_agg(doc_id::VARCHAR, '|' ORDER BY doc_id) AS ids FROM f GROUP BY batch, head""")
+def merge_short_pages(spark, d):
+    docs = _t(spark, d, "documents").select(F.floor(F.col("doc_id") / 100).alias("batch"), "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.col("doc_id").alias("ids"), "text")
+    return layout.merge_short(docs, "batch", "doc_id", F.col("n_chars") < 1500, "text", ["n_chars"], [], ["ids"]).drop("text")
+
+
+@query("""
+    SELECT p_partkey, CASE WHEN n = 1 THEN p_name ELSE p_name || '_' || (n - 1) END AS unique_name
+    FROM (SELECT p_partkey, p_name, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS n FROM part)""")
+def unique_basenames(spark, d):
+    return numbering.unique_names(_t(spark, d, "part"), [], "p_name", ["p_partkey"]).select("p_partkey", "unique_name")
+
+
+def _renderers(spark, d):
+    """Suppliers as renderers: the nation is the category, and the parts that they deliver are the chunks that they support."""
+    pairs = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("renderer"), F.col("l_partkey").alias("chunk")).distinct()
+    fonts = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("renderer"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("category"), F.when(F.col("s_suppkey") % 3 == 0, "ume").otherwise("uchen").alias("script"))
+    sized = fonts.join(pairs.groupBy("renderer").agg(F.count("*").alias("capacity")), "renderer")
+    return pairs, fonts, assignment.assign_splits(sized, "category", "name", "capacity")
+
+
+@query()
+def renderer_splits(spark, d):
+    return _renderers(spark, d)[2]
+
+
+@query()
+def chunk_assignment(spark, d):
+    pairs, fonts, splits = _renderers(spark, d)
+    fonts = fonts.join(splits, "name")
+    # each renderer adds four pages to its cell's quota
+    quotas_ = fonts.groupBy(*assignment.CELL).agg((F.count("*") * 4).alias("quota"))
+    hard = _t(spark, d, "part").select(F.col("p_partkey").alias("chunk"), F.col("p_retailprice").cast("double").alias("difficulty"))
+    return assignment.assign_chunks(fonts, pairs.join(hard, "chunk"), quotas_, reusable=200)
+
+
+@query()
+def random_pages(spark, d):
+    units = _t(spark, d, "documents").select(F.explode(tx.split_units(F.col("text"))).alias("unit")).filter(F.length("unit").between(20, 220))
+    return layout.random_pages(_t(spark, d, "supplier").select("s_suppkey"), units, "s_suppkey", "unit")
