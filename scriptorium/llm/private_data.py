@@ -20,8 +20,8 @@ OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = r"\p{L}{3,}"
 #: Code points on either side of a span that are its context.
 CONTEXT = 100
-#: Fewest distinct texts in which a term stands near an entity.
-SUPPORT = 3
+#: Texts by which the corpus-wide share of an entity weighs in on a term's own counts, so that small counts tell less.
+PRIOR_TEXTS = 1.0
 #: Share of the entity's information that a term must give to be generalised, and to be removed.
 GENERALISE, REMOVE = 0.8, 0.95
 TERM_KIND = "term"
@@ -96,10 +96,11 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     base: the patterns' matches that pass their test, all kinds. terms: words in a base span's context that reveal its entity:
     over distinct texts, c(t, e) counts those with term t in a context of entity e, c(t) and c(e) those with each, N all.
     The disclosure of e by t is its pointwise mutual information over the information of e,
-    log2(c(t, e) N / (c(t) c(e))) / log2(N / c(e)); with at least SUPPORT joint texts, terms from GENERALISE on
-    are generalised and from REMOVE on removed. A document without base spans has no term spans.
+    log2(P N / c(e)) / log2(N / c(e)), where P = (c(t, e) + m c(e) / N) / (c(t) + m), m = PRIOR_TEXTS, estimates how many texts with t
+    have e: small counts are drawn to the corpus' share, none is left out. Terms from GENERALISE on are generalised and from
+    REMOVE on removed. A document without base spans has no term spans.
 
-    Texts are read twice and never shuffled; c(t) is counted for terms with enough support only. Null counts as empty. Copies count
+    Texts are read twice and never shuffled; c(t) is counted for terms near an entity only. Null counts as empty. Copies count
     once in the statistics. Repeated rows repeat, other columns are ignored, an empty table gives none.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -109,14 +110,15 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = staged(found, "private-spans")
 
     near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.*")
-    joint = near.select("text_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("c_te")).filter(F.col("c_te") >= SUPPORT)
+    joint = near.select("text_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("c_te"))
     joint = staged(joint, "private-joint")
     entities = found.select("text_key", F.explode("spans.entity").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("c_e"))
     wanted = staged(joint.select("term").distinct(), "private-terms")
     words = rows.select("text_key", F.explode(F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(0)))).alias("term"))
     terms = words.join(small(wanted), "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("c_t"))
     every = found.select(F.count_distinct("text_key").alias("n")).first()["n"] or 1
-    pmi = F.log2(F.col("c_te") * F.lit(float(every)) / (F.col("c_t") * F.col("c_e")))
+    share = F.col("c_e") / F.lit(float(every))
+    pmi = F.log2((F.col("c_te") + PRIOR_TEXTS * share) / (F.col("c_t") + PRIOR_TEXTS) / share)
     known = F.log2(F.lit(float(every)) / F.col("c_e"))
     told = joint.join(entities, "entity").join(terms, "term").withColumn("disclosure", F.when(known > 0, pmi / known).otherwise(0.0))
     told = told.filter(F.col("disclosure") >= GENERALISE).select("entity", "term", F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise").alias("action"))

@@ -92,6 +92,18 @@ def test_revealing_terms(spark):
     assert clean[100] == rows[5][1]
 
 
+def test_terms_of_a_rare_entity(spark):
+    """An address that stands in one text is revealed by the name beside it; two texts tell more than one."""
+    rows = [(0, "the office writes that zorblax has bob@example.org here")]
+    rows += [(i, f"the office writes that quuxly has ann@example.org here and more of {i}") for i in (1, 2)]
+    rows += [(100 + i, f"the office writes that nobody has more of {i} here and there") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["terms"] for r in private_data.find_spans(docs).collect()}
+    for i, text in rows:
+        terms = {text[t["start"] : t["end"]] for t in found[i]}
+        assert terms == ({"zorblax"} if i == 0 else {"quuxly"} if i < 3 else set())
+
+
 def test_private_edges(edges, no_rows):
     rows = private_data.span_digests(private_data.find_spans(edges)).collect()
     assert len(rows) == len(EDGES) and {r["spans"] for r in rows} == {""}
