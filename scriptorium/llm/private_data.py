@@ -1,4 +1,4 @@
-"""Personal data: spans by pattern, and terms near them that reveal them by corpus co-occurrence. Column expressions only."""
+"""Personal data: spans by pattern, and terms that reveal them by corpus co-occurrence. Column expressions only."""
 
 from __future__ import annotations
 
@@ -16,10 +16,13 @@ KINDS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-#: A term: a run of letters. Shorter ones reveal nothing.
-TERM = r"\p{L}{3,}"
-#: Code points on either side of a span that are its context.
-CONTEXT = 100
+#: Blocks of scripts that put no space between words: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
+UNSPACED = r"\x{E00}-\x{109F}\x{1780}-\x{17FF}\x{3005}-\x{3007}\x{3040}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{A9E0}-\x{A9FF}\x{AA60}-\x{AA7F}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}"
+#: A term: a run of at least two letters, marks, digits or low lines; in unspaced scripts each two neighbours of a run.
+WORD_CHAR = rf"[A-Za-z0-9_[\p{{L}}\p{{M}}\p{{Nd}}&&[^{UNSPACED}]]]"
+WORDS = rf"{WORD_CHAR}{{2,}}+"
+RUNS = rf"[{UNSPACED}&&[\p{{L}}\p{{M}}]]{{2,}}+"
+PAIRS = rf"(?=([{UNSPACED}&&[\p{{L}}\p{{M}}]]{{2}}))"
 #: Texts by which the corpus-wide share of an entity weighs in on a term's own counts, so that small counts tell less.
 PRIOR_TEXTS = 1.0
 #: Share of the entity's information that a term must give to be generalised, and to be removed.
@@ -76,57 +79,118 @@ def _spans_of(kind: str, text: Column) -> Column:
     return F.transform(ok, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit(f"{kind}:"), spelled(s["value"])).alias("entity")))
 
 
-def _near_terms(text: Column, spans: Column) -> Column:
-    """array<struct<entity, term, start, end>>: the terms in each span's context that lie in no span themselves."""
+def masked(text: Column, spans: Column) -> Column:
+    """The text with a space for each code point of a span."""
+    blank = lambda acc, s: F.overlay(acc, F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")), (s["start"] + 1).cast("int"))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, text, blank)).otherwise(text)
 
-    def of_span(s):
-        begin = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        context = F.substring(text, (begin + 1).cast("int"), (s["end"] - begin + CONTEXT).cast("int"))
-        whole = lambda t: ((t["start"] > 0) | (begin == 0)) & ((t["end"] < F.length(context)) | (begin + t["end"] == F.length(text)))  # noqa: E731  not cut off at the context's ends
-        inside = lambda t: F.exists(spans, lambda o: (o["start"] < begin + t["end"]) & (o["end"] > begin + t["start"]))
-        terms = F.filter(located(context, TERM), lambda t: whole(t) & ~inside(t))
-        return F.transform(terms, lambda t: F.struct(s["entity"].alias("entity"), ascii_lower(t["value"]).alias("term"), (begin + t["start"]).alias("start"), (begin + t["end"]).alias("end")))
 
-    return F.flatten(F.transform(spans, of_span))
+def terms_of(text: Column) -> Column:
+    """The distinct terms of a text."""
+    words, pairs = F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)), F.regexp_extract_all(text, F.lit(PAIRS), F.lit(1))
+    words = F.transform(F.array_distinct(words), ascii_lower)
+    return F.array_distinct(F.when(text.rlike(f"[{UNSPACED}]"), F.concat(words, pairs)).otherwise(words))
+
+
+def _marked(text: Column, told: Column) -> Column:
+    """array<struct<start, end, action>> of the occurrences of the terms of the map told (term to action), by start; those that overlap are one."""
+    kind = "array<struct<start:bigint,end:bigint,action:string>>"
+    empty = F.array().cast(kind)
+    place = lambda start, end, action: F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), action.alias("action"))
+
+    def occurrences(pattern, hits_of):
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        pairs = F.zip_with(F.split(text, F.lit(pattern), -1), found, lambda gap, value: F.struct(F.coalesce(F.length(gap), F.lit(0)).cast("long").alias("gap"), F.coalesce(F.length(value), F.lit(0)).alias("size"), hits_of(value).alias("hits")))
+
+        def step(state, pair):
+            start = state["upto"] + pair["gap"]
+            hits = F.transform(pair["hits"], lambda h: place(start + h["start"], start + h["end"], h["action"]))
+            return F.struct((start + pair["size"]).alias("upto"), F.when(pair["hits"].isNotNull(), F.concat(state["out"], hits)).otherwise(state["out"]).alias("out"))
+
+        return F.aggregate(pairs, F.struct(F.lit(0).cast("long").alias("upto"), empty.alias("out")), step, lambda state: state["out"])
+
+    def of_word(value):
+        word = F.array(place(F.lit(0), F.length(value), told[ascii_lower(value)]))
+        return F.when(value.isNotNull(), word)
+
+    def of_run(value):
+        letters = F.split(value, "")
+        one = F.slice(letters, F.lit(1), F.size(letters) - 1)
+        two = F.slice(letters, F.lit(2), F.size(letters) - 1)
+        every = F.transform(F.zip_with(one, two, lambda a, b: told[F.concat(a, b)]), lambda action, i: place(i, i + 2, action))
+        return F.when(value.isNotNull(), F.filter(every, lambda s: s["action"].isNotNull()))
+
+    def merge(out, s):
+        last = F.element_at(out, -1)
+        with_last = (F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] > s["start"])
+        longer = place(last["start"], F.greatest(last["end"], s["end"]), F.greatest(last["action"], s["action"]))
+        return F.when(with_last, F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(longer))).otherwise(F.concat(out, F.array(s)))
+
+    # a regular expression of the row's own few terms finds them far faster than a look at each word
+    paired = lambda t: t.rlike(f"[{UNSPACED}]")
+    spaced = F.filter(F.map_keys(told), lambda t: ~paired(t))
+    one_of = F.concat(F.lit(f"(?<!{WORD_CHAR})(?i:"), F.array_join(spaced, "|"), F.lit(f")(?!{WORD_CHAR})"))
+    words = F.when(F.size(spaced) > 0, occurrences(one_of, of_word)).otherwise(empty)
+    runs = F.when(F.exists(F.map_keys(told), paired), F.aggregate(occurrences(RUNS, of_run), empty, merge)).otherwise(empty)
+    return F.sort_array(F.concat(words, runs))
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, base and terms of every whole text: arrays of struct<kind, start, end> and struct<start, end, action>.
 
-    base: the patterns' matches that pass their test, all kinds. terms: words in a base span's context that reveal its entity:
-    over distinct texts, c(t, e) counts those with term t in a context of entity e, c(t) and c(e) those with each, N all.
-    The disclosure of e by t is its pointwise mutual information over the information of e,
-    log2(P N / c(e)) / log2(N / c(e)), where P = (c(t, e) + m c(e) / N) / (c(t) + m), m = PRIOR_TEXTS, estimates how many texts with t
-    have e: small counts are drawn to the corpus' share, none is left out. Terms from GENERALISE on are generalised and from
-    REMOVE on removed. A document without base spans has no term spans.
+    base: the patterns' matches that pass their test, all kinds. terms: words outside of base spans that reveal an entity,
+    wherever they stand in any text, one without the entity too: over distinct texts, c(t, e) counts those that have term t and
+    entity e, c(t) and c(e) those with each, N all. The disclosure of e by t is its pointwise mutual information over the
+    information of e, log2(P N / c(e)) / log2(N / c(e)), where P = (c(t, e) + m c(e) / N) / (c(t) + m), m = PRIOR_TEXTS, estimates
+    how many texts with t have e: small counts are drawn to the corpus' share, none is left out. Terms from GENERALISE on
+    are generalised and from REMOVE on removed.
 
-    Texts are read twice and never shuffled; c(t) is counted for terms near an entity only. Null counts as empty. Copies count
-    once in the statistics. Repeated rows repeat, other columns are ignored, an empty table gives none.
+    Entities that stand in the same texts have the same disclosures and are counted as one; pairs that can't reach GENERALISE with
+    any c(t, e) are not made. Null counts as empty. Copies count once in the statistics. Repeated rows repeat, other
+    columns are ignored, an empty table gives none.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     found = rows.withColumn("spans", base_spans(F.col("text")))
-    found = found.select("doc_id", "text_key", "spans", _near_terms(F.col("text"), F.col("spans")).alias("near"))
+    found = found.select("doc_id", "text_key", "spans", terms_of(masked(F.col("text"), F.col("spans"))).alias("words"))
     found = staged(found, "private-spans")
 
-    near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.*")
-    joint = near.select("text_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("c_te"))
-    joint = staged(joint, "private-joint")
-    entities = found.select("text_key", F.explode("spans.entity").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("c_e"))
-    wanted = staged(joint.select("term").distinct(), "private-terms")
-    words = rows.select("text_key", F.explode(F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(0)))).alias("term"))
-    terms = words.join(small(wanted), "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("c_t"))
-    every = found.select(F.count_distinct("text_key").alias("n")).first()["n"] or 1
-    share = F.col("c_e") / F.lit(float(every))
-    pmi = F.log2((F.col("c_te") + PRIOR_TEXTS * share) / (F.col("c_t") + PRIOR_TEXTS) / share)
-    known = F.log2(F.lit(float(every)) / F.col("c_e"))
-    told = joint.join(entities, "entity").join(terms, "term").withColumn("disclosure", F.when(known > 0, pmi / known).otherwise(0.0))
-    told = told.filter(F.col("disclosure") >= GENERALISE).select("entity", "term", F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise").alias("action"))
-
-    hit = near.join(told, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max("action").alias("action"))
-    hit = hit.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "action"))).alias("terms"))
-    hit = hit.withColumnsRenamed({"doc_id": "hit_id", "text_key": "hit_key"})
-    out = found.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key")), "left")
+    keys = staged(found.groupBy("text_key").agg(F.count("*").alias("n")), "private-texts")
+    every = float(keys.count() or 1)
+    # of a text that stands once only the number goes on; copies keep their key until they count once
+    copies = keys.filter("n > 1").select("text_key", F.col("text_key").alias("copy_key"))
+    words = found.select("text_key", "words").join(small(copies), "text_key", "left").select(F.explode("words").alias("term"), "copy_key")
+    counts = words.groupBy("term", "copy_key").agg(F.count("*").alias("n")).groupBy("term").agg(F.sum(F.when(F.col("copy_key").isNull(), F.col("n")).otherwise(1)).alias("c_t"))
+
+    held = staged(found.filter(F.size("spans") > 0).select("text_key", F.explode("spans.entity").alias("entity")).distinct(), "private-held")
+    entities = held.groupBy("entity").agg(F.count("*").alias("c_e"), F.bit_xor(F.xxhash64(F.lit(1), "text_key")).alias("x"), F.bit_xor(F.xxhash64(F.lit(2), "text_key")).alias("y"))
+    groups = staged(held.join(small(staged(entities, "private-entities")), "entity").select("text_key", "c_e", "x", "y").distinct(), "private-groups")
+    most = groups.agg(F.max("c_e")).first()[0] or 0
+
+    def disclosure(c_te, c_t, c_e):
+        share = c_e / F.lit(every)
+        pmi = F.log2((c_te + PRIOR_TEXTS * share) / (c_t + PRIOR_TEXTS) / share)
+        return F.when(share < 1, pmi / -F.log2(share)).otherwise(0.0)
+
+    # what can't reach GENERALISE with the largest c(t, e) that there can be; at a given c(t) that grows with c(e) up to c(t)
+    def may(c_t, c_e):
+        return disclosure(F.least(c_t, c_e), c_t, c_e) >= GENERALISE - 1e-9
+
+    c_t, c_e = F.col("c_t"), F.col("c_e")
+    rare = staged(counts.filter((c_t <= most) | may(c_t, F.lit(most))), "private-counts")
+    beside = found.filter(F.size("spans") > 0).select("text_key", F.explode("words").alias("term")).distinct().join(small(rare), "term")
+    groups = groups.withColumnRenamed("text_key", "group_key")
+    pairs = beside.join(small(groups), (F.col("text_key") == F.col("group_key")) & may(c_t, c_e))
+    joint = pairs.groupBy("x", "y", "term").agg(F.count("*").alias("c_te"), F.first("c_t").alias("c_t"), F.first("c_e").alias("c_e"))
+    told = joint.groupBy("term").agg(F.max(disclosure(F.col("c_te"), c_t, c_e)).alias("most")).filter(F.col("most") >= GENERALISE)
+    told = staged(told.select("term", F.when(F.col("most") >= REMOVE, "remove").otherwise("generalise").alias("action")), "private-told")
+
+    hit = found.select("text_key", F.explode("words").alias("term")).join(small(told), "term").groupBy("text_key")
+    hit = staged(hit.agg(F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("told")), "private-hits")
+    clear = masked(F.col("text"), base_spans(F.col("text"))).alias("text")
+    marked = rows.join(small(hit), "text_key").select("text_key", clear, "told").select("text_key", _marked(F.col("text"), F.col("told")).alias("terms"))
+    marked = staged(marked.groupBy("text_key").agg(F.first("terms").alias("terms")), "private-marked")
+    out = found.join(small(marked), "text_key", "left")
     none = F.array().cast("array<struct<start:bigint,end:bigint,action:string>>")
     base = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return out.select("doc_id", base.alias("base"), F.coalesce("terms", none).alias("terms"))

@@ -104,6 +104,26 @@ def test_terms_of_a_rare_entity(spark):
         assert terms == ({"zorblax"} if i == 0 else {"quuxly"} if i < 3 else set())
 
 
+def test_terms_stand_anywhere(spark):
+    """Far from the address, again in its text, in texts without it, with digits, of two letters, and in an unspaced script."""
+    far = "the office writes here and more of it " * 10
+    names = ["zorb_42", "qo", "張大明"]
+    rows = [(i, f"ann@example.org {far} {name} {far} x{name}x {name}") for i, name in enumerate(names)]
+    rows += [(10 + i, f"{far} {name} {far}") for i, name in enumerate(names)]
+    rows += [(100 + i, f"{far} {i}") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in private_data.find_spans(docs).collect():
+        text = dict(rows)[r["doc_id"]]
+        found = [text[t["start"] : t["end"]] for t in r["terms"]]
+        i = r["doc_id"]
+        if i >= 100:
+            assert found == []
+        elif i >= 10:
+            assert found == [names[i - 10]]
+        else:
+            assert found == ([names[i]] * 3 if i == 2 else [names[i], f"x{names[i]}x", names[i]])
+
+
 def test_private_edges(edges, no_rows):
     rows = private_data.span_digests(private_data.find_spans(edges)).collect()
     assert len(rows) == len(EDGES) and {r["spans"] for r in rows} == {""}
