@@ -188,7 +188,11 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int, id_col: st
         for at in range(0, len(of_block), TOGETHER):
             part = of_block.iloc[at : at + TOGETHER]
             q = np.stack(part["query"].to_numpy()).astype(np.float32)
-            found, _ = beam_search(lifted, graph, np.concatenate([q, np.zeros((len(q), 1), np.float32)], 1), SEARCH_BEAM, WIDTH)
+            beam = max(SEARCH_BEAM, 2 * k + 2)
+            if len(x) <= beam:  # all nodes are scored
+                found = np.tile(np.arange(len(x)), (len(q), 1))
+            else:
+                found, _ = beam_search(lifted, graph, np.concatenate([q, np.zeros((len(q), 1), np.float32)], 1), beam, WIDTH)
             for query_id, vector, near in zip(part["query_id"].to_numpy(), q.astype(np.float64), found):
                 near = near[near >= 0]
                 score = (wide[near] * vector).sum(1)

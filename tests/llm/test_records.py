@@ -53,6 +53,14 @@ def test_neighbours_over_shards(spark, monkeypatch):
     assert np.mean([len(found[q] & set(expected[q])) / 20 for q in expected]) >= 0.9
 
 
+def test_more_neighbours_than_the_usual_beam(spark):
+    rng = np.random.default_rng(5)
+    vectors = {i: [float(x) for x in rng.normal(size=8).astype(np.float32)] for i in range(250)}
+    frame = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<float>")
+    found = nearest.nearest_neighbours(frame, frame.filter("vec_id = 0"), k=200).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == exact_neighbours(vectors, [0], 200)[0]
+
+
 def test_neighbour_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]), (20, [1.0, 1.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (6, [1.0, 1.0]), (None, [1.0, 1.0])]
