@@ -66,6 +66,8 @@ class Vocabulary:
         self.of_char = chars
         self.inner = [self.ids.get(c) for c in chars]
         self.final = [self.ids.get(c + self.suffix) for c in chars]
+        if None in self.inner or None in self.final:
+            raise ValueError("the vocabulary lacks the symbol of a byte")
         self.bytes_of = {c: i for i, c in enumerate(chars)}
         self.lower = self.nfc = False
         pre = spec["pre_tokenizer"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,6 +15,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: Most rows of keys that a join may broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Rows that a key must meet to be joined apart from the others.
+HOT_ROWS = 1_000
+#: Bytes of text that a Python function gets at once (one longer text goes alone).
+SLICE_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,17 +31,26 @@ def ascii_lower(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder that all executors see; a temporary one is set only where none is, as in tests."""
+    """The checkpoint folder that all executors see. Only a session of one process gets a temporary one where none is set, as in tests."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scriptorium-"))
+        told = spark.conf.get("spark.checkpoint.dir", None)
+        if told is None and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(told or tempfile.mkdtemp(prefix="scriptorium-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def clear_staged(spark: SparkSession) -> None:
+    """Deletes what the session has staged so far. Frames that weren't written out before can't be read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/staged")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(frame: DataFrame, label: str) -> DataFrame:
     """Writes the rows to the shared folder and reads them back: a cut of lineage that outlives executors."""
     spark = frame.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
@@ -46,8 +60,34 @@ def small(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else keys
 
 
+def join_counted(rows: DataFrame, keys: DataFrame, on: list[str], count: str, how: str = "inner") -> DataFrame:
+    """rows joined with keys, which are unique by on; the column count of keys says how many rows each one meets.
+
+    Keys that meet more than HOT_ROWS are at most a HOT_ROWS-th as many as rows. They are broadcast after a count, so that no
+    task gets all rows of a hot key; the other keys join by shuffle. Both frames should be cheap to read again (staged).
+    """
+    hot = small(staged(keys.filter(F.col(count) > HOT_ROWS), "hot-keys"))
+    rest = rows.join(hot.select(*on), on, "left_anti").join(keys.filter(F.col(count) <= HOT_ROWS), on, how)
+    return rows.join(hot, on).unionByName(rest)
+
+
+def text_slices(batch, column: int):
+    """An Arrow batch in parts of about SLICE_BYTES of a column of texts (or lists of numbers), so that Python never holds a whole batch of objects."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lengths = pc.list_value_length if pa.types.is_list(batch.column(column).type) else pc.binary_length
+    size = pc.fill_null(lengths(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(size)]
+    for at, end in zip(cuts, cuts[1:]):
+        if end > at:
+            yield batch.slice(at, end - at)
+
+
 def map_texts(frame: DataFrame, id_col: str, text_col: str, schema: str, function) -> DataFrame:
-    """Applies function(list of texts) -> dict of columns to Arrow batches; the id goes through untouched.
+    """Applies function(list of texts) -> dict of columns to slices of Arrow batches; the id goes through untouched.
 
     The columns that function returns, and their types, are those of schema (a DDL string without the id).
     """
@@ -60,8 +100,9 @@ def map_texts(frame: DataFrame, id_col: str, text_col: str, schema: str, functio
 
     def batches(source):
         for batch in source:
-            found = function(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(_arrow(pa, found[n], own[n].dataType.simpleString()) for n in names)], names=["doc_id", *names])
+            for part in text_slices(batch, 1):
+                found = function(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), *(_arrow(pa, found[n], own[n].dataType.simpleString()) for n in names)], names=["doc_id", *names])
 
     out = StructType([StructField("doc_id", id_type), *own.fields])
     return frame.select(F.col(id_col), F.col(text_col)).mapInArrow(batches, out)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, small, staged
+from .common import join_counted, map_texts, small, staged
 from .components import connected_components
 
 #: Bands and hashes in each: a pair of similarity 0.8 shares no band with probability (1 - 0.8**6)**36 < 2e-5.
@@ -76,16 +76,16 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, set_key, sig (16 bits a hash), bands."""
+    """doc_id, n_shingles, set_key, sig (16 bits a hash), bands and their bytes."""
 
     def sign(texts):
-        out = {"n_shingles": [], "set_key": [], "sig": [], "bands": []}
+        out = {"n_shingles": [], "set_key": [], "sig": [], "bands": [], "band_bytes": []}
         salt = _mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
         for text in texts:
             own = shingle_set(text, words)
             out["n_shingles"].append(len(own))
             if not len(own):
-                for k in ("set_key", "sig", "bands"):
+                for k in ("set_key", "sig", "bands", "band_bytes"):
                     out[k].append(None)
                 continue
             sig = signature(own)
@@ -95,9 +95,10 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
             out["set_key"].append(xxhash.xxh3_128_hexdigest(own.tobytes()))
             out["sig"].append(sig.astype(np.uint16).tobytes())
             out["bands"].append(key.view(np.int64))
+            out["band_bytes"].append(key.tobytes())
         return out
 
-    return map_texts(docs, "doc_id", "text", "n_shingles long, set_key string, sig binary, bands array<long>", sign)
+    return map_texts(docs, "doc_id", "text", "n_shingles long, set_key string, sig binary, bands array<long>, band_bytes binary", sign)
 
 
 @lru_cache(maxsize=8)
@@ -182,54 +183,56 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     return both.select("a", "b", "set_a", "set_b").mapInArrow(batches, pairs.select("a", "b").schema)
 
 
-def _first_band(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return (x.reshape(-1, BANDS, BAND_HASHES) == y.reshape(-1, BANDS, BAND_HASHES)).all(2).argmax(1)
+def _others(labelled: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Confirmed links between members of a bucket that don't hang together yet: labelled has key, band, n, center, rep, label.
 
-
-def _others(members: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Confirmed links between members of a bucket that don't hang together yet: members has key, band, n, center, rep, label.
-
-    A bucket larger than BLOCK is dealt by hash into blocks, and each pair of blocks is a group of its own, so no
-    task holds a whole bucket. A pair is compared in the first band that it shares only. Pairs are never rows: a group
-    hands on the members of its surviving pairs, once each, and the list of pairs with one of them; these meet
-    their full sets in a second grouping.
+    Pairs of one label could not change the result, so only the members outside of their bucket's commonest label (minor ones) meet the
+    others: an unsettled member costs one row per member, not a row per pair. Both sides are dealt by hash into blocks, and each pair
+    of blocks is a group of its own, so no task holds a whole bucket. A pair is compared in the first band that it shares only. Pairs
+    are never rows: a group hands on the members of its surviving pairs, once each, and the list of pairs with one of them; these
+    meet their full sets in a second grouping.
     """
     import pandas as pd
 
+    borne = labelled.groupBy("band", "key", "label").agg(F.count("*").alias("many"), F.first("n").alias("n"))
+    tops = borne.groupBy("band", "key").agg(F.max(F.struct("many", "label")).alias("top"), F.first("n").alias("n")).filter("top.many < n")
+    tops = staged(tops.select("band", "key", F.col("top.label").alias("top"), (F.col("n") - F.col("top.many")).alias("minor"), F.col("n").alias("met")), "near-tops")
+    members = staged(join_counted(labelled, tops, ["band", "key"], "met"), "near-open")
     groups = max(1, members.count() // GROUP_ROWS)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    first, second = F.least("own", "other"), F.greatest("own", "other")
-    whole = F.col("blocks") == 1
-    group = F.when(whole, F.pmod(F.xxhash64("key"), F.lit(groups))).otherwise(F.xxhash64("key", first, second))
-    part = F.xxhash64("key", "band", first, second)
-    dealt = dealt.select(whole.alias("whole"), group.alias("group"), part.alias("part"), "band", "rep", "label", (F.col("rep") == F.col("center")).alias("tried"), (F.col("own") == first).alias("in_first"), (F.col("own") == second).alias("in_second"))
-    signed = dealt.join(reps.select(F.col("doc_id").alias("rep"), "sig", "n_shingles"), "rep")
+    wide, tall = F.ceil(F.col("met") / BLOCK).cast("int"), F.ceil(F.col("minor") / BLOCK).cast("int")
+    in_block = lambda salt, of: F.pmod(F.xxhash64(F.lit(salt), "rep"), of).cast("int")
+    first = members.filter("label != top").select("*", in_block(1, tall).alias("x"), F.explode(F.sequence(F.lit(0), wide - 1)).alias("y"), F.lit(True).alias("minor_side"))
+    second = members.select("*", F.explode(F.sequence(F.lit(0), tall - 1)).alias("x"), in_block(2, wide).alias("y"), F.lit(False).alias("minor_side"))
+    dealt = first.unionByName(second)
+    whole = F.col("met") <= BLOCK
+    group = F.when(whole, F.pmod(F.xxhash64("key"), F.lit(groups))).otherwise(F.xxhash64("key", "x", "y"))
+    part = F.xxhash64("key", "band", "x", "y")
+    dealt = dealt.select(whole.alias("whole"), group.alias("group"), part.alias("part"), "band", "rep", "label", (F.col("label") != F.col("top")).alias("is_minor"), (F.col("rep") == F.col("center")).alias("tried"), "minor_side")
+    signed = dealt.join(reps.select(F.col("doc_id").alias("rep"), "sig", "band_bytes", "n_shingles"), "rep")
 
     def compare(pdf):
         out = []
         for part, g in pdf.groupby("part", sort=False):
-            sig, label, size, rep, tried = _signatures(g["sig"]), g["label"].to_numpy(), g["n_shingles"].to_numpy(), g["rep"].to_numpy(), g["tried"].to_numpy()
-            rows, cols = np.flatnonzero(g["in_first"].to_numpy()), np.flatnonzero(g["in_second"].to_numpy())
-            same, band, found = np.array_equal(rows, cols), g["band"].iloc[0], []
+            sig, bands = _signatures(g["sig"]), np.frombuffer(b"".join(g["band_bytes"]), np.uint64).reshape(-1, BANDS)
+            label, size, rep, tried, minor = (g[c].to_numpy() for c in ("label", "n_shingles", "rep", "tried", "is_minor"))
+            side = g["minor_side"].to_numpy()
+            rows, cols, band, found = np.flatnonzero(side), np.flatnonzero(~side), g["band"].iloc[0], []
             for at in range(0, len(rows), 256):
                 r = rows[at : at + 256]
                 open_ = (label[r][:, None] != label[cols][None, :]) & ~tried[r][:, None] & ~tried[cols][None, :]
                 open_ &= 100 * np.minimum(size[r][:, None], size[cols][None, :]) >= percent * np.maximum(size[r][:, None], size[cols][None, :])
-                if same:
-                    open_ &= rep[r][:, None] < rep[cols][None, :]
+                open_ &= ~minor[cols][None, :] | (rep[r][:, None] < rep[cols][None, :])  # two minor ones meet twice
                 x, y = np.nonzero(open_)
                 for cut in range(0, len(x), 50_000):
                     px, py = r[x[cut : cut + 50_000]], cols[y[cut : cut + 50_000]]
                     on = bayes_survivors(sig[px], sig[py], percent)
-                    on = on[_first_band(sig[px[on]], sig[py[on]]) == band] if len(on) else on
-                    found.append(np.stack([px[on], py[on]], 1))
-            pairs = np.concatenate(found) if found else np.zeros((0, 2), int)
+                    on = on[(bands[px[on]] == bands[py[on]]).argmax(1) == band] if len(on) else on
+                    found.append(np.stack([rep[px[on]], rep[py[on]]], 1))
+            pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
             used = np.unique(pairs)
             if len(used):
                 listed = np.searchsorted(used, pairs).astype(np.int32).tobytes()
-                out.append(pd.DataFrame({"part": part, "place": np.arange(len(used)), "rep": rep[used], "pairs": [listed] + [None] * (len(used) - 1)}))
+                out.append(pd.DataFrame({"part": part, "place": np.arange(len(used)), "rep": used, "pairs": [listed] + [None] * (len(used) - 1)}))
         return pd.concat(out) if out else pd.DataFrame({"part": [], "place": [], "rep": [], "pairs": []})
 
     kept = staged(signed.groupBy("whole", "group").applyInPandas(compare, "part long, place int, rep long, pairs binary"), "near-others")
@@ -260,38 +263,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pair is given up once the posterior probability of reaching the threshold is below MISS), then on the full
     sets of 64-bit hashes. Then the members of a bucket that the links found so far don't hold together are compared
     block by block, verified the same way; pairs already in one component could not change the result and
-    are skipped. Components by joins. No candidate or partner is capped.
+    are skipped. Components by joins. No candidate or partner is capped. Classes and buckets that very many rows are in
+    meet their rows by broadcast.
 
-    Ids are long and unique; a row that repeats id and text repeats its result. Null, empty and wordless texts have an empty
-    set, are linked with nothing and kept. Texts shorter than a shingle are one shingle. Other columns are ignored; an empty
-    table gives no rows.
+    Ids are long; a row that repeats id and text repeats its result. A row without an id takes part in nothing: it gets its
+    n_shingles, no component_id, and is kept. Null, empty and wordless texts have an empty set, are linked with nothing and kept. Texts
+    shorter than a shingle are one shingle. Of documents in one component the smallest id is kept. Other columns are ignored; an
+    empty table gives no rows.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = staged(_signed(docs, words), "near-signed")
-    sets = signed.filter("n_shingles > 0")
-    classes = sets.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    reps = staged(sets.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi").dropDuplicates(["doc_id"]), "near-reps")
-    banded = reps.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "key"))
-    shared = banded.groupBy("band", "key").agg(F.min("rep").alias("center"), F.count("*").alias("n")).filter("n > 1")
-    buckets = staged(banded.join(shared, ["band", "key"]), "near-buckets")
+    sets = signed.filter("n_shingles > 0 and doc_id is not null")
+    classes = sets.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    classes = staged(classes, "near-classes")
+    firsts = classes.select(F.col("rep").alias("doc_id"), "set_key")
+    reps = staged(sets.join(firsts, ["doc_id", "set_key"], "left_semi").dropDuplicates(["doc_id"]), "near-reps")
+    banded = staged(reps.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "key")), "near-banded")
+    shared = staged(banded.groupBy("band", "key").agg(F.min("rep").alias("center"), F.count("*").alias("n")).filter("n > 1"), "near-shared")
+    buckets = staged(join_counted(banded, shared, ["band", "key"], "n"), "near-buckets")
 
     first = staged(buckets.filter("rep != center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(), "near-pairs")
     links = staged(_confirmed(staged(_pruned(first, reps, percent), "near-survivors"), docs, words, percent), "near-links")
 
     found = connected_components(links)
-    labelled = buckets.filter("n > 2").join(found, F.col("rep") == F.col("node"), "left").select("key", "band", "n", "center", "rep", F.coalesce("component", "rep").alias("label"))
-    split = labelled.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band", "key")
-    members = staged(labelled.join(split, ["band", "key"], "left_semi"), "near-open")
-    second = staged(_others(members, reps, docs, words, percent), "near-links")
+    labelled = staged(buckets.filter("n > 2").join(found, F.col("rep") == F.col("node"), "left").select("key", "band", "n", "center", "rep", F.coalesce("component", "rep").alias("label")), "near-labelled")
+    second = staged(_others(labelled, reps, docs, words, percent), "near-links")
     found = connected_components(links.unionByName(second))
 
-    named = signed.select("doc_id", "n_shingles", F.coalesce("set_key", F.concat(F.lit("none "), F.col("doc_id").cast("string"))).alias("set_key"))
-    out = named.join(classes, "set_key", "left").join(found, F.col("rep") == F.col("node"), "left")
-    component = F.coalesce("component", "rep", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    copied = classes.filter("copies > 1").join(found, F.col("rep") == F.col("node"), "left").select("set_key", "rep", "component", "copies")
+    members = signed.filter("doc_id is not null").select("doc_id", "n_shingles", "set_key")
+    named = join_counted(members.filter("set_key is not null"), staged(copied, "near-copied"), ["set_key"], "copies", "left").drop("copies")
+    named = named.unionByName(members.filter("set_key is null"), allowMissingColumns=True)
+    out = named.join(found.select(F.col("node").alias("doc_id"), F.col("component").alias("own")), "doc_id", "left")
+    component = F.coalesce("component", "rep", "own", "doc_id")
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    none = F.lit(None).cast(docs.schema["doc_id"].dataType)
+    return out.unionByName(signed.filter("doc_id is null").select("doc_id", "n_shingles", none.alias("component_id"), F.lit(True).alias("kept")))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs that stay (one document of each group), with all their columns."""
+    """The rows of docs that stay (one document of each group), with all their columns; rows without an id all stay."""
     dropped = near_duplicates(docs, id_col, text_col, words, percent).filter(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(dropped, id_col, "left_anti").select(docs.columns)
