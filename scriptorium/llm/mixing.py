@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,10 +10,10 @@ from .common import WORD, staged
 #: Buckets of the seeded order within a pattern; running sums are exact within one and carried between them.
 BUCKETS = 4096
 #: Most membership patterns (and sources) that the driver takes; more raise an error rather than being cut.
-MAX_PATTERNS = 200_000
+MAX_PATTERNS, MAX_SOURCES = 200_000, 10_000
 #: Rounds that fill what the flow leaves to whole documents: seeded prefixes first, then single best fits.
 PREFIX_ROUNDS, FIT_ROUNDS = 3, 2
-#: Cost of a word's first and second use. Convex: every first use comes before any second.
+#: Cost of a word's first and second use, and so the most uses. Convex: every first use comes before any second.
 REPEAT_COSTS = (1, 3)
 
 
@@ -39,58 +37,87 @@ def water_fill(total: float, weights: dict, caps: dict) -> dict:
     return share
 
 
-def min_cost_flow(supply: list[tuple[tuple, int]], quota: dict) -> list[dict]:
-    """Words that each pattern sends to each of its sources: successive cheapest paths, whole words.
+def min_cost_flow(supply: list[tuple[tuple, int]], quota: dict, costs: tuple = REPEAT_COSTS) -> list[dict]:
+    """Words that each pattern sends to each of its sources: as many as quotas allow, at the least cost, whole words.
+
+    supply: (sources of the pattern, its words). The u-th use of a word costs costs[u]; costs must rise (be convex), else an error.
+    A cost depends on the use alone, so the total is least if as many words as can be are in their first use, then in their second
+    and so on. An augmenting path never takes words away from a pattern, it only moves them between its sources. So a largest flow
+    with one use each, augmented to a largest flow with two uses, keeps as many first uses as there can be: the uses are laid
+    on in the order of their costs, and each layer is one largest flow.
 
-    supply: (sources of the pattern, its words). A pattern's words can be used len(REPEAT_COSTS) times, each
-    use dearer than the last. Patterns of one source compete with none, so the cheapest way for them is direct;
-    they are kept in the same network since their quota may also be met by shared patterns.
+    A layer runs in phases: distances by breadth, then augmenting along shortest paths until none is left. A source that a phase has
+    found shut isn't tried again in it, so a phase looks at each arc (pattern, source) a bounded number of times for each path that
+    fills up something; there are at most 2 * sources phases, as each lengthens the shortest path by two arcs.
     """
+    if any(x >= y for x, y in zip(costs, costs[1:])):
+        raise ValueError("costs of repeated use must rise")
     sent = [dict.fromkeys(sources, 0) for sources, _ in supply]
-    need = {s: int(q) for s, q in quota.items()}
-    of_source: dict = {}
-    for i, (sources, words) in enumerate(supply):
+    holders: dict = {}
+    for i, (sources, _) in enumerate(supply):
         for s in sources:
-            of_source.setdefault(s, []).append(i)
-    used = [0] * len(supply)
-    for turn in range(1, len(REPEAT_COSTS) + 1):  # costs depend on the use only, so the flow grows use by use
-        cap = [turn * words for _, words in supply]
-        for s in sorted(of_source, key=lambda x: (x is None, x or "")):
-            while need.get(s, 0) > 0:
-                before, amount, seen, found = {}, {}, set(), None
-                queue = []
-                for i in of_source[s]:
-                    heapq.heappush(queue, (len(supply[i][0]), i))
-                    before[i], amount[i] = None, need[s]
-                while queue:  # a pattern with words to spare, or one that another source can give back
-                    _, i = heapq.heappop(queue)
-                    if i in seen:
-                        continue
-                    seen.add(i)
-                    if cap[i] > used[i]:
-                        found = i
-                        break
-                    for other, x in sent[i].items():
-                        if x > 0:
-                            for j in of_source[other]:
-                                if j not in seen and j not in before:
-                                    before[j], amount[j] = (i, other), min(amount[i], x)
-                                    heapq.heappush(queue, (len(supply[j][0]) + 1000, j))
-                if found is None:
-                    break
-                x = min(amount[found], cap[found] - used[found])
-                used[found] += x
-                i = found
-                while before[i] is not None:
-                    behind, via = before[i]
-                    sent[i][via] += x
-                    sent[behind][via] -= x
-                    i = behind
-                sent[i][s] += x
-                need[s] -= x
+            holders.setdefault(s, []).append(i)
+    need = {s: int(quota.get(s, 0)) for s in holders}
+    for _ in costs:
+        spare = [words for _, words in supply]
+        while _phase(supply, holders, spare, need, sent):
+            pass
     return sent
 
 
+def _phase(supply: list, holders: dict, spare: list, need: dict, sent: list) -> bool:
+    """Augments along all shortest paths from patterns with words to spare to sources in need; false if there is none."""
+    level: dict = {}
+    front = []
+    for i, (sources, _) in enumerate(supply):
+        if spare[i] > 0:
+            for s in sources:
+                if s not in level:
+                    level[s] = 0
+                    front.append(s)
+    depth = 0
+    while front and not any(need[s] > 0 for s in front):
+        after = []
+        for s in front:  # a pattern that sends words to s may send them to its other sources instead
+            for i in holders[s]:
+                if sent[i][s] > 0:
+                    for other in supply[i][0]:
+                        if other not in level:
+                            level[other] = depth + 1
+                            after.append(other)
+        front, depth = after, depth + 1
+    if not front:
+        return False
+    at = {s: 0 for s in level}  # the pattern of each source that is tried next
+
+    def push(s, amount):
+        """Words, at most amount, that s takes in or hands on one level deeper."""
+        if level[s] == depth:
+            x = min(amount, need[s])
+            need[s] -= x
+            return x
+        done = 0
+        while done < amount and at[s] < len(holders[s]):
+            i = holders[s][at[s]]
+            for other in supply[i][0]:
+                if level.get(other) == level[s] + 1:
+                    while done < amount and sent[i][s] > 0 and (x := push(other, min(amount - done, sent[i][s]))):
+                        sent[i][s] -= x
+                        sent[i][other] += x
+                        done += x
+            if done < amount:
+                at[s] += 1
+        return done
+
+    for i, (sources, _) in enumerate(supply):
+        for s in sources:
+            if spare[i] > 0 and level.get(s) == 0:
+                x = push(s, spare[i])
+                spare[i] -= x
+                sent[i][s] += x
+    return True
+
+
 def word_count(text):
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
@@ -105,7 +132,8 @@ def mix_sources(docs: DataFrame, membership, id_col: str = "doc_id", text_col: s
     than len(REPEAT_COSTS) times. Returns doc_id, pattern, size, source_size, target, taken; source_size and
     target are those of the pattern's first source. Reruns agree: nothing depends on the row order.
 
-    Null and wordless texts have size 0 and are never taken. Repeated rows count each. Empty membership belongs
+    Null and wordless texts have size 0 and are never taken. Repeated rows count each. Rows without an id count in the sizes and are
+    taken as often as their whole pattern is, but not singled out to fill the rest, as they can't be told apart. Empty membership belongs
     to no source and gets target 0. Empty tables give no rows; other columns are ignored. A hot source is cut into
     BUCKETS by hash, so running sums never bring a whole source to one task.
     """
@@ -116,11 +144,14 @@ def mix_sources(docs: DataFrame, membership, id_col: str = "doc_id", text_col: s
     patterns = sizes.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1).collect()
     if len(patterns) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    supply = [(tuple(r["pattern"] or ()), int(r["words"])) for r in patterns]
+    in_order = lambda x: [(s is None, s or "") for s in x[0]]
+    supply = sorted(((tuple(r["pattern"] or ()), int(r["words"])) for r in patterns), key=in_order)
     source_size: dict = {}
     for sources, words in supply:
         for s in sources:
             source_size[s] = source_size.get(s, 0) + words
+    if len(source_size) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
     weight = cycled_weights(list(source_size), weights)
     target = water_fill(share * sum(w for _, w in supply), weight, {s: cap * w for s, w in source_size.items()})
     sent = min_cost_flow(supply, {s: round(t) for s, t in target.items()})
@@ -132,7 +163,7 @@ def mix_sources(docs: DataFrame, membership, id_col: str = "doc_id", text_col: s
     told = told.withColumn("rest", F.col("flow") - F.col("turns") * F.col("words"))
 
     # Whole documents for the rest of each pattern's flow: seeded prefixes, each among what still fits, then best fits.
-    budget, chosen, free = told.filter(F.col("turns") < len(REPEAT_COSTS)).select("pattern", "rest", "turns"), None, sizes.filter("size > 0").withColumn("used", F.lit(0))
+    budget, chosen, free = told.filter(F.col("turns") < len(REPEAT_COSTS)).select("pattern", "rest", "turns"), None, sizes.filter("size > 0 and doc_id is not null").withColumn("used", F.lit(0))
     for step in range(PREFIX_ROUNDS + FIT_ROUNDS):
         if step < PREFIX_ROUNDS:
             took = _seeded_prefix(free, budget)
