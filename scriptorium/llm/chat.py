@@ -40,50 +40,68 @@ def linear_replies(rows: DataFrame, tree: str = "conv_id", order: str = "turn")
     return rows.select("tree", node.alias("node"), "role", "text").withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1)).withColumn("score", F.lit(0.0))
 
 
-def paths(replies: DataFrame) -> DataFrame:
-    """tree, leaf, node, depth, score: each root-to-leaf path as one row per node; depth 0 is the leaf.
+def _nulls_equal(left: str, right: str, *columns: tuple[str, str]) -> Column:
+    out = F.col(f"{left}.tree").eqNullSafe(F.col(f"{right}.tree"))
+    for x, y in columns:
+        out = out & (F.col(f"{left}.{x}") == F.col(f"{right}.{y}"))
+    return out
 
-    Self-joins that double: after k rounds a leaf has its ancestors less than 2**k steps up, and every node knows the
-    one 2**k steps up. So the rounds grow with the logarithm of the depth. Only ids take part, never texts. A parent that
-    isn't there makes a root. Leaves whose ancestors never end (a cycle) have no path.
+
+def climbed(replies: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Every node with the way to its root: tree, node, total (sum of scores), length, is_leaf; and, by k, (tree, node, to): the ancestor 2**k steps up.
+
+    Self-joins that double: a node knows its ancestor 2**k steps up with the score and length of the way there; joined with what that
+    one knows, it knows the one twice as far up. So there are as many rounds as the logarithm of the depth, each over one row
+    per node, whatever the number of leaves. Only ids and scores take part, never texts. A parent that isn't there makes a
+    root. Nodes whose ancestors never end (a cycle) are left out.
     """
-    nodes = staged(replies.select("tree", "node", "parent", "score"), "chat-nodes")
-    up = nodes.alias("c").join(nodes.alias("p"), F.col("c.tree").eqNullSafe(F.col("p.tree")) & (F.col("c.parent") == F.col("p.node")))
-    up = staged(up.select("c.tree", "c.node", F.col("p.node").alias("to")).distinct(), "chat-up")
-    roots = nodes.alias("n").join(up.alias("u"), F.col("n.tree").eqNullSafe(F.col("u.tree")) & (F.col("n.node") == F.col("u.node")), "left_anti").select("tree", "node").distinct()
-    heads = up.select("tree", F.col("to").alias("node")).distinct()
-    leaves = nodes.alias("n").join(heads.alias("h"), F.col("n.tree").eqNullSafe(F.col("h.tree")) & (F.col("n.node") == F.col("h.node")), "left_anti")
-    reach = leaves.select("n.tree", F.col("n.node").alias("leaf"), F.col("n.node").alias("node"), F.lit(0).cast("long").alias("depth"))
+    nodes = replies.groupBy("tree", "node").agg(F.max("parent").alias("parent"), F.coalesce(F.max("score"), F.lit(0.0)).cast("double").alias("total"))
+    nodes = staged(nodes, "chat-nodes")
+    heads = nodes.select("tree", "node").alias("p")
+    up = nodes.alias("c").join(heads, _nulls_equal("c", "p", ("parent", "node")), "left").select("c.tree", "c.node", F.col("p.node").alias("to"), "total", F.lit(1).cast("long").alias("length"))
+    up = staged(up, "chat-up")
+    used = up.filter(F.col("to").isNotNull()).select("tree", F.col("to").alias("node")).distinct().alias("u")
+    leaves = nodes.select("tree", "node").alias("n").join(used, _nulls_equal("n", "u", ("node", "node")), "left_anti").select("tree", "node")
     most = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
-    jump = up
-    for k in range(math.ceil(math.log2(most + 1))):
-        on = F.col("r.tree").eqNullSafe(F.col("j.tree")) & (F.col("r.node") == F.col("j.node"))
-        more = reach.alias("r").join(jump.alias("j"), on).select("r.tree", "leaf", F.col("j.to").alias("node"), (F.col("depth") + (1 << k)).alias("depth"))
+    steps = []
+    for _ in range(math.ceil(math.log2(most + 1))):
+        open_ = up.filter(F.col("to").isNotNull())
+        steps.append(open_.select("tree", "node", "to"))
+        on = _nulls_equal("a", "b", ("to", "node"))
+        further = open_.alias("a").join(up.alias("b"), on).select("a.tree", "a.node", "b.to", (F.col("a.total") + F.col("b.total")).alias("total"), (F.col("a.length") + F.col("b.length")).alias("length"))
+        up = staged(up.filter(F.col("to").isNull()).unionByName(further), "chat-up")
+    ended = up.filter(F.col("to").isNull()).drop("to").alias("e")
+    marked = ended.join(leaves.withColumn("is_leaf", F.lit(True)).alias("l"), _nulls_equal("e", "l", ("node", "node")), "left")
+    return marked.select("e.tree", "e.node", "total", "length", F.coalesce("is_leaf", F.lit(False)).alias("is_leaf")), steps
+
+
+def paths(chosen: DataFrame, steps: list[DataFrame]) -> DataFrame:
+    """tree, leaf, node, depth of each node on the way from the chosen leaves (tree, leaf) to their roots; depth 0 is the leaf.
+
+    One join per round: after k of them the nodes less than 2**k steps up are there.
+    """
+    reach = chosen.select("tree", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("depth"))
+    for k, step in enumerate(steps):
+        more = reach.alias("r").join(step.alias("j"), _nulls_equal("r", "j", ("node", "node"))).select("r.tree", "leaf", F.col("j.to").alias("node"), (F.col("depth") + (1 << k)).alias("depth"))
         reach = staged(reach.unionByName(more), "chat-reach")
-        on = F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.to") == F.col("b.node"))
-        jump = staged(jump.alias("a").join(jump.alias("b"), on).select("a.tree", "a.node", "b.to"), "chat-jump")
-    on = F.col("p.tree").eqNullSafe(F.col("r.tree")) & (F.col("p.node") == F.col("r.node"))
-    ended = reach.alias("p").join(roots.alias("r"), on).select("p.tree", "p.leaf", F.col("p.depth").alias("length"))
-    own = F.col("p.tree").eqNullSafe(F.col("e.tree")) & (F.col("p.leaf") == F.col("e.leaf")) & (F.col("p.depth") <= F.col("e.length"))
-    reach = reach.alias("p").join(ended.alias("e"), own).select("p.tree", "p.leaf", "p.node", "p.depth")
-    scores = nodes.groupBy("tree", "node").agg(F.max("score").alias("score")).alias("n")
-    return reach.alias("p").join(scores, F.col("p.tree").eqNullSafe(F.col("n.tree")) & (F.col("p.node") == F.col("n.node"))).select("p.tree", "leaf", "p.node", "depth", "score")
+    return reach
 
 
 def format_trees(replies: DataFrame, per_tree: int = 1) -> DataFrame:
     """tree, leaf, formatted, loss_spans: the per_tree best paths of each reply tree, each as one conversation.
 
-    Branches rank by the sum of their nodes' scores (null is 0), then by length, longer first, then by leaf. loss_spans are the places
-    of the assistant's texts in formatted (code points, end exclusive). A conversation is one row, so its turns meet
-    in one place; nothing larger does. Nodes are unique within a tree. An empty table gives no rows.
+    Branches rank by the sum of their nodes' scores (null is 0), then by length, longer first, then by leaf; ranks come before paths, so only
+    chosen ones are spelled out. loss_spans are the places of the assistant's texts in formatted (code points, end exclusive). A
+    conversation is one row, so its turns meet in one place; nothing larger does. Nodes are unique within a tree. A null
+    tree is a tree of its own; null roles and texts count as empty. An empty table gives no rows; other columns are ignored.
     """
-    found = staged(paths(replies), "chat-paths")
-    ranked = found.groupBy("tree", "leaf").agg(F.sum(F.coalesce("score", F.lit(0.0))).alias("total"), F.max("depth").alias("length"))
-    order = Window.partitionBy("tree").orderBy(F.desc("total"), F.desc("length"), "leaf")
-    chosen = ranked.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_tree).select("tree", "leaf").alias("c")
-    kept = found.alias("f").join(chosen, F.col("f.tree").eqNullSafe(F.col("c.tree")) & (F.col("f.leaf") == F.col("c.leaf"))).select("f.tree", "f.leaf", "node", "depth").alias("k")
-    said = replies.select("tree", "node", "role", "text").alias("s")
-    turns = kept.join(said, F.col("k.tree").eqNullSafe(F.col("s.tree")) & (F.col("k.node") == F.col("s.node")))
+    ways, steps = climbed(replies.select("tree", "node", "parent", "score"))
+    order = Window.partitionBy("tree").orderBy(F.desc("total"), F.desc("length"), "node")
+    ranked = ways.filter("is_leaf").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_tree)
+    kept = paths(staged(ranked.select("tree", F.col("node").alias("leaf")), "chat-chosen"), steps).alias("k")
+    empty = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
+    said = replies.select("tree", "node", empty("role"), empty("text")).alias("s")
+    turns = kept.join(said, _nulls_equal("k", "s", ("node", "node")))
     user, assistant = F.col("role") == "user", F.col("role") == "assistant"
     opening = F.when(user, USER).when(assistant, ASSISTANT).otherwise(F.concat(F.lit(OTHER), escape(F.col("role")), F.lit(SAYS)))
     closing = F.when(user, USER_END).when(assistant, ASSISTANT_END).otherwise(OTHER_END)
