@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -52,35 +53,45 @@ def arc_record(version: int, url: str, content: bytes, name: str, offset: int, d
     return " ".join(line).encode() + b"\n" + content + b"\n"
 
 
-def read_arc(data: bytes) -> Iterator[dict]:
+#: What a field of a header line may hold; all but the URL and the type are free of spaces.
+FORMS = {"url": ".*", "type": ".*?", "date": "[0-9]{4,14}", "offset": "[0-9]+", "length": "[0-9]+"}
+LINES = {version: re.compile(" ".join(f"(?P<{f}>{FORMS.get(f, '[^ ]+')})" for f in fields)) for version, fields in FIELDS.items()}
+
+
+def read_arc(data: bytes, rejected: list | None = None) -> Iterator[dict]:
     """The records of an ARC file in order, the version block first; the block tells the fields of the header lines.
 
-    Lengths are as declared, so contents may hold anything. A header that doesn't fit its version, or a length beyond
-    the end, raises ValueError.
+    Lengths are as declared, so contents may hold anything; URLs and types may hold spaces. A header that doesn't fit its version, or a
+    length beyond the end, raises ValueError; with a list given as rejected, the fault is noted there instead and reading goes on behind
+    the declared length, or ends where none can be made out.
     """
-    at, fields = 0, None
+    at, version = 0, None
     while at < len(data):
         if data[at : at + 1] in b"\r\n":
             at += 1
             continue
         end = data.find(b"\n", at)
-        if end < 0:
-            raise ValueError(f"no header line at {at}")
-        parts = data[at:end].rstrip(b"\r").decode("utf-8", "replace").split(" ")
-        if fields is None:  # the version block's own line has the fields that it declares
-            fields = next((f for f in FIELDS.values() if len(f) == len(parts)), None)
-        if fields is None or len(parts) != len(fields):
-            raise ValueError(f"{len(parts)} fields in the header at {at}")
-        record = dict(zip(fields, parts)) | {"at": at}
-        start, size = end + 1, int(record["length"])
-        if start + size > len(data):
-            raise ValueError(f"the record at {at} is cut off")
-        record["content"] = data[start : start + size]
-        if record["url"].startswith("filedesc:"):
-            version = int(record["content"].split(b" ", 1)[0])
-            fields = FIELDS[version]
-        yield record
-        at = start + size
+        line = data[at : end if end >= 0 else len(data)].rstrip(b"\r").decode("utf-8", "replace")
+        if version is None:  # the version block's own line has the fields that it declares
+            version = next((v for v in sorted(LINES, reverse=True) if LINES[v].fullmatch(line)), None)
+        found = LINES[version].fullmatch(line) if version else None
+        size = re.search(" ([0-9]+)$", line)
+        fault = None if found else f"no header of its version at {at}"
+        if end < 0 or (size and end + 1 + int(size[1]) > len(data)):
+            fault = f"the record at {at} is cut off"
+        if fault:
+            if rejected is None:
+                raise ValueError(fault)
+            rejected.append(fault)
+            if end < 0 or not size or end + 1 + int(size[1]) > len(data):
+                return
+        else:
+            record = found.groupdict() | {"at": at, "content": data[end + 1 : end + 1 + int(size[1])]}
+            if record["url"].startswith("filedesc:"):
+                declared = record["content"].split(b" ", 1)[0]
+                version = int(declared) if declared in (b"1", b"2") else version
+            yield record
+        at = end + 1 + int(size[1])
 
 
 def timestamp(date: str) -> str:
@@ -103,7 +114,7 @@ def warc_record(arc: dict, key: str, refers_to: str | None = None) -> bytes:
         http = arc["url"].startswith(("http:", "https:")) and content.startswith(b"HTTP/")
         cut = content.find(b"\r\n\r\n") + 4 if http else 0
         kind = "revisit" if refers_to else "response" if http else "resource"
-        head = [("WARC-Type", kind), *head, ("WARC-Target-URI", arc["url"]), ("WARC-Payload-Digest", "sha1:" + digest32(content[cut:]))]
+        head = [("WARC-Type", kind), *head, ("WARC-Target-URI", arc["url"].replace(" ", "%20")), ("WARC-Payload-Digest", "sha1:" + digest32(content[cut:]))]
         if arc["ip"] != "0.0.0.0":
             head.append(("WARC-IP-Address", arc["ip"]))
         if refers_to:
@@ -157,17 +168,21 @@ def page_content(page_id, html: str | None) -> bytes:
 
 
 def convert_archives(arcs: DataFrame, name_col: str = "path", content_col: str = "content") -> DataFrame:
-    """name and warc (bytes) of each ARC file (plain or gzip), for example from the binaryFile source."""
+    """name, warc (bytes) and rejected (what couldn't be read, and where) of each ARC file (plain or gzip), for example from the binaryFile source.
+
+    A bad record costs itself alone and is listed; one whose length can't be made out ends its file. Null contents give an empty archive.
+    """
     import pyarrow as pa
 
     def batches(source):
         for batch in source:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                data, rejected = data or b"", []
                 plain = unzipped(data) if data[:2] == b"\x1f\x8b" else data
-                warc = b"".join(warc_record(r, f"{name}:{r['at']}") for r in read_arc(plain))
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([warc], pa.binary())], names=["name", "warc"])
+                warc = b"".join(warc_record(r, f"{name}:{r['at']}") for r in read_arc(plain, rejected))
+                yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([warc], pa.binary()), pa.array([rejected], pa.list_(pa.string()))], names=["name", "warc", "rejected"])
 
-    return arcs.select(F.col(name_col), F.col(content_col)).mapInArrow(batches, "name string, warc binary")
+    return arcs.select(F.col(name_col), F.col(content_col)).mapInArrow(batches, "name string, warc binary, rejected array<string>")
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
