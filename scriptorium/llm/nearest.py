@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from .common import staged
 
-#: Rows of a shard, and queries searched in one call.
-SHARD_ROWS, BLOCK_QUERIES = 8192, 4096
+#: Rows of a shard while there are at most FEW_SHARDS of them; then the shards grow to MOST_ROWS, which a task holds in about 200 MB at
+#: 128 components, and only then their number grows.
+SHARD_ROWS, FEW_SHARDS, MOST_ROWS = 8192, 16, 131_072
+#: Queries searched in one call; a shard is read once for each such block.
+BLOCK_QUERIES = 65_536
 #: Most edges of a node, beam of the build, relaxation of pruning, passes, nodes inserted together.
 DEGREE, BUILD_BEAM, RELAX, PASSES, TOGETHER = 28, 48, 1.2, 1, 256
 #: Distances between candidates that one pruning call holds.
@@ -122,6 +125,36 @@ def build_graph(x: np.ndarray, seed: int = 5) -> np.ndarray:
             step = max(1, PRUNED_CELLS // pool.shape[1] ** 2)
             for part in range(0, len(head), step):
                 graph[head[part : part + step]] = robust_prune(x, head[part : part + step], pool[part : part + step], DEGREE, relax)
+    return connect(x, graph)
+
+
+def reached(graph: np.ndarray, seen: np.ndarray, front: np.ndarray) -> np.ndarray:
+    """Marks in seen what edges lead to from the nodes front."""
+    seen[front] = True
+    while len(front):
+        near = graph[front].ravel()
+        near = np.unique(near[near >= 0])
+        front = near[~seen[near]]
+        seen[front] = True
+    return seen
+
+
+def connect(x: np.ndarray, graph: np.ndarray) -> np.ndarray:
+    """The graph with an edge to each part of it that no search from node 0 could enter, from the nearest node that one reaches.
+
+    The edge takes a free place or widens the graph, so none is lost.
+    """
+    seen = reached(graph, np.zeros(len(x), bool), np.array([0]))
+    while not seen.all():
+        node = np.flatnonzero(~seen)[:1]
+        near, _ = beam_search(x, graph, x[node], BUILD_BEAM, WIDTH)
+        near = near[0][near[0] >= 0]
+        free = near[(graph[near] < 0).any(1)]
+        head = free[0] if len(free) else near[0]
+        if not len(free):
+            graph = np.concatenate([graph, np.full((len(graph), 1), -1, np.int32)], 1)
+        graph[head, np.flatnonzero(graph[head] < 0)[0]] = node[0]
+        seen = reached(graph, seen, node)
     return graph
 
 
@@ -137,29 +170,31 @@ def build_index(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col:
 
     Rows are dealt to shards by hash of the vector. Equal vectors are one node, with the k + 1 smallest ids: ties go to
     the smaller id, so no other can be among the k nearest; the cut is made before the shuffle, so a vector
-    that a third of the rows share is no hot task. Each shard's graph is built in one task from at most about SHARD_ROWS nodes.
+    that a third of the rows share is no hot task. Each shard's graph is built in one task from at most about
+    MOST_ROWS nodes.
     """
     import pandas as pd
 
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>").alias("vector")).filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    shards = max(1, -(-rows.count() // SHARD_ROWS))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")).filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
+    many = rows.count()
+    shards = max(1, min(FEW_SHARDS, -(-many // SHARD_ROWS)), -(-many // MOST_ROWS))
     place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     rows = rows.distinct().withColumn("place", place).filter(F.col("place") <= k + 1)
     rows = rows.select(F.size("vector").alias("dim"), F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int").alias("shard"), "vec_id", "vector")
 
     def build(pdf):
         pdf = pdf.sort_values("vec_id")
-        flat = np.stack(pdf["vector"].to_numpy()).astype(np.float32) + np.float32(0)
+        flat = np.stack(pdf["vector"].to_numpy()).astype(np.float64) + 0.0
         keys = pd.Series([v.tobytes() for v in flat])
         groups = pd.Series(pdf["vec_id"].to_numpy()).groupby(keys.to_numpy()).apply(list)
-        x = np.frombuffer(b"".join(groups.index), np.float32).reshape(len(groups), -1)
+        x = np.frombuffer(b"".join(groups.index), np.float64).reshape(len(groups), -1)
         lifted = _lifted(x)
         middle = int(((lifted - lifted.mean(0)) ** 2).sum(1).argmin())
         order = np.concatenate([[middle], np.delete(np.arange(len(x)), middle)])
         graph = build_graph(np.ascontiguousarray(lifted[order]))
         return pd.DataFrame({"dim": x.shape[1], "shard": pdf["shard"].iloc[0], "node": np.arange(len(x)), "ids": [groups.iloc[i] for i in order], "vector": list(x[order]), "edges": list(graph)})
 
-    index = rows.groupBy("dim", "shard").applyInPandas(build, "dim int, shard int, node int, ids array<long>, vector array<float>, edges array<int>")
+    index = rows.groupBy("dim", "shard").applyInPandas(build, "dim int, shard int, node int, ids array<long>, vector array<double>, edges array<int>")
     return staged(index, "ann-index"), shards
 
 
@@ -171,7 +206,7 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int, id_col: st
     """
     import pandas as pd
 
-    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).cast("array<float>").alias("query")).filter(F.col("query_id").isNotNull() & usable(F.col("query"))).distinct()
+    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).cast("array<double>").alias("query")).filter(F.col("query_id").isNotNull() & usable(F.col("query"))).distinct()
     asked = staged(asked.withColumn("dim", F.size("query")), "ann-queries")
     blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
@@ -181,23 +216,23 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int, id_col: st
         if not len(of_shard) or not len(of_block):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         of_shard = of_shard.sort_values("node")
-        x = np.stack(of_shard["vector"].to_numpy()).astype(np.float32)
-        lifted, graph, ids = _lifted(x), np.stack(of_shard["edges"].to_numpy()), of_shard["ids"].to_numpy()
-        wide = x.astype(np.float64)
+        wide = np.stack(of_shard["vector"].to_numpy()).astype(np.float64)
+        lifted, graph, ids = _lifted(wide), np.stack(of_shard["edges"].to_numpy()), of_shard["ids"].to_numpy()
         out = []
         for at in range(0, len(of_block), TOGETHER):
             part = of_block.iloc[at : at + TOGETHER]
-            q = np.stack(part["query"].to_numpy()).astype(np.float32)
+            q = np.stack(part["query"].to_numpy()).astype(np.float64)
             beam = max(SEARCH_BEAM, 2 * k + 2)
-            if len(x) <= beam:  # all nodes are scored
-                found = np.tile(np.arange(len(x)), (len(q), 1))
+            if len(wide) <= beam:  # all nodes are scored
+                found = np.tile(np.arange(len(wide)), (len(q), 1))
             else:
-                found, _ = beam_search(lifted, graph, np.concatenate([q, np.zeros((len(q), 1), np.float32)], 1), beam, WIDTH)
-            for query_id, vector, near in zip(part["query_id"].to_numpy(), q.astype(np.float64), found):
+                found, _ = beam_search(lifted, graph, np.concatenate([q, np.zeros((len(q), 1))], 1).astype(np.float32), beam, WIDTH)
+            for query_id, vector, near in zip(part["query_id"].to_numpy(), q, found):
                 near = near[near >= 0]
                 score = (wide[near] * vector).sum(1)
-                best = np.argsort(-score, kind="stable")[: 2 * k + 2]
-                near, score = near[best], score[best]
+                # nodes that tie with the last one needed all stay, so that ids decide; the query itself may be one of them
+                worst = -np.sort(-score)[min(k, len(score) - 1)]
+                near, score = near[score >= worst], score[score >= worst]
                 own = [ids[i] for i in near]
                 vec, value = np.concatenate(own), np.repeat(score, [len(i) for i in own])
                 keep = vec != query_id
@@ -217,7 +252,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, id_c
     """Indexes all usable vectors and searches all usable queries; see build_index and search.
 
     Vectors that are null, zero or hold null or non-finite components take no part, nor do rows without an id. Repeated rows
-    count once. Fewer than k candidates are all returned. Empty tables give no rows; other columns are ignored.
+    count once; an id with several vectors is a candidate with each. Ties go to the smaller id. Fewer than k candidates are all returned. Empty tables give no rows; other columns are ignored.
     """
     index, shards = build_index(vectors, k, id_col, vector_col)
     return search(index, shards, queries, k, id_col, vector_col)
