@@ -28,6 +28,8 @@ PRIOR_TEXTS = 1.0
 #: Share of the entity's information that a term must give to be generalised, and to be removed.
 GENERALISE, REMOVE = 0.8, 0.95
 TERM_KIND = "term"
+#: A term is generalised to so many of its first letters, the most that disclose no more than GENERALISE, else to its kind.
+LEVELS = (4, 3, 2, 1)
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -93,21 +95,17 @@ def terms_of(text: Column) -> Column:
 
 
 def _marked(text: Column, told: Column) -> Column:
-    """array<struct<start, end, action>> of the occurrences of the terms of the map told (term to action), by start; those that overlap are one."""
-    kind = "array<struct<start:bigint,end:bigint,action:string>>"
+    """array<struct<start, end, put>> of the occurrences of the terms of the map told (term to what is put in its place), by start; those that overlap are one."""
+    kind = "array<struct<start:bigint,end:bigint,put:string>>"
     empty = F.array().cast(kind)
-    place = lambda start, end, action: F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), action.alias("action"))
+    place = lambda start, end, put: F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), put.alias("put"))
 
     def occurrences(pattern, hits_of):
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         pairs = F.zip_with(F.split(text, F.lit(pattern), -1), found, lambda gap, value: F.struct(F.coalesce(F.length(gap), F.lit(0)).cast("long").alias("gap"), F.coalesce(F.length(value), F.lit(0)).alias("size"), hits_of(value).alias("hits")))
-
-        def step(state, pair):
-            start = state["upto"] + pair["gap"]
-            hits = F.transform(pair["hits"], lambda h: place(start + h["start"], start + h["end"], h["action"]))
-            return F.struct((start + pair["size"]).alias("upto"), F.when(pair["hits"].isNotNull(), F.concat(state["out"], hits)).otherwise(state["out"]).alias("out"))
-
-        return F.aggregate(pairs, F.struct(F.lit(0).cast("long").alias("upto"), empty.alias("out")), step, lambda state: state["out"])
+        # how far each one has got, then all at once, so that no list grows step by step
+        ends = F.aggregate(pairs, F.array(F.lit(0).cast("long")), lambda upto, p: F.concat(upto, F.array(F.element_at(upto, -1) + p["gap"] + p["size"])))
+        return F.flatten(F.transform(F.filter(F.zip_with(pairs, ends, lambda p, at: F.struct(p.alias("p"), at.alias("at"))), lambda x: x["p"]["hits"].isNotNull()), lambda x: F.transform(x["p"]["hits"], lambda h: place(x["at"] + x["p"]["gap"] + h["start"], x["at"] + x["p"]["gap"] + h["end"], h["put"]))))
 
     def of_word(value):
         word = F.array(place(F.lit(0), F.length(value), told[ascii_lower(value)]))
@@ -117,13 +115,13 @@ def _marked(text: Column, told: Column) -> Column:
         letters = F.split(value, "")
         one = F.slice(letters, F.lit(1), F.size(letters) - 1)
         two = F.slice(letters, F.lit(2), F.size(letters) - 1)
-        every = F.transform(F.zip_with(one, two, lambda a, b: told[F.concat(a, b)]), lambda action, i: place(i, i + 2, action))
-        return F.when(value.isNotNull(), F.filter(every, lambda s: s["action"].isNotNull()))
+        every = F.transform(F.zip_with(one, two, lambda a, b: told[F.concat(a, b)]), lambda put, i: place(i, i + 2, put))
+        return F.when(value.isNotNull(), F.filter(every, lambda s: s["put"].isNotNull()))
 
     def merge(out, s):
         last = F.element_at(out, -1)
         with_last = (F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] > s["start"])
-        longer = place(last["start"], F.greatest(last["end"], s["end"]), F.greatest(last["action"], s["action"]))
+        longer = place(last["start"], F.greatest(last["end"], s["end"]), F.when((last["put"] == "") | (s["put"] == ""), "").otherwise(f"[{TERM_KIND}]"))
         return F.when(with_last, F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(longer))).otherwise(F.concat(out, F.array(s)))
 
     # a regular expression of the row's own few terms finds them far faster than a look at each word
@@ -135,15 +133,19 @@ def _marked(text: Column, told: Column) -> Column:
     return F.sort_array(F.concat(words, runs))
 
 
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, base and terms of every whole text: arrays of struct<kind, start, end> and struct<start, end, action>.
+def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sanitised: str | None = None) -> DataFrame:
+    """doc_id, base and terms of every whole text: arrays of struct<kind, start, end> and struct<start, end, put>.
 
     base: the patterns' matches that pass their test, all kinds. terms: words outside of base spans that reveal an entity,
     wherever they stand in any text, one without the entity too: over distinct texts, c(t, e) counts those that have term t and
     entity e, c(t) and c(e) those with each, N all. The disclosure of e by t is its pointwise mutual information over the
     information of e, log2(P N / c(e)) / log2(N / c(e)), where P = (c(t, e) + m c(e) / N) / (c(t) + m), m = PRIOR_TEXTS, estimates
     how many texts with t have e: small counts are drawn to the corpus' share, none is left out. Terms from GENERALISE on
-    are generalised and from REMOVE on removed.
+    are generalised and from REMOVE on removed: put is what stands in their place, empty for removed ones. A generalised term
+    becomes its longest prefix of LEVELS letters (and a *) that discloses less than GENERALISE whatever entity it stood with; a prefix stands in
+    at least as many texts as its commonest term, so its disclosure has that bound. Without such a prefix it becomes [term].
+
+    sanitised adds the text after cut(), or its sha256: "text" or "digest".
 
     Entities that stand in the same texts have the same disclosures and are counted as one; pairs that can't reach GENERALISE with
     any c(t, e) are not made. Null counts as empty. Copies count once in the statistics. Repeated rows repeat, other
@@ -152,7 +154,11 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     found = rows.withColumn("spans", base_spans(F.col("text")))
-    found = found.select("doc_id", "text_key", "spans", terms_of(masked(F.col("text"), F.col("spans"))).alias("words"))
+    none = F.array().cast("array<struct<start:bigint,end:bigint,put:string>>")
+    shown = {None: [], "text": [F.col("clean").alias("sanitised")], "digest": [F.sha2("clean", 256).alias("sanitised_sha256")]}[sanitised]
+    plain = [cut(F.col("text"), F.col("spans"), none).alias("clean")] if sanitised else []
+    found = found.select("doc_id", "text_key", "spans", terms_of(masked(F.col("text"), F.col("spans"))).alias("words"), *plain)
+    found = found.select("doc_id", "text_key", "spans", "words", *shown)
     found = staged(found, "private-spans")
 
     keys = staged(found.groupBy("text_key").agg(F.count("*").alias("n")), "private-texts")
@@ -183,17 +189,26 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pairs = beside.join(small(groups), (F.col("text_key") == F.col("group_key")) & may(c_t, c_e))
     joint = pairs.groupBy("x", "y", "term").agg(F.count("*").alias("c_te"), F.first("c_t").alias("c_t"), F.first("c_e").alias("c_e"))
     told = joint.groupBy("term").agg(F.max(disclosure(F.col("c_te"), c_t, c_e)).alias("most")).filter(F.col("most") >= GENERALISE)
-    told = staged(told.select("term", F.when(F.col("most") >= REMOVE, "remove").otherwise("generalise").alias("action")), "private-told")
+    # c(prefix) is at least that of its commonest term; with the rarest entity that would be told most
+    parts = lambda rows: rows.select("*", F.explode(F.array(*[F.struct(F.lit(n).alias("letters"), F.substring("term", 1, n).alias("prefix")) for n in LEVELS])).alias("x")).select("*", "x.letters", "x.prefix").filter(F.length("term") > F.col("letters"))
+    told = staged(told, "private-terms")
+    wanted = parts(told.filter(F.col("most") < REMOVE).select("term"))
+    common = staged(parts(counts.select("term", "c_t")).groupBy("prefix").agg(F.max("c_t").alias("c_p")).filter(~may(F.col("c_p"), F.lit(most))), "private-prefixes")
+    coarse = wanted.join(small(common), "prefix").groupBy("term").agg(F.max_by("prefix", "letters").alias("prefix"))
+    put = F.when(F.col("most") >= REMOVE, "").otherwise(F.coalesce(F.concat("prefix", F.lit("*")), F.lit(f"[{TERM_KIND}]")))
+    told = staged(told.join(coarse, "term", "left").select("term", put.alias("put")), "private-told")
 
     hit = found.select("text_key", F.explode("words").alias("term")).join(small(told), "term").groupBy("text_key")
-    hit = staged(hit.agg(F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("told")), "private-hits")
-    clear = masked(F.col("text"), base_spans(F.col("text"))).alias("text")
-    marked = rows.join(small(hit), "text_key").select("text_key", clear, "told").select("text_key", _marked(F.col("text"), F.col("told")).alias("terms"))
-    marked = staged(marked.groupBy("text_key").agg(F.first("terms").alias("terms")), "private-marked")
-    out = found.join(small(marked), "text_key", "left")
-    none = F.array().cast("array<struct<start:bigint,end:bigint,action:string>>")
+    hit = staged(hit.agg(F.map_from_entries(F.collect_set(F.struct("term", "put"))).alias("told")), "private-hits")
+    marked = rows.join(small(hit), "text_key").select("text_key", "text", "told", base_spans(F.col("text")).alias("spans"))
+    marked = marked.select("text_key", "text", "spans", _marked(masked(F.col("text"), F.col("spans")), F.col("told")).alias("terms"))
+    plain = [cut(F.col("text"), F.col("spans"), F.col("terms")).alias("clean")] if sanitised else []
+    marked = marked.select("text_key", "terms", *plain).select("text_key", "terms", *shown)
+    extra = found.columns[4:]
+    marked = marked.groupBy("text_key").agg(F.first("terms").alias("terms"), *[F.first(c).alias(f"new_{c}") for c in extra])
+    out = found.join(small(staged(marked, "private-marked")), "text_key", "left")
     base = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return out.select("doc_id", base.alias("base"), F.coalesce("terms", none).alias("terms"))
+    return out.select("doc_id", base.alias("base"), F.coalesce("terms", none).alias("terms"), *[F.coalesce(f"new_{c}", c).alias(c) for c in extra])
 
 
 def joined(spans: Column, kind=None) -> Column:
@@ -205,27 +220,29 @@ def _of_kind(kind: str):
 
 
 def span_digests(found: DataFrame) -> DataFrame:
-    """doc_id, the count of each kind, base_sha256, and spans with the method's own after the base ones."""
+    """doc_id, the count of each kind and of all, base_sha256, spans with the method's own after the base ones, and n_terms; found may carry further columns."""
     counts = [F.size(F.filter("base", _of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
     base, terms = joined(F.col("base")), joined(F.col("terms"), TERM_KIND)
-    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), F.concat_ws(",", F.when(base != "", base), F.when(terms != "", terms)).alias("spans"))
+    more = [c for c in found.columns if c not in ("doc_id", "base", "terms")]
+    spans = F.concat_ws(",", F.when(base != "", base), F.when(terms != "", terms))
+    return found.select("doc_id", *counts, F.size("base").cast("long").alias("n_private"), F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"), F.size("terms").cast("long").alias("n_terms"), *more)
+
+
+def cut(text: Column, base: Column, terms: Column) -> Column:
+    """The text with base spans replaced by their kind in brackets and terms by what is put in their place. Of spans that overlap, the one that begins first stays."""
+    base = F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), s["kind"], F.lit("]")).alias("put")))
+    every = F.array_sort(F.concat(base, F.transform(terms, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["put"].alias("put")))))
+    before = F.concat(F.array(F.lit(0).cast("long")), F.slice(F.aggregate(every, F.array(F.lit(0).cast("long")), lambda upto, s: F.concat(upto, F.array(F.greatest(F.element_at(upto, -1), s["end"])))), F.lit(2), F.size(every)))
+    # before[i]: how far the spans before the i-th have reached
+    kept = F.filter(F.zip_with(every, F.slice(before, F.lit(1), F.size(every)), lambda s, at: F.struct(s.alias("s"), at.alias("at"))), lambda x: x["s"]["start"] >= x["at"])
+    pieces = F.transform(kept, lambda x: F.concat(F.substring(text, (x["at"] + 1).cast("int"), (x["s"]["start"] - x["at"]).cast("int")), x["s"]["put"]))
+    tail = F.substring(text, (F.element_at(before, -1) + 1).cast("int"), F.length(text))
+    return F.when(F.size(every) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(text)
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and text with base spans replaced by their kind in brackets, revealing terms by [term] or by nothing.
+    """doc_id, base, terms and sanitised: the text with base spans replaced by their kind and revealing terms generalised or removed.
 
-    Of spans that overlap, the one that begins first stays. Ids are taken as unique.
+    One row per row of docs, whatever its id; null texts give the empty text. Other columns are ignored.
     """
-    found = find_spans(docs, id_col, text_col)
-    base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), s["kind"], F.lit("]")).alias("put")))
-    terms = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["action"] == "remove", "").otherwise(f"[{TERM_KIND}]").alias("put")))
-    spans = found.select("doc_id", F.array_sort(F.concat(base, terms)).alias("cuts"))
-    both = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(spans, "doc_id", "left")
-
-    def step(state, cut):
-        new = F.concat(state["out"], F.substring(F.col("text"), (state["upto"] + 1).cast("int"), (cut["start"] - state["upto"]).cast("int")), cut["put"])
-        late = cut["start"] < state["upto"]
-        return F.struct(F.when(late, state["upto"]).otherwise(cut["end"]).alias("upto"), F.when(late, state["out"]).otherwise(new).alias("out"))
-
-    rest = lambda state: F.concat(state["out"], F.substring(F.col("text"), (state["upto"] + 1).cast("int"), F.length("text")))
-    return both.select("doc_id", F.coalesce(F.aggregate("cuts", F.struct(F.lit(0).cast("long").alias("upto"), F.lit("").alias("out")), step, rest), "text").alias("text"))
+    return find_spans(docs, id_col, text_col, sanitised="text")
