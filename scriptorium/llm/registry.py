@@ -10,6 +10,7 @@ from .common import table
 
 
 def op1_language_id(spark, sf_dir):
+    """doc_id, held_out, lang_pred, score, entropy, rejected of every document; learns from texts and labels outside of the held-out fifth. Null ids count as no fold (learned from)."""
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     models = language_id.train(docs.filter(~held_out), "lang", "text")
@@ -18,42 +19,51 @@ def op1_language_id(spark, sf_dir):
 
 
 def op2_nearest_neighbours(spark, sf_dir):
+    """query_id, rank, vec_id, score: the 20 nearest of each twentieth vector, over all vectors; unusable ones take no part."""
     vectors = table(spark, sf_dir, "embeddings")
     return nearest.nearest_neighbours(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 
 def op3_near_dedup(spark, sf_dir):
+    """doc_id, n_shingles, component_id, kept of every document, by two-word shingles at 0.8; nulls as in near_duplicates."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
 def op4_private_data(spark, sf_dir):
-    return private_data.span_digests(private_data.find_spans(table(spark, sf_dir, "documents")))
+    """doc_id, the counts of each kind, n_private (their sum), base_sha256, spans, n_terms and sanitised_sha256 of every document; null texts are empty."""
+    return private_data.span_digests(private_data.find_spans(table(spark, sf_dir, "documents"), sanitised="digest"))
 
 
 def op5_chat_format(spark, sf_dir):
+    """conv_id and digests of every conversation as read back from its formatted text; null texts and roles are empty, a null conv_id is one conversation."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     return chat.chat_digests(chat.read_back(chat.format_trees(chat.linear_replies(rows.unionByName(hard)))))
 
 
 def op6_warc(spark, sf_dir):
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every page as read back from the archives; a null html is empty."""
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
 def op7_exact_dedup(spark, sf_dir):
+    """doc_id, keep_id, group_size, kept, text_sha256 of every document; a null text is empty, an id wins over none."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), digest=True).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op8_mix_sources(spark, sf_dir):
+    """doc_id, size, source_size, target, taken of every document; null texts have size 0, a null source is one of its own."""
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"), F.array("source"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op9_token_counts(spark, sf_dir):
+    """doc_id, n_bytes, n_tokens, over_limit of every document; a null text is empty."""
     return bpe.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op10_bpe_codec(spark, sf_dir):
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document; a null text is empty."""
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
