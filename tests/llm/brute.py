@@ -42,7 +42,8 @@ BASE = {
 }
 
 
-def base_spans(text) -> list[str]:
+def base_matches(text):
+    """(kind, match) of the base spans."""
     out = []
     for kind, pattern in BASE.items():
         for m in re.finditer(pattern, text or ""):
@@ -55,5 +56,9 @@ def base_spans(text) -> list[str]:
                 continue
             if kind == "phone" and not 8 <= len(number) <= 15:
                 continue
-            out.append(f"{kind}:{m.start()}:{m.end()}")
+            out.append((kind, m))
     return out
+
+
+def base_spans(text) -> list[str]:
+    return [f"{kind}:{m.start()}:{m.end()}" for kind, m in base_matches(text)]

@@ -2,9 +2,11 @@
 
 import base64
 import hashlib
+import math
 import random
+import re
 import struct
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -95,7 +97,7 @@ def test_revealing_terms(spark):
     for i, text in rows:
         terms = {text[t["start"] : t["end"]] for t in found[i]["terms"]}
         assert ("zorblax" in terms) == (i < 5) and not terms & {"note", "from", "about", "paper", "writes", "office"}
-    clean = {r["doc_id"]: r["text"] for r in private_data.sanitise(docs).collect()}
+    clean = {r["doc_id"]: r["sanitised"] for r in private_data.sanitise(docs).collect()}
     assert "ann@" not in clean[0] and "[email]" in clean[0] and "zorblax" not in clean[0]
     assert clean[100] == rows[5][1]
 
@@ -132,6 +134,59 @@ def test_terms_stand_anywhere(spark):
             assert found == ([names[i]] * 3 if i == 2 else [names[i], f"x{names[i]}x", names[i]])
 
 
+def plain_terms(texts):
+    """Spans of the revealing terms of each text (words of letters only), from the definition: plain counts over distinct texts."""
+    kept = sorted(set(texts))
+    spans, words, entities = {}, {}, {}
+    for t in kept:
+        found = [(m.start(), m.end(), f"{k}:{re.sub('[^0-9]', '', m[0]) if k in ('card', 'phone') else m[0].lower()}") for k, m in brute.base_matches(t)]
+        entities[t] = {e for _, _, e in found}
+        clear = list(t)
+        for a, b, _ in found:
+            clear[a:b] = " " * (b - a)
+        spans[t] = [(m.start(), m.end(), m[0].lower()) for m in re.finditer("[A-Za-z0-9_]{2,}", "".join(clear))]
+        words[t] = {w for _, _, w in spans[t]}
+    n, c_t, c_e = len(kept), Counter(w for t in kept for w in words[t]), Counter(e for t in kept for e in entities[t])
+    c_te = Counter((w, e) for t in kept for w in words[t] for e in entities[t])
+    most = defaultdict(float)
+    for (w, e), x in c_te.items():
+        if c_e[e] < n:
+            p = (x + private_data.PRIOR_TEXTS * c_e[e] / n) / (c_t[w] + private_data.PRIOR_TEXTS)
+            most[w] = max(most[w], math.log2(p * n / c_e[e]) / math.log2(n / c_e[e]))
+    told = {w: x >= private_data.REMOVE for w, x in most.items() if x >= private_data.GENERALISE}
+    return [[(a, b, told[w]) for a, b, w in spans[t] if w in told] for t in texts], c_t
+
+
+def test_terms_equal_the_plain_counts(spark):
+    rng = random.Random(12)
+    common, rare = [f"common{i}" for i in range(30)], [f"rare{i}" for i in range(200)]
+    texts = []
+    for i in range(400):
+        said = [rng.choice(common) for _ in range(12)] + [rng.choice(rare) for _ in range(rng.randrange(3))]
+        if rng.random() < 0.15:
+            k = rng.randrange(20)
+            said += [f"p{k}@example.org", f"nick{k}", f"shared{k // 4}"][: rng.randrange(1, 4)]
+        rng.shuffle(said)
+        texts.append(" ".join(said))
+    texts += texts[:40]
+    wanted, c_t = plain_terms(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    puts = set()
+    for r in private_data.sanitise(docs).collect():
+        found = [(t["start"], t["end"], t["put"] == "") for t in r["terms"]]
+        text = texts[r["doc_id"]]
+        assert found == wanted[r["doc_id"]], text
+        base = [(m.start(), m.end(), f"[{k}]") for k, m in brute.base_matches(text)]
+        clean, at = "", 0
+        for a, b, put in sorted([*base, *((t["start"], t["end"], t["put"]) for t in r["terms"])]):
+            clean, at = clean + text[at:a] + put, b
+        assert r["sanitised"] == clean + text[at:]
+        puts |= {(text[t["start"] : t["end"]], t["put"]) for t in r["terms"] if t["put"]}
+    assert puts
+    for word, put in puts:  # a prefix that many texts have, or the kind
+        assert put == "[term]" or word.startswith(put[:-1]) and put.endswith("*") and max(n for w, n in c_t.items() if w.startswith(put[:-1])) > c_t[word]
+
+
 def test_private_edges(edges, no_rows):
     rows = private_data.span_digests(private_data.find_spans(edges)).collect()
     assert len(rows) == len(EDGES) and {r["spans"] for r in rows} == {""}
@@ -216,6 +271,89 @@ def test_arc_files_become_warc(spark, version):
         list(warc.read_arc(data[:-10]))
 
 
+def test_odd_arc_records(spark):
+    """A URL with spaces is read; a bad record costs itself alone."""
+    data = warc.arc_opening(1, "old.arc") + warc.arc_record(1, "http://h/a b c", warc.page_content(1, "x"), "old.arc", 0)
+    data += b"no header at all 7\nabcdefg\n" + warc.arc_record(1, "http://h/d", warc.page_content(2, "y"), "old.arc", 0) + b"rubbish"
+    with pytest.raises(ValueError):
+        list(warc.read_arc(data))
+    files = spark.createDataFrame([("old.arc", bytearray(data)), (None, None)], "path string, content binary")
+    found = {r["name"]: r for r in warc.convert_archives(files).collect()}
+    assert found[None]["warc"] == b"" and found[None]["rejected"] == []
+    assert [h.get("warc-target-uri") for h, _ in warc.read_warc(bytes(found["old.arc"]["warc"]))] == [None, "http://h/a%20b%20c", "http://h/d"]
+    assert len(found["old.arc"]["rejected"]) == 2
+
+
+def test_every_node_can_be_reached():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        middles = rng.normal(size=(8, 6)) * 50
+        x = np.concatenate([m + rng.normal(size=(40, 6)) * 0.01 for m in middles]).astype(np.float32)
+        graph = nearest.build_graph(x)
+        assert nearest.reached(graph, np.zeros(len(x), bool), np.array([0])).all()
+    alone = np.full((50, 4), -1, np.int32)
+    assert nearest.reached(nearest.connect(rng.normal(size=(50, 3)).astype(np.float32), alone), np.zeros(50, bool), np.array([0])).all()
+
+
+def test_equal_scores_go_to_smaller_ids(spark):
+    rows = [(i, [1.0, float(i) + 0.1]) for i in range(400)] + [(1000, [3.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest.nearest_neighbours(frame, frame.filter("vec_id = 1000"), k=150).orderBy("rank").collect()
+    assert len(found) == 150 and {r["score"] for r in found} == {3.0}
+    few = nearest.nearest_neighbours(frame.filter("vec_id < 150 or vec_id = 1000"), frame.filter("vec_id = 1000"), k=20).orderBy("rank").collect()
+    assert [r["vec_id"] for r in few] == list(range(20))
+
+
+def test_odd_conversations(spark):
+    """Null ids, turns and roles, repeated rows, a cycle, other columns, and no rows."""
+    rows = [(None, None, "user", "b"), (None, 1, None, "a"), (1, 1, "assistant", "x"), (1, 1, "assistant", "x"), (1, None, "user", None)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("total", F.lit("x")).withColumn("leaf", F.lit("x"))
+    found = {r["tree"]: [tuple(t) for t in r["turns"]] for r in chat.read_back(chat.format_trees(chat.linear_replies(frame))).collect()}
+    assert found == {None: [("user", "b"), ("", "a")], 1: [("user", ""), ("assistant", "x"), ("assistant", "x")]}
+    assert chat.format_trees(chat.linear_replies(frame.filter("false"))).count() == 0
+    circle = [(1, 1, 2, "user", "a", 0.0), (1, 2, 1, "user", "b", 0.0), (1, 3, 2, "user", "c", 0.0), (2, 1, None, "user", "d", None)]
+    circle = spark.createDataFrame(circle, "tree long, node long, parent long, role string, text string, score double")
+    assert [r["tree"] for r in chat.format_trees(circle).collect()] == [2]
+
+
+def test_deep_and_wide_trees(spark):
+    """A tree of 200 levels with a branch at each: the best three paths, as a walk finds them."""
+    rng = random.Random(11)
+    parent = {1: None} | {i: rng.randrange(max(1, i - 4), i) for i in range(2, 400)}
+    score = {i: rng.random() - 0.5 for i in parent}
+    rows = [(7, i, p, "user", str(i), score[i]) for i, p in parent.items()]
+    frame = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")
+    ways = {}
+    for leaf in set(parent) - set(parent.values()):
+        way = [leaf]
+        while parent[way[-1]]:
+            way.append(parent[way[-1]])
+        ways[leaf] = way[::-1]
+    best = sorted(ways, key=lambda leaf: -sum(score[i] for i in ways[leaf]))[:3]
+    found = {r["leaf"]: [int(t["text"]) for t in r["turns"]] for r in chat.read_back(chat.format_trees(frame, per_tree=3)).collect()}
+    assert found == {leaf: ways[leaf] for leaf in best}
+
+
+def test_pipeline_on_odd_rows(spark, edges, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows, further columns; and an empty table."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").withColumn("doc_id", F.col("doc_id") + 1000)
+    none = spark.createDataFrame([(None, "the same words of a lost row", None, None, None), (None, None, None, None, None)], docs.schema)
+    clash = [c for c in edges.columns if c not in docs.columns]
+    every = edges.unionByName(docs.unionByName(none), allowMissingColumns=True).select(*docs.columns, *clash)
+    for rows in (every, every.filter("false")):
+        before = rows
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, before, "").cache()
+            assert after.columns == before.columns, name
+            before = after
+        last = corpus_pipeline.STAGES[-1][1](spark, before, "")
+        assert last.count() == before.count()
+    ids = {r["doc_id"] for r in before.collect()}
+    assert ids == set()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     from tokenizers import Tokenizer

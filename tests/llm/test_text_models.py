@@ -1,7 +1,9 @@
 """Language identification, token counts and the codec."""
 
 import hashlib
+import math
 import struct
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -21,18 +23,72 @@ def test_language_of_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def plain_counts(texts):
+    """Trigrams of lower-case letters and single spaces, by the definition."""
+    counts = Counter()
+    for t in texts:
+        t = " " + "".join(c if c.isalpha() else " " for c in t.lower())
+        while "  " in t:
+            t = t.replace("  ", " ")
+        counts.update(t[i : i + 3] for i in range(len(t) - 2))
+    return counts
+
+
+def plain_prob(counts, known, gram, d=language_id.DISCOUNT):
+    """Interpolated Kneser-Ney, order by order, from the counts alone."""
+    pairs, single = Counter(g[1:] for g in counts), Counter(g[1] for g in {g[1:] for g in counts})
+    p = (max(single[gram[2]] - d, 0) + d * len(single) / (known + 1)) / sum(single.values())
+    follow = [n for g, n in pairs.items() if g[0] == gram[1]]
+    if follow:
+        p = (max(pairs[gram[1:]] - d, 0) + d * len(follow) * p) / sum(follow)
+    follow = [n for g, n in counts.items() if g[:2] == gram[:2]]
+    if follow:
+        p = (max(counts[gram] - d, 0) + d * len(follow) * p) / sum(follow)
+    return p
+
+
+TINY = [("a", "abracadabra abba"), ("a", "cab bad"), ("b", "Zig zag zoo"), ("b", "oz"), ("b", None), (None, "abc")]
+
+
+@pytest.mark.parametrize("cells", [8_000_000, 20])
+def test_entropies_equal_the_plain_model(spark, monkeypatch, cells):
+    """Whether the model is one part or many."""
+    monkeypatch.setattr(language_id, "PART_CELLS", cells)
+    models = language_id.train(spark.createDataFrame(TINY, "lang string, text string"), "lang", "text")
+    assert models.names == ["a", "b"] and (len(models.parts) == 1) == (cells > 20)
+    counts = {lang: plain_counts(t for x, t in TINY if x == lang and t) for lang in "ab"}
+    known = len({g[2] for c in counts.values() for g in c})
+    texts = ["abba zoo", "q", "", None, "Cadabra! 12", "za za za", "x" * 50]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in language_id.costs(frame, models, "doc_id", "text").collect():
+        t = "".join(c if c.isalpha() else " " for c in (texts[r["doc_id"]] or "").lower())
+        t = "  " + " ".join(t.split()) + (" " if t.strip() and t[-1] == " " else "")
+        if not t.strip():
+            assert r["n"] == 0
+            continue
+        wanted = [sum(-math.log(plain_prob(counts[lang], known, t[i - 2 : i + 1])) for i in range(2, len(t))) for lang in "ab"]
+        assert r["n"] == len(t) - 2 and r["nats"] == pytest.approx(wanted, rel=1e-5), texts[r["doc_id"]]
+
+
 def test_model_probabilities_sum_to_one():
     import numpy as np
 
     codes, starts = language_id.letters(["abracadabra abba", "cab"])
     keys, counts = np.unique(language_id.grams(codes), return_counts=True)
+    firsts, types = np.unique(np.unique(keys & 0xFFFFFFFF) & 0xFFFF, return_counts=True)
     known = np.unique(codes)
-    model = language_id.CharModel(keys, counts, len(known))
+    model = language_id.CharModel(keys, counts, firsts, types, len(known))
     for context in {int(k) >> 16 for k in keys}:
         every = np.array([context << 16 | int(c) for c in known], np.int64)
         assert 0.9 < model.prob3(every).sum() <= 1.0000001  # the rest is for letters never seen
 
 
+def test_marks_stay_with_their_letters():
+    codes, _ = language_id.letters(["བོད་ཡིག", "हिन्दी"])
+    assert "".join(map(chr, codes)).replace("\x00", " ") == " བོད ཡིག हिन्दी"
+    assert language_id.LanguageModels([], []).classify(None, [0])["lang_pred"] == ["und"]
+
+
 def test_language_edges(documents, edges, no_rows):
     models = language_id.train(documents, "lang", "text")
     rows = {r["doc_id"]: r for r in language_id.identify(edges, models).collect()}
@@ -45,7 +101,8 @@ def test_language_edges(documents, edges, no_rows):
 
 
 def test_foreign_script_is_rejected_and_clean_text_stays(spark, documents):
-    odd = spark.createDataFrame([(1, "κόσμος και γράμματα " * 20), (2, "qzx wvk jjq xzz qqk " * 20)], "doc_id long, text string")
+    odd = [(1, "κόσμος και γράμματα " * 20), (2, "qzx wvk jjq xzz qqk " * 20), (3, "漢字仮名交じり文"), (4, "བོད་ཡིག་གི་ཡི་གེ"), (5, None), (6, "12 ́")]
+    odd = spark.createDataFrame(odd, "doc_id long, text string")
     kept = language_id.keep_identified(odd, documents)
     assert kept.count() == 0
     # at this scale held-out clean text is rare enough to be wholly kept
