@@ -13,27 +13,40 @@ VOCABULARY = "word_bpe_49k.json"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the character models recognise; the rejected go."""
+    """Documents whose language the character models recognise; the rejected go.
+
+    Models learn from the same documents that have a label and a text. Null, empty and letterless texts go; null ids, labels and
+    sources, ties and repeated rows are judged by their text alone; an empty table gives none. All columns stay.
+    """
     return language_id.keep_identified(docs, docs, "lang")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest id."""
+    """Of equal texts (A-Z lower-cased), the document with the largest id, with all columns.
+
+    Null texts count as empty. Rows without an id go where an equal text has one; rows that repeat id and text stay together.
+    """
     return exact_dedup.drop_exact_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8)."""
+    """One document of each group of near copies (five words, similarity 0.8), that with the smallest id, with all columns.
+
+    Null, empty and wordless texts and rows without an id are near copies of nothing and stay; repeated rows stay together.
+    """
     return near_dedup.drop_near_copies(docs, words=5, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, with all columns; a null source is a source of its own.
+
+    Wordless texts stay once; rows without an id go, as no mix can name them. Reruns agree.
+    """
     return mixing.take_mix(docs, F.array("source"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document of the mix."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document of the mix, once for each time it is taken; null texts are empty."""
     return bpe.round_trip_digests(docs, public_tokenizers.path(VOCABULARY))
 
 
@@ -44,6 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other over the table documents, each written and read again; rows as the last one gives them."""
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
