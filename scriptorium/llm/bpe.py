@@ -20,7 +20,7 @@ from .common import map_texts
 #: How byte-level vocabularies split text before merging.
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words that a Python worker remembers between batches; the store is emptied when full.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Longer words are encoded anew each time.
 LONG_WORD = 64
 #: Characters of text whose words are merged together.

@@ -23,7 +23,7 @@ BLOCK = 2048
 #: Rows of small buckets that go to one call.
 GROUP_ROWS = 20_000
 #: Distinct words whose hash a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 
 class _WordHashes(dict):
