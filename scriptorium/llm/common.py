@@ -18,7 +18,7 @@ BROADCAST_ROWS = 1_000_000
 #: Rows that a key must meet to be joined apart from the others.
 HOT_ROWS = 1_000
 #: Bytes of text that a Python function gets at once (one longer text goes alone).
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 400_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,7 +79,7 @@ def text_slices(batch, column: int):
 
     lengths = pc.list_value_length if pa.types.is_list(batch.column(column).type) else pc.binary_length
     size = pc.fill_null(lengths(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(size) // SLICE_BYTES
+    part = np.cumsum(size, dtype=np.int64) // SLICE_BYTES
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(size)]
     for at, end in zip(cuts, cuts[1:]):
         if end > at:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_counted, map_texts, small, staged
+from .common import join_counted, map_texts, small, staged, text_slices
 from .components import connected_components
 
 #: Bands and hashes in each: a pair of similarity 0.8 shares no band with probability (1 - 0.8**6)**36 < 2e-5.
@@ -174,11 +174,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
 
     def batches(source):
         for batch in source:
-            on = []
-            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                if _linked(np.frombuffer(x, np.uint64), [np.frombuffer(y, np.uint64)], percent)[0]:
-                    on.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(on, pa.int64()))
+            for part in text_slices(batch, 2):
+                on = []
+                for i, (x, y) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist())):
+                    if _linked(np.frombuffer(x, np.uint64), [np.frombuffer(y, np.uint64)], percent)[0]:
+                        on.append(i)
+                yield part.select(["a", "b"]).take(pa.array(on, pa.int64()))
 
     return both.select("a", "b", "set_a", "set_b").mapInArrow(batches, pairs.select("a", "b").schema)
 
