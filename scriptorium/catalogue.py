@@ -10,33 +10,16 @@ from pyspark.sql import functions as F
 from .functions import text as tx
 from .operators import chunks, geometry, relations, stacks
 from .plans import assignment, closure, layout, numbering, quotas
-
-QUERIES: dict = {}
-ORACLES: dict = {}
-
-
-def _t(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def query(sql: str | None = None):
-    """Registers a query (spark, sf_dir) -> DataFrame and the SQL for the same rows."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
+from .registered import ORACLES, QUERIES, query
+from .registered import table as _t
 
 TOKENS = "(SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS token FROM documents)"
 RARITY = f"""
     freq AS (SELECT token, count(*) AS n FROM {TOKENS} GROUP BY token),
     info AS (SELECT token, n, -ln(n / (SELECT sum(n)::DOUBLE FROM freq)) AS info FROM freq),
-    l AS (SELECT list(info ORDER BY info) AS l FROM info),
-    b AS (SELECT l[floor(.05 * (len(l) - 1))::INT + 1] AS low, l[floor(.95 * (len(l) - 1))::INT + 1] AS high FROM l),
+    k AS (SELECT n, count(*) AS many FROM freq GROUP BY n),
+    upto AS (SELECT n, sum(many) OVER (ORDER BY n DESC) AS upto, sum(many) OVER () AS m FROM k),
+    b AS (SELECT min(-ln(n / (SELECT sum(n)::DOUBLE FROM freq))) FILTER (upto > floor(.05 * (m - 1))) AS low, min(-ln(n / (SELECT sum(n)::DOUBLE FROM freq))) FILTER (upto > floor(.95 * (m - 1))) AS high FROM upto),
     rare AS (SELECT token, n, coalesce(least(greatest((info - low) / nullif(high - low, 0), 0), 1), 0) AS rarity FROM info, b)"""
 
 
@@ -131,10 +114,9 @@ def volume_pages(spark, d):
     return _t(spark, d, "orders").select("o_orderkey", tx.volume_of(k, 1000).alias("volume"), tx.page_of(k, 1000).alias("page"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 2 = 1 AND NOT contains(substr(text, 1, 5), '*') THEN '* ' || substr(text, 1, 40) ELSE substr(text, 1, 40) END AS page FROM documents")
+@query("SELECT doc_id, CASE WHEN odd THEN '* ' || page ELSE page END AS page, odd::INT AS page_prefix_added FROM (SELECT doc_id, trim(text) AS page, doc_id % 2 = 1 AND NOT contains(substr(trim(text), 1, 5), '*') AS odd FROM documents)")
 def odd_prefix(spark, d):
-    cut = F.substring("text", 1, 40)
-    return _t(spark, d, "documents").select("doc_id", F.when((F.col("doc_id") % 2 == 1) & ~F.substring("text", 1, 5).contains("*"), F.concat(F.lit("* "), cut)).otherwise(cut).alias("page"))
+    return _t(spark, d, "documents").select("doc_id", *tx.odd_prefix(F.col("doc_id"), F.trim("text"), "* ", "*"))
 
 
 @query("""
@@ -166,11 +148,10 @@ SUPPORT = f"""(SELECT doc_id, source, probe, contains(lower(text), probe) AS ok,
 
 
 def _support(spark, d):
-    probes = spark.createDataFrame([(p,) for p in PROBES], "probe string")
-    rows = relations.support_pairs(_t(spark, d, "documents").select("doc_id", "source", "text"), probes)
-    ok = F.lower("text").contains(F.col("probe"))
-    reason = F.when(ok, "").when(F.length("text") < 500, "short").otherwise("absent")
-    return rows.select("doc_id", "source", "probe", ok.alias("ok"), F.length("probe").cast("long").alias("complexity"), reason.alias("reason"))
+    text = F.col("text")
+    rows = relations.probed(_t(spark, d, "documents"), PROBES, lambda probe: F.lower(text).contains(probe), ["doc_id", "source", F.length("text").alias("long")])
+    reason = F.when(F.col("ok"), "").when(F.col("long") < 500, "short").otherwise("absent")
+    return rows.select("doc_id", "source", "probe", "ok", F.length("probe").cast("long").alias("complexity"), reason.alias("reason"))
 
 
 @query(f"SELECT doc_id, source, probe, ok, complexity, reason FROM {SUPPORT}")
@@ -188,9 +169,15 @@ def support_summary(spark, d):
     return found.withColumn("ok_rate", F.round("ok_rate", 6))
 
 
-@query(f"SELECT probe, max(ok::INT) FILTER (source = 'src0') AS src0, max(ok::INT) FILTER (source = 'src1') AS src1, max(ok::INT) FILTER (source = 'src2') AS src2 FROM {SUPPORT} GROUP BY probe")
+@query(f"""
+    WITH s AS (SELECT *, row_number() OVER (PARTITION BY probe, source ORDER BY doc_id DESC) AS r FROM {SUPPORT})
+    SELECT probe, string_agg(source || '=' || ok::INT, ' ' ORDER BY source) AS marks FROM s WHERE r = 1 GROUP BY probe""")
 def support_pivot(spark, d):
-    return _support(spark, d).groupBy("probe").pivot("source", ["src0", "src1", "src2"]).agg(F.max(F.col("ok").cast("int")))
+    """A column per source; they are shown in one, as their names come from the data."""
+    wide = relations.support_matrix(_support(spark, d), "probe", "source", "ok", "doc_id")
+    names = [c for c in wide.columns if c != "probe"]
+    marks = F.array(*[F.when(F.col(f"`{c}`").isNotNull(), F.concat(F.lit(f"{c}="), F.col(f"`{c}`").cast("string"))) for c in names])
+    return wide.select("probe", F.array_join(marks, " ").alias("marks"))
 
 
 @query(f"SELECT source, count(DISTINCT token) AS supported FROM {TOKENS} JOIN documents USING (doc_id) GROUP BY source")
@@ -288,7 +275,7 @@ def batch_slices(spark, d):
 
 @query("""
     SELECT l_orderkey, bool_or(coalesce(l_quantity > prev, false)) AS rises FROM
-    (SELECT *, lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS prev FROM lineitem) GROUP BY l_orderkey""")
+    (SELECT *, lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS prev FROM lineitem) GROUP BY l_orderkey""")
 def adjacent_pairs(spark, d):
     lines = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity")))
     boxes = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(lines.alias("b"))
@@ -342,24 +329,6 @@ def closure_suffix(spark, d):
     return closure.suffix_closure(spark.createDataFrame(STEMS, "word string, flag string"), rules)
 
 
-BOX = "gid int, name string, x0 int, ytop int, x1 int, ybot int"
-CASES = [
-    (1, "ཀ", [(1, "ka", 0, 100, 80, 0)]),
-    (2, "ཀྲུ", [(1, "ka", 0, 100, 80, 0), (2, "ra", 0, 0, 80, -50), (3, "u", 10, 20, 70, -40)]),
-    (3, "ཀྲྱ", [(1, "ka", 0, 100, 80, 0), (2, "ra", 0, 10, 80, -50), (3, "ya", 0, -20, 80, -45)]),
-    (4, "ཀྲྱ", [(1, "ka", 0, 100, 80, 0), (2, "ra", 0, 0, 80, -50), (3, "ya", 0, -10, 80, -90)]),
-    (5, "ཀྲ", [(1, "ka", 0, 100, 80, 0), (2, "ra", 200, 60, 280, -30)]),
-    (6, "ཀ", [(0, ".notdef", 0, 100, 80, 0), (9, "uni25CC", 0, 0, 0, 0)]),
-]
-
-
-@query("""SELECT * FROM (VALUES (1, true, ''), (2, false, 'floating_bottom_vowel'), (3, false, 'subscript_containment'), (4, false, 'subscript_overlap'),
-    (5, false, 'subscript_horizontal_misalignment'), (6, false, 'notdef;dotted_circle')) AS t(id, ok, reason)""")
-def geometry_verdicts(spark, d):
-    rows = spark.createDataFrame(CASES, f"id int, text string, boxes array<struct<{BOX}>>")
-    return rows.select("id", geometry.verdict(F.col("text"), F.col("boxes")).alias("v")).select("id", "v.ok", "v.reason")
-
-
 @query("""
     WITH a AS (SELECT *, n_chars < 1500 AND lead(doc_id) OVER w IS NOT NULL AS able FROM (SELECT doc_id // 100 AS batch, doc_id, n_chars FROM documents) WINDOW w AS (PARTITION BY batch ORDER BY doc_id)),
     r AS (SELECT *, sum((NOT able)::INT) OVER (PARTITION BY batch ORDER BY doc_id) AS run FROM a),
@@ -405,3 +374,6 @@ def chunk_assignment(spark, d):
 def random_pages(spark, d):
     units = _t(spark, d, "documents").select(F.explode(tx.split_units(F.col("text"))).alias("unit")).filter(F.length("unit").between(20, 220))
     return layout.random_pages(_t(spark, d, "supplier").select("s_suppkey"), units, "s_suppkey", "unit")
+
+
+from . import catalogue_geometry, catalogue_records  # noqa: E402, F401  register their queries here

@@ -101,6 +101,12 @@ def natural_key(text: Column) -> Column:
     return F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^[0-9]"), F.lpad(x, 20, "0")).otherwise(x)), "")
 
 
+def odd_prefix(number: Column, text: Column, prefix: str, mark: str) -> tuple[Column, Column]:
+    """page and page_prefix_added: the prefix before whole texts of odd numbers, unless the mark is in their first five characters."""
+    odd = F.coalesce((number % 2 == 1) & ~F.substring(text, 1, 5).contains(mark), F.lit(False))
+    return F.when(odd, F.concat(F.lit(prefix), text)).otherwise(text).alias("page"), odd.cast("int").alias("page_prefix_added")
+
+
 def parse_int_strict(text: Column, default: int = 0) -> Column:
     """Blank gives the default, "12.0" gives 12, junk raises (ANSI)."""
     return F.when(F.coalesce(F.trim(text), F.lit("")) == "", F.lit(default)).otherwise(F.trim(text).cast("double")).cast("bigint")

@@ -1,6 +1,7 @@
 """Placement warnings over arrays of glyph boxes: predicates of higher-order functions, no Python on the executors.
 
-A box has name, x0, ytop, x1, ybot; y grows upward. Computed indexes go through get(), divisors through nullif().
+A box has gid, name, x0, ytop, x1, ybot; y grows upward. Computed indexes go through get(), and a ratio over something that is not
+positive is null, which no rule takes for true.
 """
 
 from __future__ import annotations
@@ -13,7 +14,14 @@ TOP_MARKS = "\\u0F72\\u0F7A-\\u0F7E\\u0F80\\u0F82\\u0F83"
 TOP_DIACRITICS = "\\u0F7E\\u0F82\\u0F83"
 BOTTOM_VOWELS = "\\u0F71\\u0F73-\\u0F77\\u0F80\\u0F81"
 LINE_MARKS = "\\u0F35\\u0F37"
+BASE_LETTERS = "\\u0F40-\\u0F6C"
 SUBJOINED = "\\u0F90-\\u0FBC"
+VOWELS = "\\u0F71-\\u0F84\\u0F86\\u0F87\\u0FC6"
+#: The warnings in the order in which they are told; of the last three only the first that holds is.
+WARNINGS = [
+    "top_diacritic_collision", "top_mark_overlap", "top_mark_horizontal_misalignment", "mark_horizontal_misalignment", "floating_bottom_vowel",
+    "subscript_layer_collision", "subscript_horizontal_misalignment", "subscript_containment", "subscript_overlap", "subscript_insufficient_descent",
+]
 
 
 def count_of(text: Column, chars: str) -> Column:
@@ -24,6 +32,10 @@ def height(b: Column) -> Column:
     return b["ytop"] - b["ybot"]
 
 
+def width(b: Column) -> Column:
+    return b["x1"] - b["x0"]
+
+
 def centre(b: Column) -> Column:
     return (b["x0"] + b["x1"]) / 2.0
 
@@ -37,12 +49,13 @@ def overlap_x(p: Column, c: Column) -> Column:
 
 
 def ratio(a: Column, b: Column) -> Column:
-    return a / F.nullif(b.cast("double"), F.lit(0.0))
+    """a / b where b is positive."""
+    return F.when(b > 0, a / b.cast("double"))
 
 
-def outside(c: Column, base: Column, slack: float = 0.10) -> Column:
-    room = (base["x1"] - base["x0"]) * slack
-    return (centre(c) < base["x0"] - room) | (centre(c) > base["x1"] + room)
+def outside(c: Column, x0: Column, x1: Column, room: Column) -> Column:
+    """Whether the centre lies beyond the span x0 to x1 by more than a tenth of room."""
+    return (centre(c) < x0 - 0.10 * room) | (centre(c) > x1 + 0.10 * room)
 
 
 def adjacent(b: Column) -> Column:
@@ -53,92 +66,160 @@ def adjacent(b: Column) -> Column:
 
 
 def bodies(text: Column, b: Column, first: int = 1) -> Column:
-    """Boxes without the trailing top marks; first=2 leaves out the base box."""
+    """Boxes without the trailing top marks; first=2 leaves out the base box. With more marks than boxes, as many are taken from the end twice."""
     marks = F.length(F.regexp_extract(text, f"[{TOP_MARKS}]*$", 0))
     end = F.when(F.size(b) >= marks, F.size(b) - marks).otherwise(F.greatest(2 * F.size(b) - marks, F.lit(0)))
     return F.slice(b, F.lit(first), F.greatest(end - (first - 1), F.lit(0)))
 
 
-def _warning(name: str, when: Column) -> Column:
-    return F.when(F.coalesce(when, F.lit(False)), F.lit(name))
+def spread(a: Column, f) -> Column:
+    return F.array_max(F.transform(a, f)) - F.array_min(F.transform(a, f))
 
 
-def placement_warnings(text: Column, boxes: Column) -> Column:
-    """Names of the warnings, in their order. Fewer than two boxes or no stack height give none."""
+def mean_size(a: Column, f) -> Column:
+    return F.aggregate(F.transform(a, f), F.lit(0.0), lambda s, x: s + F.abs(x)) / F.nullif(F.size(a), F.lit(0))
+
+
+def rules(text: Column, boxes: Column) -> dict[str, Column]:
+    """Each warning's own condition, without the common ones (two boxes, a stack height, a subjoined letter for those of subscripts)."""
     n, base = F.size(boxes), F.get(boxes, F.lit(0))
+    last, before_last = F.get(boxes, n - 1), F.get(boxes, n - 2)
+    others = F.slice(boxes, F.lit(1), F.greatest(n - 1, F.lit(0)))
+    upper = F.slice(boxes, F.lit(2), F.greatest(n - 1, F.lit(0)))
     stack = base["ytop"] - F.array_min(F.transform(boxes, lambda x: x["ybot"]))
-    subjoined, last_mark = count_of(text, SUBJOINED), text.rlike(f"[{TOP_MARKS}]$")
-    upper, last = F.slice(boxes, F.lit(2), F.greatest(n - 1, F.lit(0))), F.get(boxes, n - 1)
-    before_last = F.get(boxes, n - 2)
+    subjoined, last_mark = count_of(text, SUBJOINED), text.rlike(f"[{TOP_MARKS}]\\z")
+
     key = lambda x: F.struct(x["name"], x["x0"], x["ytop"], x["x1"], x["ybot"])
-    spread = lambda a, f: F.array_max(F.transform(a, f)) - F.array_min(F.transform(a, f))
-    mean = lambda a, f: F.aggregate(F.transform(a, f), F.lit(0.0), lambda s, x: s + x) / F.nullif(F.size(a), F.lit(0))
-    # two marks on one place
     same = F.size(F.array_distinct(F.transform(upper, key))) < F.size(upper)
     scale = F.when(base["ytop"] == 0, F.lit(1)).otherwise(F.abs(base["ytop"]))
     high = F.filter(upper, lambda x: x["ybot"] >= base["ytop"] - 0.05 * scale)
-    near = (F.size(high) >= 2) & (spread(high, centre) <= 0.08 * mean(high, lambda x: (x["x1"] - x["x0"]).cast("double")))
-    near = near & (spread(high, lambda x: (x["ytop"] + x["ybot"]) / 2.0) <= 0.08 * mean(high, lambda x: height(x).cast("double")))
-    collision = (count_of(text, TOP_DIACRITICS) >= 2) & (same | near)
-    # the last mark over a body
-    covers = (ratio(overlap_y(before_last, last), height(before_last)) >= 0.65) & (last["ybot"] < before_last["ytop"])
-    earlier = F.exists(F.slice(boxes, F.lit(1), F.greatest(n - 2, F.lit(0))), lambda x: (ratio(overlap_y(x, last), height(x)) >= 0.75) & (last["ytop"] <= x["ytop"]))
-    mark_overlap = last_mark & (covers | F.coalesce(earlier, F.lit(False)))
-    beside = lambda least: ratio(overlap_x(base, last), last["x1"] - last["x0"]) < least
-    # the vowel below
+    near = (F.size(high) >= 2) & (spread(high, centre) <= 0.08 * mean_size(high, width)) & (spread(high, lambda x: (x["ytop"] + x["ybot"]) / 2.0) <= 0.08 * mean_size(high, height))
+
+    covers = (ratio(overlap_y(before_last, last), height(last)) >= 0.65) & (last["ybot"] < before_last["ytop"])
+    swallowed = F.exists(others, lambda x: (height(x) > 0) & (ratio(overlap_y(x, last), height(last)) >= 0.75) & (last["ytop"] <= x["ytop"]))
+
+    x0, x1 = F.array_min(F.transform(others, lambda x: x["x0"])), F.array_max(F.transform(others, lambda x: x["x1"]))
+    beside = ratio(F.greatest(F.lit(0), F.least(last["x1"], x1) - F.greatest(last["x0"], x0)), width(last))
+    astray = outside(last, x0, x1, F.greatest(F.lit(1), x1 - x0))
+
     at = F.when(last_mark, n - 2).otherwise(n - 1)
     vowel, prev = F.get(boxes, F.greatest(at, F.lit(0))), F.get(boxes, F.greatest(at - 1, F.lit(0)))
-    share, tall = ratio(overlap_y(prev, vowel), height(vowel)), height(prev)
-    floats = (vowel["ytop"] > prev["ytop"] - 0.10 * stack) | ((tall > 0) & (vowel["ybot"] > prev["ybot"] + 0.10 * tall))
-    floats = floats | ((share >= 0.85) & (vowel["ybot"] > prev["ybot"] - 0.08 * stack)) | ((share >= 0.45) & (vowel["ytop"] > prev["ybot"] + 0.20 * stack))
-    floating = text.rlike(f"[{BOTTOM_VOWELS}]") & (at > 0) & floats
-    # subjoined letters
+    share = ratio(overlap_y(prev, vowel), height(vowel))
+    floats = [
+        vowel["ytop"] > prev["ytop"] - 0.10 * stack,
+        (height(prev) > 0) & (vowel["ybot"] > prev["ybot"] + 0.10 * height(prev)),
+        (share >= 0.85) & (vowel["ybot"] > prev["ybot"] - 0.08 * stack),
+        (share >= 0.45) & (vowel["ytop"] > prev["ybot"] + 0.20 * height(vowel)),
+    ]
+    floating = F.greatest(*[F.coalesce(f, F.lit(False)) for f in floats])
+
     inner = bodies(text, boxes, 2)
     layers = (subjoined >= 4) & (n >= 5) & (F.size(inner) >= 4) & (spread(inner, lambda x: x["ytop"]) <= 0.18 * stack) & (F.size(F.array_distinct(F.transform(inner, lambda x: x["name"]))) >= 4)
-    pairs = adjacent(bodies(text, boxes))
 
     def sideways(x):
         p, c = x["p"], x["c"]
-        gap = p["ybot"] - c["ytop"]
-        level = (ratio(overlap_y(p, c), F.least(height(p), height(c))) >= 0.35) | ((gap >= 0) & (gap <= 0.08 * F.greatest(F.lit(1), height(p))))
-        return (ratio(overlap_x(p, c), F.least(p["x1"] - p["x0"], c["x1"] - c["x0"])) < 0.25) & level & outside(c, p)
+        gap = c["ytop"] - p["ybot"]
+        level = (ratio(F.greatest(F.lit(0), overlap_y(p, c)), height(c)) >= 0.35) | ((gap >= 0) & (gap <= 0.08 * F.greatest(F.lit(1), height(p))))
+        return (width(p) > 0) & (height(c) > 0) & (ratio(overlap_x(p, c), width(c)) < 0.25) & level & outside(c, p["x0"], p["x1"], width(p))
 
     def contained(x):
         p, c = x["p"], x["c"]
-        return (c["ybot"] > p["ybot"]) & (ratio(overlap_y(p, c), height(c)) >= 0.85) & (c["ybot"] > p["ybot"] - 0.05 * height(p)) & (height(c) <= 0.80 * height(p))
+        return (c["ybot"] > p["ybot"]) & (ratio(overlap_y(p, c), height(c)) >= 0.85) & (c["ybot"] > p["ybot"] - 0.05 * height(p)) & (height(p) > 0) & (height(c) <= 0.80 * height(p))
 
     def laid_over(x):
         p, c = x["p"], x["c"]
-        return (c["ybot"] < p["ybot"]) & (overlap_y(p, c) > 0) & (ratio(overlap_y(p, c), F.least(height(p), height(c))) >= 0.35)
+        return (c["ybot"] < p["ybot"]) & (overlap_y(p, c) > 0) & (ratio(overlap_y(p, c), height(c)) >= 0.35)
 
     def hardly_lower(x):
-        return x["c"]["ytop"] > x["p"]["ytop"] - 0.20 * height(x["p"])
+        return (height(x["p"]) > 0) & (x["c"]["ytop"] > x["p"]["ytop"] - 0.20 * height(x["p"]))
+
+    body = bodies(text, boxes)
+    some = lambda pairs, rule: F.exists(adjacent(pairs), rule)
+    found = {
+        "top_diacritic_collision": (count_of(text, TOP_DIACRITICS) >= 2) & (same | near),
+        "top_mark_overlap": last_mark & (F.coalesce(covers, F.lit(False)) | F.coalesce(swallowed, F.lit(False))),
+        "top_mark_horizontal_misalignment": last_mark & (beside < 0.25) & astray,
+        "mark_horizontal_misalignment": text.rlike(f"[{LINE_MARKS}]") & ((beside < 0.40) | (beside.isNotNull() & astray)),
+        "floating_bottom_vowel": text.rlike(f"[{BOTTOM_VOWELS}]") & (at > 0) & floating,
+        "subscript_layer_collision": layers,
+        "subscript_horizontal_misalignment": some(boxes, sideways),
+        "subscript_containment": (subjoined >= 2) & some(body, contained),
+        "subscript_overlap": (subjoined >= 2) & (n >= 3) & some(body, laid_over),
+        "subscript_insufficient_descent": (subjoined >= 2) & (n >= 3) & (F.size(body) >= 3) & some(body, hardly_lower),
+    }
+    return {name: F.coalesce(when, F.lit(False)) for name, when in found.items()}
 
-    some = lambda rule: F.coalesce(F.exists(pairs, rule), F.lit(False))
-    lower = (
-        F.when((subjoined >= 2) & some(contained), "subscript_containment")
-        .when((subjoined >= 2) & (n >= 3) & some(laid_over), "subscript_overlap")
-        .when((subjoined >= 2) & (n >= 3) & (F.size(bodies(text, boxes)) >= 3) & some(hardly_lower), "subscript_insufficient_descent")
-    )
-    found = F.array(
-        _warning("top_diacritic_collision", collision),
-        _warning("top_mark_overlap", mark_overlap),
-        _warning("top_mark_horizontal_misalignment", last_mark & beside(0.25) & outside(last, base)),
-        _warning("mark_horizontal_misalignment", text.rlike(f"[{LINE_MARKS}]") & (beside(0.40) | outside(last, base))),
-        _warning("floating_bottom_vowel", floating),
-        _warning("subscript_layer_collision", layers),
-        F.when((subjoined >= 1), _warning("subscript_horizontal_misalignment", some(sideways))),
-        F.when((subjoined >= 1), lower),
-    )
-    none = F.array().cast("array<string>")
-    return F.when((n >= 2) & (stack > 0), F.array_compact(found)).otherwise(none)
+
+def placement_warnings(text: Column, boxes: Column) -> Column:
+    """Names of the warnings, in their order. Fewer than two boxes or no stack height give none."""
+    own, lower = rules(text, boxes), WARNINGS[-3:]
+    below = F.when(own[lower[0]], lower[0]).when(own[lower[1]], lower[1]).when(own[lower[2]], lower[2])
+    told = [F.when(own[name], F.lit(name)) for name in WARNINGS[:5]]
+    told += [F.when(count_of(text, SUBJOINED) >= 1, x) for x in [F.when(own[name], F.lit(name)) for name in WARNINGS[5:7]] + [below]]
+    stack = F.get(boxes, F.lit(0))["ytop"] - F.array_min(F.transform(boxes, lambda x: x["ybot"]))
+    return F.when((F.size(boxes) >= 2) & (stack > 0), F.array_compact(F.array(*told))).otherwise(F.array().cast("array<string>"))
+
+
+def script_tags(text: Column) -> Column:
+    """struct<script, language> under which a text is shaped."""
+    return F.when(text.rlike("[\\u0F00-\\u0FFF]"), F.struct(F.lit("tibt").alias("script"), F.lit("bo").alias("language"))).otherwise(F.struct(F.lit("latn").alias("script"), F.lit("en").alias("language")))
 
 
-def verdict(text: Column, boxes: Column) -> Column:
-    """struct<ok, reason>: missing glyphs, dotted circles, empty shapes and no ink come before the placement warnings."""
-    missing = F.exists(boxes, lambda x: (x["gid"] == 0) | (x["name"] == ".notdef"))
+def verdict(text: Column, boxes: Column, error: Column | None = None) -> Column:
+    """struct<ok, support_class, reason, notdef_count, has_dotted_circle, glyph_count, bbox, ink_area, placement_warnings, placement_warning_count>.
+
+    Missing glyphs, dotted circles, empty shapes and no ink come before the placement warnings; without any, reason is "ok". bbox is the least x0
+    and ytop and the greatest x1 and ybot. Where the shaper told an error, that is all there is. Null boxes count as none.
+    """
+    boxes = F.coalesce(boxes, F.filter(boxes, lambda x: F.lit(False)))
+    missing = F.size(F.filter(boxes, lambda x: (x["gid"] == 0) | (x["name"] == ".notdef")))
     dotted = F.exists(boxes, lambda x: F.lower(x["name"]).rlike("dotted|25cc"))
-    ink = F.aggregate(boxes, F.lit(0.0), lambda s, x: s + F.abs((x["x1"] - x["x0"]) * height(x)))
-    first = F.array(_warning("notdef", missing), _warning("dotted_circle", dotted), _warning("empty_shape", F.size(boxes) == 0), _warning("zero_ink", (F.size(boxes) > 0) & (ink == 0)))
-    reasons = F.concat(F.array_compact(first), placement_warnings(text, boxes))
-    return F.struct((F.size(reasons) == 0).alias("ok"), F.array_join(reasons, ";").alias("reason"))
+    ink = F.aggregate(boxes, F.lit(0).cast("long"), lambda s, x: s + F.abs(width(x) * height(x)).cast("long"))
+    none = F.size(boxes) == 0
+    first = F.array(F.when(missing > 0, "notdef"), F.when(dotted, "dotted_circle"), F.when(none, "empty_shape"), F.when(~none & (ink == 0), "zero_ink"))
+    edge = lambda f, c: f(F.transform(boxes, lambda x: x[c])).cast("string")
+    bbox = F.when(none, "").otherwise(F.concat_ws(",", edge(F.array_min, "x0"), edge(F.array_min, "ytop"), edge(F.array_max, "x1"), edge(F.array_max, "ybot")))
+
+    def told(placed):
+        reasons = F.concat(F.array_compact(first), placed)
+        ok = F.size(reasons) == 0
+        return _told(ok, F.when(ok, "ok").otherwise("fail"), F.when(ok, "ok").otherwise(F.array_join(reasons, ";")), missing, dotted, F.size(boxes), bbox, ink, F.array_join(placed, ";"), F.size(placed))
+
+    # a one-element array names the warnings, which are worked out once
+    shaped = F.get(F.transform(F.array(placement_warnings(text, boxes)), told), F.lit(0))
+    return shaped if error is None else F.when(error.isNull(), shaped).otherwise(failed("shape_error", F.concat(F.lit("shape_error:"), error)))
+
+
+def _told(ok, kind, reason, missing, dotted, glyphs, bbox, ink, warnings, count) -> Column:
+    names = ["ok", "support_class", "reason", "notdef_count", "has_dotted_circle", "glyph_count", "bbox", "ink_area", "placement_warnings", "placement_warning_count"]
+    types = ["boolean", "string", "string", "long", "boolean", "long", "string", "long", "string", "long"]
+    return F.struct(*[c.cast(t).alias(n) for c, t, n in zip((ok, kind, reason, missing, dotted, glyphs, bbox, ink, warnings, count), types, names)])
+
+
+def failed(kind: str, reason: Column) -> Column:
+    """The verdict of what was not shaped."""
+    zero, blank = F.lit(0), F.lit("")
+    return _told(F.lit(False), F.lit(kind), reason, zero, F.lit(False), zero, blank, zero, blank, zero)
+
+
+def final_verdict(kind: Column, skt_ok: Column, is_standard: Column, font_error: Column, shaped: Column) -> Column:
+    """The verdict of a renderer and a probe: an unreadable renderer comes first, then stacks that are not standard for a renderer that isn't meant to
+    have them, then what was shaped, with the class named after the kind of test where it is ok."""
+    passed = F.when(kind == "normal", "normal_tibetan_ok").when(kind == "latin", "latin_digit_punct_ok").otherwise("complex_stack_ok")
+    out = F.when(font_error.isNotNull(), failed("font_error", F.concat(F.lit("font_error:"), font_error)))
+    out = out.when((kind == "stack") & (skt_ok == 0) & (is_standard == 0), failed("non_standard_for_skt0", F.lit("non_standard_tibetan_for_skt0")))
+    return out.otherwise(shaped.withField("support_class", F.when(shaped["ok"], passed).otherwise(shaped["support_class"])))
+
+
+def stack_metrics(text: Column) -> Column:
+    """struct of a stack's length, code points, counts of base letters, subjoined letters and vowels, and its complexity."""
+    base, below, vowels = (count_of(text, c).cast("long") for c in (BASE_LETTERS, SUBJOINED, VOWELS))
+    return F.struct(
+        F.length(text).cast("long").alias("stack_len"),
+        base.alias("base_count"),
+        below.alias("subjoined_count"),
+        vowels.alias("vowel_diacritic_count"),
+        (below > 0).alias("has_subjoined"),
+        (vowels > 0).alias("has_vowel_diacritic"),
+        (below + vowels + F.greatest(F.lit(0), base - 1)).alias("complexity"),
+    )
