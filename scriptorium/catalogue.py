@@ -61,7 +61,15 @@ def split_units(spark, d):
     return units.groupBy("doc_id", "unit").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("""
+    WITH RECURSIVE l AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[^.]*[.]|[^.]+$'), lambda x: regexp_replace(x, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')), lambda x: length(x) >= 8) AS l FROM documents),
+      u AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS k, len(l) AS n FROM l),
+      f AS (SELECT DISTINCT doc_id, 0::BIGINT AS k, n, '' AS buf, 0::BIGINT AS start, 0::BIGINT AS pos, '' AS e1, 0::BIGINT AS s1, '' AS e2, 0::BIGINT AS s2 FROM u
+        UNION ALL SELECT doc_id, k, n, CASE WHEN length(nb) >= 1300 THEN '' ELSE nb END, ns, pos + length(x) + 1, CASE WHEN closes THEN buf ELSE '' END, start, CASE WHEN length(nb) >= 1300 THEN nb ELSE '' END, ns
+        FROM (SELECT *, CASE WHEN buf = '' OR closes THEN x ELSE buf || ' ' || x END AS nb, CASE WHEN buf = '' OR closes THEN pos ELSE start END AS ns
+          FROM (SELECT u.doc_id, u.k, u.n, u.x, buf, start, pos, buf <> '' AND length(buf) + 1 + length(x) > 1800 AND length(buf) >= 900 AS closes FROM f JOIN u ON u.doc_id = f.doc_id AND u.k = f.k + 1))),
+      c AS (SELECT doc_id, e1 AS text, s1 AS char_start FROM f WHERE e1 <> '' UNION ALL SELECT doc_id, e2, s2 FROM f WHERE e2 <> '' UNION ALL SELECT doc_id, buf, start FROM f WHERE k = n AND length(buf) >= 900)
+    SELECT substr(sha1(doc_id || ':' || char_start || ':' || text), 1, 16) AS chunk_id, doc_id, char_start, char_start + length(text) AS char_end, length(text) AS char_count, text FROM c WHERE NOT contains(text, '.....')""")
 def chunk_documents(spark, d):
     return chunks.chunk_documents(_t(spark, d, "documents"))
 
@@ -305,7 +313,11 @@ def round_robin_sample(spark, d):
     return rows.filter("turn <= 5")
 
 
-@query()
+@query("""
+    WITH RECURSIVE o AS (SELECT doc_id, lang, strlen(text) AS bytes, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS i FROM documents),
+      f AS (SELECT doc_id, lang, bytes, i, 0::BIGINT AS shard, bytes AS filled FROM o WHERE i = 1
+        UNION ALL SELECT o.doc_id, o.lang, o.bytes, o.i, CASE WHEN filled + o.bytes > 200000 THEN shard + 1 ELSE shard END, CASE WHEN filled + o.bytes > 200000 THEN o.bytes ELSE filled + o.bytes END FROM f JOIN o ON o.lang = f.lang AND o.i = f.i + 1)
+    SELECT doc_id, lang, bytes, shard FROM f""")
 def shard_nextfit(spark, d):
     rows = _t(spark, d, "documents").select("doc_id", "lang", F.octet_length("text").cast("long").alias("bytes"))
     return quotas.next_fit_shards(rows, "lang", "bytes", ["doc_id"], 200_000)

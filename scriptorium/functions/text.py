@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -67,6 +67,16 @@ def split_units(text: Column, p: Profile = LATIN, shortest: int = 8) -> Column:
     return F.filter(F.transform(cut, strip), lambda u: F.length(u) >= shortest)
 
 
+def usable_units(units: DataFrame, unit: str, least: int = 20, most: int = 220, p: Profile = LATIN, foreign: str | None = None, without: list[str] | None = None) -> DataFrame:
+    """Units of least to most characters without a doubled gap, without characters of the foreign class, and without any of the substrings."""
+    text = F.col(unit)
+    kept = units.filter(F.length(text).between(least, most) & ~text.contains(p.gap * 2))
+    kept = kept.filter(~text.rlike(f"[{foreign}]")) if foreign else kept
+    for part in without or []:
+        kept = kept.filter(~text.contains(part))
+    return kept
+
+
 def split_marker_units(text: Column, p: Profile = TIBETAN) -> Column:
     """Units cut behind a syllable mark that no stop follows, or behind a space."""
     return F.regexp_extract_all(text, F.lit(f"(?s).*?(?:{p.gap}(?!{p.stop})| )|.+$"), F.lit(0))

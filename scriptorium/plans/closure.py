@@ -5,19 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import saved
 
-def suffix_closure(stems: DataFrame, rules: DataFrame, max_rounds: int = 20) -> DataFrame:
-    """All (word, flag) reachable: a rule (flag, strip, add, next_flag) applies to words of its flag that end in strip.
 
-    Each round joins the newest forms only with the rules and drops those seen before.
+def suffix_closure(stems: DataFrame, rules: DataFrame, max_rounds: int = 50, max_states: int = 2_000_000) -> DataFrame:
+    """All (word, flag) reachable: a rule (flag, strip, add, next_flag, and a pattern the word must match, if the table has one) applies to words
+    of its flag that end in strip.
+
+    Each round joins the newest forms only with the rules and drops those seen before; it is saved, so a round costs what is new in it.
+    Rules are a dictionary's, a few thousand. A closure of more than max_states forms is cut there, as forms may grow without end; the forms
+    of the fewest steps stay, and of equal steps the first by word and flag.
     """
-    seen = newest = stems.select("word", "flag").distinct()
+    seen = newest = saved(stems.select("word", "flag").distinct())
+    many = seen.count()
     for _ in range(max_rounds):
         base = F.expr("substring(word, 1, length(word) - length(strip))")
         made = newest.join(F.broadcast(rules), "flag").filter(F.col("word").endswith(F.col("strip")))
+        if "condition" in rules.columns:
+            made = made.filter(F.expr("word rlike condition"))
         made = made.select(F.concat(base, "add").alias("word"), F.col("next_flag").alias("flag")).distinct()
-        newest = made.join(seen, ["word", "flag"], "left_anti")
-        if newest.limit(1).count() == 0:
+        newest = saved(made.join(seen, ["word", "flag"], "left_anti"))
+        found = newest.count()
+        if found == 0:
             return seen
-        seen = seen.unionByName(newest)
+        if many + found >= max_states:
+            return seen.unionByName(newest.orderBy("word", "flag").limit(max_states - many))
+        seen, many = saved(seen.unionByName(newest)), many + found
     raise RuntimeError("the closure did not end")

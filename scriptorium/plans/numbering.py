@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import saved
+
 BUCKETS = 1024
 
 
@@ -22,11 +24,42 @@ def numbered(rows: DataFrame, key: str, seed: int = 0) -> DataFrame:
     return keys.withColumn("place", place).join(F.broadcast(offsets), "bucket").select(key, (F.col("offset") + F.col("place")).alias("number"))
 
 
-def unique_names(rows: DataFrame, within: list[str], name: str, order: list[str], suffix: Column | None = None) -> DataFrame:
+def numbered_within(rows: DataFrame, by: list[str], order: list) -> DataFrame:
+    """Adds place, from 1, in each group's order (which is total). Hot groups are cut into ranges of the order, so none is one task's sort.
+
+    Rows are range-partitioned by group and order; each row is numbered within its partition and group, and what a group has in the
+    partitions before is added. Only counts by (partition, group) meet, at most one row each.
+    """
+    laid = saved(rows.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()))
+    counts = laid.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    same = F.col("_part") == F.col("_p")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    within = Window.partitionBy("_part", *by).orderBy(*order)
+    found = laid.withColumn("_place", F.row_number().over(within)).join(offsets, same)
+    return found.select(*rows.columns, (F.col("_offset") + F.col("_place")).cast("long").alias("place"))
+
+
+def unique_names(rows: DataFrame, within: list[str], name: str, order: list[str], suffix: Column | None = None, max_rounds: int = 50) -> DataFrame:
     """Adds unique_name: the first row of a name (in order) keeps it, later ones get _1, _2 and so on, or _ and their suffix.
 
-    A made name that another row bears by nature isn't looked for. Names that repeat much are numbered within their own group only.
+    A made name that another row bears already is passed over: such rows take their next number, round by round, until no two are
+    equal. A row that bears a name by nature goes before those that are made it.
     """
-    place = F.row_number().over(Window.partitionBy(*within, name).orderBy(*order)) - 1
-    tail = place.cast("string") if suffix is None else suffix
-    return rows.withColumn("unique_name", F.when(place == 0, F.col(name)).otherwise(F.concat_ws("_", F.col(name), tail)))
+    place = (F.row_number().over(Window.partitionBy(*within, name).orderBy(*order)) - 1).cast("long")
+    made = lambda n: F.when(F.col("_first"), F.col(name)).otherwise(F.concat_ws("_", F.col(name), n.cast("string") if suffix is None else suffix))
+    now = rows.withColumn("_n", place).withColumn("_first", F.col("_n") == 0).withColumn("unique_name", made(F.col("_n")))
+    if suffix is not None:
+        return now.drop("_n", "_first")
+    for _ in range(max_rounds):
+        now = saved(now)
+        taken = Window.partitionBy(*within, "unique_name").orderBy(F.desc("_first"), "_n", name, *order)
+        clash = now.withColumn("_late", F.row_number().over(taken) > 1)
+        if clash.filter("_late").isEmpty():
+            return now.drop("_n", "_first")
+        # a late row and those behind it in its name move on by one
+        behind = F.coalesce(F.max("_late").over(Window.partitionBy(*within, name).orderBy("_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(False))
+        now = clash.withColumn("_n", F.col("_n") + behind.cast("long")).withColumn("unique_name", made(F.col("_n"))).drop("_late")
+    raise RuntimeError("names did not settle")

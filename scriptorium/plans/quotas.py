@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered_within
+
 
 def equal_quotas(categories: DataFrame, name: str, total: int) -> DataFrame:
     """total over the categories, the first ones by name getting one more. The list of categories is small by nature."""
@@ -32,13 +34,13 @@ def largest_remainder(weights: DataFrame, name: str, weight: str, total: int) ->
 def renumber(rows: DataFrame, group: str, order: list, size: int = 1000) -> DataFrame:
     """Adds image_id: consecutive in each group's order; each group begins on a new volume of size numbers.
 
-    Only the groups' counts meet in one place; rows are ordered within their group.
+    Groups are the few scripts or languages of a plan; their counts meet in one place. order is total within a group.
     """
     counts = rows.groupBy(group).agg((F.ceil(F.count("*") / size) * size).alias("room"))
     before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(group, F.coalesce(F.sum("room").over(before), F.lit(0)).alias("offset"))
-    numbered = rows.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    return numbered.join(F.broadcast(offsets), group).withColumn("image_id", F.col("offset") + F.col("place")).drop("offset", "place")
+    placed = numbered_within(rows, [group], order)
+    return placed.join(F.broadcast(offsets), group).withColumn("image_id", F.col("offset") + F.col("place")).drop("offset", "place")
 
 
 def next_fit_shards(rows: DataFrame, split: str, size: str, order: list[str], cap: int) -> DataFrame:

@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that all executors see. Only a session of one process gets a temporary one where none is set, as in tests."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        told = spark.conf.get("spark.checkpoint.dir", None)
+        if told is None and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(told or tempfile.mkdtemp(prefix="scriptorium-"))
+    return context.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def saved(frame: DataFrame) -> DataFrame:
-    """Checkpoints the rows in the cluster's folder; a temporary one is set only where none is, as in tests."""
-    spark = frame.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scriptorium-"))
+    """Checkpoints the rows in the shared folder."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()

@@ -12,9 +12,34 @@ def write_parquet(rows: DataFrame, path: str, by: list[str] | None = None, rows_
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
+    """One header per file; without rows, files without a header. Files appear when the job commits, so a reader sees all or none."""
     rows.write.option("header", True).csv(path)
 
 
+def write_union(frames: list[DataFrame], path: str) -> None:
+    """All rows with the columns of any frame."""
+    write_csv(union_all(frames), path)
+
+
+def write_shards(rows: DataFrame, path: str, split: str = "split", shard: str = "shard") -> None:
+    """zstd Parquet, a folder shard=train-00000-of-00003 per split and shard. Each is written by the tasks that hold its rows."""
+    many = rows.groupBy(split).agg((F.max(shard) + 1).alias("_many"))
+    named = rows.join(F.broadcast(many), split)  # a row per split
+    name = F.format_string("%s-%05d-of-%05d", F.col(split), F.col(shard), F.col("_many"))
+    write_parquet(named.withColumn("shard", name).drop("_many"), path, ["shard"])
+
+
+def write_matrix(matrix: DataFrame, path: str, key: str) -> None:
+    """A wide matrix with its key first, the columns in order, in one file by key; blanks where there is no value."""
+    columns = sorted(c for c in matrix.columns if c != key)
+    matrix.select(key, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in columns]).orderBy(key).coalesce(1).write.option("header", True).option("emptyValue", "").csv(path)
+
+
+def subset_info(rows: DataFrame, split: str = "split", shard: str = "shard") -> DataFrame:
+    """One row per split: its rows, shards and bytes, for the information file beside the shards."""
+    return rows.groupBy(split).agg(F.count("*").alias("rows"), F.countDistinct(shard).alias("shards"), F.sum("bytes").alias("bytes"))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """Rows of all frames, with the columns of any."""
     out = frames[0]
@@ -24,7 +49,7 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def markdown_rows(rows: DataFrame) -> DataFrame:
-    """value: a markdown line per row of file, family, names (array, sorted and joined); bars escaped."""
+    """value: a markdown line per row of file, family, names (array, sorted and joined); bars escaped. A file without a family is an Error row."""
     safe = lambda c: F.replace(c, F.lit("|"), F.lit("\\|"))
-    names = F.array_join(F.array_sort(F.array_distinct("names")), ", ")
-    return rows.select(F.concat(F.lit("| "), safe(F.col("file")), F.lit(" | "), safe(F.col("family")), F.lit(" | "), safe(names), F.lit(" |")).alias("value"))
+    names = F.when(F.col("family").isNull(), "Error").otherwise(F.array_join(F.array_sort(F.array_distinct("names")), ", "))
+    return rows.select(F.concat(F.lit("| "), safe(F.col("file")), F.lit(" | "), safe(F.coalesce("family", F.lit("Error"))), F.lit(" | "), safe(names), F.lit(" |")).alias("value"))
