@@ -17,6 +17,10 @@ LOWER = UPPER.lower()
 BROADCAST_ROWS = 1_000_000
 #: Rows that a key must meet to be joined apart from the others.
 HOT_ROWS = 1_000
+#: Copies of a hot key whose values are too wide to be broadcast.
+SALTS = 16
+#: Rows of an Arrow batch where the session has Spark's own 10,000: rows here are whole texts.
+BATCH_ROWS = 2_000
 #: Bytes of text that a Python function gets at once (one longer text goes alone).
 SLICE_BYTES = 400_000
 
@@ -71,6 +75,21 @@ def join_counted(rows: DataFrame, keys: DataFrame, on: list[str], count: str, ho
     return rows.join(hot, on).unionByName(rest)
 
 
+def join_salted(rows: DataFrame, keys: DataFrame, on: str, count: str, dealt_by: str) -> DataFrame:
+    """Like join_counted for keys with wide values: only the names of hot keys are broadcast; the keys are copied SALTS times and meet their rows in as many parts."""
+    hot = small(staged(keys.filter(F.col(count) > HOT_ROWS).select(on, F.lit(True).alias("_hot")), "hot-keys"))
+    salted = rows.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(dealt_by), F.lit(SALTS)).cast("int")).otherwise(0)).drop("_hot")
+    copies = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col(count) > HOT_ROWS, SALTS - 1).otherwise(0))))
+    return salted.join(copies, [on, "_salt"]).drop("_salt")
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lets Arrow batches of texts stay small unless the session was told a size."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def text_slices(batch, column: int):
     """An Arrow batch in parts of about SLICE_BYTES of a column of texts (or lists of numbers), so that Python never holds a whole batch of objects."""
     import numpy as np
@@ -94,6 +113,7 @@ def map_texts(frame: DataFrame, id_col: str, text_col: str, schema: str, functio
     import pyarrow as pa
     from pyspark.sql.types import StructField, StructType
 
+    bounded_batches(frame.sparkSession)
     id_type = frame.schema[id_col].dataType
     own = StructType.fromDDL(schema)
     names = own.fieldNames()

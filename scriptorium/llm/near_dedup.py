@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_counted, map_texts, small, staged, text_slices
+from .common import join_counted, join_salted, map_texts, small, staged, text_slices
 from .components import connected_components
 
 #: Bands and hashes in each: a pair of similarity 0.8 shares no band with probability (1 - 0.8**6)**36 < 2e-5.
@@ -133,13 +133,18 @@ def _signatures(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint16).reshape(-1, HASHES)
 
 
+def _met(ends: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The first ends of pairs with met: how many pairs each begins. A center begins as many as its buckets have members."""
+    return ends.join(pairs.groupBy("a").agg(F.count("*").alias("met")), "a")
+
+
 def _pruned(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sequential verification doesn't give up."""
     import pyarrow as pa
 
-    x = reps.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a"), F.col("n_shingles").alias("n_a"))
+    x = _met(reps.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a"), F.col("n_shingles").alias("n_a")), pairs)
     y = reps.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b"), F.col("n_shingles").alias("n_b"))
-    sized = pairs.join(x, "a").join(y, "b").filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    sized = join_salted(pairs, x, "a", "met", "b").join(y, "b").filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
 
     def batches(source):
         for batch in source:
@@ -170,7 +175,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     import pyarrow as pa
 
     sets = _sets(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))), docs, words)
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("set_a")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("set_b")), "b")
+    firsts = staged(_met(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("set_a")), pairs), "near-firsts")
+    both = join_salted(pairs, firsts, "a", "met", "b").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("set_b")), "b")
 
     def batches(source):
         for batch in source:
