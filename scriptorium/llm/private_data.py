@@ -167,6 +167,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = keys.filter("n > 1").select("text_key", F.col("text_key").alias("copy_key"))
     words = found.select("text_key", "words").join(small(copies), "text_key", "left").select(F.explode("words").alias("term"), "copy_key")
     counts = words.groupBy("term", "copy_key").agg(F.count("*").alias("n")).groupBy("term").agg(F.sum(F.when(F.col("copy_key").isNull(), F.col("n")).otherwise(1)).alias("c_t"))
+    counts = staged(counts, "private-vocabulary")
 
     held = staged(found.filter(F.size("spans") > 0).select("text_key", F.explode("spans.entity").alias("entity")).distinct(), "private-held")
     entities = held.groupBy("entity").agg(F.count("*").alias("c_e"), F.bit_xor(F.xxhash64(F.lit(1), "text_key")).alias("x"), F.bit_xor(F.xxhash64(F.lit(2), "text_key")).alias("y"))
