@@ -171,11 +171,11 @@ def verdict(text: Column, boxes: Column, error: Column | None = None) -> Column:
     Missing glyphs, dotted circles, empty shapes and no ink come before the placement warnings; without any, reason is "ok". bbox is the least x0
     and ytop and the greatest x1 and ybot. Where the shaper told an error, that is all there is. Null boxes count as none.
     """
-    boxes = F.coalesce(boxes, F.filter(boxes, lambda x: F.lit(False)))
-    missing = F.size(F.filter(boxes, lambda x: (x["gid"] == 0) | (x["name"] == ".notdef")))
-    dotted = F.exists(boxes, lambda x: F.lower(x["name"]).rlike("dotted|25cc"))
-    ink = F.aggregate(boxes, F.lit(0).cast("long"), lambda s, x: s + F.abs(width(x) * height(x)).cast("long"))
-    none = F.size(boxes) == 0
+    none = boxes.isNull() | (F.size(boxes) == 0)
+    glyphs = F.when(none, 0).otherwise(F.size(boxes))
+    missing = F.when(none, 0).otherwise(F.size(F.filter(boxes, lambda x: (x["gid"] == 0) | (x["name"] == ".notdef"))))
+    dotted = F.coalesce(F.exists(boxes, lambda x: F.lower(x["name"]).rlike("dotted|25cc")), F.lit(False))
+    ink = F.coalesce(F.aggregate(boxes, F.lit(0).cast("long"), lambda s, x: s + F.abs(width(x) * height(x)).cast("long")), F.lit(0))
     first = F.array(F.when(missing > 0, "notdef"), F.when(dotted, "dotted_circle"), F.when(none, "empty_shape"), F.when(~none & (ink == 0), "zero_ink"))
     edge = lambda f, c: f(F.transform(boxes, lambda x: x[c])).cast("string")
     bbox = F.when(none, "").otherwise(F.concat_ws(",", edge(F.array_min, "x0"), edge(F.array_min, "ytop"), edge(F.array_max, "x1"), edge(F.array_max, "ybot")))
@@ -183,7 +183,7 @@ def verdict(text: Column, boxes: Column, error: Column | None = None) -> Column:
     def told(placed):
         reasons = F.concat(F.array_compact(first), placed)
         ok = F.size(reasons) == 0
-        return _told(ok, F.when(ok, "ok").otherwise("fail"), F.when(ok, "ok").otherwise(F.array_join(reasons, ";")), missing, dotted, F.size(boxes), bbox, ink, F.array_join(placed, ";"), F.size(placed))
+        return _told(ok, F.when(ok, "ok").otherwise("fail"), F.when(ok, "ok").otherwise(F.array_join(reasons, ";")), missing, dotted, glyphs, bbox, ink, F.array_join(placed, ";"), F.size(placed))
 
     # a one-element array names the warnings, which are worked out once
     shaped = F.get(F.transform(F.array(placement_warnings(text, boxes)), told), F.lit(0))

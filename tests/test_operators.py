@@ -2,38 +2,37 @@
 
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from scriptorium.functions import text as tx
-from scriptorium.operators import chunks, geometry, relations, stacks
+from scriptorium.functions import names, text as tx
+from scriptorium.operators import chunks, fonts, geometry, records, relations, stacks
 from scriptorium.plans import quotas
 from scriptorium.sources import sinks, tables
 
 
-def packed(units, target, least, most):
-    out, buf, start, at = [], "", 0, 0
-    for u in units:
-        if buf and len(buf) + 1 + len(u) > most and len(buf) >= least:
-            out.append((buf, start))
-            buf = ""
-        if not buf:
-            start = at
-        buf = f"{buf} {u}" if buf else u
-        at += len(u) + 1
-        if len(buf) >= target and len(buf) >= least:
-            out.append((buf, start))
-            buf = ""
-    if len(buf) >= least:
-        out.append((buf, start))
-    return out
-
-
-def test_packing_matches_a_loop(spark):
+def test_chunks_end_where_they_must(spark):
+    """Each chunk is a run of units; it ends at the first one that fills it, or before one that would overfill it, and the tail is long enough."""
     rng = random.Random(3)
+    target, least, most = 60, 30, 80
     cases = [(i, ["x" * rng.randint(1, 40) for _ in range(rng.randint(0, 25))]) for i in range(60)]
     df = spark.createDataFrame(cases, "id int, units array<string>")
-    found = {r.id: [(c.text, c.start) for c in r.c] for r in df.select("id", chunks.pack(F.col("units"), 60, 30, 80).alias("c")).collect()}
-    assert found == {i: packed(u, 60, 30, 80) for i, u in cases}
+    found = {r.id: [(c.text, c.start) for c in r.c] for r in df.select("id", chunks.pack(F.col("units"), target, least, most).alias("c")).collect()}
+    for i, units in cases:
+        places = np.concatenate([[0], np.cumsum([len(u) + 1 for u in units])]).astype(int)
+        long = lambda a, b: int(places[b] - places[a]) - 1  # noqa: E731  characters of units a to b - 1, joined
+        at = 0
+        for text, start in found[i]:
+            assert start == places[at]
+            end = at + text.count(" ") + 1
+            assert text == " ".join(units[at:end]) and long(at, end) == len(text) >= least
+            assert all(long(at, k) < target for k in range(at + 1, end))
+            overfilled = end < len(units) and long(at, end + 1) > most
+            assert len(text) >= target or overfilled or end == len(units)
+            assert not any(long(at, k) >= least and long(at, k + 1) > most for k in range(at + 1, end))
+            at = end
+        assert at == len(units) or long(at, len(units)) < least
 
 
 def test_tibetan_units(spark):
@@ -81,3 +80,58 @@ def test_readers_and_writers(spark, tmp_path):
     assert [tuple(r) for r in tables.markdown_table(spark, str(tmp_path / "c.md")).collect()] == [("a|b.ttf", "Fam", "y, z")]
     sinks.write_parquet(df, str(tmp_path / "out"), ["family"])
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_edges_of_readers(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("stack,hunspell_bo,nb_occurences\nཀ,,5\nཀ,0,9\nཁ, ,\nx,1,1\nག,0,2.0\n")
+    assert [tuple(r) for r in tables.stacks(spark, str(tmp_path / "s.csv")).collect()] == [("ཀ", 1, 5), ("ཁ", 0, 0), ("ག", 0, 2)]
+    (tmp_path / "t.csv").write_text("word\na\n")
+    with pytest.raises(ValueError):
+        tables.stacks(spark, str(tmp_path / "t.csv"))
+    (tmp_path / "fonts" / "deep").mkdir(parents=True)
+    (tmp_path / "fonts" / "deep" / "a.ttf").write_bytes(b"abc")
+    (tmp_path / "fonts" / "b.txt").write_bytes(b"x")
+    files = tables.files_by_extension(spark, str(tmp_path / "fonts")).collect()
+    assert len(files) == 1 and files[0].length == 3 and files[0].sha256.startswith("ba7816bf")
+    there = spark.createDataFrame([("b/1",), ("c/1",), ("c/2",)], "path string")
+    rows = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    found = tables.first_existing(rows, "id", [F.concat(F.lit(x), F.col("id").cast("string")) for x in ("a/", "b/", "c/")], there)
+    assert dict(found.collect()) == {1: "b/1", 2: "c/2", 3: None}
+    last = spark.createDataFrame([("k", 1), ("k", 3), ("m", 2)], "k string, at int")
+    assert sorted(map(tuple, tables.last_per_key(last, "k", "at").collect())) == [("k", 3), ("m", 2)]
+    for i, text in ((1, "a,n\n1,2\n"), (2, "n,b\n3,4\n")):
+        (tmp_path / "frag").mkdir(exist_ok=True)
+        (tmp_path / "frag" / f"f{i}.csv").write_text(text)
+    assert [(r.file, r.a, r.n, r.b) for r in tables.fragments(spark, str(tmp_path / "frag")).orderBy("file", "at").collect()] == [("f1.csv", "1", "2", None), ("f2.csv", None, "3", "4")]
+
+
+def test_writers(spark, tmp_path):
+    a, b = spark.createDataFrame([(1, "x")], "i int, s string"), spark.createDataFrame([(2, 0.5)], "i int, d double")
+    sinks.write_union([a, b], str(tmp_path / "u"))
+    assert sorted(tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "u")).select("i", "s", "d").collect()) == [("1", "x", None), ("2", None, "0.5")]
+    sinks.write_csv(a.filter("false"), str(tmp_path / "none"))
+    assert "".join(p.read_text() for p in (tmp_path / "none").glob("*.csv")) in ("", "i,s\n")
+    support = spark.createDataFrame([("p", "f2", True, 1), ("p", "f1", True, 1), ("p", "f1", False, 2), ("q", "f2", True, 1)], "probe string, font string, ok boolean, at int")
+    sinks.write_matrix(relations.support_matrix(support, "probe", "font", "ok", "at"), str(tmp_path / "m"), "probe")
+    assert "".join(p.read_text() for p in (tmp_path / "m").glob("*.csv")) == "probe,f1,f2\np,0,1\nq,,1\n"
+    errors = spark.createDataFrame([("bad|.ttf", None, None)], "file string, family string, names array<string>")
+    assert [r.value for r in sinks.markdown_rows(errors).collect()] == ["| bad\\|.ttf | Error | Error |"]
+
+
+def test_small_functions(spark):
+    df = spark.createDataFrame([("་ཀ་།་", " 7", "x\x00y\x85", "ཀཱ", "ཀ྾")], "t string, n string, c string, s string, b string")
+    row = df.select(tx.break_points(F.col("t"), "|").alias("t"), tx.parse_int_lenient(F.col("n")).alias("n"), tx.parse_int_lenient(F.lit("7.0"), 3).alias("m"), names.without_controls(F.col("c")).alias("c"), names.has_sanskrit(F.col("s")).alias("s"), geometry.stack_metrics(F.lit("ཀྲུཀ")).alias("k")).first()
+    assert (row.t, row.n, row.m, row.c, row.s) == ("་|ཀ་།་|", 7, 3, "xy", True)
+    assert row.k.asDict() == {"stack_len": 4, "base_count": 2, "subjoined_count": 1, "vowel_diacritic_count": 1, "has_subjoined": True, "has_vowel_diacritic": True, "complexity": 3}
+    df = spark.createDataFrame([("7", "x/9.jpg"), ("b", "x/9.jpg"), (None, "x/y.jpg"), (None, None)], "s string, f string")
+    assert [r[0] for r in df.select(records.sequence_of(F.col("s"), F.col("f"))).collect()] == [7, 9, 0, 0]
+
+
+def test_renderers_without_boxes_or_units(spark):
+    df = spark.createDataFrame([("ཀ",)], "t string")
+    none = F.lit(None).cast("array<struct<gid:int,name:string,x0:int,ytop:int,x1:int,ybot:int>>")
+    assert df.select(geometry.verdict(F.col("t"), none).alias("v")).first().v.reason == "empty_shape"
+    support = spark.createDataFrame([("f", "a", "stack", True, None), ("f", "b", "stack", True, 1), ("f", "c", "latin", True, 0)], "font string, unit string, test_kind string, ok boolean, placement_warning_count int")
+    assert [tuple(r) for r in fonts.supported_units(support, "font", "unit").collect()] == [("f", "a")]
+    faces = spark.createDataFrame([("f", "n"), ("g", "m")], "font string, name string")
+    assert dict(fonts.capacities(fonts.supported_units(support, "font", "unit"), faces, "font", "name").collect()) == {"n": 1, "m": 0}

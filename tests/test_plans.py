@@ -3,10 +3,11 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scriptorium.plans import assignment, layout, numbering
+from scriptorium.plans import assignment, closure, layout, numbering
 
 
 def test_numbers_are_consecutive_and_repeat(spark):
@@ -20,30 +21,44 @@ def test_unique_names(spark):
     assert {r.i: r.unique_name for r in numbering.unique_names(df, [], "name", ["i"]).collect()} == {1: "a", 2: "a_1", 3: "b", 4: "a_2"}
     tail = F.concat(F.lit("x"), F.col("i"))
     assert {r.i: r.unique_name for r in numbering.unique_names(df, [], "name", ["i"], tail).collect()} == {1: "a", 2: "a_x2", 3: "b", 4: "a_x4"}
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a_1"), (4, "a"), (5, "a_1")], "i int, name string")
+    found = {r.i: r.unique_name for r in numbering.unique_names(df, [], "name", ["i"]).collect()}
+    assert found[1] == "a" and found[3] == "a_1" and len(set(found.values())) == 5
 
 
-def split_loop(fonts):
-    out = {}
-    for category in sorted({c for c, _, _ in fonts}):
-        caps = {}
-        for c, n, k in fonts:
-            if c == category:
-                caps[n] = max(caps.get(n, 0), k)
-        total, filled, many = sum(max(1, k) for k in caps.values()), Counter(), Counter()
-        for i, n in enumerate(sorted(caps, key=lambda n: -caps[n])):
-            s = assignment.SPLITS[i] if i < 3 else min(assignment.SPLITS, key=lambda s: (filled[s] / max(1.0, total * dict(zip(assignment.SPLITS, assignment.RATIOS))[s]), many[s]))
-            out[n] = s
-            filled[s] += max(1, caps[n])
-            many[s] += 1
-    return out
-
-
-def test_splits_match_a_loop(spark):
+def test_splits_stay_balanced(spark):
+    """The three largest names of a category go one to each split; a further one goes where its split was the least full of its share."""
     rng = random.Random(1)
-    caps = rng.sample(range(1000), 40)  # no ties, so the order is plain
-    fonts = [(rng.choice("abc"), f"n{i % 35}", k) for i, k in enumerate(caps)]
-    df = spark.createDataFrame([*fonts, (None, "z", 1), ("a", None, 1)], "category string, name string, capacity int")
-    assert dict(assignment.assign_splits(df, "category", "name", "capacity").collect()) == split_loop(fonts)
+    caps = rng.sample(range(1, 1000), 35)  # no ties, so the order is plain
+    fonts = [("abc"[i % 3], f"n{i}", k) for i, k in enumerate(caps)]
+    rows = fonts + [(c, n, k // 2) for c, n, k in fonts] + [(None, "z", 1), ("a", None, 1)]
+    df = spark.createDataFrame(rows, "category string, name string, capacity int")
+    found = dict(assignment.assign_splits(df, "category", "name", "capacity").collect())
+    assert set(found) == {n for _, n, _ in fonts}
+    share = dict(zip(assignment.SPLITS, assignment.RATIOS))
+    for category in "abc":
+        own = sorted(((k, n) for c, n, k in fonts if c == category), reverse=True)
+        assert [found[n] for _, n in own[:3]] == list(assignment.SPLITS)
+        held = np.array([[k if found[n] == s else 0 for s in assignment.SPLITS] for k, n in own]).cumsum(axis=0) / np.array(list(share.values()))
+        for before, (_, n) in zip(held[2:], own[3:]):
+            assert before[assignment.SPLITS.index(found[n])] <= before.min() + 1e-9
+
+
+def test_closure_of_many_rounds(spark):
+    rules = [(f"F{i}", "", chr(97 + i), f"F{i + 1}") for i in range(20)]
+    table = spark.createDataFrame(rules, "flag string, strip string, add string, next_flag string")
+    stems = spark.createDataFrame([("w", "F0"), ("w", "F0")], "word string, flag string")
+    found = {r.word for r in closure.suffix_closure(stems, table).collect()}
+    assert found == {"w" + "".join(chr(97 + i) for i in range(k)) for k in range(21)}
+    endless = spark.createDataFrame([("F0", "", "a", "F0", "w"), ("F0", "", "b", "F0", "x")], "flag string, strip string, add string, next_flag string, condition string")
+    assert sorted(r.word for r in closure.suffix_closure(stems, endless, max_states=4).collect()) == ["w", "wa", "waa", "waaa"]
+
+
+def test_places_within_hot_groups(spark):
+    rows = [("a", i) for i in range(500)] + [(None, i) for i in range(40)] + [("b", 1)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, i int")
+    assert all(r.place == r.i + (1 if r.g != "b" else 0) for r in numbering.numbered_within(df, ["g"], ["i"]).collect())
 
 
 @pytest.fixture(scope="module")
