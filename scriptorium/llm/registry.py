@@ -74,4 +74,13 @@ ORACLES = {
         WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    # the template's own characters are 15 a user's turn, 9 an assistant's, 23 and the role's any other; an escaped character is two
+    "op5_chat_format": r"""
+        WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+          coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+          sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+          sum(length(text) + length(regexp_replace(text, '[^<\[\\]', '', 'g')) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 ELSE 23 + length(role) + length(regexp_replace(role, '[^<\[\\]', '', 'g')) END)::BIGINT AS formatted_chars
+        FROM r GROUP BY conv_id""",
 }
