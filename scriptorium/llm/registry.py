@@ -70,6 +70,28 @@ def op10_bpe_codec(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_nearest_neighbours, op3_near_dedup, op4_private_data, op5_chat_format, op6_warc, op7_exact_dedup, op8_mix_sources, op9_token_counts, op10_bpe_codec)}
 
 ORACLES = {
+    # all pairs that share a shingle are counted: for small tables
+    "op3_near_dedup": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        sized AS (SELECT s.doc_id, hash(shingle) AS shingle, n FROM s JOIN n USING (doc_id)),
+        links AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b FROM sized x JOIN sized y ON x.shingle = y.shingle AND x.doc_id != y.doc_id AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+          GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+        reach AS (SELECT a AS node, b AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+        c AS (SELECT node, min(other) AS least FROM reach GROUP BY node)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(c.least, d.doc_id), d.doc_id) AS component_id, coalesce(least(c.least, d.doc_id), d.doc_id) = d.doc_id AS kept
+        FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.node = d.doc_id""",
+    # base32 of the 160 bits: eight groups of five hexadecimal digits give four characters each
+    "op6_warc": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        h AS (SELECT page_id, strlen(html) AS payload_bytes, html, sha1(html) AS hex FROM p),
+        b AS (SELECT *, [substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+          ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT + 1, 1) for i in range(32)] AS letters FROM h),
+        m AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM b)
+        SELECT page_id, payload_bytes, array_to_string(letters, '') AS payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN page_id != last THEN last END AS refers_to
+        FROM m""",
     "op7_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
