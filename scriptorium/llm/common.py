@@ -130,4 +130,5 @@ def map_texts(frame: DataFrame, id_col: str, text_col: str, schema: str, functio
 
 def _arrow(pa, values, kind):
     types = {"bigint": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "int": pa.int32(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+    types["array<struct<kind:string,start:bigint,end:bigint>>"] = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     return pa.array(values, types[kind])
