@@ -5,6 +5,8 @@ The driver tables hold no Tibetan text, so text queries use the Latin profile.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from .functions import text as tx
@@ -74,15 +76,33 @@ def chunk_documents(spark, d):
     return chunks.chunk_documents(_t(spark, d, "documents"))
 
 
+CHUNKS = ORACLES["chunk_documents"]
+
+
+@query(f"""
+    WITH c AS ({CHUNKS}), t AS (SELECT *, regexp_extract_all(lower(text), '\\p{{L}}+') AS t FROM c WHERE regexp_full_match(text, '[A-Za-zÀ-ɏ.,\\n ]*'))
+    SELECT chunk_id, doc_id, char_start, char_end, char_count, text, len(t)::BIGINT AS stack_count, len(list_distinct(t))::BIGINT AS unique_stack_count, array_to_string(list_sort(list_distinct(t)), ' ') AS stacks FROM t WHERE len(t) > 0""")
+def pure_chunks(spark, d):
+    """Chunks of nothing but letters and stops, with their stacks."""
+    return chunks.chunk_documents(_t(spark, d, "documents"), replace(tx.LATIN, block="A-Za-z\\u00C0-\\u024F.,\\n"), pure=True)
+
+
 @query("SELECT doc_id, contains(text, '.....') AS is_toc, regexp_full_match(text, '[A-Za-zÀ-ɏ ]*') AS only_script, regexp_matches(text, '\\p{L}') AS has_letter FROM documents")
 def text_predicates(spark, d):
     text = F.col("text")
     return _t(spark, d, "documents").select("doc_id", text.contains(tx.LATIN.toc).alias("is_toc"), tx.only_script(text, tx.LATIN, True).alias("only_script"), tx.has_letter(text).alias("has_letter"))
 
 
-@query("SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '\\r\\n?', chr(10), 'g'), '\\n', ' ', 'g'), '[\\s\\p{Z}]+', ' ', 'g'), '^ | $', '', 'g') AS cleaned FROM pages")
+WHITE = "[\\s\\x0b\\x1c-\\x1f\\x85\\p{Z}]"
+
+
+@query(f"""
+    WITH p AS (SELECT page_id, 'x --' || chr(9) || 'page ' || page_id || ' -- y' || chr(13) || chr(10) || '-- PAGE 7 --' || chr(160) || html || '--' || chr(8195) || 'Page' || chr(28) || '12--z -- page x --' || chr(31) AS t FROM pages)
+    SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '\\r\\n?', chr(10), 'g'), '(?i)--{WHITE}*page{WHITE}+\\p{{Nd}}+{WHITE}*--', ' ', 'g'), '\\n', ' ', 'g'), '{WHITE}+', ' ', 'g'), '^ | $', '', 'g') AS cleaned FROM p""")
 def clean_text(spark, d):
-    return _t(spark, d, "pages").select("page_id", tx.clean(F.col("html")).alias("cleaned"))
+    """Pages with markers in lines and of their own, in any case, with white space that isn't ASCII."""
+    html = F.concat(F.lit("x --\tpage "), F.col("page_id").cast("string"), F.lit(" -- y\r\n-- PAGE 7 --\u00a0"), "html", F.lit("--\u2003Page\u001c12--z -- page x --\u001f"))
+    return _t(spark, d, "pages").select("page_id", tx.clean(html).alias("cleaned"))
 
 
 @query("SELECT doc_id, substr(sha1(doc_id || ':0:' || text), 1, 16) AS chunk_id FROM documents")
@@ -110,10 +130,20 @@ def trimmed_numbers(spark, d):
     return _t(spark, d, "part").select("p_partkey", tx.trimmed_number(F.col("p_retailprice")).alias("shown"))
 
 
-@query("""
-    SELECT c_custkey, array_to_string(list_transform(regexp_extract_all(lower(c_name), '[0-9]+|[^0-9]+'), lambda x: CASE WHEN regexp_matches(x, '^[0-9]') THEN lpad(x, 20, '0') ELSE x END), '') AS sort_key FROM customer""")
+LONG_NAME = "CASE c_custkey % 3 WHEN 0 THEN 'Tib ' || c_custkey % 13 || '-' WHEN 1 THEN 'tib' ELSE '' END || repeat('12345', 5) || (c_custkey * 7919) % 1000 || ' b' || lpad((c_custkey % 50)::VARCHAR, 3, '0')"
+
+
+@query(f"""
+    WITH n AS (SELECT c_custkey, regexp_extract_all(lower({LONG_NAME}), '[0-9]+|[^0-9]+') AS parts FROM customer),
+      k AS (SELECT c_custkey, list_transform(CASE WHEN regexp_matches(parts[1], '^[0-9]') THEN [''] || parts ELSE parts END, lambda x: {{'t': CASE WHEN regexp_matches(x, '^[0-9]') THEN '' ELSE x END, 'n': CASE WHEN regexp_matches(x, '^[0-9]') THEN x::HUGEINT ELSE -1 END}}) AS k FROM n)
+    SELECT c_custkey, row_number() OVER (ORDER BY k, c_custkey) AS place FROM k""")
 def natural_sort_key(spark, d):
-    return _t(spark, d, "customer").select("c_custkey", tx.natural_key(F.col("c_name")).alias("sort_key"))
+    """Names with numbers of up to 28 digits, in natural order."""
+    k = F.col("c_custkey")
+    begins = F.when(k % 3 == 0, F.concat(F.lit("Tib "), (k % 13).cast("string"), F.lit("-"))).when(k % 3 == 1, "tib").otherwise("")
+    name = F.concat(begins, F.lit("12345" * 5), ((k * 7919) % 1000).cast("string"), F.lit(" b"), F.lpad((k % 50).cast("string"), 3, "0"))
+    keyed = _t(spark, d, "customer").select("c_custkey", tx.natural_key(name).alias("key"))
+    return numbering.numbered_within(keyed, [], ["key", "c_custkey"]).select("c_custkey", "place")
 
 
 @query("SELECT o_orderkey, floor((o_orderkey - 1) / 1000.0)::BIGINT + 1 AS volume, (o_orderkey - 1) % 1000 + 1 AS page FROM orders")
@@ -388,4 +418,4 @@ def random_pages(spark, d):
     return layout.random_pages(_t(spark, d, "supplier").select("s_suppkey"), units, "s_suppkey", "unit")
 
 
-from . import catalogue_geometry, catalogue_records  # noqa: E402, F401  register their queries here
+from . import catalogue_geometry, catalogue_ordered, catalogue_records  # noqa: E402, F401  register their queries here

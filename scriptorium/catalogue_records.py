@@ -45,15 +45,16 @@ def stack_csv_scan(spark, d):
     """Types of parts as stacks; the first line of a type counts."""
     path = f"{new_folder(spark, 'stacks')}.csv"
     flag = F.when(F.col("p_partkey") % 3 == 0, "1").when(F.col("p_partkey") % 3 == 1, "0").otherwise("")
-    rows = table(spark, d, "part").orderBy("p_partkey").coalesce(1).select(F.concat(F.lit(" "), "p_type").alias("stack"), flag.alias("hunspell_bo"), F.col("p_size").alias("nb_occurences"))
+    rows = table(spark, d, "part").repartitionByRange(5, "p_partkey").sortWithinPartitions("p_partkey")
+    rows = rows.select(F.concat(F.lit(" "), "p_type").alias("stack"), flag.alias("hunspell_bo"), F.col("p_size").alias("nb_occurences"))
     rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("emptyValue", "").csv(path)
     latin = tx.Profile("A-Za-z ", tx.LATIN.token, ".", " ", ".....")
     return tables.stacks(spark, path, p=latin)
 
 
-@query("SELECT DISTINCT n_name AS stack FROM nation WHERE regexp_full_match(n_name, '[A-Za-z]+')")
+@query("SELECT DISTINCT word AS stack FROM (SELECT unnest(string_split(p_name || ' ' || p_type || ' ' || p_brand, ' ')) AS word FROM part) WHERE regexp_full_match(word, '[A-Za-z]+')")
 def stack_list_scan(spark, d):
-    both = table(spark, d, "nation").select(F.concat(F.lit(" "), "n_name").alias("value"))
+    both = table(spark, d, "part").select(F.explode(F.split(F.concat_ws(" ", "p_name", "p_type", "p_brand"), " ")).alias("word")).select(F.concat(F.lit(" "), "word").alias("value"))
     return tables.stacks(spark, _lines(spark, both.union(both), "list"), p=tx.LATIN).select("stack")
 
 
@@ -222,13 +223,14 @@ def identifiers(spark, d):
 
 
 @query("""
-    WITH s AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(substr(text, 1 + (doc_id % 9)::INT, 30), '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9._-]', '_', 'g'), '_+', '_', 'g') AS k,
-        regexp_replace(regexp_replace(strip_accents(substr(text, 1 + (doc_id % 9)::INT, 30)), '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9._-]+', '_', 'g') AS f FROM documents),
+    WITH s AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9._-]', '_', 'g'), '_+', '_', 'g') AS k,
+        regexp_replace(regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9._-]+', '_', 'g') AS f FROM documents),
       b AS (SELECT doc_id, regexp_extract(regexp_replace(k, '^[_.]+|[_.]+$', '', 'g'), '[A-Za-z].*$') AS k, regexp_replace(regexp_replace(f, '_+', '_', 'g'), '^_|_$', '', 'g') AS f FROM s)
     SELECT doc_id, CASE WHEN k = '' THEN 'Font' ELSE upper(k[1]) || k[2:] END AS basename, CASE WHEN f = '' THEN 'x' ELSE f END AS slug FROM b""")
 def safe_names(spark, d):
-    part = F.substring("text", (1 + F.col("doc_id") % 9).cast("int"), F.lit(30))
-    return table(spark, d, "documents").select("doc_id", names.safe_basename(part).alias("basename"), names.folded_slug(part).alias("slug"))
+    """Whole texts as names."""
+    text = F.col("text")
+    return table(spark, d, "documents").select("doc_id", names.safe_basename(text).alias("basename"), names.folded_slug(text).alias("slug"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN -1.0 ELSE o_totalprice END AS number, CASE WHEN o_orderkey % 5 IN (0, 1) THEN -1 ELSE o_custkey END AS lenient FROM orders")
@@ -261,10 +263,14 @@ PAGES = """
     fp AS (SELECT r, arg_min(page, (n = 0)::INT * 1000 + pos) AS first_page, sum((n > 0)::INT)::BIGINT AS content_pages FROM pm GROUP BY r)"""
 
 
+IN_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+
+
 def _page_map(spark, d):
+    """Seven files of lines in order."""
     path = new_folder(spark, "pages")
-    rows = table(spark, d, "lineitem").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").select((F.col("l_partkey") % 5 + F.col("l_linenumber")).cast("int"), F.concat(F.lit("r"), F.col("l_orderkey").cast("string")), F.col("l_quantity").cast("int") % 4)
-    rows.coalesce(1).write.csv(path)
+    rows = table(spark, d, "lineitem").repartitionByRange(7, *IN_ORDER).sortWithinPartitions(*IN_ORDER).select((F.col("l_partkey") % 5 + F.col("l_linenumber")).cast("int"), F.concat(F.lit("r"), F.col("l_orderkey").cast("string")), F.col("l_quantity").cast("int") % 4)
+    rows.write.csv(path)
     return tables.page_map(spark, path)
 
 
@@ -299,7 +305,7 @@ def marker_line_rebuild(spark, d):
 def page_transcriptions(spark, d):
     """Texts joined with both maps, as files without headers give them."""
     path = new_folder(spark, "lines")
-    lines = table(spark, d, "lineitem").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").coalesce(1)
+    lines = table(spark, d, "lineitem").repartitionByRange(5, *IN_ORDER).sortWithinPartitions(*IN_ORDER)
     markers = F.when(F.col("l_quantity").cast("int") % 4 == 0, "x").otherwise(F.concat(F.lit("1 "), (F.col("l_quantity").cast("int") % 4 * 4).cast("string")))
     lines.select((F.col("l_partkey") % 5 + F.col("l_linenumber")).cast("int"), F.concat(F.lit("r"), F.col("l_orderkey").cast("string")), "l_linenumber", markers).write.csv(path)
     text = F.concat(F.lit("".join(f"w{i} " for i in range(1, 13))), "o_orderpriority")
@@ -314,16 +320,15 @@ RESUMED = """
 
 
 def _resumed(spark, d):
-    """Fragments as four files of events, of which later rows replace earlier ones; each fifth image is missing; the plan are orders."""
+    """Fragments as four committed batches of events, of which later rows replace earlier ones, two of them with a column more; each fifth image is missing; the plan are orders."""
     path = new_folder(spark, "fragments")
     seq = F.col("event_id") % 900
     rows = table(spark, d, "events").select((F.col("user_id") % 4).alias("k"), F.when(F.col("event_id") % 2 == 0, seq.cast("string")).otherwise("x").alias("output_sequence"), F.concat(F.lit("i/"), F.format_string("%04d", seq), F.lit(".jpg")).alias("image_file_name"), F.concat_ws("|", seq, seq + 1).alias("source_plan_image_ids"), "event_id", "event_type")
-    for k in range(4):
-        sinks.write_csv(rows.filter(F.col("k") == k).drop("k").orderBy("event_id").coalesce(1), f"{path}/batch{k}")
-    frames = [spark.read.option("header", True).csv(f"{path}/batch{k}").withColumns({"file": F.lit(k), "at": F.monotonically_increasing_id()}) for k in range(4)]
+    sinks.commit_fragments(rows.filter("k % 2 = 0"), path, "k", ["event_id"])
+    sinks.commit_fragments(rows.filter("k % 2 = 1").withColumn("more", F.lit('a "quoted",\nline')), path, "k", ["event_id"])
     files = spark.range(1, 900).filter("id % 5 <> 2").select(F.concat(F.lit("i/"), F.format_string("%04d", F.col("id")), F.lit(".jpg")).alias("path"))
     plan = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("image_id"))
-    return records.resume(plan, sinks.union_all(frames), files, "file", "at")
+    return records.resume(plan, tables.fragments(spark, path).drop("file", "fragment", "line"), files, "at")
 
 
 @query(f"WITH {RESUMED} SELECT seq AS sequence, event_id, event_type FROM cat")

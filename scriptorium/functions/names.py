@@ -44,7 +44,7 @@ def safe_basename(name: Column) -> Column:
     """ASCII letters, digits, dots, hyphens and single underscores from the first letter on, which is a capital; Font where no letter is left."""
     kept = F.regexp_replace(F.regexp_replace(F.regexp_replace(name, "[^\\x00-\\x7F]", ""), "[^A-Za-z0-9._-]", "_"), "_+", "_")
     begun = F.regexp_extract(F.regexp_replace(kept, "^[_.]+|[_.]+$", ""), "[A-Za-z].*$", 0)
-    return F.when(F.coalesce(begun, F.lit("")) == "", "Font").otherwise(F.concat(F.upper(F.substring(begun, 1, 1)), F.substring(begun, 2, 1_000_000)))
+    return F.when(F.coalesce(begun, F.lit("")) == "", "Font").otherwise(F.concat(F.upper(F.substring(begun, 1, 1)), F.substring(begun, F.lit(2), F.length(begun))))
 
 
 def folded_slug(name: Column) -> Column:

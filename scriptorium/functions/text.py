@@ -38,7 +38,7 @@ def has_letter(text: Column) -> Column:
 
 
 def tokens(text: Column, p: Profile) -> Column:
-    return F.regexp_extract_all(F.lower(text) if p is LATIN else text, F.lit(p.token), F.lit(0))
+    return F.regexp_extract_all(F.lower(text) if p.token == LATIN.token else text, F.lit(p.token), F.lit(0))
 
 
 def code_points(text: Column) -> Column:
@@ -46,18 +46,26 @@ def code_points(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, ""), lambda c: F.concat(F.lit("U+"), F.lpad(F.hex(F.ascii(c)), 4, "0"))), " ")
 
 
+#: White space as Unicode has it, and the four separators that Java leaves out. Begins a pattern, as it sets Unicode classes.
+SPACE = "(?U)[\\s\\x1C-\\x1F]"
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, "(?U)^\\s+|\\s+$", "")
+    return F.regexp_replace(text, f"{SPACE}+$|^{SPACE}+", "")
 
 
 def clean(text: Column, p: Profile = LATIN) -> Column:
-    """Line ends to spaces, page markers out, white space after a syllable mark out, runs to one, ends trimmed."""
+    """Page markers, wherever they stand and in any case, and line ends to spaces, white space after a syllable mark out, runs to one, ends trimmed."""
     t = F.regexp_replace(text, "\\r\\n?", "\n")
-    t = F.regexp_replace(t, "(?m)^-- page [0-9]+ --$", "")
+    t = F.regexp_replace(t, f"(?i){PAGE_MARKER}", " ")
     t = F.regexp_replace(t, "\\n", " ")
     if p.gap != " ":
-        t = F.regexp_replace(t, f"(?U){p.gap}\\s+", p.gap)
-    return F.regexp_replace(F.regexp_replace(t, "(?U)\\s+", " "), "^ | $", "")
+        t = F.regexp_replace(t, f"{p.gap}{SPACE}+", p.gap)
+    return F.regexp_replace(F.regexp_replace(t, f"{SPACE}+", " "), "^ | $", "")
+
+
+#: A page marker; begins like SPACE.
+PAGE_MARKER = f"--{SPACE}*page{SPACE}+\\d+{SPACE}*--"
 
 
 def split_units(text: Column, p: Profile = LATIN, shortest: int = 8) -> Column:
@@ -106,9 +114,11 @@ def trimmed_number(x: Column, digits: int = 3) -> Column:
 
 
 def natural_key(text: Column) -> Column:
-    """Key by which a2 sorts before a10."""
+    """array<string> by which a2 sorts before a10: other characters and numbers in turn, the former first. A number is its count of digits and its digits, of any length."""
     parts = F.regexp_extract_all(F.lower(text), F.lit("[0-9]+|[^0-9]+"), F.lit(0))
-    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^[0-9]"), F.lpad(x, 20, "0")).otherwise(x)), "")
+    number = lambda x: F.regexp_replace(x, "^0+(?=.)", "")
+    keys = F.transform(parts, lambda x: F.when(x.rlike("^[0-9]"), F.concat(F.lpad(F.length(number(x)).cast("string"), 10, "0"), number(x))).otherwise(x))
+    return F.when(F.lower(text).rlike("^[0-9]"), F.concat(F.array(F.lit("")), keys)).otherwise(keys)
 
 
 def odd_prefix(number: Column, text: Column, prefix: str, mark: str) -> tuple[Column, Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import LATIN, Profile, split_units, stable_id
+from ..functions.text import LATIN, Profile, only_script, split_units, stable_id, tokens
 
 CHUNK = "array<struct<text:string,start:bigint>>"
 
@@ -40,9 +40,18 @@ def pack(units: Column, target: int, least: int, most: int) -> Column:
     return F.aggregate(units, begin, step, lambda s: F.when(F.length(s["buf"]) >= least, put(s["out"], s["buf"], s["start"])).otherwise(s["out"]))
 
 
-def chunk_documents(docs: DataFrame, p: Profile = LATIN, target: int = 1300, least: int = 900, most: int = 1800) -> DataFrame:
-    """chunk_id, doc_id, char_start, char_end, char_count, text of every chunk that is no table of contents."""
+def chunk_documents(docs: DataFrame, p: Profile = LATIN, target: int = 1300, least: int = 900, most: int = 1800, pure: bool = False) -> DataFrame:
+    """chunk_id, doc_id, char_start, char_end, char_count, text of every chunk that is no table of contents.
+
+    With pure, also stack_count, unique_stack_count and stacks (distinct ones, sorted and joined) of those chunks alone that hold nothing but the script and spaces, and
+    at least one stack.
+    """
     packed = docs.select("doc_id", F.explode(pack(split_units(F.col("text"), p), target, least, most)).alias("c"))
     rows = packed.select("doc_id", F.col("c.start").alias("char_start"), F.col("c.text").alias("text"))
     rows = rows.filter(~F.col("text").contains(p.toc)).withColumn("char_count", F.length("text").cast("long"))
-    return rows.select(stable_id(F.col("doc_id"), F.col("char_start"), F.col("text")).alias("chunk_id"), "doc_id", "char_start", (F.col("char_start") + F.col("char_count")).alias("char_end"), "char_count", "text")
+    more = []
+    if pure:
+        rows = rows.filter(only_script(F.col("text"), p, spaces=True)).withColumn("_found", tokens(F.col("text"), p)).filter(F.size("_found") > 0)
+        kinds = F.array_sort(F.array_distinct("_found"))
+        more = [F.size("_found").cast("long").alias("stack_count"), F.size(kinds).cast("long").alias("unique_stack_count"), F.array_join(kinds, " ").alias("stacks")]
+    return rows.select(stable_id(F.col("doc_id"), F.col("char_start"), F.col("text")).alias("chunk_id"), "doc_id", "char_start", (F.col("char_start") + F.col("char_count")).alias("char_end"), "char_count", "text", *more)

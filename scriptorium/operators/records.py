@@ -35,6 +35,11 @@ def with_files(rows: DataFrame, files: DataFrame, path: str, missing: bool = Fal
     return rows.join(listed, path, "left_anti" if missing else "left_semi")
 
 
+def distinct_files(rows: DataFrame, path: str) -> DataFrame:
+    """The paths that rows name, each once; blanks name none."""
+    return rows.select(path).filter(F.coalesce(F.trim(path), F.lit("")) != "").distinct()
+
+
 def resume(plan: DataFrame, fragments: DataFrame, files: DataFrame, *order: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What a stopped run goes on with: (catalog, todo, next_id).
 

@@ -24,22 +24,22 @@ def numbered(rows: DataFrame, key: str, seed: int = 0) -> DataFrame:
     return keys.withColumn("place", place).join(F.broadcast(offsets), "bucket").select(key, (F.col("offset") + F.col("place")).alias("number"))
 
 
-def numbered_within(rows: DataFrame, by: list[str], order: list) -> DataFrame:
-    """Adds place, from 1, in each group's order (which is total). Hot groups are cut into ranges of the order, so none is one task's sort.
+def numbered_within(rows: DataFrame, by: list[str], order: list, name: str = "place") -> DataFrame:
+    """Adds place (or name), from 1, in each group's order (which is total). Hot groups are cut into ranges of the order, so none is one task's sort.
 
-    Rows are range-partitioned by group and order; each row is numbered within its partition and group, and what a group has in the
-    partitions before is added. Only counts by (partition, group) meet, at most one row each.
+    Rows are range-partitioned by group and order and sorted; a row's place is its number in its partition, less that of the group's first row there, and what the group has in the
+    partitions before. Only counts by (partition, group) meet, at most one row each.
     """
-    laid = saved(rows.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()))
-    counts = laid.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
+    laid = rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn("_id", F.monotonically_increasing_id())
+    laid = saved(laid.withColumn("_part", F.shiftright("_id", 33)))
+    counts = laid.groupBy(*by, "_part").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    offsets = counts.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_p"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     same = F.col("_part") == F.col("_p")
     for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    within = Window.partitionBy("_part", *by).orderBy(*order)
-    found = laid.withColumn("_place", F.row_number().over(within)).join(offsets, same)
-    return found.select(*rows.columns, (F.col("_offset") + F.col("_place")).cast("long").alias("place"))
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    found = laid.join(offsets, same)
+    return found.select(*rows.columns, (F.col("_offset") + F.col("_id") - F.col("_first") + 1).cast("long").alias(name))
 
 
 def unique_names(rows: DataFrame, within: list[str], name: str, order: list[str], suffix: Column | None = None, max_rounds: int = 50) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The shared folder in which iterative plans cut their lineage."""
+"""The shared folder in which plans of several rounds cut their lineage."""
 
 from __future__ import annotations
 
@@ -25,6 +25,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def saved(frame: DataFrame) -> DataFrame:
-    """Checkpoints the rows in the shared folder."""
-    shared_folder(frame.sparkSession)
-    return frame.checkpoint()
+    """Writes the rows to the shared folder and reads them back: a cut of lineage that outlives executors."""
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/saved/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def clear_saved(spark: SparkSession) -> None:
+    """Deletes what the session has saved so far. Frames that weren't written out before can't be read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/saved")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

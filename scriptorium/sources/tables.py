@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import TIBETAN, Profile, only_script, parse_int_strict
+from .ordered import csv_union, in_file_order, lines
 
 FONT_COLUMNS = ["basename", "font_path", "ttc_face_index", "ps_name", "other_names", "font_size_pt", "dpi", "skt_ok"]
 
@@ -49,8 +50,8 @@ def _first_of(lines: DataFrame, value: str, limit: int | None) -> DataFrame:
 
 def stack_list(spark: SparkSession, path: str, limit: int | None = None, p: Profile = TIBETAN) -> DataFrame:
     """stack, is_standard, n: lines of the script only, the first of equal ones, in the file's order; the limit counts distinct ones."""
-    lines = spark.read.text(path).select(F.trim("value").alias("stack"), F.monotonically_increasing_id().alias("at"))
-    return _first_of(lines.filter(only_script(F.col("stack"), p)), "stack", limit).withColumns({"is_standard": F.lit(1), "n": F.lit(0).cast("long")})
+    read = lines(spark, path).select(F.trim("value").alias("stack"), "at")
+    return _first_of(read.filter(only_script(F.col("stack"), p)), "stack", limit).withColumns({"is_standard": F.lit(1), "n": F.lit(0).cast("long")})
 
 
 def stack_csv(spark: SparkSession, path: str, limit: int | None = None, p: Profile = TIBETAN) -> DataFrame:
@@ -58,13 +59,13 @@ def stack_csv(spark: SparkSession, path: str, limit: int | None = None, p: Profi
 
     The column of counts is read under both spellings in use.
     """
-    raw = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    raw = in_file_order(spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     if "stack" not in raw.columns:
         raise ValueError(f"{path} has no column stack, but {raw.columns}")
     given = F.coalesce(F.nullif(F.col("hunspell_bo"), F.lit("")), F.lit("1")) if "hunspell_bo" in raw.columns else F.lit("1")
     counts = [F.col(c) for c in ("nb_occurences", "nb_occurrences") if c in raw.columns]
     number = parse_int_strict(F.coalesce(*counts, F.lit("0")))
-    rows = raw.select(F.trim("stack").alias("stack"), F.when(F.trim(given) == "1", 1).otherwise(0).alias("is_standard"), number.alias("n"), F.monotonically_increasing_id().alias("at"))
+    rows = raw.select(F.trim("stack").alias("stack"), F.when(F.trim(given) == "1", 1).otherwise(0).alias("is_standard"), number.alias("n"), "at")
     return _first_of(rows.filter(only_script(F.col("stack"), p)), "stack", limit)
 
 
@@ -75,8 +76,8 @@ def stacks(spark: SparkSession, path: str, limit: int | None = None, p: Profile
 
 def probe_lines(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Lines that are neither blank nor comments, in the file's order."""
-    lines = spark.read.text(path).select(F.trim("value").alias("probe"), F.monotonically_increasing_id().alias("at")).filter((F.col("probe") != "") & ~F.col("probe").startswith("#"))
-    return (lines.orderBy("at").limit(limit) if limit is not None else lines).drop("at")
+    read = lines(spark, path).select(F.trim("value").alias("probe"), "at").filter((F.col("probe") != "") & ~F.col("probe").startswith("#"))
+    return (read.orderBy("at").limit(limit) if limit is not None else read).drop("at")
 
 
 #: The texts by which ordinary fonts are tried, of the script and of Latin digits.
@@ -106,27 +107,23 @@ def alignments(spark: SparkSession, paths: str | list[str], schema: str) -> Data
     return rows.select("*", *[F.get(F.split(file, "-"), F.lit(i)).alias(c) for i, c in enumerate(("i_id", "ve_id", "mode"))])
 
 
-def page_map(spark: SparkSession, path: str) -> DataFrame:
-    """physical_page, render_id, line_count, at of a file without a header."""
-    return spark.read.schema("physical_page int, render_id string, line_count int").csv(path).withColumn("at", F.monotonically_increasing_id()).filter(F.coalesce("render_id", F.lit("")) != "")
+def page_map(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """physical_page, render_id, line_count, at of files without a header; at goes through the files in path order."""
+    read = in_file_order(spark.read.schema("physical_page int, render_id string, line_count int").csv(path))
+    return read.drop("path", "line").filter(F.coalesce("render_id", F.lit("")) != "")
 
 
-def line_map(spark: SparkSession, path: str) -> DataFrame:
-    """physical_page, render_id, line_index, marker_ids (whole numbers only), at of a file without a header."""
-    raw = spark.read.schema("physical_page int, render_id string, line_index int, marker_ids string").csv(path).withColumn("at", F.monotonically_increasing_id())
+def line_map(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """physical_page, render_id, line_index, marker_ids (whole numbers only), at of files without a header; at as in page_map."""
+    read = in_file_order(spark.read.schema("physical_page int, render_id string, line_index int, marker_ids string").csv(path)).drop("path", "line")
     ids = F.transform(F.filter(F.split(F.coalesce("marker_ids", F.lit("")), " +"), lambda x: x.rlike("^[0-9]+$")), lambda x: x.cast("int"))
-    return raw.filter(F.coalesce("render_id", F.lit("")) != "").withColumn("marker_ids", ids)
+    return read.filter(F.coalesce("render_id", F.lit("")) != "").withColumn("marker_ids", ids)
 
 
 def fragments(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of all checkpoint files of a folder with file and at, by which they follow each other. Columns are those of any file."""
-    listed = spark.read.option("header", True).option("enforceSchema", False)
-    names = sorted({r[0] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path").collect()})
-    parts = [listed.csv(n).select("*", F.lit(n.rsplit("/", 1)[-1]).alias("file"), F.monotonically_increasing_id().alias("at")) for n in names]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+    """Rows of all committed checkpoint files below a folder, with file, line and at, by which they follow each other. Columns are those of any file; a missing or empty folder has no rows."""
+    rows = csv_union(spark, path)
+    return rows.withColumn("file", F.regexp_extract("path", "[^/]*$", 0)).withColumn("fragment", F.regexp_extract("path", "([^/]*)/[^/]*$", 1)).drop("path")
 
 
 def markdown_table(spark: SparkSession, path: str) -> DataFrame:
