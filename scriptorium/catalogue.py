@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .operators import chunks, geometry, relations, stacks
-from .plans import assignment, closure, layout, numbering, quotas
+from .plans import assignment, closure, greedy, layout, numbering, quotas, trees
 from .registered import ORACLES, QUERIES, query
 from .registered import table as _t
+from .sources import affixes, sinks
+from .sources.shared import new_folder
 
 TOKENS = "(SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS token FROM documents)"
 RARITY = f"""
@@ -358,17 +360,79 @@ def row_bytes(spark, d):
     return _t(spark, d, "documents").select("doc_id", (tx.row_bytes(F.col("text"), F.col("lang"), F.col("source")) + 32).alias("estimate"))
 
 
-RULES = [("A", "e", "ing", "B"), ("A", "", "ly", "C"), ("B", "", "s", "C"), ("C", "y", "ier", "D"), ("D", "r", "st", "E")]
-STEMS = [("make", "A"), ("bake", "A"), ("late", "A"), ("odd", "C")]
+AFFIXES = """# suffixes
+SFX A Y 3
+SFX A e ing/B [^e]e
+SFX A 0 ly/CD .
+SFX A 0 x
+SFX B Y 1
+SFX B 0 s/C [^s]
+SFX C N 2
+SFX C s ier/D [^u]s
+SFX C y 0 [aeiou]y
+SFX D Y 1
+SFX D r st r
+"""
+#: Stems are the words of all texts; their flags come from their last letters.
+FORMS = """
+    rules(flag, strip, add_, next, cond) AS (VALUES ('A', 'e', 'ing', ['B'], '[^e]e$'), ('A', '', 'ly', ['C', 'D'], '.$'), ('A', '', 'x', []::VARCHAR[], '.$'), ('B', '', 's', ['C'], '[^s]$'), ('C', 's', 'ier', ['D'], '[^u]s$'), ('C', 'y', '', []::VARCHAR[], '[aeiou]y$'), ('D', 'r', 'st', []::VARCHAR[], 'r$')),
+    stems AS (SELECT DISTINCT token AS word, CASE right(token, 1) WHEN 'e' THEN ['A', 'D'] WHEN 'y' THEN ['C'] WHEN 'n' THEN ['B'] WHEN 'r' THEN ['C', 'D'] ELSE []::VARCHAR[] END AS flags FROM """ + TOKENS + """),
+    c AS (SELECT word, flags FROM stems UNION SELECT left(word, length(word) - length(strip)) || add_, next FROM c, rules WHERE list_contains(flags, flag) AND ends_with(word, strip) AND regexp_matches(word, cond))"""
+
+
+def _forms(spark, d, **limits):
+    path = f"{new_folder(spark, 'affixes')}/rules.aff"
+    sinks.write_text(spark, path, AFFIXES)
+    last = F.right("token", F.lit(1))
+    flags = F.when(last == "e", F.array(F.lit("D"), F.lit("A"))).when(last == "y", F.array(F.lit("C"))).when(last == "n", F.array(F.lit("B"))).when(last == "r", F.array(F.lit("C"), F.lit("D")))
+    words = stacks.exploded(_t(spark, d, "documents")).select(F.col("token").alias("word"), flags.alias("flags"))
+    return closure.suffix_closure(words, affixes.suffix_rules(spark, path), **limits)
+
+
+@query(f"WITH RECURSIVE {FORMS} SELECT word, array_to_string(flags, '') AS flags, false AS cut FROM c")
+def affix_forms(spark, d):
+    """All forms of the words of all texts under rules read from a file."""
+    return _forms(spark, d).select("word", F.array_join("flags", "").alias("flags"), "cut")
+
+
+@query(f"WITH RECURSIVE {FORMS} SELECT count(*) AS stems, 1000::BIGINT AS more, true AS cut FROM stems")
+def affix_forms_cut(spark, d):
+    """A closure that stops at its bound says so; the stems stay whole (there are fewer of them)."""
+    many = _t(spark, d, "documents").select(F.explode(tx.tokens(F.col("text"), tx.LATIN)).alias("w")).distinct().count()
+    return _forms(spark, d, max_states=many + 1000).agg(F.count_if(F.col("steps") == 0).alias("stems"), F.count_if(F.col("steps") > 0).alias("more"), F.bool_and("cut").alias("cut"))
 
 
 @query(f"""
-    WITH RECURSIVE rules(flag, strip, add_, next_flag) AS (VALUES {', '.join(map(str, RULES))}), stems(word, flag) AS (VALUES {', '.join(map(str, STEMS))}),
-    c AS (SELECT word, flag FROM stems UNION SELECT substr(word, 1, length(word) - length(strip)) || add_, next_flag FROM c JOIN rules USING (flag) WHERE ends_with(word, strip))
-    SELECT word, flag FROM c""")
-def closure_suffix(spark, d):
-    rules = spark.createDataFrame(RULES, "flag string, strip string, add string, next_flag string")
-    return closure.suffix_closure(spark.createDataFrame(STEMS, "word string, flag string"), rules)
+    WITH RECURSIVE {FORMS}, v AS (SELECT DISTINCT unnest(regexp_extract_all(word, '[a-z][^aeiou]*')) AS unit FROM c WHERE word IN (SELECT unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) FROM benchmark) OR ends_with(word, 'ing'))
+    SELECT unit FROM v""")
+def affix_units(spark, d):
+    """Units (a letter and the consonants behind it) of the forms that a word list knows."""
+    forms = _forms(spark, d)
+    listed = stacks.exploded(_t(spark, d, "benchmark").withColumnRenamed("item_id", "doc_id")).select(F.col("token").alias("word"))
+    known = listed.unionByName(forms.filter(F.col("word").endswith("ing")).select("word"))
+    return closure.valid_unit_set(forms, replace(tx.LATIN, token="[a-z][^aeiou]*"), known)
+
+
+TREE = """
+    p AS (SELECT 'Fönts ' || p_size % 3 || CASE WHEN p_partkey % 4 = 0 THEN '!' ELSE '' END || '/' || p_brand || '/' || replace(p_type, ' ', CASE WHEN p_partkey % 2 = 0 THEN ' ' ELSE '_' END) || '/' || CASE WHEN p_partkey % 5 = 0 THEN 'Név ' ELSE 'nev_' END || p_partkey % 7 || CASE WHEN p_partkey % 3 = 0 THEN '.TTF' ELSE '.ttf' END AS path, p_partkey FROM part),
+    u AS (SELECT DISTINCT path FROM p),
+    slug AS (SELECT path, string_split(path, '/') AS parts FROM u),
+    d AS (SELECT array_to_string(parts[:-2], '/') AS dir, parts[:-2] AS parts, min(path) AS first FROM slug GROUP BY ALL),
+    w AS (SELECT dir, parts, first, 0 AS depth, '' AS up FROM d
+      UNION ALL SELECT dir, parts, first, depth + 1, CASE WHEN up = '' THEN '' ELSE up || '/' END || CASE WHEN n = 1 THEN safe ELSE safe || '_' || substr(sha1(up || '/' || parts[depth + 1]), 1, 8) END
+      FROM (SELECT *, row_number() OVER (PARTITION BY up, safe ORDER BY first) AS n FROM (SELECT *, regexp_replace(regexp_replace(strip_accents(parts[depth + 1]), '[^A-Za-z0-9._-]+', '_', 'g'), '^_+|_+$', '', 'g') AS safe FROM w WHERE depth < len(parts))))"""
+
+
+@query(f"""
+    WITH RECURSIVE {TREE}, f AS (SELECT s.path, up, regexp_replace(strip_accents(left(s.parts[-1], -4)), '[^A-Za-z0-9._-]+', '_', 'g') || lower(right(s.parts[-1], 4)) AS safe FROM slug s JOIN w ON w.dir = array_to_string(s.parts[:-2], '/') AND w.depth = len(w.parts))
+    SELECT path, up AS normalized_dir, CASE WHEN row_number() OVER (PARTITION BY up, safe ORDER BY path) = 1 THEN safe ELSE left(safe, -4) || '_' || substr(sha1(path), 1, 8) || right(safe, 4) END AS normalized_name FROM f""")
+def renamed_directories(spark, d):
+    """Paths of parts: components that only differ in what a slug drops, siblings that share a parent, and files that collide."""
+    k = F.col("p_partkey")
+    folder = F.concat(F.lit("Fönts "), (F.col("p_size") % 3).cast("string"), F.when(k % 4 == 0, "!").otherwise(""))
+    kind = F.replace("p_type", F.lit(" "), F.when(k % 2 == 0, " ").otherwise("_"))
+    file = F.concat(F.when(k % 5 == 0, "Név ").otherwise("nev_"), (k % 7).cast("string"), F.when(k % 3 == 0, ".TTF").otherwise(".ttf"))
+    return trees.renamed_tree(_t(spark, d, "part").select(F.concat_ws("/", folder, "p_brand", kind, file).alias("path")).distinct())
 
 
 @query("""
@@ -397,11 +461,49 @@ def _renderers(spark, d):
     return pairs, fonts, assignment.assign_splits(sized, "category", "name", "capacity")
 
 
-@query()
+#: Each category's names by capacity and digest, one after the other to the split that is least full, then has fewest names.
+SPLITS = """
+    cap AS (SELECT l_suppkey AS s, count(DISTINCT l_partkey) AS n FROM lineitem GROUP BY ALL),
+    b AS (SELECT s_nationkey::VARCHAR AS category, s_name AS name, n AS capacity, s_suppkey AS renderer FROM supplier JOIN cap ON s = s_suppkey),
+    o AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY capacity DESC, sha1('0:' || name), name) AS i, sum(greatest(1, capacity)) OVER (PARTITION BY category) AS total FROM b),
+    g AS (SELECT category, 0::BIGINT AS i, '' AS name, [0.0, 0.0, 0.0]::DOUBLE[] AS filled, [0, 0, 0]::BIGINT[] AS many, 0::BIGINT AS pick FROM (SELECT DISTINCT category FROM o)
+      UNION ALL SELECT category, i, name, [filled[k] + (k = pick)::INT * greatest(1, capacity) for k in [1, 2, 3]], [many[k] + (k = pick)::INT for k in [1, 2, 3]], pick FROM (
+        SELECT o.category, o.i, o.name, filled, many, capacity, CASE WHEN o.i <= 3 THEN o.i ELSE list_sort([{'load': filled[k] / greatest(1.0, total * [.8, .1, .1][k]), 'many': many[k], 'k': k} for k in [1, 2, 3]])[1].k END AS pick FROM g JOIN o ON o.category = g.category AND o.i = g.i + 1)),
+    split AS (SELECT name, arg_max(['train', 'val', 'test'][pick], category) AS split FROM g WHERE i > 0 GROUP BY name)"""
+
+
+@query(f"WITH RECURSIVE {SPLITS} SELECT name, split FROM split")
 def renderer_splits(spark, d):
     return _renderers(spark, d)[2]
 
 
+@query(f"""
+    WITH RECURSIVE {SPLITS},
+    f0 AS (SELECT s_suppkey AS renderer, s_nationkey % 2 AS category, CASE WHEN s_suppkey % 3 = 0 THEN 'ume' ELSE 'uchen' END AS script, split FROM supplier JOIN split ON name = s_name),
+    cells AS (SELECT *, row_number() OVER (ORDER BY category, list_position(['train', 'val', 'test'], split), script) AS cell FROM (SELECT category, script, split, count(*) * 25 AS quota, count(*) AS fonts FROM f0 GROUP BY ALL)),
+    l AS (SELECT l_suppkey AS renderer, list(l_partkey ORDER BY p_retailprice::DOUBLE DESC, l_partkey) AS chunks FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_linenumber = 7) JOIN part ON p_partkey = l_partkey GROUP BY 1),
+    f AS (SELECT renderer, cell, quota, fonts, c.split, category, script, coalesce(chunks, []) AS chunks, row_number() OVER (PARTITION BY cell ORDER BY sha1('0:' || renderer), renderer) AS no FROM f0 JOIN cells c USING (category, script, split) LEFT JOIN l USING (renderer)),
+    -- one step of a renderer at a time; owned: chunks of each split
+    s AS (SELECT 0 AS step, 1::BIGINT AS cell, 1::BIGINT AS no, (SELECT quota FROM cells WHERE cell = 1) AS rest, false AS moved, [[], [], []]::BIGINT[][] AS owned, []::VARCHAR[] AS used, []::BIGINT[] AS shared, 0::BIGINT AS renderer, NULL::BIGINT AS chunk, false AS reused
+      UNION ALL SELECT step + 1,
+        CASE WHEN over THEN cell + 1 ELSE cell END, CASE WHEN over OR no = fonts THEN 1 ELSE no + 1 END, CASE WHEN over THEN (SELECT max(quota) FROM cells c WHERE c.cell = y.cell + 1) ELSE left_ END, CASE WHEN over OR no = fonts THEN false ELSE now END,
+        CASE WHEN fresh IS NULL THEN owned ELSE [CASE WHEN k = own THEN owned[k] || [fresh] ELSE owned[k] END for k in [1, 2, 3]] END,
+        CASE WHEN took IS NULL THEN used ELSE used || [renderer || ':' || took] END, CASE WHEN fresh IS NULL AND took IS NOT NULL AND NOT list_contains(shared, took) THEN shared || [took] ELSE shared END, renderer, took, fresh IS NULL
+        FROM (SELECT *, rest - (took IS NOT NULL)::INT AS left_, moved OR took IS NOT NULL AS now, rest - (took IS NOT NULL)::INT = 0 OR (no = fonts AND NOT (moved OR took IS NOT NULL)) AS over
+          FROM (SELECT *, coalesce(fresh, list_filter(chunks, lambda c: list_contains(owned[own], c) AND NOT list_contains(used, renderer || ':' || c) AND (list_contains(shared, c) OR len(shared) < 15))[1]) AS took
+            FROM (SELECT s.step, s.cell, s.no, s.rest, s.moved, s.owned, s.used, s.shared, f.renderer, f.chunks, f.fonts, list_position(['train', 'val', 'test'], f.split) AS own,
+              list_filter(f.chunks, lambda c: NOT list_contains(s.owned[1], c) AND NOT list_contains(s.owned[2], c) AND NOT list_contains(s.owned[3], c))[1] AS fresh FROM s JOIN f ON f.cell = s.cell AND f.no = s.no)) x) y)
+    SELECT s.renderer, s.chunk, f.category, f.script, f.split, p_retailprice::DOUBLE AS difficulty, s.reused, row_number() OVER (ORDER BY step) AS place FROM s JOIN f ON f.renderer = s.renderer JOIN part ON p_partkey = s.chunk WHERE s.chunk IS NOT NULL""")
+def sequential_plan(spark, d):
+    """25 chunks for each renderer, of the few that it supports, so that many come to their end and reuse some; fifteen chunks may be reused."""
+    _, fonts, splits = _renderers(spark, d)
+    fonts = fonts.join(splits, "name").withColumn("category", F.col("category") % 2)
+    wanted = fonts.groupBy("category", "script", "split").agg((F.count("*") * 25).alias("quota"))
+    hard = _t(spark, d, "part").select(F.col("p_partkey").alias("chunk"), F.col("p_retailprice").cast("double").alias("difficulty"))
+    pairs = _t(spark, d, "lineitem").filter("l_linenumber = 7").select(F.col("l_suppkey").alias("renderer"), F.col("l_partkey").alias("chunk")).join(hard, "chunk")
+    return greedy.greedy_plan(fonts, pairs, wanted, reusable=15)
+
+
 @query()
 def chunk_assignment(spark, d):
     pairs, fonts, splits = _renderers(spark, d)

@@ -29,7 +29,7 @@ def assign_splits(renderers: DataFrame, category: str, name: str, capacity: str,
     best = best.agg(F.max(F.coalesce(F.col(capacity), F.lit(0))).cast("long").alias("capacity"))
     total = best.groupBy("category").agg(F.sum(F.greatest(F.lit(1), "capacity")).alias("total"))
     rows = best.join(total, "category").select(F.col("category").cast("string").alias("category"), "name", "capacity", "total")
-    ordered = rows.repartition("category").sortWithinPartitions("category", F.desc("capacity"), F.xxhash64(F.lit(seed), "name"), "name")
+    ordered = rows.repartition("category").sortWithinPartitions("category", F.desc("capacity"), F.sha1(F.concat_ws(":", F.lit(str(seed)), "name")), "name")
 
     def fold(frames):
         now, filled, many = None, [], []

@@ -5,30 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import LATIN, Profile, tokens
 from ..sources.shared import saved
 
+#: Rules that may be sent to all tasks; more are joined by a shuffle.
+BROADCAST_RULES = 100_000
 
-def suffix_closure(stems: DataFrame, rules: DataFrame, max_rounds: int = 50, max_states: int = 2_000_000) -> DataFrame:
-    """All (word, flag) reachable: a rule (flag, strip, add, next_flag, and a pattern the word must match, if the table has one) applies to words
-    of its flag that end in strip.
 
-    Each round joins the newest forms only with the rules and drops those seen before; it is saved, so a round costs what is new in it.
-    Rules are a dictionary's, a few thousand. A closure of more than max_states forms is cut there, as forms may grow without end; the forms
-    of the fewest steps stay, and of equal steps the first by word and flag.
+def suffix_closure(stems: DataFrame, rules: DataFrame, without: list[str] | None = None, max_rounds: int = 200, max_states: int = 2_000_000) -> DataFrame:
+    """word, flags (sorted), steps, cut of all forms that can be reached: a rule applies to a form that has its flag, ends in strip and matches its condition, and gives the form its own flags.
+
+    stems: word, flags (array). rules: flag, strip, add, flags (array), condition (a pattern). Rules of the flags in without are left out. A form is a word
+    with its flags; it is told once, with the fewest steps. Each round joins the newest forms only with the rules and drops those seen before; it is
+    saved, so a round costs what is new in it. Forms may grow without end: a closure of more than max_states forms stops there, the first of a round by word
+    and flags staying, and cut is then true in every row. Null words are none; null flags are no flags.
     """
-    seen = newest = saved(stems.select("word", "flag").distinct())
-    many = seen.count()
-    for _ in range(max_rounds):
+    flags = F.array_sort(F.array_distinct(F.coalesce("flags", F.array().cast("array<string>"))))
+    seen = newest = saved(stems.filter(F.col("word").isNotNull()).select("word", flags.alias("flags")).distinct().withColumn("steps", F.lit(0)))
+    many, cut = seen.count(), False
+    rules = saved(rules.filter(~F.col("flag").isin(without)) if without else rules).select("flag", "strip", "add", F.array_sort("flags").alias("next_flags"), "condition")
+    rules = F.broadcast(rules) if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else rules
+    parts = [seen]
+    for step in range(1, max_rounds + 1):
         base = F.expr("substring(word, 1, length(word) - length(strip))")
-        made = newest.join(F.broadcast(rules), "flag").filter(F.col("word").endswith(F.col("strip")))
-        if "condition" in rules.columns:
-            made = made.filter(F.expr("word rlike condition"))
-        made = made.select(F.concat(base, "add").alias("word"), F.col("next_flag").alias("flag")).distinct()
-        newest = saved(made.join(seen, ["word", "flag"], "left_anti"))
+        made = newest.select("word", F.explode("flags").alias("flag")).join(rules, "flag").filter(F.col("word").endswith(F.col("strip")) & F.expr("word rlike condition"))
+        made = made.select(F.concat(base, "add").alias("word"), F.col("next_flags").alias("flags")).distinct()
+        newest = saved(made.join(seen.select("word", "flags"), ["word", "flags"], "left_anti").withColumn("steps", F.lit(step)))
         found = newest.count()
-        if found == 0:
-            return seen
         if many + found >= max_states:
-            return seen.unionByName(newest.orderBy("word", "flag").limit(max_states - many))
-        seen, many = saved(seen.unionByName(newest)), many + found
-    raise RuntimeError("the closure did not end")
+            newest, cut = newest.orderBy("word", "flags").limit(max(0, max_states - many)), many + found > max_states
+        parts.append(newest)
+        if found == 0 or many + found >= max_states:
+            break
+        many += found
+        seen = seen.unionByName(newest)
+    else:
+        raise RuntimeError("the closure did not end")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("cut", F.lit(cut))
+
+
+def valid_unit_set(forms: DataFrame, p: Profile = LATIN, lookup: DataFrame | None = None) -> DataFrame:
+    """Distinct units of the words of forms; with lookup (word), of those that it has."""
+    words = forms.select("word").distinct()
+    words = words.join(lookup.select("word"), "word", "left_semi") if lookup is not None else words
+    return words.select(F.explode(tokens(F.col("word"), p)).alias("unit")).distinct()

@@ -81,8 +81,13 @@ def probe_lines(spark: SparkSession, path: str, limit: int | None = None) -> Dat
 
 
 #: The texts by which ordinary fonts are tried, of the script and of Latin digits.
-NORMAL_PROBES = "ཀ ཁ ག ང ཅ ཉ ཏ ད ན པ བ མ ཙ ཚ ཛ ཝ ཞ ཟ འ ཡ ར ལ ཤ ས ཧ ཨ ཀི ཀུ ཀེ ཀོ ཀྱ ཀྲ ཀླ སྐ སྒ སྟ སྤ རྐ རྒ ལྟ བརྒྱ བསྒྲུབ མཁྱེན རྗེ རྒྱལ བོད་ཡིག།".split() + ["༄༅། །", "༠༡༢༣༤༥༦༧༨༩"]
-LATIN_PROBES = [*"0123456789()", "0123456789", "(0123456789)"]
+NORMAL_PROBES = [
+    "ཀ", "ཁ", "ག", "ང", "ཅ", "ཉ", "ཏ", "ད", "ན", "པ", "བ", "མ",
+    "ཙ", "ཚ", "ཛ", "ཝ", "ཞ", "ཟ", "འ", "ཡ", "ར", "ལ", "ཤ", "ས",
+    "ཧ", "ཨ", "ཀི", "ཀུ", "ཀེ", "ཀོ", "ཀྱ", "ཀྲ", "ཀླ", "སྐ", "སྒ", "སྟ",
+    "སྤ", "རྐ", "རྒ", "ལྟ", "བརྒྱ", "བསྒྲུབ", "མཁྱེན", "རྗེ", "རྒྱལ", "བོད་ཡིག།", "༄༅། །", "༠༡༢༣༤༥༦༧༨༩",
+]
+LATIN_PROBES = ["0", "1", "2", "3", "4", "5", "6", "7", "8", "9", "(", ")", "0123456789", "(0123456789)"]
 
 
 def inline_probes(spark: SparkSession) -> DataFrame:

@@ -1,13 +1,18 @@
 """Assignment, numbering and merging, against plain Python and stated invariants."""
 
+import hashlib
+import os
 import random
+import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scriptorium.plans import assignment, closure, layout, numbering
+from scriptorium.plans import assignment, closure, greedy, layout, numbering, trees
+from scriptorium.sources import affixes
 
 
 def test_numbers_are_consecutive_and_repeat(spark):
@@ -45,13 +50,111 @@ def test_splits_stay_balanced(spark):
 
 
 def test_closure_of_many_rounds(spark):
-    rules = [(f"F{i}", "", chr(97 + i), f"F{i + 1}") for i in range(20)]
-    table = spark.createDataFrame(rules, "flag string, strip string, add string, next_flag string")
-    stems = spark.createDataFrame([("w", "F0"), ("w", "F0")], "word string, flag string")
-    found = {r.word for r in closure.suffix_closure(stems, table).collect()}
-    assert found == {"w" + "".join(chr(97 + i) for i in range(k)) for k in range(21)}
-    endless = spark.createDataFrame([("F0", "", "a", "F0", "w"), ("F0", "", "b", "F0", "x")], "flag string, strip string, add string, next_flag string, condition string")
-    assert sorted(r.word for r in closure.suffix_closure(stems, endless, max_states=4).collect()) == ["w", "wa", "waa", "waaa"]
+    kind = "flag string, strip string, add string, flags array<string>, condition string"
+    table = spark.createDataFrame([(f"F{i}", "", chr(97 + i), [f"F{i + 1}"], ".$") for i in range(20)], kind)
+    stems = spark.createDataFrame([("w", ["F0"]), ("w", ["F0", "F0"]), (None, ["F0"]), ("v", None)], "word string, flags array<string>")
+    found = closure.suffix_closure(stems, table).collect()
+    assert {r.word for r in found} == {"v", *("w" + "".join(chr(97 + i) for i in range(k)) for k in range(21))} and len(found) == 22
+    assert not any(r.cut for r in found)
+    endless = spark.createDataFrame([("F0", "", "a", ["F0"], "w"), ("F0", "", "b", ["F0"], "x")], kind)
+    found = closure.suffix_closure(stems, endless, max_states=5).collect()
+    assert sorted(r.word for r in found) == ["v", "w", "wa", "waa", "waaa"]
+    assert {r.word for r in closure.suffix_closure(stems, table, without=["F3"]).collect()} == {"v", "w", "wa", "wab", "wabc"}
+
+
+def test_a_cut_closure_says_so(spark):
+    rules = spark.createDataFrame([("A", "", c, ["A"], ".$") for c in "xyz"], "flag string, strip string, add string, flags array<string>, condition string")
+    found = closure.suffix_closure(spark.createDataFrame([("w", ["A"])], "word string, flags array<string>"), rules, max_states=3).collect()
+    assert sorted(r.word for r in found) == ["w", "wx", "wy"] and all(r.cut for r in found)
+
+
+def test_affix_files(spark, tmp_path):
+    (tmp_path / "a.aff").write_text("SFX A Y 2\nSFX A e ing/BC [^e]e\nSFX A 0 0\n# SFX A x y .\nPFX B 0 un .\n")
+    (tmp_path / "a.dic").write_text("2\nmake/AB\ntea\n\n7\n")
+    rules = affixes.suffix_rules(spark, str(tmp_path / "a.aff")).collect()
+    assert [tuple(r) for r in rules] == [("A", "e", "ing", ["B", "C"], "[^e]e$"), ("A", "", "", [], ".$")]
+    assert sorted(tuple(r) for r in affixes.dictionary_stems(spark, str(tmp_path / "a.dic")).collect()) == [("7", []), ("make", ["A", "B"]), ("tea", [])]
+
+
+def plain_tree(paths):
+    slug = lambda s: re.sub("_+", "_", re.sub(r"[^A-Za-z0-9._-]+", "_", unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode())).strip("_") or "x"
+    digest = lambda s: hashlib.sha1(s.encode()).hexdigest()[:8]
+    used, files, dirs, out = {}, {}, {}, {}
+    for p in sorted(paths):
+        *parts, file = p.split("/")
+        if tuple(parts) not in dirs:
+            at = ""
+            for part in parts:
+                name = slug(part)
+                if name in used.setdefault(at, set()):
+                    name = f"{name}_{digest(at + '/' + part)}"
+                used[at].add(name)
+                at = f"{at}/{name}" if at else name
+            dirs[tuple(parts)] = at
+        at = dirs[tuple(parts)]
+        stem, ending = os.path.splitext(file)
+        name = slug(stem) + ending.lower()
+        if name in files.setdefault(at, set()):
+            name = f"{slug(stem)}_{digest(p)}{ending.lower()}"
+        files[at].add(name)
+        out[p] = (at, name)
+    return out
+
+
+def test_tree_equals_a_walk(spark):
+    made = "b_" + hashlib.sha1(b"a/b").hexdigest()[:8]
+    paths = ["x.ttf", "X.TTF", "x .ttf", "a/b/1.ttf", "a/c/1.ttf", "a/c!/1.ttf", "a/c /é.otf", "á/b/1.ttf", "a/1.ttf", "b/ü/v/w.ttc", "b/u/v/w.ttc", "b/u/v/W.ttc", "!/1.ttf", "a/b/1.TTF"]
+    paths += [f"a/b/{n}/1.ttf" for n in ("p", "q", "r")] + [f"a/{made}/z.ttf", f"{made}/z.ttf", f"b/deep/{'x/' * 6}f.ttf"]
+    frame = spark.createDataFrame([(p, 1) for p in paths] + [(None, 1)], "path string, safe int")
+    found = {r["path"]: (r["normalized_dir"], r["normalized_name"]) for r in trees.renamed_tree(frame).collect()}
+    assert found == plain_tree(paths)
+
+
+def plain_plan(fonts, pairs, quotas, cap, seed=0):
+    """The rows of a sequential pass."""
+    hard = {}
+    for f, c, d in pairs:
+        hard.setdefault(f, {})[c] = max(d, hard.get(f, {}).get(c, d))
+    owner, uses, shared, used, out = {}, {}, set(), set(), []
+    cells = sorted(quotas, key=lambda q: (q[0], assignment.SPLITS.index(q[2]), ("uchen", "ume").index(q[1])))
+    for category, script, split, quota in cells:
+        order = sorted((f for f in fonts if f[1:] == (category, script, split)), key=lambda f: (hashlib.sha1(f"{seed}:{f[0]}".encode()).hexdigest(), f[0]))
+        moved = True
+        while quota > 0 and moved:
+            moved = False
+            for f, *_ in order:
+                if quota <= 0:
+                    break
+                chunks = sorted(hard.get(f, {}), key=lambda c: (-hard[f][c], c))
+                took = next((c for c in chunks if c not in owner), None)
+                again = took is None
+                if again:
+                    took = next((c for c in chunks if owner.get(c) == split and (f, c) not in used and (uses[c] > 1 or len(shared) < cap)), None)
+                if took is None:
+                    continue
+                owner.setdefault(took, split)
+                used.add((f, took))
+                uses[took] = uses.get(took, 0) + 1
+                shared |= {took} if uses[took] > 1 else set()
+                out.append((f, took, category, script, split, hard[f][took], again, len(out) + 1))
+                quota, moved = quota - 1, True
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_greedy_plan_equals_a_sequential_pass(spark, monkeypatch, seed):
+    monkeypatch.setattr(greedy, "LEAST_LOOK", 1)
+    monkeypatch.setattr(greedy, "FIRST_LOOK", 1)
+    rng = random.Random(seed)
+    fonts = [(f, rng.choice("ab"), rng.choice(["uchen", "ume"]), rng.choice(assignment.SPLITS[:2])) for f in range(14)]
+    pairs = [(f[0], c, float(c * 7 % 5)) for f in fonts for c in range(30) if rng.random() < 0.5]
+    quotas = [(c, s, p, rng.choice([3, 9, 40])) for c, s, p in sorted({f[1:] for f in fonts})]
+    found = greedy.greedy_plan(
+        spark.createDataFrame(fonts, "renderer long, category string, script string, split string"),
+        spark.createDataFrame(pairs + pairs[:5], "renderer long, chunk long, difficulty double"),
+        spark.createDataFrame(quotas, "category string, script string, split string, quota long"), reusable=4,
+    )
+    assert sorted((tuple(r) for r in found.collect()), key=lambda r: r[-1]) == plain_plan(fonts, pairs, quotas, 4)
 
 
 def test_places_within_hot_groups(spark):
