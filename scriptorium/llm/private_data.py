@@ -32,19 +32,61 @@ TERM_KIND = "term"
 LEVELS = (4, 3, 2, 1)
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value worked out once however often body names it: a list of one list is walked through."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, join) -> Column:
+    """array<bigint>: join (a sum or a maximum) of each value and all before it.
+
+    A list that grows by one is copied at each step. So it is done within blocks of the square root of the size, then over the blocks: n ** 1.5 steps
+    of a copy in place of n ** 2.
+    """
+    none = F.array().cast("array<bigint>")
+    grow = lambda acc, x: F.concat(acc, F.array(F.coalesce(join(F.try_element_at(acc, F.lit(-1)), x), x)))
+
+    def of(v):
+        size = F.ceil(F.sqrt(F.greatest(F.lit(1), F.size(v)))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(v)), size), lambda i: F.aggregate(F.slice(v, i, size), none, grow))
+        upto = lambda b: F.aggregate(F.transform(b, lambda x: F.element_at(x, -1)), none, grow)
+        shifted = lambda b, so_far: F.flatten(F.transform(b, lambda x, i: F.when(i == 0, x).otherwise(F.transform(x, lambda y: join(F.get(so_far, i - 1), y)))))
+        return F.when(F.size(v) == 0, none).otherwise(let(blocks, lambda b: let(upto(b), lambda so_far: shifted(b, so_far))))
+
+    return let(values, of)
+
+
+def summed(values: Column) -> Column:
+    return running(values, lambda a, x: a + x)
+
+
 def located(text: Column, pattern: str) -> Column:
     """array<struct<start, end, value>> of the leftmost matches that don't overlap; code points, end exclusive."""
-    between = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda gap, value: F.struct(F.length(gap).cast("long").alias("gap"), value.alias("value")))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
+    lengths = lambda found: F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found, lambda gap, value: (F.length(gap) + F.length(value)).cast("long"))
+    spans = lambda found, ends: F.zip_with(found, ends, lambda value, end: F.struct((end - F.length(value)).alias("start"), end.alias("end"), value.alias("value")))
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: spans(found, summed(lengths(found))))
+
+
+#: Pieces from which on a text is cut as a list of code points, as taking a substring goes through the text from its beginning.
+MANY_PIECES = 64
+
+
+def put_together(text: Column, pieces: Column, tail: Column) -> Column:
+    """For each piece (struct<at, to, put>) the text from at to to and what is put behind it, then the text from tail on. pieces and tail are cheap to name."""
+    one = lambda p: F.concat(F.substring(text, (p["at"] + 1).cast("int"), F.greatest(F.lit(0), p["to"] - p["at"]).cast("int")), p["put"])
+    few = F.concat(F.array_join(F.transform(pieces, one), ""), F.substring(text, (tail + 1).cast("int"), F.length(text)))
+    cut_out = lambda c, at, to: F.array_join(F.slice(c, (at + 1).cast("int"), F.greatest(F.lit(0), to - at).cast("int")), "")
+    many = let(F.split(text, ""), lambda c: F.concat(F.array_join(F.transform(pieces, lambda p: F.concat(cut_out(c, p["at"], p["to"]), p["put"])), ""), cut_out(c, tail, F.size(c))))
+    return F.when(F.size(pieces) == 0, text).when(F.size(pieces) < MANY_PIECES, few).otherwise(many)
+
+
+def _reach(spans: Column) -> Column:
+    """How far each span and those before it have reached."""
+    return running(F.transform(spans, lambda s: s["end"]), F.greatest)
 
-    def step(state, pair):
-        start = state["upto"] + pair["gap"]
-        end = start + F.length(pair["value"])
-        return F.struct(end.alias("upto"), F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value")))).alias("out"))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).cast("long").alias("upto"), empty.alias("out")), step, lambda state: state["out"])
+def _before(reach: Column, i: Column) -> Column:
+    return F.coalesce(F.get(reach, i - 1), F.lit(0))
 
 
 def digits(value: Column) -> Column:
@@ -83,8 +125,12 @@ def _spans_of(kind: str, text: Column) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with a space for each code point of a span."""
-    blank = lambda acc, s: F.overlay(acc, F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")), (s["start"] + 1).cast("int"))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, text, blank)).otherwise(text)
+    blank = lambda s, at: F.repeat(F.lit(" "), F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], at)).cast("int"))
+    piece = lambda s, at: F.struct(at.alias("at"), s["start"].alias("to"), blank(s, at).alias("put"))
+    pieces = lambda order, reach: F.transform(order, lambda s, i: piece(s, _before(reach, i)))
+    order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    built = let(order, lambda o: let(_reach(o), lambda r: let(pieces(o, r), lambda p: put_together(text, p, F.coalesce(F.try_element_at(r, F.lit(-1)), F.lit(0))))))
+    return F.when(F.size(spans) > 0, built).otherwise(text)
 
 
 def terms_of(text: Column) -> Column:
@@ -103,9 +149,9 @@ def _marked(text: Column, told: Column) -> Column:
     def occurrences(pattern, hits_of):
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         pairs = F.zip_with(F.split(text, F.lit(pattern), -1), found, lambda gap, value: F.struct(F.coalesce(F.length(gap), F.lit(0)).cast("long").alias("gap"), F.coalesce(F.length(value), F.lit(0)).alias("size"), hits_of(value).alias("hits")))
-        # how far each one has got, then all at once, so that no list grows step by step
-        ends = F.aggregate(pairs, F.array(F.lit(0).cast("long")), lambda upto, p: F.concat(upto, F.array(F.element_at(upto, -1) + p["gap"] + p["size"])))
-        return F.flatten(F.transform(F.filter(F.zip_with(pairs, ends, lambda p, at: F.struct(p.alias("p"), at.alias("at"))), lambda x: x["p"]["hits"].isNotNull()), lambda x: F.transform(x["p"]["hits"], lambda h: place(x["at"] + x["p"]["gap"] + h["start"], x["at"] + x["p"]["gap"] + h["end"], h["put"]))))
+        placed = lambda p, ends: F.zip_with(p, ends, lambda x, end: F.struct(x.alias("p"), (end - x["size"]).alias("at")))
+        told = let(pairs, lambda p: placed(p, summed(F.transform(p, lambda x: x["gap"] + x["size"]))))
+        return F.flatten(F.transform(F.filter(told, lambda x: x["p"]["hits"].isNotNull()), lambda x: F.transform(x["p"]["hits"], lambda h: place(x["at"] + h["start"], x["at"] + h["end"], h["put"]))))
 
     def of_word(value):
         word = F.array(place(F.lit(0), F.length(value), told[ascii_lower(value)]))
@@ -118,18 +164,22 @@ def _marked(text: Column, told: Column) -> Column:
         every = F.transform(F.zip_with(one, two, lambda a, b: told[F.concat(a, b)]), lambda put, i: place(i, i + 2, put))
         return F.when(value.isNotNull(), F.filter(every, lambda s: s["put"].isNotNull()))
 
-    def merge(out, s):
-        last = F.element_at(out, -1)
-        with_last = (F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] > s["start"])
-        longer = place(last["start"], F.greatest(last["end"], s["end"]), F.when((last["put"] == "") | (s["put"] == ""), "").otherwise(f"[{TERM_KIND}]"))
-        return F.when(with_last, F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(longer))).otherwise(F.concat(out, F.array(s)))
+    def merged(spans):
+        """Spans by start, each of two letters; those that overlap are one."""
+        begins = lambda s, i: (i == 0) | (F.get(spans, i - 1)["end"] <= s["start"])
+        marks = F.transform(spans, lambda s, i: F.struct(i.alias("i"), begins(s, i).alias("first"), F.coalesce(begins(F.get(spans, i + 1), i + 1), F.lit(True)).alias("last")))
+        where = lambda c: F.transform(F.filter(marks, lambda m: m[c]), lambda m: m["i"])
+        gone = lambda removed, a, b: F.get(removed, b) - F.when(a == 0, F.lit(0).cast("long")).otherwise(F.get(removed, a - 1))
+        put = lambda removed, a, b: F.when(gone(removed, a, b) > 0, "").when(a == b, F.get(spans, a)["put"]).otherwise(f"[{TERM_KIND}]")
+        one = lambda removed: lambda a, b: place(F.get(spans, a)["start"], F.get(spans, b)["end"], put(removed, a, b))
+        return let(summed(F.transform(spans, lambda s: F.when(s["put"] == "", 1).otherwise(0).cast("long"))), lambda removed: F.zip_with(where("first"), where("last"), one(removed)))
 
     # a regular expression of the row's own few terms finds them far faster than a look at each word
     paired = lambda t: t.rlike(f"[{UNSPACED}]")
     spaced = F.filter(F.map_keys(told), lambda t: ~paired(t))
     one_of = F.concat(F.lit(f"(?<!{WORD_CHAR})(?i:"), F.array_join(spaced, "|"), F.lit(f")(?!{WORD_CHAR})"))
     words = F.when(F.size(spaced) > 0, occurrences(one_of, of_word)).otherwise(empty)
-    runs = F.when(F.exists(F.map_keys(told), paired), F.aggregate(occurrences(RUNS, of_run), empty, merge)).otherwise(empty)
+    runs = F.when(F.exists(F.map_keys(told), paired), let(occurrences(RUNS, of_run), merged)).otherwise(empty)
     return F.sort_array(F.concat(words, runs))
 
 
@@ -233,12 +283,10 @@ def cut(text: Column, base: Column, terms: Column) -> Column:
     """The text with base spans replaced by their kind in brackets and terms by what is put in their place. Of spans that overlap, the one that begins first stays."""
     base = F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), s["kind"], F.lit("]")).alias("put")))
     every = F.array_sort(F.concat(base, F.transform(terms, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["put"].alias("put")))))
-    before = F.concat(F.array(F.lit(0).cast("long")), F.slice(F.aggregate(every, F.array(F.lit(0).cast("long")), lambda upto, s: F.concat(upto, F.array(F.greatest(F.element_at(upto, -1), s["end"])))), F.lit(2), F.size(every)))
-    # before[i]: how far the spans before the i-th have reached
-    kept = F.filter(F.zip_with(every, F.slice(before, F.lit(1), F.size(every)), lambda s, at: F.struct(s.alias("s"), at.alias("at"))), lambda x: x["s"]["start"] >= x["at"])
-    pieces = F.transform(kept, lambda x: F.concat(F.substring(text, (x["at"] + 1).cast("int"), (x["s"]["start"] - x["at"]).cast("int")), x["s"]["put"]))
-    tail = F.substring(text, (F.element_at(before, -1) + 1).cast("int"), F.length(text))
-    return F.when(F.size(every) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(text)
+    piece = lambda s, at: F.struct(at.alias("at"), s["start"].alias("to"), s["put"].alias("put"))
+    kept = lambda e, reach: F.filter(F.transform(e, lambda s, i: piece(s, _before(reach, i))), lambda x: x["to"] >= x["at"])
+    built = let(every, lambda e: let(_reach(e), lambda r: let(kept(e, r), lambda p: put_together(text, p, F.coalesce(F.try_element_at(r, F.lit(-1)), F.lit(0))))))
+    return F.when(F.size(every) > 0, built).otherwise(text)
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,7 +12,7 @@ from .common import table
 def op1_language_id(spark, sf_dir):
     """doc_id, held_out, lang_pred, score, entropy, rejected of every document; learns from texts and labels outside of the held-out fifth. Null ids count as no fold (learned from)."""
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     models = language_id.train(docs.filter(~held_out), "lang", "text")
     found = language_id.identify(docs, models)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "entropy", "rejected")

@@ -138,3 +138,14 @@ def test_encode_and_decode_as_tables(edges, no_rows):
     back = bpe.decode_ids(bpe.encode_texts(edges, path), path).collect()
     assert sorted((r["doc_id"], r["text"]) for r in back) == sorted((r["doc_id"], r["text"] or "") for r in edges.collect())
     assert bpe.count_tokens(no_rows, path).count() == 0 == bpe.encode_texts(no_rows, path).count()
+
+
+def test_rows_without_an_id_are_learned_from_and_never_held_out(spark, tmp_path):
+    from scriptorium.llm import registry
+
+    words = {"en": "the cat and the dog went over the hill to see the sea again", "fr": "le chat et le chien sont allés sur la colline pour voir la mer"}
+    rows = [(None, " ".join([t] * 30) + f" {i}", lang, "web", 1) for lang, t in words.items() for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    found = registry.op1_language_id(spark, str(tmp_path)).collect()
+    assert len(found) == 120 and not any(r["held_out"] for r in found)
+    assert {r["lang_pred"] for r in found} == {"en", "fr"}
