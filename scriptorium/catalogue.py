@@ -514,10 +514,4 @@ def chunk_assignment(spark, d):
     return assignment.assign_chunks(fonts, pairs.join(hard, "chunk"), quotas_, reusable=200)
 
 
-@query()
-def random_pages(spark, d):
-    units = _t(spark, d, "documents").select(F.explode(tx.split_units(F.col("text"))).alias("unit")).filter(F.length("unit").between(20, 220))
-    return layout.random_pages(_t(spark, d, "supplier").select("s_suppkey"), units, "s_suppkey", "unit")
-
-
-from . import catalogue_geometry, catalogue_ordered, catalogue_records  # noqa: E402, F401  register their queries here
+from . import catalogue_geometry, catalogue_ordered, catalogue_pages, catalogue_records  # noqa: E402, F401  register their queries here

@@ -56,9 +56,12 @@ def strip(text: Column) -> Column:
 
 def clean(text: Column, p: Profile = LATIN) -> Column:
     """Page markers, wherever they stand and in any case, and line ends to spaces, white space after a syllable mark out, runs to one, ends trimmed."""
-    t = F.regexp_replace(text, "\\r\\n?", "\n")
-    t = F.regexp_replace(t, f"(?i){PAGE_MARKER}", " ")
-    t = F.regexp_replace(t, "\\n", " ")
+    return one_line(F.regexp_replace(text, f"(?i){PAGE_MARKER}", " "), p)
+
+
+def one_line(text: Column, p: Profile = LATIN) -> Column:
+    """Line ends to spaces, white space after a syllable mark out, runs to one, ends trimmed."""
+    t = F.regexp_replace(text, "[\\r\\n]", " ")
     if p.gap != " ":
         t = F.regexp_replace(t, f"{p.gap}{SPACE}+", p.gap)
     return F.regexp_replace(F.regexp_replace(t, f"{SPACE}+", " "), "^ | $", "")
@@ -75,6 +78,16 @@ def split_units(text: Column, p: Profile = LATIN, shortest: int = 8) -> Column:
     return F.filter(F.transform(cut, strip), lambda u: F.length(u) >= shortest)
 
 
+def later_units(text: Column, p: Profile = TIBETAN, opening: str | None = None) -> Column:
+    """Units behind the first stop, trimmed, each with a stop, the tail too; blank ones dropped. Lines that are a page marker and the opening (a pattern) are left out before."""
+    t = F.regexp_replace(F.regexp_replace(text, "\\r\\n?", "\n"), opening or "(?!)", "")
+    blank = "[^\\S\\n]"
+    t = F.regexp_replace(t, f"(?imdU)^{blank}*--{blank}*page{blank}+\\d+{blank}*--{blank}*$\n?", "")
+    parts = F.split(t, f"[{p.stop}]")
+    later = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), strip)
+    return F.transform(F.filter(later, lambda u: u != ""), lambda u: F.concat(u, F.lit(p.stop)))
+
+
 def usable_units(units: DataFrame, unit: str, least: int = 20, most: int = 220, p: Profile = LATIN, foreign: str | None = None, without: list[str] | None = None) -> DataFrame:
     """Units of least to most characters without a doubled gap, without characters of the foreign class, and without any of the substrings."""
     text = F.col(unit)

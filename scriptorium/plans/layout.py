@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .numbering import numbered
+from ..functions import text as tx
+from ..sources.shared import saved
+from .numbering import numbered_by_digest
 
 
 def merge_short(rows: DataFrame, batch: str, order: str, short: Column, text: str, total: list[str], most: list[str], listed: list[str]) -> DataFrame:
@@ -34,24 +38,66 @@ def merge_short(rows: DataFrame, batch: str, order: str, short: Column, text: st
     return merged
 
 
-def random_pages(pages: DataFrame, units: DataFrame, page: str, unit: str, least: int = 60, most: int = 90, pad: int = 4500, cut: int = 6000, seed: int = 0) -> DataFrame:
-    """page and text: random units joined by spaces, drawn with replacement by seeded hash, so reruns agree.
+def merge_until_settled(rows: DataFrame, lay: Callable[[], Column], batch: str, order: str, text: str, total: list[str], most: list[str], listed: list[str], passes: int = 5) -> DataFrame:
+    """Lays pages out, joins the short ones with their next, and lays them out again, for at most so many passes: merged rows with short, as laid out last, and passes, how often their batch was merged.
 
-    A page takes least to most units and more until it is pad long; then it is cut. Units are distinct and not blank; they are
-    numbered without a global sort, draws are made from the number alone and joined with the units. Without units there is no page.
+    lay takes the rows (batch, order, text, total, most and listed columns) and tells by an expression over them whether a row is laid out as a short page; null is no. Only batches that changed
+    are laid out again. A batch that has had all its passes is laid out a last time and stays as it is. Texts are trimmed, null ones are empty. Batches are not null; an empty table gives none.
     """
-    known = numbered(units.filter(F.trim(unit) != ""), unit, seed)
-    many = known.agg(F.count("*").alias("many"), F.min(F.length(unit)).alias("shortest")).first()
-    if not many["many"]:
-        return pages.select(page, F.lit("").alias("text")).limit(0)
-    draws = max(most, -(-pad // (many["shortest"] + 1)))
-    wanted = F.lit(least) + F.pmod(F.xxhash64(F.lit(seed), page), F.lit(most - least + 1))
-    drawn = pages.select(page, wanted.alias("wanted"), F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("at"))
-    drawn = drawn.withColumn("number", F.pmod(F.xxhash64(F.lit(seed), page, "at"), F.lit(many["many"])))
-    found = drawn.join(known, "number").groupBy(page, "wanted").agg(F.array_sort(F.collect_list(F.struct("at", unit))).alias("got"))
+    kept = [batch, order, text, *total, *most, *listed]
+    active = rows.select(*[F.coalesce(tx.strip(F.col(c)), F.lit("")).alias(c) if c == text else F.col(c).cast("string").alias(c) if c in listed else c for c in kept])
+    done = None
+    for made in range(passes + 1):
+        laid = saved(active.select(*kept).withColumn("short", F.coalesce(lay(), F.lit(False))))
+        changes = F.coalesce(F.min(F.when(F.col("short"), F.col(order))) < F.max(order), F.lit(False))
+        batches = saved(laid.groupBy(batch).agg(changes.alias("_changes")))
+        ended = laid if made == passes else laid.join(batches.filter("NOT _changes"), batch, "left_semi")
+        ended = ended.withColumn("passes", F.lit(made))
+        done = ended if done is None else done.unionByName(ended)
+        if made == passes or batches.filter("_changes").isEmpty():
+            break
+        active = merge_short(laid.join(batches.filter("_changes"), batch, "left_semi"), batch, order, F.col("short"), text, total, most, listed)
+    return done
+
+
+def drawn(*key: Column) -> Column:
+    """A whole number below 2 ** 60 from the SHA-1 of the key."""
+    return F.conv(F.substring(F.sha1(F.concat_ws(":", *key)), 1, 15), 16, 10).cast("long")
 
-    def step(text, x):
-        more = (x["at"] < F.col("wanted")) | (F.length(text) < pad)
-        return F.when(~more, text).when(text == "", x[unit]).otherwise(F.concat(text, F.lit(" "), x[unit]))
 
-    return found.select(page, F.substring(F.aggregate("got", F.lit(""), step), 1, cut).alias("text"))
+def random_pages(
+    pages: DataFrame, units: DataFrame, page: str, unit: str, key: list[str], p: tx.Profile = tx.TIBETAN, plain: Column | None = None, special: list[str] | None = None, mandatory: str | None = None, heading: str = "",
+    least: int = 60, most: int = 90, pad: int = 4500, cut: int = 6000, seed: int = 0,
+) -> DataFrame:
+    """page and text: random units with a mandatory piece among them, in one line below a heading.
+
+    A page draws least to most units, with replacement and as often as they occur; the mandatory piece joins them, and all are shuffled. Units follow until the text is pad long, then it is cut. A text
+    that doesn't begin with the heading's first character gets the heading. Pages that are plain draw only units without any of the special substrings, and go without a mandatory piece that has one.
+    All draws are digests of seed, page and place, so reruns agree. key names the columns that are unique for a unit; blank and null units are left out. Units are numbered without a global sort and
+    joined by number; a page collects no more than its draws. A page whose units are all left out isn't there.
+    """
+    has_special = lambda c: F.exists(F.array(*[F.lit(x) for x in special or []]).cast("array<string>"), lambda x: F.contains(c, x))
+    known = units.filter(tx.strip(F.col(unit)) != "").select(*key, unit, F.explode(F.when(has_special(F.col(unit)), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("plain"))
+    known = saved(numbered_by_digest(known, "plain", F.sha1(F.concat_ws(":", F.lit(seed), F.lit("unit"), *key))).select("plain", "number", unit))
+    sizes = known.groupBy("plain").agg(F.count("*").alias("many"), F.min(F.length(unit)).alias("shortest"))  # two rows
+    shortest = sizes.agg(F.min("shortest")).first()[0]
+    if shortest is None:
+        return pages.select(page, F.lit("").alias("text")).limit(0)
+    draws = max(most, -(-pad // (shortest + 1)))
+    of = lambda tag, *at: (F.lit(seed), F.lit(tag), F.col(page), *at)
+    told = pages.select(page, F.coalesce(F.lit(False) if plain is None else plain, F.lit(False)).alias("plain")).join(F.broadcast(sizes), "plain")
+    told = told.withColumn("wanted", F.lit(least) + drawn(*of("many")) % (most - least + 1)).withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    told = told.withColumn("number", drawn(*of("draw", F.col("at"))) % F.col("many"))
+    place = F.when(F.col("at") < F.col("wanted"), F.sha1(F.concat_ws(":", *of("place", F.col("at")))))
+    got = F.collect_list(F.struct(place.alias("place"), "at", unit))
+    found = told.join(known, ["plain", "number"]).groupBy(page, "plain").agg(got.alias("got"))
+    first = F.filter("got", lambda x: x["place"].isNotNull())
+    if mandatory is not None:
+        piece = F.struct(F.sha1(F.concat_ws(":", *of("place", F.lit(-1)))).alias("place"), F.lit(-1).alias("at"), tx.strip(F.lit(mandatory)).alias(unit))
+        first = F.when(F.col("plain") & has_special(F.lit(mandatory)), first).otherwise(F.concat(first, F.array(piece)))
+    body = F.array_join(F.transform(F.array_sort(first), lambda x: x[unit]), " ")
+    # those without a place sort by at
+    more = F.array_sort(F.filter("got", lambda x: x["place"].isNull()))
+    body = F.aggregate(more, tx.strip(body), lambda t, x: F.when(F.length(t) < pad, F.concat(t, F.lit(" "), x[unit])).otherwise(t))
+    body = tx.one_line(F.substring(body, 1, cut), p)
+    return found.select(page, (F.when(F.startswith(body, F.lit(heading[:1])), body).otherwise(F.concat(F.lit(heading), body)) if heading else body).alias("text"))

@@ -24,6 +24,20 @@ def numbered(rows: DataFrame, key: str, seed: int = 0) -> DataFrame:
     return keys.withColumn("place", place).join(F.broadcast(offsets), "bucket").select(key, (F.col("offset") + F.col("place")).alias("number"))
 
 
+def numbered_by_digest(rows: DataFrame, within: str, digest: Column) -> DataFrame:
+    """Adds number, from 0 in each group, in the order of a hexadecimal digest that is unique within it.
+
+    The first three digits name a bucket, so a group of any size is cut into 4,096 even parts; only their counts meet. within has few values and is not null.
+    """
+    told = rows.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, 3))
+    before = Window.partitionBy(within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = told.groupBy(within, "_bucket").agg(F.count("*").alias("_n"))
+    offsets = counts.select(within, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    place = F.row_number().over(Window.partitionBy(within, "_bucket").orderBy("_digest")) - 1
+    found = told.withColumn("_place", place).join(offsets, [within, "_bucket"])
+    return found.select(*rows.columns, (F.col("_offset") + F.col("_place")).cast("long").alias("number"))
+
+
 def numbered_within(rows: DataFrame, by: list[str], order: list, name: str = "place") -> DataFrame:
     """Adds place (or name), from 1, in each group's order (which is total). Hot groups are cut into ranges of the order, so none is one task's sort.
 
@@ -48,18 +62,23 @@ def unique_names(rows: DataFrame, within: list[str], name: str, order: list[str]
     A made name that another row bears already is passed over: such rows take their next number, round by round, until no two are
     equal. A row that bears a name by nature goes before those that are made it.
     """
-    place = (F.row_number().over(Window.partitionBy(*within, name).orderBy(*order)) - 1).cast("long")
     made = lambda n: F.when(F.col("_first"), F.col(name)).otherwise(F.concat_ws("_", F.col(name), n.cast("string") if suffix is None else suffix))
-    now = rows.withColumn("_n", place).withColumn("_first", F.col("_n") == 0).withColumn("unique_name", made(F.col("_n")))
+    now = numbered_within(rows, [*within, name], order, "_n").withColumn("_n", F.col("_n") - 1)
+    now = now.withColumn("_first", F.col("_n") == 0).withColumn("unique_name", made(F.col("_n")))
     if suffix is not None:
         return now.drop("_n", "_first")
+    # rows that bear one name are few here, however many share the plain one
+    taken = Window.partitionBy(*within, "unique_name").orderBy(F.desc("_first"), "_n", name, *order)
     for _ in range(max_rounds):
         now = saved(now)
-        taken = Window.partitionBy(*within, "unique_name").orderBy(F.desc("_first"), "_n", name, *order)
-        clash = now.withColumn("_late", F.row_number().over(taken) > 1)
-        if clash.filter("_late").isEmpty():
+        late = now.withColumn("_late", F.row_number().over(taken) > 1).filter("_late")
+        late = saved(late.groupBy(*[F.col(c).alias(f"_by_{i}") for i, c in enumerate([*within, name])]).agg(F.min("_n").alias("_from")))
+        if late.isEmpty():
             return now.drop("_n", "_first")
         # a late row and those behind it in its name move on by one
-        behind = F.coalesce(F.max("_late").over(Window.partitionBy(*within, name).orderBy("_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(False))
-        now = clash.withColumn("_n", F.col("_n") + behind.cast("long")).withColumn("unique_name", made(F.col("_n"))).drop("_late")
+        same = F.lit(True)
+        for i, c in enumerate([*within, name]):
+            same = same & F.col(c).eqNullSafe(F.col(f"_by_{i}"))
+        behind = F.coalesce(F.col("_n") >= F.col("_from"), F.lit(False)).cast("long")
+        now = now.join(late, same, "left").withColumn("_n", F.col("_n") + behind).withColumn("unique_name", made(F.col("_n"))).select(*now.columns)
     raise RuntimeError("names did not settle")

@@ -11,6 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from scriptorium.functions import characters
+from scriptorium.functions import text as tx
 from scriptorium.plans import assignment, closure, greedy, layout, numbering, trees
 from scriptorium.sources import affixes
 
@@ -241,9 +243,73 @@ def test_merging_matches_a_loop(spark):
 
 
 def test_random_pages(spark):
-    units = spark.createDataFrame([(f"unit number {i} ".ljust(25, "x"),) for i in range(50)] + [(" ",), (None,)], "u string")
-    pages = spark.createDataFrame([(i,) for i in range(8)], "page int")
-    found = {r.page: r.text for r in layout.random_pages(pages, units, "page", "u", least=5, most=9, pad=400, cut=450).collect()}
-    assert set(found) == set(range(8)) and len(set(found.values())) == 8 and all(400 <= len(t) <= 450 for t in found.values())
-    assert found == {r.page: r.text for r in layout.random_pages(pages.repartition(3), units.repartition(5), "page", "u", least=5, most=9, pad=400, cut=450).collect()}
-    assert layout.random_pages(pages, units.limit(0), "page", "u").count() == 0
+    texts = [f"unit number {i} ".ljust(25, "x") for i in range(50)]
+    units = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(98, " "), (99, None)], "i int, u string")
+    pages = spark.createDataFrame([(i, i % 2 == 0) for i in range(8)], "page int, plain boolean")
+    told = dict(page="page", unit="u", key=["i"], p=tx.LATIN, plain=F.col("plain"), special=["7", "9x"], mandatory=" piece 7 ", heading="# ", least=5, most=9, pad=400, cut=450)
+    found = {r.page: r.text for r in layout.random_pages(pages, units, **told).collect()}
+    assert set(found) == set(range(8)) and len(set(found.values())) == 8 and all(402 <= len(t) <= 452 and t.startswith("# ") for t in found.values())
+    assert all(("piece 7" in t) == (i % 2 == 1) for i, t in found.items()) and not any(x in t for i, t in found.items() if i % 2 == 0 for x in ("7", "9x"))
+    # the piece doesn't keep one place
+    assert len({t.index("piece 7") for i, t in found.items() if i % 2}) > 1
+    assert found == {r.page: r.text for r in layout.random_pages(pages.repartition(3), units.repartition(5), **told).collect()}
+    assert layout.random_pages(pages, units.limit(0), **told).count() == 0
+    # a unit that occurs often is drawn often
+    many = spark.createDataFrame([(i, "often" if i < 90 else "seldom") for i in range(100)], "i int, u string")
+    text = " ".join(r.text for r in layout.random_pages(pages, many, "page", "u", ["i"], tx.LATIN, least=60, most=60, pad=1).collect())
+    assert 0.8 < text.count("often") / 480 < 0.97 and "#" not in text
+
+
+def test_units_behind_the_first_stop(spark):
+    text = "§ first. second one \r\n -- PAGE\t12 -- \n§third..  . tail"
+    row = spark.createDataFrame([(text,), ("no stop",), ("",), (None,)], "t string").select(tx.later_units(F.col("t"), tx.LATIN, "§ ?").alias("u")).collect()
+    assert [r.u for r in row] == [["second one \nthird.", "tail."], [], [], None]
+
+
+def test_layout_passes_match_a_loop(spark):
+    rng = random.Random(6)
+    rows = [(b, i, ["x" * rng.randint(1, 30), " y ", None][min(2, i % 9)], rng.randint(1, 9), rng.randint(1, 9)) for b in range(10) for i in range(rng.randint(1, 25))]
+    df = spark.createDataFrame(rows, "batch int, at int, text string, n int, most int").withColumn("ids", F.col("at")).withColumn("short", F.lit("clash"))
+    for passes in (0, 2, 5):
+        found = layout.merge_until_settled(df, lambda: F.length("text") <= 40, "batch", "at", "text", ["n"], ["most"], ["ids"], passes)
+        wanted = []
+        for b in range(10):
+            own, merges = [[r[1], (r[2] or "").strip(), r[3], r[4], str(r[1])] for r in rows if r[0] == b], 0
+            for _ in range(passes):
+                i, out = 0, []
+                while i < len(own):
+                    if len(own[i][1]) <= 40 and i + 1 < len(own):
+                        x, y = own[i], own[i + 1]
+                        out.append([x[0], f"{x[1]} {y[1]}".strip(), x[2] + y[2], max(x[3], y[3]), f"{x[4]}|{y[4]}"])
+                        i += 2
+                    else:
+                        out.append(own[i])
+                        i += 1
+                if len(out) == len(own):
+                    break
+                own, merges = out, merges + 1
+            wanted += [(b, *r, len(r[1]) <= 40, merges) for r in own]
+        assert sorted((r.batch, r["at"], r.text, r.n, r.most, r.ids, r.short, r.passes) for r in found.collect()) == sorted(wanted)
+    assert layout.merge_until_settled(df.limit(0), lambda: F.lit(None).cast("boolean"), "batch", "at", "text", ["n"], ["most"], ["ids"]).count() == 0
+
+
+def test_stack_table(spark):
+    stacks = ["ཀྲི", "ཀྲི", "", None, "aé", "e\u0301😀", "\u0f48", "ཧཱུྃ" * 300]
+    found = {r.stack: r for r in characters.stack_table(spark.createDataFrame([(s, 1) for s in stacks], "stack string, name int"), "stack").collect()}
+    assert set(found) == {s for s in stacks if s is not None} and found["ཀྲི"].occurrences == 2
+    within = lambda s, *ranges: sum(any(a <= ord(c) <= b for a, b in ranges) for c in s)
+    for s, r in found.items():
+        base, below, vowels = within(s, (0x0F40, 0x0F6C)), within(s, (0x0F90, 0x0FBC)), within(s, (0x0F71, 0x0F84), (0x0F86, 0x0F87), (0x0FC6, 0x0FC6))
+        assert (r.stack_len, r.base_count, r.subjoined_count, r.vowel_diacritic_count) == (len(s), base, below, vowels)
+        assert r.combining_count == sum(unicodedata.combining(c) > 0 for c in s) and r.complexity == below + vowels + max(0, base - 1)
+        assert r.unicode_names == " | ".join(unicodedata.name(c, "UNKNOWN") for c in s) and r.codepoints == " ".join(f"U+{ord(c):04X}" for c in s)
+        assert (r.has_subjoined, r.has_vowel_diacritic, r.has_bottom_vowel) == (below > 0, vowels > 0, any(c in "\u0f71\u0f73\u0f74\u0f75\u0f76\u0f77\u0f80\u0f81" for c in s))
+    assert characters.stack_table(spark.createDataFrame([], "stack string"), "stack").count() == 0
+
+
+def test_a_hot_name_and_names_that_are_taken(spark):
+    rows = [(i, "hot") for i in range(400)] + [(1000 + i, f"hot_{i}") for i in (1, 2, 7)] + [(2000, None), (2001, None), (2002, "hot_7"), (2003, "hot_7_1")]
+    found = {r.id: r.unique_name for r in numbering.unique_names(spark.createDataFrame(rows, "id int, name string").repartition(7), [], "name", ["id"]).collect()}
+    made = [found[i] for i in range(400)]
+    assert made[:3] == ["hot", "hot_3", "hot_4"] and len(set(made)) == 400 and made[-1] == "hot_402"
+    assert [found[i] for i in (1001, 1002, 1007, 2003)] == ["hot_1", "hot_2", "hot_7", "hot_7_1"] and found[2002] == "hot_7_2"
