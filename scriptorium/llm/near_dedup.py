@@ -20,6 +20,10 @@ HASHES = BANDS * BAND_HASHES
 BATCH, MISS = 24, 1e-5
 #: Rows of a bucket that are compared with each other at once.
 BLOCK = 2048
+#: A block also holds about so many shingles at most (8 bytes each), but one text at least.
+BLOCK_SHINGLES = 2_000_000
+#: Pairs in one row of a group.
+PIECE = 250_000
 #: Rows of small buckets that go to one call.
 GROUP_ROWS = 20_000
 #: Distinct words whose hash a worker remembers.
@@ -191,27 +195,29 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
 
 
 def _others(labelled: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Confirmed links between members of a bucket that don't hang together yet: labelled has key, band, n, center, rep, label.
+    """Confirmed links between members of a bucket that don't hang together yet: labelled has key, band, n, n_shingles, center, rep, label.
 
     Pairs of one label could not change the result, so only the members outside of their bucket's commonest label (minor ones) meet the
-    others: an unsettled member costs one row per member, not a row per pair. Both sides are dealt by hash into blocks, and each pair
-    of blocks is a group of its own, so no task holds a whole bucket. A pair is compared in the first band that it shares only. Pairs
+    others: an unsettled member costs one row per member, not a row per pair. Both sides are dealt by hash into blocks of so many rows and so many
+    shingles, and each pair of blocks is a group of its own, so no task holds a whole bucket, nor many very long texts. A pair is compared in the first band that it shares only. Pairs
     are never rows: a group hands on the members of its surviving pairs, once each, and the list of pairs with one of them; these
     meet their full sets in a second grouping.
     """
     import pandas as pd
 
-    borne = labelled.groupBy("band", "key", "label").agg(F.count("*").alias("many"), F.first("n").alias("n"))
-    tops = borne.groupBy("band", "key").agg(F.max(F.struct("many", "label")).alias("top"), F.first("n").alias("n")).filter("top.many < n")
-    tops = staged(tops.select("band", "key", F.col("top.label").alias("top"), (F.col("n") - F.col("top.many")).alias("minor"), F.col("n").alias("met")), "near-tops")
+    piece = PIECE
+    borne = labelled.groupBy("band", "key", "label").agg(F.count("*").alias("many"), F.first("n").alias("n"), F.sum("n_shingles").alias("load"))
+    tops = borne.groupBy("band", "key").agg(F.max(F.struct("many", "label", "load")).alias("top"), F.first("n").alias("n"), F.sum("load").alias("load")).filter("top.many < n")
+    blocks = lambda rows, load: F.greatest(F.ceil(rows / BLOCK), F.ceil(load / BLOCK_SHINGLES)).cast("int")
+    tall = blocks(F.col("n") - F.col("top.many"), F.col("load") - F.col("top.load"))
+    tops = staged(tops.select("band", "key", F.col("top.label").alias("top"), tall.alias("tall"), blocks(F.col("n"), F.col("load")).alias("wide"), F.col("n").alias("met")), "near-tops")
     members = staged(join_counted(labelled, tops, ["band", "key"], "met"), "near-open")
     groups = max(1, members.count() // GROUP_ROWS)
-    wide, tall = F.ceil(F.col("met") / BLOCK).cast("int"), F.ceil(F.col("minor") / BLOCK).cast("int")
     in_block = lambda salt, of: F.pmod(F.xxhash64(F.lit(salt), "rep"), of).cast("int")
-    first = members.filter("label != top").select("*", in_block(1, tall).alias("x"), F.explode(F.sequence(F.lit(0), wide - 1)).alias("y"), F.lit(True).alias("minor_side"))
-    second = members.select("*", F.explode(F.sequence(F.lit(0), tall - 1)).alias("x"), in_block(2, wide).alias("y"), F.lit(False).alias("minor_side"))
+    first = members.filter("label != top").select("*", in_block(1, F.col("tall")).alias("x"), F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("y"), F.lit(True).alias("minor_side"))
+    second = members.select("*", F.explode(F.sequence(F.lit(0), F.col("tall") - 1)).alias("x"), in_block(2, F.col("wide")).alias("y"), F.lit(False).alias("minor_side"))
     dealt = first.unionByName(second)
-    whole = F.col("met") <= BLOCK
+    whole = F.col("wide") == 1
     group = F.when(whole, F.pmod(F.xxhash64("key"), F.lit(groups))).otherwise(F.xxhash64("key", "x", "y"))
     part = F.xxhash64("key", "band", "x", "y")
     dealt = dealt.select(whole.alias("whole"), group.alias("group"), part.alias("part"), "band", "rep", "label", (F.col("label") != F.col("top")).alias("is_minor"), (F.col("rep") == F.col("center")).alias("tried"), "minor_side")
@@ -238,8 +244,9 @@ def _others(labelled: DataFrame, reps: DataFrame, docs: DataFrame, words: int, p
             pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
             used = np.unique(pairs)
             if len(used):
-                listed = np.searchsorted(used, pairs).astype(np.int32).tobytes()
-                out.append(pd.DataFrame({"part": part, "place": np.arange(len(used)), "rep": used, "pairs": [listed] + [None] * (len(used) - 1)}))
+                listed = np.searchsorted(used, pairs).astype(np.int32)
+                pieces = [listed[i : i + piece].tobytes() for i in range(0, len(listed), piece)]  # fewer than members
+                out.append(pd.DataFrame({"part": part, "place": np.arange(len(used)), "rep": used, "pairs": pieces + [None] * (len(used) - len(pieces))}))
         return pd.concat(out) if out else pd.DataFrame({"part": [], "place": [], "rep": [], "pairs": []})
 
     kept = staged(signed.groupBy("whole", "group").applyInPandas(compare, "part long, place int, rep long, pairs binary"), "near-others")
@@ -248,7 +255,7 @@ def _others(labelled: DataFrame, reps: DataFrame, docs: DataFrame, words: int, p
     def verify(pdf):
         pdf = pdf.sort_values("place")
         rep, sets = pdf["rep"].to_numpy(), [np.frombuffer(h, np.uint64) for h in pdf["hashes"]]
-        pairs = np.frombuffer(pdf["pairs"].iloc[0], np.int32).reshape(-1, 2)
+        pairs = np.frombuffer(b"".join(pdf["pairs"].dropna()), np.int32).reshape(-1, 2)
         pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
         a, b = [], []
         for x, start, many in zip(*np.unique(pairs[:, 0], return_index=True, return_counts=True)):
@@ -285,7 +292,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = staged(classes, "near-classes")
     firsts = classes.select(F.col("rep").alias("doc_id"), "set_key")
     reps = staged(sets.join(firsts, ["doc_id", "set_key"], "left_semi").dropDuplicates(["doc_id"]), "near-reps")
-    banded = staged(reps.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "key")), "near-banded")
+    banded = staged(reps.select(F.col("doc_id").alias("rep"), "n_shingles", F.posexplode("bands").alias("band", "key")), "near-banded")
     shared = staged(banded.groupBy("band", "key").agg(F.min("rep").alias("center"), F.count("*").alias("n")).filter("n > 1"), "near-shared")
     buckets = staged(join_counted(banded, shared, ["band", "key"], "n"), "near-buckets")
 
@@ -293,7 +300,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = staged(_confirmed(staged(_pruned(first, reps, percent), "near-survivors"), docs, words, percent), "near-links")
 
     found = connected_components(links)
-    labelled = staged(buckets.filter("n > 2").join(found, F.col("rep") == F.col("node"), "left").select("key", "band", "n", "center", "rep", F.coalesce("component", "rep").alias("label")), "near-labelled")
+    labelled = staged(buckets.filter("n > 2").join(found, F.col("rep") == F.col("node"), "left").select("key", "band", "n", "n_shingles", "center", "rep", F.coalesce("component", "rep").alias("label")), "near-labelled")
     second = staged(_others(labelled, reps, docs, words, percent), "near-links")
     found = connected_components(links.unionByName(second))
 

@@ -75,7 +75,8 @@ def test_near_copies(documents, texts, words):
         assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(brute.shingles(texts[i], words)), expected[i], i == expected[i]), i
 
 
-def test_near_chain_and_large_bucket(spark, monkeypatch):
+@pytest.mark.parametrize("bound, most", [("BLOCK", 16), ("BLOCK_SHINGLES", 1600)])
+def test_near_chain_and_large_bucket(spark, monkeypatch, bound, most):
     """Links through others, at the threshold, and buckets that are cut into blocks."""
     rng = random.Random(3)
     base = [f"w{i}" for i in range(60)]
@@ -88,7 +89,8 @@ def test_near_chain_and_large_bucket(spark, monkeypatch):
         for _ in range(rng.randrange(6)):
             other[rng.randrange(80)] = f"y{rng.randrange(1000)}"
         rows[1000 + i] = " ".join(other)
-    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, bound, most)
+    monkeypatch.setattr(near_dedup, "PIECE", 20)
     docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
     found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, words=2).collect()}
     assert found == brute.components(rows, 2)
