@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, small, staged
+from .common import join_counted, shared_dir, small, staged
 
 #: Bytes of records after which an archive is closed.
 ARCHIVE_BYTES = 16 << 20
@@ -190,7 +190,8 @@ def write_pages(pages: DataFrame, path: str) -> None:
 
     Each task lays its pages out as ARC files, the versions in turn, and converts these. Of equal payloads the page
     with the largest id is the response and the others are revisits of it. Payloads aren't shuffled while
-    the revisits are few enough to broadcast, which is counted; beyond that they are joined by shuffle.
+    the revisits are few enough to broadcast, which is counted; beyond that they are joined by shuffle. A payload that very
+    many pages share meets them by broadcast, here and when the archives are read.
     """
     import pyarrow as pa
 
@@ -198,8 +199,9 @@ def write_pages(pages: DataFrame, path: str) -> None:
     keys = pages.select("page_id", F.sha1(payload).alias("sha1"), F.xxhash64(payload).alias("other"), F.octet_length(payload).alias("bytes"))
     keys = staged(keys, "warc-keys")
     groups = keys.groupBy("sha1", "other", "bytes").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1")
-    revisits = keys.join(groups.drop("n"), ["sha1", "other", "bytes"]).filter("page_id != refers_to").select("page_id", "refers_to").distinct()
-    rows = pages.select("page_id", "url", "html").join(small(staged(revisits, "warc-revisits")), "page_id", "left")
+    equal = join_counted(keys, staged(groups, "warc-groups"), ["sha1", "other", "bytes"], "n")
+    revisits = equal.filter("page_id != refers_to").select("page_id", "other", "refers_to").distinct()
+    rows = pages.select("page_id", "url", "html", F.xxhash64(payload).alias("other")).join(small(staged(revisits, "warc-revisits")), ["page_id", "other"], "left")
 
     def batches(source):
         version, records, keys_of, size = 1, [], {}, 0
@@ -265,7 +267,9 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     records = staged(files.mapInArrow(batches, schema), "warc-records")
     targets = records.filter("record_type = 'response'").select(F.col("record_id").alias("target_id"), F.col("page_id").alias("refers_to")).distinct()
-    revisits = records.filter("record_type = 'revisit'").join(targets, "target_id", "left")
+    revisits = records.filter("record_type = 'revisit'")
+    met = revisits.groupBy("target_id").agg(F.count("*").alias("met"))
+    revisits = join_counted(revisits, staged(met.join(targets, "target_id", "left"), "warc-targets"), ["target_id"], "met", "left")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     responses = records.filter("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("long"))
     return responses.select(columns).unionByName(revisits.select(columns))
@@ -274,8 +278,9 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Writes the pages to archives (at path, or a new place in the shared folder) and reads these back.
 
-    Null html is an empty payload, equal to other empty ones; a null url becomes a placeholder. Page ids are unique; a
-    row without one is never the response of another. Other columns are ignored; an empty table gives no rows.
+    Null html is an empty payload, equal to other empty ones; a null url becomes a placeholder. Rows that repeat a page id get
+    a record each, with other html too; a row without an id is never the response of another. Other columns are ignored; an empty
+    table gives no rows.
     """
     spark = pages.sparkSession
     path = path or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"

@@ -254,6 +254,13 @@ def test_page_edges(spark):
     assert warc.archive_pages(pages.filter("false")).count() == 0
 
 
+def test_hot_payload_and_repeated_pages(spark):
+    rows = [(i, None, "same") for i in range(1100)] + [(7, None, "other"), (2000, None, "other"), (2001, None, "alone"), (2001, None, "alone too")]
+    found = sorted(tuple(r) for r in warc.archive_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).select("page_id", "payload_bytes", "record_type", F.coalesce("refers_to", F.lit(-1))).collect())
+    expected = [(i, 4, "revisit", 1099) for i in range(1099)] + [(1099, 4, "response", -1), (7, 5, "revisit", 2000), (2000, 5, "response", -1), (2001, 5, "response", -1), (2001, 9, "response", -1)]
+    assert found == sorted(expected)
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_files_become_warc(spark, version):
     contents = [warc.page_content(i, "<p>\n\nhttp://a 1 2 text/html 3\n" * i) for i in range(4)]
