@@ -12,13 +12,13 @@ from ..sources.shared import saved
 BROADCAST_RULES = 100_000
 
 
-def suffix_closure(stems: DataFrame, rules: DataFrame, without: list[str] | None = None, max_rounds: int = 200, max_states: int = 2_000_000) -> DataFrame:
+def suffix_closure(stems: DataFrame, rules: DataFrame, without: list[str] | None = None, max_rounds: int = 200, max_states: int | None = None) -> DataFrame:
     """word, flags (sorted), steps, cut of all forms that can be reached: a rule applies to a form that has its flag, ends in strip and matches its condition, and gives the form its own flags.
 
     stems: word, flags (array). rules: flag, strip, add, flags (array), condition (a pattern). Rules of the flags in without are left out. A form is a word
     with its flags; it is told once, with the fewest steps. Each round joins the newest forms only with the rules and drops those seen before; it is
-    saved, so a round costs what is new in it. Forms may grow without end: a closure of more than max_states forms stops there, the first of a round by word
-    and flags staying, and cut is then true in every row. Null words are none; null flags are no flags.
+    saved, so a round costs what is new in it. Rules under which forms grow without end need a bound: a closure of more than max_states forms then stops there, the first of a
+    round by word and flags staying, and cut is true in every row. Without max_states all forms are told. Null words are none; null flags are no flags.
     """
     flags = F.array_sort(F.array_distinct(F.coalesce("flags", F.array().cast("array<string>"))))
     seen = newest = saved(stems.filter(F.col("word").isNotNull()).select("word", flags.alias("flags")).distinct().withColumn("steps", F.lit(0)))
@@ -32,10 +32,11 @@ def suffix_closure(stems: DataFrame, rules: DataFrame, without: list[str] | None
         made = made.select(F.concat(base, "add").alias("word"), F.col("next_flags").alias("flags")).distinct()
         newest = saved(made.join(seen.select("word", "flags"), ["word", "flags"], "left_anti").withColumn("steps", F.lit(step)))
         found = newest.count()
-        if many + found >= max_states:
+        full = max_states is not None and many + found >= max_states
+        if full:
             newest, cut = newest.orderBy("word", "flags").limit(max(0, max_states - many)), many + found > max_states
         parts.append(newest)
-        if found == 0 or many + found >= max_states:
+        if found == 0 or full:
             break
         many += found
         seen = seen.unionByName(newest)

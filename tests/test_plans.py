@@ -70,6 +70,13 @@ def test_a_cut_closure_says_so(spark):
     assert sorted(r.word for r in found) == ["w", "wx", "wy"] and all(r.cut for r in found)
 
 
+def test_a_closure_without_a_bound_is_whole(spark):
+    stems = spark.range(2_000_001).select(F.col("id").cast("string").alias("word"), F.when(F.col("id") == 7, F.array(F.lit("A"))).alias("flags"))
+    rules = spark.createDataFrame([("A", "", "x", [], ".$")], "flag string, strip string, add string, flags array<string>, condition string")
+    found = closure.suffix_closure(stems, rules).groupBy("steps", "cut").count().collect()
+    assert sorted(map(tuple, found)) == [(0, False, 2_000_001), (1, False, 1)]
+
+
 def test_affix_files(spark, tmp_path):
     (tmp_path / "a.aff").write_text("SFX A Y 2\nSFX A e ing/BC [^e]e\nSFX A 0 0\n# SFX A x y .\nPFX B 0 un .\n")
     (tmp_path / "a.dic").write_text("2\nmake/AB\ntea\n\n7\n")
