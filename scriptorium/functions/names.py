@@ -40,30 +40,42 @@ def without_controls(text: Column) -> Column:
     return F.regexp_replace(text, "[\\x00-\\x1F\\x7F-\\x9F]", "")
 
 
+def _with(value: Column, then) -> Column:
+    """then(value), the value being computed once however often then names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _underscored(text: Column) -> Column:
+    """Runs of what is no ASCII letter, digit, dot or hyphen as one underscore. Java tests a named class several times faster than a union of ranges."""
+    return F.regexp_replace(text, "[^\\p{Alnum}.-]+", "_")
+
+
 def safe_basename(name: Column) -> Column:
-    """ASCII letters, digits, dots, hyphens and single underscores from the first letter on, which is a capital; Font where no letter is left."""
-    kept = F.regexp_replace(F.regexp_replace(F.regexp_replace(name, "[^\\x00-\\x7F]", ""), "[^A-Za-z0-9._-]", "_"), "_+", "_")
-    begun = F.regexp_extract(F.regexp_replace(kept, "^[_.]+|[_.]+$", ""), "[A-Za-z].*$", 0)
-    return F.when(F.coalesce(begun, F.lit("")) == "", "Font").otherwise(F.concat(F.upper(F.substring(begun, 1, 1)), F.substring(begun, F.lit(2), F.length(begun))))
+    """ASCII letters, digits, dots, hyphens and single underscores from the first letter on, which is a capital, without underscores and dots at the end; Font where no letter is left.
+
+    Long texts are names too, so the passes over a name are few and each is linear.
+    """
+    kept = F.regexp_replace(_underscored(F.regexp_replace(name, "[^\\x00-\\x7F]+", "")), "^[^A-Za-z]+", "")
+    begun = F.rtrim(kept, F.lit("_."))
+    return _with(begun, lambda x: F.when(F.coalesce(x, F.lit("")) == "", "Font").otherwise(F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, F.lit(2), F.length(x)))))
 
 
 def folded_slug(name: Column) -> Column:
     """Decomposed, without marks, ASCII only; other characters as single underscores; x where nothing is left.
 
-    Spark has no normal forms, so the decomposition of the (few and short) names that aren't ASCII is a vectorised function.
+    Spark has no normal forms, so the decomposition is a vectorised function; only names that aren't ASCII go through it.
     """
     import unicodedata
 
     import pandas as pd
 
     def fold(names):
-        return names.map(lambda s: None if s is None else "".join(c for c in unicodedata.normalize("NFKD", s) if ord(c) < 128))
+        return names.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode("ascii"))
 
     fold.__annotations__ = {"names": pd.Series, "return": pd.Series}
-    folded = F.pandas_udf(fold, "string")
-    safe = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[^A-Za-z0-9._-]+", "_"), "_+", "_"), "^_|_$", "")
-    slug = safe(F.when(name.rlike("^[\\x00-\\x7F]*$"), name).otherwise(folded(name)))
-    return F.when(slug == "", "x").otherwise(slug)
+    folded = F.pandas_udf(fold, "string")(F.when(F.octet_length(name) != F.length(name), name))
+    slug = F.trim(_underscored(F.coalesce(folded, name)), F.lit("_"))
+    return _with(slug, lambda x: F.when(x == "", "x").otherwise(x))
 
 
 def short_hash(text: Column, digits: int = 8) -> Column:

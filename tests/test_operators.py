@@ -1,6 +1,7 @@
 """Operators that SQL doesn't express, against plain Python on small inputs."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -135,3 +136,12 @@ def test_renderers_without_boxes_or_units(spark):
     assert [tuple(r) for r in fonts.supported_units(support, "font", "unit").collect()] == [("f", "a")]
     faces = spark.createDataFrame([("f", "n"), ("g", "m")], "font string, name string")
     assert dict(fonts.capacities(fonts.supported_units(support, "font", "unit"), faces, "font", "name").collect()) == {"n": 1, "m": 0}
+
+
+def test_long_names_take_linear_time(spark):
+    """A run of dots within a long text isn't looked at again from each of its dots."""
+    began = time.monotonic()
+    texts = spark.createDataFrame([("é a" + "." * 300_000 + "b _é.",), ("_" * 300_000 + "1",), (None,)], "t string")
+    found = [tuple(r) for r in texts.select(names.safe_basename(F.col("t")), names.folded_slug(F.col("t"))).collect()]
+    assert found == [("A" + "." * 300_000 + "b", "e_a" + "." * 300_000 + "b_e."), ("Font", "1"), ("Font", None)]
+    assert time.monotonic() - began < 30
