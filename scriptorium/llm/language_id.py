@@ -18,10 +18,10 @@ MAX_LANGUAGES = 512
 #: Numbers (trigrams times languages) of a part of the model. Parts are sent out and scored one after the other, so
 #: that a model of any size needs no more memory than this (or than the trigrams around one letter) at once.
 PART_CELLS = 8_000_000
-#: One text in so many, by its hash, calibrates and trains nothing.
-FOLD = 10
-#: Texts by which a language is calibrated at most (a seeded sample of its fold), and those that it needs for limits of its own.
-CALIBRATION_ROWS, LEAST_ROWS = 5_000, 100
+#: Parts of the texts, by their hashes: each calibrates models that learned from the others.
+FOLDS = 2
+#: Texts that a language needs for limits of its own.
+LEAST_ROWS = 100
 #: A text is rejected beyond REJECT_SLACK times this quantile of the calibration texts' deviations (in standard errors, at least LEAST_DEVIATION).
 REJECT_QUANTILE, REJECT_SLACK, LEAST_DEVIATION = 0.99, 2.0, 2.0
 SHARPNESS = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
@@ -251,28 +251,39 @@ class LanguageModels:
 
 
 def train(rows: DataFrame, label_col: str, text_col: str) -> LanguageModels:
-    """Models from every row with a label and a text, but for one text in FOLD, on which they are calibrated.
+    """Models from every row with a label and a text, calibrated on every such row.
 
-    Counts cover all training rows and every trigram stays. Letters' continuation counts come from a Spark aggregation; the trigrams come
-    to the driver part by part, each the trigrams around a range of middle letters (at most PART_CELLS numbers, or one letter's trigrams),
-    and go out as one broadcast each. Languages of under LEAST_ROWS texts train on all of them and have the limits of all
-    languages together. Labels and texts that are null tell nothing; copies of a text are in the same fold.
+    Counts cover all rows and every trigram stays. Models mustn't have seen what they are calibrated on: so each of FOLDS parts of the rows is scored by
+    models from the counts of the other parts, and all those scores together give the limits. Languages of under LEAST_ROWS texts have the limits of all
+    languages together. Labels and texts that are null tell nothing; copies of a text are in the same part.
     """
-    spark = rows.sparkSession
-    bounded_batches(spark)
+    bounded_batches(rows.sparkSession)
     rows = rows.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(label_col).alias("lang"), F.col(text_col).alias("text"))
     texts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
     if len(texts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    many = [x for x, n in texts.items() if n >= LEAST_ROWS]
-    fold = F.pmod(F.xxhash64(F.lit(29), "text"), F.lit(FOLD)) == 0
-    held = (fold & F.col("lang").isin(many)) if many else F.lit(False)
-    counts = staged(count_grams(rows.filter(~held), "lang", "text"), "lang-grams")
+    fold = F.pmod(F.xxhash64(F.lit(29), "text"), F.lit(FOLDS)).cast("int")
+    counts = staged(count_grams(rows.select(F.concat(fold.cast("string"), F.lit(":"), "lang").alias("lang"), "text"), "lang", "text"), "lang-grams")
+    counts = counts.select(F.substring_index("lang", ":", 1).cast("int").alias("fold"), F.expr("substring(lang, instr(lang, ':') + 1)").alias("lang"), "gram", "n")
+    merged = lambda of: of.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    models = _models(merged(counts))
+    if models.names:
+        _calibrate(models, [(_models(merged(counts.filter(F.col("fold") != k))), rows.filter(fold == k)) for k in range(FOLDS)], texts)
+    return models
+
+
+def _models(counts: DataFrame) -> LanguageModels:
+    """Models of the languages that the counts (lang, gram, n) know, not calibrated.
+
+    Letters' continuation counts come from a Spark aggregation; the trigrams come to the driver part by part, each the trigrams around a range of middle
+    letters (at most PART_CELLS numbers, or one letter's trigrams), and go out as one broadcast each.
+    """
+    spark = counts.sparkSession
     names = sorted(r[0] for r in counts.select("lang").distinct().collect())
     if not names:
         return LanguageModels([], [])
     number = F.create_map(*[F.lit(x) for i, name in enumerate(names) for x in (name, i)])
-    counts = counts.select(number[F.col("lang")].alias("of"), "gram", "n")
+    counts = staged(counts.select(number[F.col("lang")].alias("of"), "gram", "n"), "lang-model")
     middle, last = F.shiftrightunsigned("gram", 16).bitwiseAND(0xFFFF), F.col("gram").bitwiseAND(0xFFFF)
     # at most 65,536 letters for each language
     firsts = counts.select("of", middle.alias("b"), last.alias("c")).distinct().groupBy("of", "c").agg(F.count("*").alias("types")).toPandas()
@@ -290,9 +301,7 @@ def train(rows: DataFrame, label_col: str, text_col: str) -> LanguageModels:
         ones = [firsts[firsts["of"] == i] for i in range(len(names))]
         models = [CharModel(g["gram"].to_numpy(np.int64), g["n"].to_numpy(np.int64), f["c"].to_numpy(np.int64), f["types"].to_numpy(np.int64), known) for g, f in zip(own, ones)]
         parts.append(spark.sparkContext.broadcast(ModelPart(low, high, models)))
-    models = LanguageModels(names, parts)
-    _calibrate(models, rows.filter(held) if many else rows, texts)
-    return models
+    return LanguageModels(names, parts)
 
 
 def costs(rows: DataFrame, models: LanguageModels, id_col: str, text_col: str, finish=None, schema: str = "nats array<double>, n long") -> DataFrame:
@@ -327,17 +336,27 @@ def costs(rows: DataFrame, models: LanguageModels, id_col: str, text_col: str, f
     return rows
 
 
-def _calibrate(models: LanguageModels, rows: DataFrame, texts: dict) -> None:
-    """Limits by language and the score's sharpness, from at most about CALIBRATION_ROWS texts a language that the models haven't seen.
+def _calibrate(models: LanguageModels, folds: list[tuple[LanguageModels, DataFrame]], texts: dict) -> None:
+    """Limits by language and the score's sharpness, from all texts of the folds, each scored by its fold's models, which haven't seen it.
 
-    A text of n characters deviates from its language's mean with variance spread + noise / n, fitted by least squares.
+    A text of n characters deviates from its language's mean with variance spread + noise / n, fitted by least squares. A text of a language of which its
+    fold's models know nothing has no deviation.
     """
-    share = F.create_map(*[F.lit(x) for lang, n in texts.items() for x in (lang, min(1.0, CALIBRATION_ROWS * FOLD / n))])
-    rows = rows.filter(F.pmod(F.xxhash64(F.lit(31), "text"), F.lit(1_000_000)) < 1_000_000 * share[F.col("lang")])
-    place = F.create_map(*[F.lit(x) for i, name in enumerate(models.names) for x in (name, i)])
-    scored = costs(rows.withColumn("of", place[F.col("lang")]).filter(F.col("of").isNotNull()), models, "of", "text").filter("n > 0")
-    scored = scored.select(F.col("doc_id").alias("of"), "n", F.transform("nats", lambda x: x / F.col("n")).alias("h"))
-    scored = staged(scored.select("*", F.get("h", "of").alias("own"), F.array_min("h").alias("least")), "lang-calibration")
+    place = {name: i for i, name in enumerate(models.names)}
+    scored = None
+    for other, rows in folds:
+        if not other.names:
+            continue
+        column = F.create_map(*[F.lit(x) for i, name in enumerate(other.names) for x in (name, i)])
+        of = F.array(*[F.lit(place[name]) for name in other.names])
+        found = costs(rows.withColumn("column", column[F.col("lang")]).filter(F.col("column").isNotNull()), other, "column", "text").filter("n > 0")
+        found = found.select(F.get(of, "doc_id").alias("of"), "n", "doc_id", F.transform("nats", lambda x: x / F.col("n")).alias("h"))
+        found = staged(found.select("of", "n", "h", F.get("h", "doc_id").alias("own"), F.array_min("h").alias("least")), "lang-calibration")
+        scored = found if scored is None else scored.unionByName(found)
+        for sent in other.parts:
+            sent.destroy()
+    if scored is None:
+        return
     right = scored.filter("own = least").select("of", "n", "own")
     right = right.unionByName(right.withColumn("of", F.lit(-1)))  # all languages together, for those without texts of their own
     means = right.groupBy("of").agg(F.avg("own").alias("mean"))
@@ -350,7 +369,7 @@ def _calibrate(models: LanguageModels, rows: DataFrame, texts: dict) -> None:
     most = off.join(F.broadcast(fits.drop("mean")), "of").groupBy("of").agg(F.percentile_approx(deviation, REJECT_QUANTILE, 10_000).alias("most"))
     found = {r["of"]: r for r in fits.join(most, "of").collect()}  # a row per language
     for i in range(len(models.names)):
-        if r := found.get(i, found.get(-1)):
+        if r := found.get(i if texts[models.names[i]] >= LEAST_ROWS else -1, found.get(-1)):
             models.mean[i], models.spread[i], models.noise[i] = r["mean"], r["spread"], r["noise"]
             models.most[i] = REJECT_SLACK * max(r["most"], LEAST_DEVIATION)
 

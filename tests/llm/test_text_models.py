@@ -149,3 +149,18 @@ def test_rows_without_an_id_are_learned_from_and_never_held_out(spark, tmp_path)
     found = registry.op1_language_id(spark, str(tmp_path)).collect()
     assert len(found) == 120 and not any(r["held_out"] for r in found)
     assert {r["lang_pred"] for r in found} == {"en", "fr"}
+
+
+def test_all_rows_train_and_calibrate(spark, documents, monkeypatch):
+    """Every text with a label is counted, and every one is scored for the limits, by models that haven't seen it."""
+    rows = documents.filter("lang IS NOT NULL AND text IS NOT NULL")
+    scored = []
+    real = language_id.costs
+    monkeypatch.setattr(language_id, "costs", lambda rows, *a, **b: scored.append(rows.select("text").collect()) or real(rows, *a, **b))
+    counted = []
+    count = language_id.count_grams
+    monkeypatch.setattr(language_id, "count_grams", lambda rows, *a: counted.append(rows.count()) or count(rows, *a))
+    language_id.train(rows, "lang", "text")
+    every = sorted(r.text for r in rows.select("text").collect())
+    assert counted == [len(every)] and sorted(r.text for part in scored for r in part) == every
+    assert not set(scored[0]) & set(scored[1])
