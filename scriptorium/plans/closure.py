@@ -21,7 +21,9 @@ def suffix_closure(stems: DataFrame, rules: DataFrame, without: list[str] | None
     round by word and flags staying, and cut is true in every row. Without max_states all forms are told. Null words are none; null flags are no flags.
     """
     flags = F.array_sort(F.array_distinct(F.coalesce("flags", F.array().cast("array<string>"))))
-    seen = newest = saved(stems.filter(F.col("word").isNotNull()).select("word", flags.alias("flags")).distinct().withColumn("steps", F.lit(0)))
+    # flags are sorted once for each different stem, not for each time that it occurs
+    given = stems.filter(F.col("word").isNotNull()).select("word", "flags").distinct()
+    seen = newest = saved(given.select("word", flags.alias("flags")).distinct().withColumn("steps", F.lit(0)))
     many, cut = seen.count(), False
     rules = saved(rules.filter(~F.col("flag").isin(without)) if without else rules).select("flag", "strip", "add", F.array_sort("flags").alias("next_flags"), "condition")
     rules = F.broadcast(rules) if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else rules
