@@ -47,7 +47,8 @@ def commit_fragments(rows: DataFrame, folder: str, batch: str, order: list[str],
 
     All batches are one job, which writes beside the folder; each checkpoint then appears by one rename, so that a reader sees a batch whole or
     not at all, and a run that stops in between leaves only names that begin with an underscore, which readers skip. A batch that is committed
-    again replaces itself. A batch with rows has at least one; the columns are those of rows.
+    again replaces itself. Each task writes a range of a batch's order, so a large batch is several files, whose names sort as their rows do. A batch with rows has at least
+    one; the columns are those of rows.
     """
     spark = rows.sparkSession
     ids = rows.select(batch, F.explode(F.transform(F.split(listed, "\\|"), lambda x: F.trim(x))).alias("_id")).filter("_id <> ''")
@@ -55,7 +56,7 @@ def commit_fragments(rows: DataFrame, folder: str, batch: str, order: list[str],
     name = F.regexp_replace(fragment_name(F.col(batch).cast("string"), F.coalesce("_ids", F.array().cast("array<string>"))), "[.]csv$", "")
     staging = f"{folder}/_{uuid.uuid4().hex}"
     told = rows.join(named.select(batch, name.alias("_name")), batch)
-    told.repartition("_name").sortWithinPartitions("_name", *order).write.partitionBy("_name").option("header", True).csv(staging)
+    told.repartitionByRange("_name", *order).sortWithinPartitions("_name", *order).write.partitionBy("_name").option("header", True).csv(staging)
     names = [n.split("=", 1)[1] for n in _children(spark, staging) if "=" in n]
     for n in names:
         _moved(spark, f"{staging}/_name={n}", f"{folder}/{n}")

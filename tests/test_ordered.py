@@ -115,3 +115,16 @@ def test_summary_of_fonts(spark):
     stack, latin = (r.asDict() for r in relations.font_summary(frame).orderBy(F.desc("test_kind")).collect())
     assert stack == {"test_kind": "stack", "basename": "f", "skt_ok": None, "tested": 4, "ok": 1, "failed": 3, "max_failed_complexity": 4, "reasons": '{"a\\"": 1, "b": 1, "null": 1}', "ok_rate": 0.25, "supported_percent": 25.0, "supported_stacks_percent": "25.0"}
     assert (latin["skt_ok"], latin["reasons"], latin["supported_stacks_percent"]) == (0, "{}", "")
+
+
+def test_a_large_batch_is_written_by_several_tasks(spark, tmp_path):
+    """Its files in path order are its rows in order."""
+    rows = spark.range(2000).select((F.col("id") % 2).alias("batch"), F.col("id").alias("event"), F.lit("1|2").alias("source_plan_image_ids"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.commit_fragments(rows, f"{tmp_path}/c", "batch", ["event"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    read = tables.fragments(spark, f"{tmp_path}/c").orderBy("at").collect()
+    assert [int(r.event) for r in read] == [*range(0, 2000, 2), *range(1, 2000, 2)]
+    assert all(len({r.file for r in read if r.batch == b}) > 1 for b in "01")
