@@ -7,7 +7,7 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -336,37 +336,59 @@ def costs(rows: DataFrame, models: LanguageModels, id_col: str, text_col: str, f
     return rows
 
 
+def exact_quantile(rows: DataFrame, by: str, value: str, q: float) -> DataFrame:
+    """by and value: of each group the value that ceil(q * n) of its n values don't exceed (nulls aside). rows should be cheap to read again (staged).
+
+    A sketch only says where to look: values between two sketched quantiles are counted one by one, all below them are summed up. Should the place lie beyond
+    them, the group's values all count.
+    """
+    sketch = F.percentile_approx(value, F.array(F.lit(max(0.0, q - 0.001)), F.lit(min(1.0, q + 0.001))), 10_000)
+    rows = rows.filter(F.col(value).isNotNull())
+    around = rows.groupBy(by).agg(sketch.alias("_at"), F.count("*").alias("_all")).select(by, "_at", F.greatest(F.ceil(F.col("_all") * q), F.lit(1)).alias("_place"))
+    placed = rows.join(F.broadcast(around), by)
+    below, upto = F.col(value) < F.col("_at")[0], F.col(value) <= F.col("_at")[1]
+    sums = staged(placed.groupBy(by, "_at", "_place").agg(F.count_if(below).alias("_below"), F.count_if(upto).alias("_upto")), "quantile-counts")
+    hit = (F.col("_below") < F.col("_place")) & (F.col("_place") <= F.col("_upto"))
+    sums = sums.select(by, "_place", F.when(hit, F.col("_at")[0]).alias("_low"), F.when(hit, F.col("_at")[1]).alias("_high"), F.when(hit, F.col("_below")).otherwise(0).alias("_before"))
+    near = rows.join(F.broadcast(sums), by).filter(F.col("_low").isNull() | F.col(value).between(F.col("_low"), F.col("_high")))
+    counted = near.groupBy(by, value, "_place", "_before").agg(F.count("*").alias("_n"))
+    along = F.sum("_n").over(Window.partitionBy(by).orderBy(value))
+    return counted.withColumn("_reached", F.col("_before") + along).filter("_reached >= _place").groupBy(by).agg(F.min(value).alias(value))
+
+
 def _calibrate(models: LanguageModels, folds: list[tuple[LanguageModels, DataFrame]], texts: dict) -> None:
     """Limits by language and the score's sharpness, from all texts of the folds, each scored by its fold's models, which haven't seen it.
 
-    A text of n characters deviates from its language's mean with variance spread + noise / n, fitted by least squares. A text of a language of which its
-    fold's models know nothing has no deviation.
+    As in identify, a text counts for the language of the least cross-entropy, whatever its label. One of n characters deviates from that language's mean with
+    variance spread + noise / n, fitted by least squares. Only the sharpness looks at labels; it leaves out those that the fold's models don't know.
     """
     place = {name: i for i, name in enumerate(models.names)}
     scored = None
     for other, rows in folds:
         if not other.names:
             continue
-        column = F.create_map(*[F.lit(x) for i, name in enumerate(other.names) for x in (name, i)])
+        column = F.coalesce(F.create_map(*[F.lit(x) for i, name in enumerate(other.names) for x in (name, i)])[F.col("lang")], F.lit(-1))
         of = F.array(*[F.lit(place[name]) for name in other.names])
-        found = costs(rows.withColumn("column", column[F.col("lang")]).filter(F.col("column").isNotNull()), other, "column", "text").filter("n > 0")
-        found = found.select(F.get(of, "doc_id").alias("of"), "n", "doc_id", F.transform("nats", lambda x: x / F.col("n")).alias("h"))
-        found = staged(found.select("of", "n", "h", F.get("h", "doc_id").alias("own"), F.array_min("h").alias("least")), "lang-calibration")
+        found = costs(rows.withColumn("column", column), other, "column", "text").filter("n > 0")
+        found = found.select(F.when(F.col("doc_id") >= 0, F.col("doc_id")).alias("column"), "n", F.transform("nats", lambda x: x / F.col("n")).alias("h")).withColumn("least", F.array_min("h"))
+        told = F.get(of, F.array_position("h", F.col("least")).cast("int") - 1)
+        found = staged(found.select(told.alias("of"), "n", "h", F.get("h", "column").alias("own"), "least"), "lang-calibration")
         scored = found if scored is None else scored.unionByName(found)
         for sent in other.parts:
             sent.destroy()
     if scored is None:
         return
-    right = scored.filter("own = least").select("of", "n", "own")
-    right = right.unionByName(right.withColumn("of", F.lit(-1)))  # all languages together, for those without texts of their own
-    means = right.groupBy("of").agg(F.avg("own").alias("mean"))
-    off = right.join(F.broadcast(means), "of").select("of", "mean", (F.col("own") - F.col("mean")).alias("d"), (1 / F.col("n")).alias("x"))
+    told = scored.select("of", "n", "least")
+    told = told.unionByName(told.withColumn("of", F.lit(-1)))  # all languages together, for those without texts of their own
+    means = told.groupBy("of").agg(F.avg("least").alias("mean"))
+    off = told.join(F.broadcast(means), "of").select("of", "mean", (F.col("least") - F.col("mean")).alias("d"), (1 / F.col("n")).alias("x"))
     fits = off.groupBy("of", "mean").agg(
         F.greatest(F.coalesce(F.regr_slope(F.col("d") * F.col("d"), F.col("x")), F.lit(0.0)), F.lit(0.0)).alias("noise"),
         F.greatest(F.coalesce(F.regr_intercept(F.col("d") * F.col("d"), F.col("x")), F.lit(0.0)), F.lit(1e-3)).alias("spread"),
     )
+    fits = staged(fits, "lang-fits")
     deviation = F.col("d") / F.sqrt(F.col("spread") + F.col("noise") * F.col("x"))
-    most = off.join(F.broadcast(fits.drop("mean")), "of").groupBy("of").agg(F.percentile_approx(deviation, REJECT_QUANTILE, 10_000).alias("most"))
+    most = exact_quantile(staged(off.join(F.broadcast(fits.drop("mean")), "of").select("of", deviation.alias("deviation")), "lang-deviations"), "of", "deviation", REJECT_QUANTILE).withColumnRenamed("deviation", "most")
     found = {r["of"]: r for r in fits.join(most, "of").collect()}  # a row per language
     for i in range(len(models.names)):
         if r := found.get(i if texts[models.names[i]] >= LEAST_ROWS else -1, found.get(-1)):
@@ -376,7 +398,7 @@ def _calibrate(models: LanguageModels, folds: list[tuple[LanguageModels, DataFra
     def loss(t):
         return F.log(F.aggregate("h", F.lit(0.0), lambda s, x: s + F.exp(-t * (x - F.col("least"))))) + t * (F.col("own") - F.col("least"))
 
-    losses = scored.agg(*[F.avg(loss(t)) for t in SHARPNESS]).first()
+    losses = scored.filter("own is not null").agg(*[F.avg(loss(t)) for t in SHARPNESS]).first()
     models.sharpness = SHARPNESS[int(np.argmin([np.inf if x is None else x for x in losses]))]
 
 

@@ -2,9 +2,11 @@
 
 import hashlib
 import math
+import random
 import struct
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +166,31 @@ def test_all_rows_train_and_calibrate(spark, documents, monkeypatch):
     every = sorted(r.text for r in rows.select("text").collect())
     assert counted == [len(every)] and sorted(r.text for part in scored for r in part) == every
     assert not set(scored[0]) & set(scored[1])
+
+
+def test_every_text_counts_for_the_limits(spark):
+    """Texts that carry another language's label, and the exact quantile of all deviations."""
+    rng = random.Random(5)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randint(2, 8)))
+    plain = [(lang, " ".join(word(letters) for _ in range(rng.randint(5, 60)))) for lang, letters in (("aa", "abcdefgh"), ("zz", "stuvwxyz")) for _ in range(300)]
+    # a third of the texts with the letters of zz are labelled aa
+    rows = [("aa" if lang == "zz" and i % 3 == 0 else lang, text) for i, (lang, text) in enumerate(plain)]
+    models = language_id.train(spark.createDataFrame(rows, "lang string, text string"), "lang", "text")
+    scored = []
+    for fold in range(2):
+        rest = spark.createDataFrame(rows, "lang string, text string").withColumn("fold", F.pmod(F.xxhash64(F.lit(29), "text"), F.lit(2)))
+        other = language_id._models(language_id.count_grams(rest.filter(F.col("fold") != fold), "lang", "text"))
+        nats, n = other.parts[0].value.nats([r["text"] for r in rest.filter(F.col("fold") == fold).collect()])
+        scored += [(h.argmin(), h.min()) for h in nats / n[:, None]]
+    assert len(scored) == len(rows)
+    for of in range(2):
+        assert abs(models.mean[of] - np.mean([h for best, h in scored if best == of])) < 1e-6
+
+
+def test_quantiles_are_exact(spark):
+    rng = random.Random(6)
+    rows = [(k, float(rng.choice([rng.gauss(0, 1), rng.randint(0, 3)]))) for k in range(3) for _ in range((3, 800, 60_000)[k])] + [(0, None)]
+    found = language_id.exact_quantile(spark.createDataFrame(rows, "k int, x double"), "k", "x", 0.99).collect()
+    for k in range(3):
+        own = sorted(x for i, x in rows if i == k and x is not None)
+        assert {r.k: r.x for r in found}[k] == own[-(-len(own) * 99 // 100) - 1]
