@@ -61,19 +61,16 @@ def outside(c: Column, x0: Column, x1: Column, room: Column) -> Column:
 def adjacent(b: Column) -> Column:
     """array<struct<p, c>> of neighbouring boxes, empty below two."""
     n = F.size(b)
-    made = F.zip_with(F.slice(b, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(b, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda p, c: F.struct(p.alias("p"), c.alias("c")))
-    return F.when(n >= 2, made).otherwise(F.filter(made, lambda x: F.lit(False)))
+    return F.zip_with(F.slice(b, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(b, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda p, c: F.struct(p.alias("p"), c.alias("c")))
 
 
-def bodies(text: Column, b: Column, first: int = 1) -> Column:
-    """Boxes without the trailing top marks; first=2 leaves out the base box. With more marks than boxes, as many are taken from the end twice."""
-    marks = F.length(F.regexp_extract(text, f"[{TOP_MARKS}]*$", 0))
-    end = F.when(F.size(b) >= marks, F.size(b) - marks).otherwise(F.greatest(2 * F.size(b) - marks, F.lit(0)))
-    return F.slice(b, F.lit(first), F.greatest(end - (first - 1), F.lit(0)))
+def let(f, **values: Column) -> Column:
+    """f of the named values, each of which is worked out once however often f looks at it."""
+    return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), f), F.lit(0))
 
 
 def spread(a: Column, f) -> Column:
-    return F.array_max(F.transform(a, f)) - F.array_min(F.transform(a, f))
+    return let(lambda m: F.array_max(m["v"]) - F.array_min(m["v"]), v=F.transform(a, f))
 
 
 def mean_size(a: Column, f) -> Column:
@@ -82,39 +79,70 @@ def mean_size(a: Column, f) -> Column:
 
 def rules(text: Column, boxes: Column) -> dict[str, Column]:
     """Each warning's own condition, without the common ones (two boxes, a stack height, a subjoined letter for those of subscripts)."""
-    n, base = F.size(boxes), F.get(boxes, F.lit(0))
-    last, before_last = F.get(boxes, n - 1), F.get(boxes, n - 2)
+
+    def one(name):
+        return let(lambda m: _rules(text, boxes, m)[name], **_measures(text, boxes))
+
+    return {name: one(name) for name in WARNINGS}
+
+
+def _measures(text: Column, boxes: Column) -> dict[str, Column]:
+    """What several rules look at. end: how many boxes come before the trailing top marks; with more marks than boxes, as many are taken from the end twice."""
+    n, marks = F.size(boxes), F.length(F.regexp_extract(text, f"[{TOP_MARKS}]*$", 0))
+    return {
+        "n": n,
+        "stack": F.get(boxes, F.lit(0))["ytop"] - F.array_min(F.transform(boxes, lambda x: x["ybot"])),
+        "subjoined": count_of(text, SUBJOINED),
+        "last_mark": text.rlike(f"[{TOP_MARKS}]\\z"),
+        "end": let(lambda x: F.when(n >= x["marks"], n - x["marks"]).otherwise(F.greatest(2 * n - x["marks"], F.lit(0))), marks=marks),
+        "pairs": adjacent(boxes),
+    }
+
+
+def _rules(text: Column, boxes: Column, m: Column) -> dict[str, Column]:
+    """The rules from the measures, of which each is looked at where a rule's cheaper conditions hold."""
+    n, stack, subjoined, last_mark = m["n"], m["stack"], m["subjoined"], m["last_mark"]
+    base, last, before_last = F.get(boxes, F.lit(0)), F.get(boxes, n - 1), F.get(boxes, n - 2)
     others = F.slice(boxes, F.lit(1), F.greatest(n - 1, F.lit(0)))
     upper = F.slice(boxes, F.lit(2), F.greatest(n - 1, F.lit(0)))
-    stack = base["ytop"] - F.array_min(F.transform(boxes, lambda x: x["ybot"]))
-    subjoined, last_mark = count_of(text, SUBJOINED), text.rlike(f"[{TOP_MARKS}]\\z")
 
     key = lambda x: F.struct(x["name"], x["x0"], x["ytop"], x["x1"], x["ybot"])
     same = F.size(F.array_distinct(F.transform(upper, key))) < F.size(upper)
     scale = F.when(base["ytop"] == 0, F.lit(1)).otherwise(F.abs(base["ytop"]))
-    high = F.filter(upper, lambda x: x["ybot"] >= base["ytop"] - 0.05 * scale)
-    near = (F.size(high) >= 2) & (spread(high, centre) <= 0.08 * mean_size(high, width)) & (spread(high, lambda x: (x["ytop"] + x["ybot"]) / 2.0) <= 0.08 * mean_size(high, height))
+
+    def close(h):
+        high = h["high"]
+        return (F.size(high) >= 2) & (spread(high, centre) <= 0.08 * mean_size(high, width)) & (spread(high, lambda x: (x["ytop"] + x["ybot"]) / 2.0) <= 0.08 * mean_size(high, height))
+
+    near = let(close, high=F.filter(upper, lambda x: x["ybot"] >= base["ytop"] - 0.05 * scale))
 
     covers = (ratio(overlap_y(before_last, last), height(last)) >= 0.65) & (last["ybot"] < before_last["ytop"])
     swallowed = F.exists(others, lambda x: (height(x) > 0) & (ratio(overlap_y(x, last), height(last)) >= 0.75) & (last["ytop"] <= x["ytop"]))
 
-    x0, x1 = F.array_min(F.transform(others, lambda x: x["x0"])), F.array_max(F.transform(others, lambda x: x["x1"]))
-    beside = ratio(F.greatest(F.lit(0), F.least(last["x1"], x1) - F.greatest(last["x0"], x0)), width(last))
-    astray = outside(last, x0, x1, F.greatest(F.lit(1), x1 - x0))
+    def beside(rule):
+        """rule of the share of the last box's width that lies beside the others' span, and of whether its centre is astray."""
+
+        def told(s):
+            share = ratio(F.greatest(F.lit(0), F.least(last["x1"], s["x1"]) - F.greatest(last["x0"], s["x0"])), width(last))
+            return let(lambda w: rule(w["share"], outside(last, s["x0"], s["x1"], F.greatest(F.lit(1), s["x1"] - s["x0"]))), share=share)
+
+        return let(told, x0=F.array_min(F.transform(others, lambda x: x["x0"])), x1=F.array_max(F.transform(others, lambda x: x["x1"])))
+
+    def floats(v):
+        vowel, prev, share = v["vowel"], v["prev"], ratio(overlap_y(v["prev"], v["vowel"]), height(v["vowel"]))
+        found = [
+            vowel["ytop"] > prev["ytop"] - 0.10 * stack,
+            (height(prev) > 0) & (vowel["ybot"] > prev["ybot"] + 0.10 * height(prev)),
+            (share >= 0.85) & (vowel["ybot"] > prev["ybot"] - 0.08 * stack),
+            (share >= 0.45) & (vowel["ytop"] > prev["ybot"] + 0.20 * height(vowel)),
+        ]
+        return F.greatest(*[F.coalesce(f, F.lit(False)) for f in found])
 
     at = F.when(last_mark, n - 2).otherwise(n - 1)
-    vowel, prev = F.get(boxes, F.greatest(at, F.lit(0))), F.get(boxes, F.greatest(at - 1, F.lit(0)))
-    share = ratio(overlap_y(prev, vowel), height(vowel))
-    floats = [
-        vowel["ytop"] > prev["ytop"] - 0.10 * stack,
-        (height(prev) > 0) & (vowel["ybot"] > prev["ybot"] + 0.10 * height(prev)),
-        (share >= 0.85) & (vowel["ybot"] > prev["ybot"] - 0.08 * stack),
-        (share >= 0.45) & (vowel["ytop"] > prev["ybot"] + 0.20 * height(vowel)),
-    ]
-    floating = F.greatest(*[F.coalesce(f, F.lit(False)) for f in floats])
-
-    inner = bodies(text, boxes, 2)
-    layers = (subjoined >= 4) & (n >= 5) & (F.size(inner) >= 4) & (spread(inner, lambda x: x["ytop"]) <= 0.18 * stack) & (F.size(F.array_distinct(F.transform(inner, lambda x: x["name"]))) >= 4)
+    floating = let(floats, vowel=F.get(boxes, F.greatest(at, F.lit(0))), prev=F.get(boxes, F.greatest(at - 1, F.lit(0))))
+
+    inner = F.slice(boxes, F.lit(2), F.greatest(m["end"] - 1, F.lit(0)))
+    flat = let(lambda i: (F.size(i["inner"]) >= 4) & (spread(i["inner"], lambda x: x["ytop"]) <= 0.18 * stack) & (F.size(F.array_distinct(F.transform(i["inner"], lambda x: x["name"]))) >= 4), inner=inner)
 
     def sideways(x):
         p, c = x["p"], x["c"]
@@ -133,31 +161,34 @@ def rules(text: Column, boxes: Column) -> dict[str, Column]:
     def hardly_lower(x):
         return (height(x["p"]) > 0) & (x["c"]["ytop"] > x["p"]["ytop"] - 0.20 * height(x["p"]))
 
-    body = bodies(text, boxes)
-    some = lambda pairs, rule: F.exists(adjacent(pairs), rule)
+    # without the trailing marks, the pairs are the first ones
+    some = lambda rule: F.exists(F.slice(m["pairs"], F.lit(1), F.greatest(m["end"] - 1, F.lit(0))), rule)
     found = {
         "top_diacritic_collision": (count_of(text, TOP_DIACRITICS) >= 2) & (same | near),
         "top_mark_overlap": last_mark & (F.coalesce(covers, F.lit(False)) | F.coalesce(swallowed, F.lit(False))),
-        "top_mark_horizontal_misalignment": last_mark & (beside < 0.25) & astray,
-        "mark_horizontal_misalignment": text.rlike(f"[{LINE_MARKS}]") & ((beside < 0.40) | (beside.isNotNull() & astray)),
+        "top_mark_horizontal_misalignment": last_mark & beside(lambda share, astray: (share < 0.25) & astray),
+        "mark_horizontal_misalignment": text.rlike(f"[{LINE_MARKS}]") & beside(lambda share, astray: (share < 0.40) | (share.isNotNull() & astray)),
         "floating_bottom_vowel": text.rlike(f"[{BOTTOM_VOWELS}]") & (at > 0) & floating,
-        "subscript_layer_collision": layers,
-        "subscript_horizontal_misalignment": some(boxes, sideways),
-        "subscript_containment": (subjoined >= 2) & some(body, contained),
-        "subscript_overlap": (subjoined >= 2) & (n >= 3) & some(body, laid_over),
-        "subscript_insufficient_descent": (subjoined >= 2) & (n >= 3) & (F.size(body) >= 3) & some(body, hardly_lower),
+        "subscript_layer_collision": (subjoined >= 4) & (n >= 5) & flat,
+        "subscript_horizontal_misalignment": F.exists(m["pairs"], sideways),
+        "subscript_containment": (subjoined >= 2) & some(contained),
+        "subscript_overlap": (subjoined >= 2) & (n >= 3) & some(laid_over),
+        "subscript_insufficient_descent": (subjoined >= 2) & (n >= 3) & (m["end"] >= 3) & some(hardly_lower),
     }
     return {name: F.coalesce(when, F.lit(False)) for name, when in found.items()}
 
 
 def placement_warnings(text: Column, boxes: Column) -> Column:
     """Names of the warnings, in their order. Fewer than two boxes or no stack height give none."""
-    own, lower = rules(text, boxes), WARNINGS[-3:]
-    below = F.when(own[lower[0]], lower[0]).when(own[lower[1]], lower[1]).when(own[lower[2]], lower[2])
-    told = [F.when(own[name], F.lit(name)) for name in WARNINGS[:5]]
-    told += [F.when(count_of(text, SUBJOINED) >= 1, x) for x in [F.when(own[name], F.lit(name)) for name in WARNINGS[5:7]] + [below]]
-    stack = F.get(boxes, F.lit(0))["ytop"] - F.array_min(F.transform(boxes, lambda x: x["ybot"]))
-    return F.when((F.size(boxes) >= 2) & (stack > 0), F.array_compact(F.array(*told))).otherwise(F.array().cast("array<string>"))
+
+    def told(m):
+        own, lower, none = _rules(text, boxes, m), WARNINGS[-3:], F.array().cast("array<string>")
+        below = F.when(own[lower[0]], lower[0]).when(own[lower[1]], lower[1]).when(own[lower[2]], lower[2])
+        upper = F.array(*[F.when(own[name], F.lit(name)) for name in WARNINGS[:5]])
+        under = F.when(m["subjoined"] >= 1, F.array(*[F.when(own[name], F.lit(name)) for name in WARNINGS[5:7]], below)).otherwise(none)
+        return F.when((m["n"] >= 2) & (m["stack"] > 0), F.array_compact(F.concat(upper, under))).otherwise(none)
+
+    return let(told, **_measures(text, boxes))
 
 
 def script_tags(text: Column) -> Column:
@@ -176,17 +207,20 @@ def verdict(text: Column, boxes: Column, error: Column | None = None) -> Column:
     missing = F.when(none, 0).otherwise(F.size(F.filter(boxes, lambda x: (x["gid"] == 0) | (x["name"] == ".notdef"))))
     dotted = F.coalesce(F.exists(boxes, lambda x: F.lower(x["name"]).rlike("dotted|25cc")), F.lit(False))
     ink = F.coalesce(F.aggregate(boxes, F.lit(0).cast("long"), lambda s, x: s + F.abs(width(x) * height(x)).cast("long")), F.lit(0))
-    first = F.array(F.when(missing > 0, "notdef"), F.when(dotted, "dotted_circle"), F.when(none, "empty_shape"), F.when(~none & (ink == 0), "zero_ink"))
     edge = lambda f, c: f(F.transform(boxes, lambda x: x[c])).cast("string")
     bbox = F.when(none, "").otherwise(F.concat_ws(",", edge(F.array_min, "x0"), edge(F.array_min, "ytop"), edge(F.array_max, "x1"), edge(F.array_max, "ybot")))
 
-    def told(placed):
-        reasons = F.concat(F.array_compact(first), placed)
-        ok = F.size(reasons) == 0
-        return _told(ok, F.when(ok, "ok").otherwise("fail"), F.when(ok, "ok").otherwise(F.array_join(reasons, ";")), missing, dotted, glyphs, bbox, ink, F.array_join(placed, ";"), F.size(placed))
+    def told(m):
+        missing, dotted, ink, placed = m["missing"], m["dotted"], m["ink"], m["placed"]
+        first = F.array(F.when(missing > 0, "notdef"), F.when(dotted, "dotted_circle"), F.when(none, "empty_shape"), F.when(~none & (ink == 0), "zero_ink"))
+
+        def listed(r):
+            ok = F.size(r["reasons"]) == 0
+            return _told(ok, F.when(ok, "ok").otherwise("fail"), F.when(ok, "ok").otherwise(F.array_join(r["reasons"], ";")), missing, dotted, glyphs, bbox, ink, F.array_join(placed, ";"), F.size(placed))
+
+        return let(listed, reasons=F.concat(F.array_compact(first), placed))
 
-    # a one-element array names the warnings, which are worked out once
-    shaped = F.get(F.transform(F.array(placement_warnings(text, boxes)), told), F.lit(0))
+    shaped = let(told, missing=missing, dotted=dotted, ink=ink, placed=placement_warnings(text, boxes))
     return shaped if error is None else F.when(error.isNull(), shaped).otherwise(failed("shape_error", F.concat(F.lit("shape_error:"), error)))
 
 

@@ -145,3 +145,10 @@ def test_long_names_take_linear_time(spark):
     found = [tuple(r) for r in texts.select(names.safe_basename(F.col("t")), names.folded_slug(F.col("t"))).collect()]
     assert found == [("A" + "." * 300_000 + "b", "e_a" + "." * 300_000 + "b_e."), ("Font", "1"), ("Font", None)]
     assert time.monotonic() - began < 30
+
+
+def test_a_verdict_looks_at_its_text_once(spark):
+    """Values that several rules share are worked out once a text: trailing marks, subjoined letters, neighbours."""
+    df = spark.createDataFrame([("x", [])], "t string, b array<struct<gid:long,name:string,x0:long,ytop:long,x1:long,ybot:long>>")
+    told = str(df.select(geometry.verdict(F.col("t"), F.col("b")).alias("v"))._jdf.queryExecution().optimizedPlan())
+    assert [told.count(x) for x in ("regexp_extract(", "regexp_replace(", "zip_with(")] == [1, 2, 1]
