@@ -60,6 +60,10 @@ def merge_until_settled(rows: DataFrame, lay: Callable[[], Column], batch: str,
     return done
 
 
+#: Units drawn at once to fill a page up, as a multiple of those that it lacks by their mean length.
+SPARE = 1.25
+
+
 def drawn(*key: Column) -> Column:
     """A whole number below 2 ** 60 from the SHA-1 of the key."""
     return F.conv(F.substring(F.sha1(F.concat_ws(":", *key)), 1, 15), 16, 10).cast("long")
@@ -79,25 +83,39 @@ def random_pages(
     has_special = lambda c: F.exists(F.array(*[F.lit(x) for x in special or []]).cast("array<string>"), lambda x: F.contains(c, x))
     known = units.filter(tx.strip(F.col(unit)) != "").select(*key, unit, F.explode(F.when(has_special(F.col(unit)), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("plain"))
     known = saved(numbered_by_digest(known, "plain", F.sha1(F.concat_ws(":", F.lit(seed), F.lit("unit"), *key))).select("plain", "number", unit))
-    sizes = known.groupBy("plain").agg(F.count("*").alias("many"), F.min(F.length(unit)).alias("shortest"))  # two rows
+    sizes = known.groupBy("plain").agg(F.count("*").alias("many"), F.min(F.length(unit)).alias("shortest"), F.avg(F.length(unit)).alias("mean"))  # two rows
     shortest = sizes.agg(F.min("shortest")).first()[0]
     if shortest is None:
         return pages.select(page, F.lit("").alias("text")).limit(0)
     draws = max(most, -(-pad // (shortest + 1)))
     of = lambda tag, *at: (F.lit(seed), F.lit(tag), F.col(page), *at)
     told = pages.select(page, F.coalesce(F.lit(False) if plain is None else plain, F.lit(False)).alias("plain")).join(F.broadcast(sizes), "plain")
-    told = told.withColumn("wanted", F.lit(least) + drawn(*of("many")) % (most - least + 1)).withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    told = told.withColumn("number", drawn(*of("draw", F.col("at"))) % F.col("many"))
-    place = F.when(F.col("at") < F.col("wanted"), F.sha1(F.concat_ws(":", *of("place", F.col("at")))))
-    got = F.collect_list(F.struct(place.alias("place"), "at", unit))
-    found = told.join(known, ["plain", "number"]).groupBy(page, "plain").agg(got.alias("got"))
-    first = F.filter("got", lambda x: x["place"].isNotNull())
+    told = saved(told.withColumn("wanted", F.lit(least) + drawn(*of("many")) % (most - least + 1)))
+
+    def joined(rows, begin, end):
+        """The rows' own columns, and as got the units of a page's draws from begin to before end; those before wanted have a place."""
+        at = F.explode(F.sequence(begin, end - F.lit(1)))
+        place = F.when(F.col("at") < F.col("wanted"), F.sha1(F.concat_ws(":", *of("place", F.col("at")))))
+        draw = rows.withColumn("at", at).withColumns({"number": drawn(*of("draw", F.col("at"))) % F.col("many"), "place": place})
+        own = [F.first(c).alias(c) for c in ("plain", "wanted", "many", "mean")]
+        return draw.join(known, ["plain", "number"]).groupBy(page).agg(*own, F.collect_list(F.struct("place", "at", unit)).alias("got"))
+
+    def filled(body):
+        return F.aggregate(F.array_sort("got"), body, lambda t, x: F.when(F.length(t) < pad, F.concat(t, F.lit(" "), x[unit])).otherwise(t))
+
+    # first the draws that every page has; pages that they leave short draw on, at first as many as units of the mean length fill
+    found, first = joined(told, F.lit(0).cast("long"), F.col("wanted")), F.col("got")
     if mandatory is not None:
         piece = F.struct(F.sha1(F.concat_ws(":", *of("place", F.lit(-1)))).alias("place"), F.lit(-1).alias("at"), tx.strip(F.lit(mandatory)).alias(unit))
         first = F.when(F.col("plain") & has_special(F.lit(mandatory)), first).otherwise(F.concat(first, F.array(piece)))
-    body = F.array_join(F.transform(F.array_sort(first), lambda x: x[unit]), " ")
-    # those without a place sort by at
-    more = F.array_sort(F.filter("got", lambda x: x["place"].isNull()))
-    body = F.aggregate(more, tx.strip(body), lambda t, x: F.when(F.length(t) < pad, F.concat(t, F.lit(" "), x[unit])).otherwise(t))
+    joint = F.array_join(F.transform(F.array_sort(first), lambda x: x[unit]), " ")
+    found = saved(found.select(page, "plain", "wanted", "many", "mean", F.col("wanted").alias("next"), tx.strip(joint).alias("body")))
+    for whole in (False, True):
+        lacks = F.ceil((pad - F.length("body")) / (F.col("mean") + 1) * SPARE) + 4
+        end = F.lit(draws).cast("long") if whole else F.least(F.lit(draws).cast("long"), F.col("next") + lacks)
+        short = found.filter((F.length("body") < pad) & (F.col("next") < draws)).withColumn("end", end)
+        more = joined(short, F.col("next"), F.col("end")).select(page, "got").join(short.select(page, "body", "end"), page).select(page, "end", filled(F.col("body")).alias("more"))
+        found = saved(found.join(more, page, "left").withColumns({"body": F.coalesce("more", "body"), "next": F.coalesce("end", "next")}).drop("more", "end"))
+    body = F.col("body")
     body = tx.one_line(F.substring(body, 1, cut), p)
     return found.select(page, (F.when(F.startswith(body, F.lit(heading[:1])), body).otherwise(F.concat(F.lit(heading), body)) if heading else body).alias("text"))

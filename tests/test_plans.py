@@ -320,3 +320,14 @@ def test_a_hot_name_and_names_that_are_taken(spark):
     made = [found[i] for i in range(400)]
     assert made[:3] == ["hot", "hot_3", "hot_4"] and len(set(made)) == 400 and made[-1] == "hot_402"
     assert [found[i] for i in (1001, 1002, 1007, 2003)] == ["hot_1", "hot_2", "hot_7", "hot_7_1"] and found[2002] == "hot_7_2"
+
+
+def test_pages_draw_little_more_than_they_need(spark, monkeypatch):
+    """One short unit doesn't make every page draw as many units as it would take of that one."""
+    made, real = [], layout.saved
+    monkeypatch.setattr(layout, "saved", lambda frame: made.append(real(frame)) or made[-1])
+    units = spark.createDataFrame([(i, "x" if i == 0 else f"{i:04}" * 10) for i in range(2000)], "i long, u string")
+    pages = spark.range(40).withColumnRenamed("id", "page")
+    found = layout.random_pages(pages, units, "page", "u", ["i"], tx.LATIN, least=10, most=20, pad=2000).collect()
+    assert len(found) == 40 and all(2000 <= len(r.text) <= 2041 for r in found)
+    assert max(r.next for frame in made if "next" in frame.columns for r in frame.collect()) < 100
