@@ -32,21 +32,27 @@ def rarity(freq: DataFrame) -> DataFrame:
     return info.crossJoin(F.broadcast(bounds)).select("token", "n", F.coalesce(F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0)), F.lit(0.0)).alias("rarity"))
 
 
-def difficulty(docs: DataFrame, rare: DataFrame, p: Profile = LATIN, top: int = 10, limit: float = 0.8) -> DataFrame:
+def counted(docs: DataFrame, p: Profile = LATIN) -> DataFrame:
+    """doc_id, token, k: how often each row's text has each token; rows that repeat an id are summed."""
+    return exploded(docs, p).groupBy("doc_id", "token").agg(F.count("*").alias("k"))
+
+
+def difficulty(docs: DataFrame, rare: DataFrame, p: Profile = LATIN, top: int = 10, limit: float = 0.8, counts: DataFrame | None = None) -> DataFrame:
     """0.5 mean of the top rarities, 0.3 share of rare tokens, 0.2 share of rare distinct tokens; unknown tokens count 1.
 
-    Tokens are counted per document before the join, so a common token meets its rarity once a document.
+    Tokens are counted per document before the join, so a common token meets its rarity once a document; from there on only numbers are shuffled, one row for
+    each rarity that a document has. counts: what counted gives of docs, where it is known already.
     """
-    counted = exploded(docs, p).groupBy("doc_id", "token").agg(F.count("*").alias("k"))
-    known = counted.join(rare.select("token", "rarity"), "token", "left").withColumn("rarity", F.coalesce("rarity", F.lit(1.0)))
+    known = (counted(docs, p) if counts is None else counts).join(rare.select("token", "rarity"), "token", "left").select("doc_id", F.coalesce("rarity", F.lit(1.0)).alias("rarity"), "k")
+    known = known.groupBy("doc_id", "rarity").agg(F.sum("k").alias("k"), F.count("*").alias("kinds"))
     high = F.col("rarity") >= limit
-    order = Window.partitionBy("doc_id").orderBy(F.desc("rarity"), "token").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("doc_id").orderBy(F.desc("rarity")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = known.withColumn("upto", F.sum("k").over(order))
     used = F.greatest(F.lit(0), F.least(F.col("k"), top - (F.col("upto") - F.col("k"))))
     sums = placed.groupBy("doc_id").agg(
         (F.sum(F.col("rarity") * used) / F.sum(used)).alias("peak"),
         (F.sum(F.when(high, F.col("k")).otherwise(0)) / F.sum("k")).alias("share"),
-        F.avg(F.when(high, 1.0).otherwise(0.0)).alias("kinds"),
+        (F.sum(F.when(high, F.col("kinds")).otherwise(0)) / F.sum("kinds")).alias("kinds"),
     )
     score = F.least(F.lit(1.0), 0.5 * F.col("peak") + 0.3 * F.col("share") + 0.2 * F.col("kinds"))
     return docs.select("doc_id").join(sums, "doc_id", "left").select("doc_id", F.when(F.col("peak").isNull(), 0.0).otherwise(score).alias("difficulty"))

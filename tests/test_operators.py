@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from scriptorium import catalogue
 from scriptorium.functions import names, text as tx
 from scriptorium.operators import chunks, fonts, geometry, records, relations, stacks
 from scriptorium.plans import quotas
@@ -152,3 +153,12 @@ def test_a_verdict_looks_at_its_text_once(spark):
     df = spark.createDataFrame([("x", [])], "t string, b array<struct<gid:long,name:string,x0:long,ytop:long,x1:long,ybot:long>>")
     told = str(df.select(geometry.verdict(F.col("t"), F.col("b")).alias("v"))._jdf.queryExecution().optimizedPlan())
     assert [told.count(x) for x in ("regexp_extract(", "regexp_replace(", "zip_with(")] == [1, 2, 1]
+
+
+def test_difficulty_cuts_texts_once(spark):
+    """Counts of tokens are made once and used twice, and give what the texts give."""
+    told = str(catalogue.QUERIES["doc_difficulty"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan())
+    assert "regexp_extract_all" not in told
+    docs = spark.createDataFrame([(1, "a b b c zz"), (2, "a a a"), (3, None), (4, "new words")], "doc_id long, text string")
+    rare = stacks.rarity(stacks.frequency(docs.filter("doc_id < 4")))
+    assert stacks.difficulty(docs, rare, counts=stacks.counted(docs)).collect() == stacks.difficulty(docs, rare).collect()
