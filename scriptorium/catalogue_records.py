@@ -272,10 +272,15 @@ PAGES = """
 IN_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
+def _files(spark, least):
+    """How many files a table in order is written to, by a task each: no fewer than least, and as many as the session's shuffles have parts."""
+    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _page_map(spark, d):
-    """Seven files of lines in order."""
+    """Seven files or more of lines in order."""
     path = new_folder(spark, "pages")
-    rows = table(spark, d, "lineitem").repartitionByRange(7, *IN_ORDER).sortWithinPartitions(*IN_ORDER).select((F.col("l_partkey") % 5 + F.col("l_linenumber")).cast("int"), F.concat(F.lit("r"), F.col("l_orderkey").cast("string")), F.col("l_quantity").cast("int") % 4)
+    rows = table(spark, d, "lineitem").repartitionByRange(_files(spark, 7), *IN_ORDER).sortWithinPartitions(*IN_ORDER).select((F.col("l_partkey") % 5 + F.col("l_linenumber")).cast("int"), F.concat(F.lit("r"), F.col("l_orderkey").cast("string")), F.col("l_quantity").cast("int") % 4)
     rows.write.csv(path)
     return tables.page_map(spark, path)
 
@@ -311,7 +316,7 @@ def marker_line_rebuild(spark, d):
 def page_transcriptions(spark, d):
     """Texts joined with both maps, as files without headers give them."""
     path = new_folder(spark, "lines")
-    lines = table(spark, d, "lineitem").repartitionByRange(5, *IN_ORDER).sortWithinPartitions(*IN_ORDER)
+    lines = table(spark, d, "lineitem").repartitionByRange(_files(spark, 5), *IN_ORDER).sortWithinPartitions(*IN_ORDER)
     markers = F.when(F.col("l_quantity").cast("int") % 4 == 0, "x").otherwise(F.concat(F.lit("1 "), (F.col("l_quantity").cast("int") % 4 * 4).cast("string")))
     lines.select((F.col("l_partkey") % 5 + F.col("l_linenumber")).cast("int"), F.concat(F.lit("r"), F.col("l_orderkey").cast("string")), "l_linenumber", markers).write.csv(path)
     text = F.concat(F.lit("".join(f"w{i} " for i in range(1, 13))), "o_orderpriority")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import first_filled
 from ..functions.text import TIBETAN, Profile, split_marker_units, strip
+from .geometry import let
 
 
 def sequence_of(output_sequence: Column, file_name: Column) -> Column:
@@ -70,11 +71,16 @@ def marker_lines(units: Column, ends: Column) -> Column:
 
     A list gives a line from where the lists before it have reached, so the running maximum is all that is carried.
     """
-    reach = F.transform(ends, lambda ids: F.least(F.coalesce(F.array_max(ids), F.lit(0)), F.size(units)))
-    upto = F.aggregate(reach, F.array(F.lit(0)), lambda seen, x: F.concat(seen, F.array(F.greatest(F.element_at(seen, -1), x))))
-    spans = F.zip_with(F.slice(upto, F.lit(1), F.size(reach)), F.slice(upto, F.lit(2), F.size(reach)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    lines = F.transform(F.filter(spans, lambda s: s["b"] > s["a"]), lambda s: strip(F.array_join(F.slice(units, s["a"] + 1, s["b"] - s["a"]), "")))
-    return F.filter(lines, lambda x: x != "")
+    reached = lambda m: F.transform(ends, lambda ids: F.least(F.coalesce(F.array_max(ids), F.lit(0)), F.size(m["units"])))
+    running = lambda reach: F.aggregate(reach, F.array(F.lit(0)), lambda seen, x: F.concat(seen, F.array(F.greatest(F.element_at(seen, -1), x))))
+
+    def lines(m, upto):
+        many = F.size(upto) - 1
+        spans = F.zip_with(F.slice(upto, F.lit(1), many), F.slice(upto, F.lit(2), many), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        return F.transform(F.filter(spans, lambda s: s["b"] > s["a"]), lambda s: strip(F.array_join(F.slice(m["units"], s["a"] + 1, s["b"] - s["a"]), "")))
+
+    # a text is cut into its units once, not for each line
+    return let(lambda m: let(lambda r: F.filter(lines(m, r["upto"]), lambda x: x != ""), upto=running(reached(m))), units=units)
 
 
 def strip_lines(text: Column) -> Column:

@@ -18,7 +18,7 @@ def in_file_order(scan: DataFrame) -> DataFrame:
 
     Splits of files are packed into tasks by their size, so the order of tasks tells nothing. But a split's rows are read in order by one task, so
     (path, byte at which the split begins, number within the task) is the order of the files. Counts of the splits, a row for each, give every
-    row its number. No row is shuffled. A reader that skips headers or bad lines doesn't count them. Columns path, line and at of the files themselves
+    row its number. They are broadcast, so no row is shuffled, and a large file's rows don't meet in one task. A reader that skips headers or bad lines doesn't count them. Columns path, line and at of the files themselves
     are replaced. Without files there are no rows.
     """
     own = [c for c in scan.columns if c not in ("path", "line", "at")]
@@ -30,7 +30,7 @@ def in_file_order(scan: DataFrame) -> DataFrame:
     in_all = F.sum("_n").over(Window.orderBy("path", "_block").rowsBetween(*before))
     splits = splits.select("path", "_block", "_first", F.coalesce(in_file, F.lit(0)).alias("_file"), F.coalesce(in_all, F.lit(0)).alias("_all"))
     place = F.col("_id") - F.col("_first")
-    return told.join(splits, ["path", "_block"]).select(*[F.col(f"`{c}`") for c in own], "path", (F.col("_file") + place).alias("line"), (F.col("_all") + place).alias("at"))
+    return told.join(F.broadcast(splits), ["path", "_block"]).select(*[F.col(f"`{c}`") for c in own], "path", (F.col("_file") + place).alias("line"), (F.col("_all") + place).alias("at"))
 
 
 def lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
@@ -68,4 +68,4 @@ def csv_union(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFram
     files = rows.groupBy("path").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     line = F.col("_id") - F.col("_first")
-    return rows.join(files.select("path", "_first", before.alias("_before")), "path").select(*[c for c in rows.columns if c not in ("path", "_id")], "path", line.alias("line"), (F.col("_before") + line).alias("at"))
+    return rows.join(F.broadcast(files.select("path", "_first", before.alias("_before"))), "path").select(*[c for c in rows.columns if c not in ("path", "_id")], "path", line.alias("line"), (F.col("_before") + line).alias("at"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.functions import text as tx
-from scriptorium.operators import relations
+from scriptorium.operators import records, relations
 from scriptorium.plans import quotas
 from scriptorium.sources import ordered, sinks, tables
 
@@ -128,3 +128,24 @@ def test_a_large_batch_is_written_by_several_tasks(spark, tmp_path):
     read = tables.fragments(spark, f"{tmp_path}/c").orderBy("at").collect()
     assert [int(r.event) for r in read] == [*range(0, 2000, 2), *range(1, 2000, 2)]
     assert all(len({r.file for r in read if r.batch == b}) > 1 for b in "01")
+
+
+def test_rows_of_files_are_numbered_where_they_are(spark, tmp_path):
+    """Counts of splits are broadcast whatever the session's threshold, so a file's rows aren't shuffled by its path."""
+    spark.range(100).selectExpr("cast(id AS string)").repartition(3).write.text(str(tmp_path / "f"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ordered.lines(spark, str(tmp_path / "f"))
+        told = str(found._jdf.queryExecution().executedPlan())
+        assert "BroadcastHashJoin" in told and "SortMergeJoin" not in told
+        assert sorted(r["at"] for r in found.collect()) == list(range(100))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_lines_cut_their_text_once(spark):
+    rows = spark.createDataFrame([("a b c d e", [[1, 2], [], [9]]), ("a b", None), (None, [[1]])], "t string, e array<array<int>>")
+    found = rows.select(records.marker_lines(tx.split_marker_units(F.col("t"), tx.LATIN), F.col("e")).alias("x"))
+    assert [r.x for r in found.collect()] == [["a b", "c d e"], None, []]
+    assert str(found._jdf.queryExecution().analyzed()).count("regexp_extract_all(") == 1
