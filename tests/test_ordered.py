@@ -114,15 +114,29 @@ def test_division_of_equal_sets_is_spread(spark):
     held = {f"h{h}": {u for u in range(40) if (h * 7 + u * u) % 11} for h in range(1100)}
     items = {i: {3, 5} for i in range(900)} | {1000 + i: {i, i + 1, 2 * i} for i in range(20)} | {2000: set(range(40)), 2001: {41}}
     wanted = sum(units <= has for units in items.values() for has in held.values())
-    a = spark.createDataFrame([(i, u) for i, s in items.items() for u in s], "item int, unit int")
-    b = spark.createDataFrame([(h, u) for h, s in held.items() for u in s], "holder string, unit int")
-    found = relations.supported_by(a, "item", "unit", b, "holder").withColumn("part", F.spark_partition_id())
+    a = spark.createDataFrame([(i, u) for i, s in items.items() for u in s], "units int, unit int")
+    b = spark.createDataFrame([(h, u) for h, s in held.items() for u in s], "ids string, unit int")
+    found = relations.supported_by(a, "units", "unit", b, "ids").withColumn("part", F.spark_partition_id())
     parts = [r["n"] for r in found.groupBy("part").agg(F.count("*").alias("n")).collect()]
     assert sum(parts) == wanted and max(parts) < wanted / 2
-    got = {(r["item"], r["holder"]) for r in found.collect()}
+    got = {(r["units"], r["ids"]) for r in found.collect()}
     assert got == {(i, h) for i, units in items.items() for h, has in held.items() if units <= has}
 
 
+def test_division_without_broadcasts(spark):
+    """The same pairs where Spark may broadcast neither blocks nor sets."""
+    a = spark.createDataFrame([(i, u) for i in range(300) for u in {i % 2, i % 3}], "item int, unit int")
+    b = spark.createDataFrame([(h, u) for h in range(1000) for u in range(3) if (h + u) % 4], "holder int, unit int")
+    wanted = {(i, h) for i in range(300) for h in range(1000) if all((h + u) % 4 for u in {i % 2, i % 3})}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = relations.supported_by(a, "item", "unit", b, "holder").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(found) == len(wanted) and {(r["item"], r["holder"]) for r in found} == wanted
+
+
 def test_summary_of_fonts(spark):
     rows = [("stack", "f", None, True, "", 3, 1), ("stack", "f", 1, False, "b", None, 2), ("stack", "f", 0, False, 'a"', 4, 3), ("stack", "f", 0, None, None, 1, 4), ("latin", "f", 0, True, "", 1, 1)]
     frame = spark.createDataFrame(rows, "test_kind string, basename string, skt_ok int, ok boolean, reason string, complexity int, at int")
