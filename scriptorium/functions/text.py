@@ -37,8 +37,13 @@ def has_letter(text: Column) -> Column:
     return text.rlike("\\p{L}")
 
 
+def lowered(text: Column) -> Column:
+    """Lower case of each character by itself, as DuckDB has it. F.lower makes two characters of İ, and another sigma at the end of a word."""
+    return F.lower(F.replace(F.replace(text, F.lit("İ"), F.lit("i")), F.lit("Σ"), F.lit("σ")))
+
+
 def tokens(text: Column, p: Profile) -> Column:
-    return F.regexp_extract_all(F.lower(text) if p.token == LATIN.token else text, F.lit(p.token), F.lit(0))
+    return F.regexp_extract_all(lowered(text) if p.token == LATIN.token else text, F.lit(p.token), F.lit(0))
 
 
 def code_points(text: Column) -> Column:
@@ -121,6 +126,15 @@ def slug(text: Column) -> Column:
     return F.when(s == "", F.substring(F.sha1(text), 1, 12)).otherwise(s)
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """A double to so many digits, half away from zero, by its product with a power of ten, as DuckDB's round and C's do.
+
+    F.round goes by the shortest decimal that names the double instead: 0.5069575 gives 0.506958, while its product with a million is below 506957.5.
+    """
+    scale = F.lit(10.0**digits)
+    return F.round(x * scale) / scale
+
+
 def trimmed_number(x: Column, digits: int = 3) -> Column:
     s = F.format_string(f"%.{digits}f", x)
     return F.regexp_replace(F.regexp_replace(s, "0+$", ""), "\\.$", "")

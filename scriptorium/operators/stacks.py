@@ -37,11 +37,11 @@ def counted(docs: DataFrame, p: Profile = LATIN) -> DataFrame:
     return exploded(docs, p).groupBy("doc_id", "token").agg(F.count("*").alias("k"))
 
 
-def difficulty(docs: DataFrame, rare: DataFrame, p: Profile = LATIN, top: int = 10, limit: float = 0.8, counts: DataFrame | None = None) -> DataFrame:
+def difficulty(docs: DataFrame, rare: DataFrame, p: Profile = LATIN, top: int = 10, limit: float = 0.8, counts: DataFrame | None = None, empty: float = 0.0) -> DataFrame:
     """0.5 mean of the top rarities, 0.3 share of rare tokens, 0.2 share of rare distinct tokens; unknown tokens count 1.
 
     Tokens are counted per document before the join, so a common token meets its rarity once a document; from there on only numbers are shuffled, one row for
-    each rarity that a document has. counts: what counted gives of docs, where it is known already.
+    each rarity that a document has. counts: what counted gives of docs, where it is known already. empty: the score of a text without tokens.
     """
     known = (counted(docs, p) if counts is None else counts).join(rare.select("token", "rarity"), "token", "left").select("doc_id", F.coalesce("rarity", F.lit(1.0)).alias("rarity"), "k")
     known = known.groupBy("doc_id", "rarity").agg(F.sum("k").alias("k"), F.count("*").alias("kinds"))
@@ -55,7 +55,7 @@ def difficulty(docs: DataFrame, rare: DataFrame, p: Profile = LATIN, top: int =
         (F.sum(F.when(high, F.col("kinds")).otherwise(0)) / F.sum("kinds")).alias("kinds"),
     )
     score = F.least(F.lit(1.0), 0.5 * F.col("peak") + 0.3 * F.col("share") + 0.2 * F.col("kinds"))
-    return docs.select("doc_id").join(sums, "doc_id", "left").select("doc_id", F.when(F.col("peak").isNull(), 0.0).otherwise(score).alias("difficulty"))
+    return docs.select("doc_id").join(sums, "doc_id", "left").select("doc_id", F.when(F.col("peak").isNull(), empty).otherwise(score).alias("difficulty"))
 
 
 def token_stats(docs: DataFrame, p: Profile = LATIN) -> DataFrame:

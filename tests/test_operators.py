@@ -3,6 +3,7 @@
 import random
 import time
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +163,17 @@ def test_difficulty_cuts_texts_once(spark):
     docs = spark.createDataFrame([(1, "a b b c zz"), (2, "a a a"), (3, None), (4, "new words")], "doc_id long, text string")
     rare = stacks.rarity(stacks.frequency(docs.filter("doc_id < 4")))
     assert stacks.difficulty(docs, rare, counts=stacks.counted(docs)).collect() == stacks.difficulty(docs, rare).collect()
+
+
+def test_ties_and_letters_are_as_in_sql(spark, tmp_path):
+    """Queries round as their SQL does where a double is named like a tie, lower letters one by one, and score texts without tokens as it does."""
+    texts = ["common word", "common word two", "İstanbul ΟΔΟΣ Σ", "straße ẞ ß", "123 ...", "", None, "a b c d e f g h i j k l"]
+    docs = spark.createDataFrame([(i, "a" if i % 2 else None, t) for i, t in enumerate(texts * 2)], "doc_id long, source string, text string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    for name in ("token_frequency", "token_rarity", "doc_difficulty"):
+        assert sorted(map(tuple, catalogue.QUERIES[name](spark, str(tmp_path)).collect()), key=repr) == sorted(con.sql(catalogue.ORACLES[name]).fetchall(), key=repr), name
+    values = [0.5 + 0.3 * (0.034375 / 3) + 0.2 * 0.0176, 0.5069575, 0.0000005, 0.9999995, 1.0, 0.0, -0.5069575, None]
+    found = spark.createDataFrame([(v,) for v in values], "x double").select(tx.rounded(F.col("x"), 6).alias("y")).collect()
+    assert [r.y for r in found] == [con.execute("select round(?::double, 6)", [v]).fetchone()[0] for v in values] and found[1].y == 0.506957
