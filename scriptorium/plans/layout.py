@@ -60,8 +60,8 @@ def merge_until_settled(rows: DataFrame, lay: Callable[[], Column], batch: str,
     return done
 
 
-#: Units drawn at once to fill a page up, as a multiple of those that it lacks by their mean length.
-SPARE = 1.25
+#: Units drawn at once to fill a page up, as a multiple of those that it lacks by their mean length; draws that are broadcast at most.
+SPARE, SENT_DRAWS = 1.25, 100_000
 
 
 def drawn(*key: Column) -> Column:
@@ -82,8 +82,8 @@ def random_pages(
     """
     has_special = lambda c: F.exists(F.array(*[F.lit(x) for x in special or []]).cast("array<string>"), lambda x: F.contains(c, x))
     known = units.filter(tx.strip(F.col(unit)) != "").select(*key, unit, F.explode(F.when(has_special(F.col(unit)), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("plain"))
-    known = saved(numbered_by_digest(known, "plain", F.sha1(F.concat_ws(":", F.lit(seed), F.lit("unit"), *key))).select("plain", "number", unit))
-    sizes = known.groupBy("plain").agg(F.count("*").alias("many"), F.min(F.length(unit)).alias("shortest"), F.avg(F.length(unit)).alias("mean"))  # two rows
+    known = numbered_by_digest(known, "plain", F.sha1(F.concat_ws(":", F.lit(seed), F.lit("unit"), *key)), ["plain", unit])
+    sizes = saved(known.groupBy("plain").agg(F.count("*").alias("many"), F.min(F.length(unit)).alias("shortest"), F.avg(F.length(unit)).alias("mean")))  # two rows
     shortest = sizes.agg(F.min("shortest")).first()[0]
     if shortest is None:
         return pages.select(page, F.lit("").alias("text")).limit(0)
@@ -96,9 +96,12 @@ def random_pages(
         """The rows' own columns, and as got the units of a page's draws from begin to before end; those before wanted have a place."""
         at = F.explode(F.sequence(begin, end - F.lit(1)))
         place = F.when(F.col("at") < F.col("wanted"), F.sha1(F.concat_ws(":", *of("place", F.col("at")))))
-        draw = rows.withColumn("at", at).withColumns({"number": drawn(*of("draw", F.col("at"))) % F.col("many"), "place": place})
+        draw = rows.withColumn("at", at).withColumn("number", drawn(*of("draw", F.col("at"))) % F.col("many"))
         own = [F.first(c).alias(c) for c in ("plain", "wanted", "many", "mean")]
-        return draw.join(known, ["plain", "number"]).groupBy(page).agg(*own, F.collect_list(F.struct("place", "at", unit)).alias("got"))
+        # Spark takes exploded draws for as small as their pages and would collect any number of them to broadcast them, so they are counted
+        many = rows.agg(F.sum(end - begin)).first()[0] or 0
+        draw = F.broadcast(draw) if many <= SENT_DRAWS else draw.hint("merge")
+        return draw.join(known, ["plain", "number"]).withColumn("place", place).groupBy(page).agg(*own, F.collect_list(F.struct("place", "at", unit)).alias("got"))
 
     def filled(body):
         return F.aggregate(F.array_sort("got"), body, lambda t, x: F.when(F.length(t) < pad, F.concat(t, F.lit(" "), x[unit])).otherwise(t))
@@ -110,12 +113,20 @@ def random_pages(
         first = F.when(F.col("plain") & has_special(F.lit(mandatory)), first).otherwise(F.concat(first, F.array(piece)))
     joint = F.array_join(F.transform(F.array_sort(first), lambda x: x[unit]), " ")
     found = saved(found.select(page, "plain", "wanted", "many", "mean", F.col("wanted").alias("next"), tx.strip(joint).alias("body")))
+    ended = []
     for whole in (False, True):
         lacks = F.ceil((pad - F.length("body")) / (F.col("mean") + 1) * SPARE) + 4
         end = F.lit(draws).cast("long") if whole else F.least(F.lit(draws).cast("long"), F.col("next") + lacks)
-        short = found.filter((F.length("body") < pad) & (F.col("next") < draws)).withColumn("end", end)
+        is_short = (F.length("body") < pad) & (F.col("next") < draws)
+        short = found.filter(is_short).withColumn("end", end)
+        if short.isEmpty():
+            break
+        ended.append(found.filter(~is_short))
         more = joined(short, F.col("next"), F.col("end")).select(page, "got").join(short.select(page, "body", "end"), page).select(page, "end", filled(F.col("body")).alias("more"))
-        found = saved(found.join(more, page, "left").withColumns({"body": F.coalesce("more", "body"), "next": F.coalesce("end", "next")}).drop("more", "end"))
+        found = short.drop("end").join(more, page, "left").withColumns({"body": F.coalesce("more", "body"), "next": F.coalesce("end", "next")}).drop("more", "end")
+        found = saved(found)
+    for part in ended:
+        found = found.unionByName(part)
     body = F.col("body")
     body = tx.one_line(F.substring(body, 1, cut), p)
     return found.select(page, (F.when(F.startswith(body, F.lit(heading[:1])), body).otherwise(F.concat(F.lit(heading), body)) if heading else body).alias("text"))

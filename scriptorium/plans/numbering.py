@@ -24,18 +24,20 @@ def numbered(rows: DataFrame, key: str, seed: int = 0) -> DataFrame:
     return keys.withColumn("place", place).join(F.broadcast(offsets), "bucket").select(key, (F.col("offset") + F.col("place")).alias("number"))
 
 
-def numbered_by_digest(rows: DataFrame, within: str, digest: Column) -> DataFrame:
-    """Adds number, from 0 in each group, in the order of a hexadecimal digest that is unique within it.
+def numbered_by_digest(rows: DataFrame, within: str, digest: Column, kept: list[str]) -> DataFrame:
+    """The kept columns and number, from 0 in each group, in the order of a hexadecimal digest that is unique within it.
 
-    The first three digits name a bucket, so a group of any size is cut into 4,096 even parts; only their counts meet. within has few values and is not null.
+    The first three digits name a bucket, so a group of any size is cut into 4,096 even parts; only their counts meet. within has few values and is not null. Rows are made
+    and shuffled once, without their digests, and saved with their place in the bucket; at most 4,096 counts for each value of within are broadcast.
     """
-    told = rows.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, 3))
-    before = Window.partitionBy(within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = told.groupBy(within, "_bucket").agg(F.count("*").alias("_n"))
-    offsets = counts.select(within, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    told = rows.withColumn("_bucket", F.substring(digest, 1, 3)).repartition(within, "_bucket").withColumn("_digest", digest)
     place = F.row_number().over(Window.partitionBy(within, "_bucket").orderBy("_digest")) - 1
-    found = told.withColumn("_place", place).join(offsets, [within, "_bucket"])
-    return found.select(*rows.columns, (F.col("_offset") + F.col("_place")).cast("long").alias("number"))
+    placed = saved(told.withColumn("_place", place).select(*dict.fromkeys([within, *kept]), "_bucket", "_place"))
+    before = Window.partitionBy(within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(within, "_bucket").agg(F.count("*").alias("_n"))
+    offsets = saved(counts.select(within, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    found = placed.join(F.broadcast(offsets), [within, "_bucket"])
+    return found.select(*kept, (F.col("_offset") + F.col("_place")).cast("long").alias("number"))
 
 
 def numbered_within(rows: DataFrame, by: list[str], order: list, name: str = "place") -> DataFrame:

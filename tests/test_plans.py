@@ -339,3 +339,23 @@ def test_pairs_of_renderers_are_made_once(spark):
     pairs, _, splits = catalogue._renderers(spark, "/root/testdata/sf0.001")
     assert not any("Aggregate" in str(x._jdf.queryExecution().optimizedPlan()) for x in (pairs, splits))
     assert pairs.count() == pairs.distinct().count()
+
+
+def test_many_draws_are_not_broadcast(spark, monkeypatch):
+    """Spark takes draws for as small as the pages that make them; more than a few are joined by a shuffle, with the same pages."""
+    units = spark.createDataFrame([(i, f"unit number {i} ".ljust(25, "x")) for i in range(300)], "i int, u string")
+    pages = spark.range(30).withColumnRenamed("id", "page")
+    plans, real = [], layout.saved
+
+    def noted(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return real(frame)
+
+    monkeypatch.setattr(layout, "saved", noted)
+    told = dict(page="page", unit="u", key=["i"], p=tx.LATIN, least=5, most=9, pad=400, cut=450)
+    wanted = sorted(layout.random_pages(pages, units, **told).collect())
+    plans.clear()
+    monkeypatch.setattr(layout, "SENT_DRAWS", 10, raising=False)
+    assert sorted(layout.random_pages(pages, units, **told).collect()) == wanted and len(wanted) == 30
+    drawing = [p for p in plans if "explode(sequence(" in p]
+    assert drawing and all("SortMergeJoin [plain" in p for p in drawing)
